@@ -1 +1,175 @@
-"""Queries (placeholder)."""
+"""Queries of the data-quality layer (J1-J11) and the snapshot / set operators behind them."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from airshed import schemas as S
+from airshed.catalog import register
+from airshed.catalog import sql_fixtures as X
+from airshed.operators import dedup, joins
+from airshed.plans import mart, quality as Q
+from airshed.sources import driver_tables as D
+
+ASOF_CONTRACT = "2024-12-26 00:00:00"
+
+ZERO = "coalesce({o} <= {t}, true)"
+AT_LEAST = "coalesce({o} >= {t}, true)"
+
+LATEST_SQL = """
+latest AS (
+  SELECT location_id, 'station-' || CAST(location_id AS VARCHAR) AS location_name, parameter,
+         value, unit, datetime_utc, latitude, longitude, ingested_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY location_id, parameter
+                                     ORDER BY datetime_utc DESC, value DESC) AS rn
+        FROM m1 WHERE value IS NOT NULL)
+  WHERE rn = 1
+)"""
+
+
+def rules_sql(source: str, rules: list[tuple[str, str, str, float, str]]) -> str:
+    """SQL text of a rule set: one aggregate over ``source``, one row per rule."""
+    aggs = ", ".join(f"CAST({m} AS DOUBLE) AS m{i}" for i, (_, _, m, _, _) in enumerate(rules))
+    rows = []
+    for i, (name, scope, _, thr, passed) in enumerate(rules):
+        t = f"CAST({float(thr)} AS DOUBLE)"
+        rows.append(f"SELECT '{name}' AS rule, '{scope}' AS scope, round(m{i}, 9) AS observed, "
+                    f"{t} AS threshold, {passed.format(o=f'm{i}', t=t)} AS passed FROM (SELECT {aggs} FROM {source})")
+    return "\nUNION ALL\n".join(rows)
+
+
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+# ---- column tests (J1, J2) -------------------------------------------------
+
+J1_STG = [(f"not_null:{c}", "stg_measurements", f"count_if({c} IS NULL)", 0.0, ZERO)
+          for c in S.NOT_NULL_STAGING]
+J1_MART = [(f"not_null:{c}", "mart_hourly", f"count_if({c} IS NULL)", 0.0, ZERO) for c in S.NOT_NULL_MART]
+J2_STG = [("accepted_values:parameter", "stg_measurements",
+           f"count_if(NOT (parameter IN ({_in(S.ACCEPTED_STAGING_PARAMETER)})))", 0.0, ZERO)]
+J2_MART = [("accepted_values:season", "mart_hourly",
+            f"count_if(NOT (season IN ({_in(S.ACCEPTED_MART_SEASON)})))", 0.0, ZERO)]
+
+
+@register("j1_j2_column_tests", X.MART_CHAIN + "\n" + rules_sql("stg", J1_STG + J2_STG)
+          + "\nUNION ALL\n" + rules_sql("mart", J1_MART + J2_MART))
+def j1_j2_column_tests(spark, sf_dir):
+    """J1 not_null + J2 accepted_values on the staging model and the mart."""
+    m = D.measurements(spark, sf_dir)
+    return Q.column_tests(mart.staging(m), mart.mart_hourly(m))
+
+
+# ---- contract (J3-J11) -------------------------------------------------------
+
+REQUIRED = [(f"required:{c}", "measurements", f"count_if({c} IS NULL)", 0.0, ZERO)
+            for c in S.CONTRACT_REQUIRED_FIELDS]
+ENUMS = [("enum:parameter", "measurements", f"count_if(NOT (parameter IN ({_in(S.CONTRACT_PARAMETERS)})))", 0.0, ZERO),
+         ("enum:unit", "measurements", f"count_if(NOT (unit IN ({_in(S.CONTRACT_UNITS)})))", 0.0, ZERO)]
+COMPLETENESS = [(f"completeness:{c}", "measurements",
+                 f"CAST(count({c}) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0)", thr, AT_LEAST)
+                for c, thr in S.CONTRACT_COMPLETENESS]
+VALIDITY = [(f"validity:{n}", "measurements", f"count_if(NOT ({t}))", 0.0, ZERO)
+            for n, t in S.CONTRACT_VALIDITY_RULES]
+PM25_RANGE = [("validity:pm25_0_999", "measurements",
+               "count_if(parameter = 'pm25' AND (value < 0 OR value > 999))", 0.0, ZERO),
+              ("validity:no_negative_values", "measurements", "count_if(value < 0)", 0.0, ZERO)]
+MIN_STATIONS = [("integrity:min_stations", "measurements", "count(DISTINCT location_id)",
+                 float(S.CONTRACT_MIN_STATIONS), "{o} >= {t}")]
+EXPECTED = [("integrity:expected_parameters", "measurements",
+             " + ".join(f"(1 - coalesce(max(CAST(parameter = '{p}' AS INTEGER)), 0))"
+                        for p in S.CONTRACT_EXPECTED_PARAMETERS), 0.0, ZERO)]
+FRESHNESS = [("freshness:datetime_utc", "latest",
+              f"CAST(epoch_us(TIMESTAMP '{ASOF_CONTRACT}') - epoch_us(max(datetime_utc)) AS DOUBLE) / 3.6e9",
+              float(S.CONTRACT_MAX_DELAY_HOURS), "coalesce({o} < {t}, true)")]
+AQI_DOMAIN = [("accepted_values:aqi_category", "mart_hourly",
+               f"count_if(NOT (aqi_category IN ({_in(S.AQI_CATEGORIES)})))", 0.0, ZERO)]
+COHERENCE = [("coherence:winter_gt_monsoon", "mart_hourly",
+              "avg(CASE WHEN season = 'winter' AND pm25 IS NOT NULL THEN pm25 END)"
+              " / nullif(avg(CASE WHEN season = 'monsoon' AND pm25 IS NOT NULL THEN pm25 END), 0.0)",
+              1.0, "coalesce(({o} > {t}) OR ({o} = 0), true)")]
+
+
+@register("j3_contract_schema", X.WITH_M1 + "\n" + rules_sql("m1", REQUIRED + ENUMS))
+def j3_contract_schema(spark, sf_dir):
+    """Required fields non-NULL and enums (parameter, unit) of the contract."""
+    return Q.contract_schema_rules(D.measurements(spark, sf_dir))
+
+
+@register("j4_completeness", X.WITH_M1 + "\n" + rules_sql("m1", COMPLETENESS))
+def j4_completeness(spark, sf_dir):
+    """Completeness ratios (100 % datetime_utc, 90 % value), empty table passes."""
+    return Q.evaluate(D.measurements(spark, sf_dir), Q.completeness_rules("measurements"))
+
+
+@register("j5_validity", X.WITH_M1 + "\n" + rules_sql("m1", VALIDITY + PM25_RANGE))
+def j5_validity(spark, sf_dir):
+    """Contract rule expressions given as text, plus the test-suite range checks."""
+    return Q.evaluate(D.measurements(spark, sf_dir),
+                      Q.expression_rules("measurements") + Q.pm25_range_rule("measurements"))
+
+
+@register("j6_aqi_category_domain", X.MART_CHAIN + "\n" + rules_sql("mart", AQI_DOMAIN))
+def j6_aqi_category_domain(spark, sf_dir):
+    """Mart categories inside the six-name domain (NOT IN)."""
+    return Q.evaluate(mart.mart_hourly(D.measurements(spark, sf_dir)),
+                      Q.accepted_values_rules("mart_hourly", "aqi_category", S.AQI_CATEGORIES))
+
+
+@register("j7_freshness", X.WITH_M1 + "," + LATEST_SQL + "\n" + rules_sql("latest", FRESHNESS))
+def j7_freshness(spark, sf_dir):
+    """Latest snapshot no older than 3 h at ``asof`` (strict); empty passes."""
+    latest = dedup.latest_snapshot(D.measurements(spark, sf_dir))
+    return Q.evaluate(latest, Q.freshness_rule("latest", ASOF_CONTRACT))
+
+
+@register("j8_min_stations", X.WITH_M1 + "\n" + rules_sql("m1", MIN_STATIONS))
+def j8_min_stations(spark, sf_dir):
+    """At least 10 distinct stations."""
+    return Q.evaluate(D.measurements(spark, sf_dir), Q.min_stations_rule("measurements"))
+
+
+@register("j9_expected_parameters", X.WITH_M1 + "\n" + rules_sql("m1", EXPECTED))
+def j9_expected_parameters(spark, sf_dir):
+    """The expected parameters pm25, pm10, no2, co all occur."""
+    return Q.evaluate(D.measurements(spark, sf_dir), Q.expected_parameters_rule("measurements"))
+
+
+@register("j10_winter_vs_monsoon", X.MART_CHAIN + "\n" + rules_sql("mart", COHERENCE))
+def j10_winter_vs_monsoon(spark, sf_dir):
+    """Winter mean pm25 above monsoon mean (ratio > 1); NULL or 0 passes."""
+    return Q.evaluate(mart.mart_hourly(D.measurements(spark, sf_dir)), Q.winter_vs_monsoon_rule("mart_hourly"))
+
+
+@register("j11_contract_report", X.MART_CHAIN + "," + LATEST_SQL + "\n"
+          + rules_sql("m1", REQUIRED + ENUMS + COMPLETENESS + VALIDITY + PM25_RANGE + MIN_STATIONS + EXPECTED)
+          + "\nUNION ALL\n" + rules_sql("latest", FRESHNESS)
+          + "\nUNION ALL\n" + rules_sql("mart", AQI_DOMAIN + COHERENCE))
+def j11_contract_report(spark, sf_dir):
+    """The whole contract in one aggregation per table (measurements, latest, mart)."""
+    m = D.measurements(spark, sf_dir)
+    return Q.contract_report(m, dedup.latest_snapshot(m), mart.mart_hourly(m), ASOF_CONTRACT)
+
+
+# ---- snapshot and set operators --------------------------------------------
+
+@register("e4_latest_snapshot", X.WITH_M1 + "," + LATEST_SQL + "\nSELECT * FROM latest")
+def e4_latest_snapshot(spark, sf_dir):
+    """E4 (per series) / A4 shape: newest reading per (station, parameter) via max_by."""
+    return dedup.latest_snapshot(D.measurements(spark, sf_dir))
+
+
+@register("d6_distinct_parameters", X.WITH_M1 + "\nSELECT DISTINCT parameter FROM m1")
+def d6_distinct_parameters(spark, sf_dir):
+    """Select distinct parameter."""
+    return D.measurements(spark, sf_dir).select("parameter").distinct()
+
+
+@register("c5_absent_contract_parameters", X.WITH_M1 + """
+SELECT parameter FROM (VALUES """ + ", ".join(f"('{p}')" for p in S.CONTRACT_PARAMETERS) + """) AS e(parameter)
+WHERE parameter NOT IN (SELECT parameter FROM m1 WHERE parameter IS NOT NULL)""")
+def c5_absent_contract_parameters(spark, sf_dir):
+    """C5/G: contract parameters never measured (expected minus present, anti join)."""
+    expected = spark.createDataFrame([(p,) for p in S.CONTRACT_PARAMETERS], "parameter string")
+    return joins.expected_minus_present(expected, D.measurements(spark, sf_dir), "parameter")

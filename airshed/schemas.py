@@ -65,8 +65,11 @@ CONTRACT_VALIDITY_RULES = [
     ("pm25_range", "parameter != 'pm25' OR (value >= 0 AND value <= 999)"),
     ("no_negatives", "value >= 0"),
 ]
-# Column tests of the SQL models.
-NOT_NULL_FIELDS = ["location_id", "parameter", "value", "datetime_utc", "hour_utc"]
+# Column tests of the SQL models: not-null columns per model, accepted values per column.
+NOT_NULL_STAGING = ["location_id", "parameter", "datetime_utc", "is_valid"]
+NOT_NULL_MART = ["hour_utc"]
+ACCEPTED_STAGING_PARAMETER = ["pm25", "pm10", "no2", "so2", "co", "o3", "bc"]
+ACCEPTED_MART_SEASON = ["winter", "summer", "monsoon", "post_monsoon"]
 
 # Seeding model of the reference's simulator: seasonal factor by month, diurnal factor.
 SEASONAL_FACTOR = [
