@@ -1 +1,122 @@
-"""Queries (placeholder)."""
+"""Queries of the hourly time-series layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from airshed.catalog import register
+from airshed.catalog import sql_fixtures as X
+from airshed.operators import series as ser
+from airshed.plans import features as FE
+from airshed.plans import nowcast as NC
+from airshed.sources import driver_tables as D
+
+ASOF = "2024-01-30 00:00:00"
+LSTM_FEATURES = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine",
+                 "mois", "est_weekend"]
+
+
+def feeds(spark, sf_dir):
+    return (D.with_series(D.hourly_air(spark, sf_dir)), D.with_series(D.hourly_weather(spark, sf_dir)))
+
+
+def _r9(df, cols):
+    return df.withColumns({c: F.round(c, 9) for c in cols})
+
+
+@register("c1_inner_join_hourly", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_INNER]) + "\nSELECT * FROM merged")
+def c1_inner_join_hourly(spark, sf_dir):
+    """C1 + B5: air and weather renamed and inner-joined on the hour."""
+    return FE.merge_inner(*feeds(spark, sf_dir)).drop("series_id")
+
+
+@register("c2_full_outer_hourly", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + "\nSELECT * FROM merged_full")
+def c2_full_outer_hourly(spark, sf_dir):
+    """C2 + B5: full outer align of air and weather (realtime renames)."""
+    return FE.merge_full(*feeds(spark, sf_dir)).drop("series_id")
+
+
+@register("e3_interpolate_limit3", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_INNER])
+          + ",\nkept AS (SELECT * FROM merged WHERE pm2p5 IS NOT NULL)," + X.interp_sql("kept", "interp")
+          + "\nSELECT * FROM interp")
+def e3_interpolate_limit3(spark, sf_dir):
+    """B7 + E3: rows without pm2p5 dropped, then linear interpolation (limit 3) by position."""
+    return FE.interpolated(FE.merge_inner(*feeds(spark, sf_dir))).drop("series_id", ser.POS)
+
+
+@register("e14_clean_and_merge", X.CLEAN + "\nSELECT * FROM clean")
+def e14_clean_and_merge(spark, sf_dir):
+    """Rename, inner join, dropna(pm2p5), interpolate(limit 3), dropna()."""
+    return FE.clean_and_merge(*feeds(spark, sf_dir)).drop("series_id")
+
+
+@register("e1_e2_lags_rolling", X.CLEAN + f""",
+f AS (SELECT datetime, pm2p5, {X.lags_sql("pm2p5")}, {X.rolling_sql("pm2p5")} FROM clean)
+SELECT * FROM f""")
+def e1_e2_lags_rolling(spark, sf_dir):
+    """E1 + E2: positional lags 1/2/24 and full-window rolling means 3/24 (no dropna)."""
+    clean = FE.clean_and_merge(*feeds(spark, sf_dir))
+    d = ser.with_position(clean.select("series_id", "datetime", "pm2p5"), FE.SERIES, [FE.TIME])
+    d = ser.add_lags(d, FE.SERIES, "pm2p5", FE.LAGS)
+    d = ser.add_rolling_means(d, FE.SERIES, "pm2p5", FE.ROLLING)
+    return _r9(d.drop("series_id", ser.POS), list(FE.ROLLING))
+
+
+@register("e12_batch_features", X.FEATURES + "\nSELECT * FROM features")
+def e12_batch_features(spark, sf_dir):
+    """Batch feature table (calendar, lags, rolling means, complete rows only)."""
+    f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
+    return _r9(f.drop("series_id"), list(FE.ROLLING))
+
+
+@register("e13_realtime_features", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + f"""
+SELECT *, {X.CALENDAR}, {X.lags_sql("pm2_5")} FROM merged_full""")
+def e13_realtime_features(spark, sf_dir):
+    """Full outer align, renames, calendar and lags of pm2_5 (no rolling, no dropna)."""
+    return FE.realtime_features(*feeds(spark, sf_dir)).drop("series_id")
+
+
+@register("e5_latest_window_48h", "WITH " + X.AIR + f"""
+SELECT * FROM (SELECT * FROM air WHERE datetime <= TIMESTAMP '{ASOF}')
+QUALIFY row_number() OVER (ORDER BY datetime DESC) <= 48""")
+def e5_latest_window_48h(spark, sf_dir):
+    """B8 + E5: air feed at or before ``asof``, last 48 rows by position (``tail(48)``)."""
+    air, _ = feeds(spark, sf_dir)
+    return NC.latest_window(air, F.lit(ASOF).cast("timestamp_ntz"), 48).drop("series_id")
+
+
+@register("e6_forecast_head_24h", "WITH " + X.AIR + f"""
+SELECT datetime, pm2_5 AS pm2_5_cams FROM (SELECT * FROM air WHERE datetime > TIMESTAMP '{ASOF}')
+QUALIFY row_number() OVER (ORDER BY datetime) <= 24""")
+def e6_forecast_head_24h(spark, sf_dir):
+    """B9 + E6: forecast rows strictly after ``asof``, first 24 by position, renamed."""
+    air, _ = feeds(spark, sf_dir)
+    return NC.forecast_head(air, F.lit(ASOF).cast("timestamp_ntz"), 24).drop("series_id")
+
+
+@register("e7_lstm_sequences_24", X.FEATURES + f"""
+SELECT pos AS position, sequence, label FROM (
+  SELECT row_number() OVER (ORDER BY datetime) - 1 AS pos,
+         list([{", ".join(f"CAST({c} AS DOUBLE)" for c in LSTM_FEATURES)}])
+           OVER (ORDER BY datetime ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS sequence,
+         pm2p5 AS label
+  FROM features)
+WHERE len(sequence) = 24""")
+def e7_lstm_sequences_24(spark, sf_dir):
+    """Sliding 24-step sequences of the 10 LSTM features, label = next pm2p5."""
+    f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
+    d = ser.with_position(f, FE.SERIES, [FE.TIME])
+    s = ser.add_sequences(d, FE.SERIES, LSTM_FEATURES, "pm2p5", 24)
+    return s.select(F.col(ser.POS).alias("position"), "sequence", "label")
+
+
+@register("e11_chrono_split", X.FEATURES + """
+SELECT datetime, pm2p5,
+       CASE WHEN row_number() OVER (ORDER BY datetime) - 1 < floor(0.8 * count(*) OVER ())
+            THEN 'train' ELSE 'test' END AS split
+FROM features""")
+def e11_chrono_split(spark, sf_dir):
+    """Positional chronological 80/20 split of the feature table (no global sort)."""
+    f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
+    d = ser.with_position(f.select("series_id", "datetime", "pm2p5"), FE.SERIES, [FE.TIME])
+    return ser.chrono_split(d, FE.SERIES, 0.8).select("datetime", "pm2p5", "split")

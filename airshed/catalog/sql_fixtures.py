@@ -117,3 +117,72 @@ weather AS (
   FROM events WHERE event_type IN ('signup', 'error')
   GROUP BY 1
 )"""
+
+# ---- hourly series (M2) in DuckDB, whole-series windows -----------------------
+
+MERGED_INNER = """
+merged AS (
+  SELECT a.datetime, a.pm2_5 AS pm2p5, a.pm10, a.nitrogen_dioxide AS no2,
+         w.temperature_2m AS temp_c, w.wind_speed_10m AS vent_kmh, w.boundary_layer_height AS blh_m
+  FROM air a JOIN weather w ON a.datetime = w.datetime
+)"""
+
+MERGED_FULL = """
+merged_full AS (
+  SELECT coalesce(a.datetime, w.datetime) AS datetime, a.pm2_5, a.pm10, a.nitrogen_dioxide AS no2,
+         w.temperature_2m AS temp_c, w.wind_speed_10m AS vent_kmh, w.boundary_layer_height AS blh_m
+  FROM air a FULL OUTER JOIN weather w ON a.datetime = w.datetime
+)"""
+
+INTERP_COLS = ["pm10", "no2", "temp_c", "vent_kmh", "blh_m"]
+
+
+def interp_sql(src: str, name: str, cols=None, limit: int = 3) -> str:
+    """CTEs ``{name}`` = pandas-style linear interpolation (limit) by position of ``src``."""
+    cols = cols or INTERP_COLS
+    back = "OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = "OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    parts = []
+    for c in cols:
+        parts.append(f"max(CASE WHEN {c} IS NOT NULL THEN pos END) {back} AS {c}_pp, "
+                     f"last_value({c} IGNORE NULLS) {back} AS {c}_pv, "
+                     f"min(CASE WHEN {c} IS NOT NULL THEN pos END) {ahead} AS {c}_np, "
+                     f"first_value({c} IGNORE NULLS) {ahead} AS {c}_nv")
+    outs = []
+    for c in cols:
+        outs.append(f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {c}_pp IS NULL THEN NULL "
+                    f"WHEN pos - {c}_pp > {limit} THEN NULL WHEN {c}_np IS NULL THEN {c}_pv "
+                    f"ELSE ({c}_nv - {c}_pv) / CAST({c}_np - {c}_pp AS DOUBLE) * CAST(pos - {c}_pp AS DOUBLE)"
+                    f" + {c}_pv END AS {c}")
+    return f"""
+{name}_pos AS (SELECT *, row_number() OVER (ORDER BY datetime) - 1 AS pos FROM {src}),
+{name}_w AS (SELECT *, {", ".join(parts)} FROM {name}_pos),
+{name} AS (SELECT datetime, pm2p5, {", ".join(outs)} FROM {name}_w)"""
+
+
+CALENDAR = """CAST(hour(datetime) AS INTEGER) AS heure, CAST(isodow(datetime) - 1 AS INTEGER) AS jour_semaine,
+         CAST(month(datetime) AS INTEGER) AS mois, CAST(isodow(datetime) >= 6 AS INTEGER) AS est_weekend"""
+
+
+def lags_sql(target: str) -> str:
+    return ", ".join(f"lag({target}, {k}) OVER (ORDER BY datetime) AS pm2p5_lag_{k}h" for k in (1, 2, 24))
+
+
+def rolling_sql(target: str) -> str:
+    out = []
+    for n in (3, 24):
+        f = f"OVER (ORDER BY datetime ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        out.append(f"round(CASE WHEN count({target}) {f} = {n} THEN avg({target}) {f} END, 9) AS pm2p5_rolling_{n}h")
+    return ", ".join(out)
+
+
+CLEAN = ("WITH " + ",".join([AIR, WEATHER, MERGED_INNER])
+         + ",\nkept AS (SELECT * FROM merged WHERE pm2p5 IS NOT NULL)," + interp_sql("kept", "interp")
+         + """,
+clean AS (SELECT * FROM interp WHERE pm2p5 IS NOT NULL AND pm10 IS NOT NULL AND no2 IS NOT NULL
+          AND temp_c IS NOT NULL AND vent_kmh IS NOT NULL AND blh_m IS NOT NULL)""")
+
+FEATURES = CLEAN + f""",
+feat_all AS (SELECT *, {CALENDAR}, {lags_sql("pm2p5")}, {rolling_sql("pm2p5")} FROM clean),
+features AS (SELECT * FROM feat_all WHERE pm2p5_lag_24h IS NOT NULL AND pm2p5_lag_1h IS NOT NULL
+             AND pm2p5_lag_2h IS NOT NULL AND pm2p5_rolling_3h IS NOT NULL AND pm2p5_rolling_24h IS NOT NULL)"""

@@ -24,6 +24,17 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
+def join_derived_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a small table derived inside the same plan (offsets, per-series summaries).
+
+    No hint and no extra job: with AQE on, the small side is a finished shuffle stage when
+    the join is planned, and AQE converts the join to a broadcast only if the materialised
+    size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
+    shuffle join.  Counting first would re-run the whole upstream lineage.
+    """
+    return big.join(small, on, how)
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join a fact table to a dimension, broadcasting the dimension only behind a size check."""

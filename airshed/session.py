@@ -77,6 +77,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/airshed/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+
+    Used after a large aggregation whose small result feeds several branches of a plan
+    (position offsets, block summaries): without it each branch would recompute the
+    aggregation from the raw files.  Never a local checkpoint: the data must survive the
+    loss of the executor that computed it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code paths that must touch the local FS (tests only)."""
     return path[5:] if path.startswith("file:") else path
