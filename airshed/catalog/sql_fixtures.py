@@ -168,21 +168,32 @@ def lags_sql(target: str) -> str:
     return ", ".join(f"lag({target}, {k}) OVER (ORDER BY datetime) AS pm2p5_lag_{k}h" for k in (1, 2, 24))
 
 
-def rolling_sql(target: str) -> str:
+def rolling_sql(target: str, digits: int | None = 9) -> str:
     out = []
     for n in (3, 24):
         f = f"OVER (ORDER BY datetime ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-        out.append(f"round(CASE WHEN count({target}) {f} = {n} THEN avg({target}) {f} END, 9) AS pm2p5_rolling_{n}h")
+        e = f"CASE WHEN count({target}) {f} = {n} THEN avg({target}) {f} END"
+        out.append(f"{e if digits is None else f'round({e}, {digits})'} AS pm2p5_rolling_{n}h")
     return ", ".join(out)
 
 
+def spark_round(x: str, digits: int) -> str:
+    """Spark's ``round`` on a double: HALF_UP on the shortest decimal text of the value."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 17)), {digits}) AS DOUBLE)"
+
+
 CLEAN = ("WITH " + ",".join([AIR, WEATHER, MERGED_INNER])
          + ",\nkept AS (SELECT * FROM merged WHERE pm2p5 IS NOT NULL)," + interp_sql("kept", "interp")
          + """,
 clean AS (SELECT * FROM interp WHERE pm2p5 IS NOT NULL AND pm10 IS NOT NULL AND no2 IS NOT NULL
           AND temp_c IS NOT NULL AND vent_kmh IS NOT NULL AND blh_m IS NOT NULL)""")
 
-FEATURES = CLEAN + f""",
-feat_all AS (SELECT *, {CALENDAR}, {lags_sql("pm2p5")}, {rolling_sql("pm2p5")} FROM clean),
+def features_sql(digits: int | None = 9) -> str:
+    return CLEAN + f""",
+feat_all AS (SELECT *, {CALENDAR}, {lags_sql("pm2p5")}, {rolling_sql("pm2p5", digits)} FROM clean),
 features AS (SELECT * FROM feat_all WHERE pm2p5_lag_24h IS NOT NULL AND pm2p5_lag_1h IS NOT NULL
              AND pm2p5_lag_2h IS NOT NULL AND pm2p5_rolling_3h IS NOT NULL AND pm2p5_rolling_24h IS NOT NULL)"""
+
+
+FEATURES = features_sql(9)
+FEATURES_RAW = features_sql(None)
