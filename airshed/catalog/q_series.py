@@ -9,6 +9,7 @@ from airshed.catalog import sql_fixtures as X
 from airshed.operators import series as ser
 from airshed.plans import features as FE
 from airshed.plans import nowcast as NC
+from airshed.session import materialize
 from airshed.sources import driver_tables as D
 
 ASOF = "2024-01-30 00:00:00"
@@ -17,7 +18,10 @@ LSTM_FEATURES = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure",
 
 
 def feeds(spark, sf_dir):
-    return (D.with_series(D.hourly_air(spark, sf_dir)), D.with_series(D.hourly_weather(spark, sf_dir)))
+    """Hourly air and weather feeds, checkpointed once: every positional step reads its input
+    twice (summary + rows), and the feeds are aggregations over the whole raw table."""
+    return (materialize(D.with_series(D.hourly_air(spark, sf_dir))),
+            materialize(D.with_series(D.hourly_weather(spark, sf_dir))))
 
 
 def _r9(df, cols):

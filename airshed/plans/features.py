@@ -45,13 +45,12 @@ def merge_full(air: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def interpolated(merged: DataFrame, target: str = "pm2p5", limit: int = 3,
-                 block_rows: int = ser.DEFAULT_BLOCK_ROWS, checkpoint: bool = True) -> DataFrame:
+                 block_rows: int = ser.DEFAULT_BLOCK_ROWS, checkpoint: bool = False) -> DataFrame:
     """B7 + E3: drop rows without the target, then linear interpolation (limit 3) of every
     value column by position.  Result keeps ``_pos``.
 
-    The hourly frame is checkpointed first: the position and the interpolation each read
-    it twice (a small summary and the rows), and the frame is the output of an
-    aggregation over the raw data that must not run more than once.
+    The position and the interpolation each read their input twice (a small summary and
+    the rows): pass feeds that are already materialised, or ``checkpoint=True``.
     """
     d = merged.dropna(subset=[target])
     if checkpoint:

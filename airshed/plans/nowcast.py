@@ -21,3 +21,19 @@ def forecast_head(feed: DataFrame, asof: Column, hours: int = 24, value: str = "
     """B9 + E6: rows strictly after ``asof``, first ``hours`` by position, value renamed."""
     d = ser.with_position(feed.where(F.col(FE.TIME) > asof), FE.SERIES, [FE.TIME])
     return ser.first_n(d, hours).select(*FE.SERIES, FE.TIME, F.col(value).alias(out))
+
+
+def persistence_predictions(air: DataFrame, block_rows: int = ser.DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Predictions table (FIXTURES M3) from the hourly air feed.
+
+    ``pm25_xgboost`` is the persistence forecast (previous hour's observation by position),
+    ``pm25_cams`` the pm10 column; values rounded to 2 decimals as the reference stores
+    them; ``depasse_oms`` = prediction strictly above the WHO limit (H22).
+    """
+    d = ser.with_position(air, FE.SERIES, [FE.TIME])
+    d = ser.add_lags(d, FE.SERIES, "pm2_5", {"_prev": 1}, block_rows)
+    pred = F.round("_prev", 2)
+    return d.select(*FE.SERIES, F.col(FE.TIME).alias("datetime"),
+                    F.round("pm2_5", 2).alias("pm25_observe"), pred.alias("pm25_xgboost"),
+                    F.round("pm10", 2).alias("pm25_cams"),
+                    (pred > F.lit(S.WHO_PM25_LIMIT)).alias("depasse_oms"))
