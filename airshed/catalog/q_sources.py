@@ -1 +1,113 @@
-"""Queries (placeholder)."""
+"""Queries of the sources and sinks (A1-A9, A14): each writes into a fresh folder under the
+shared checkpoint directory and reads the data back through the library's readers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from airshed.catalog import register
+from airshed.catalog import sql_fixtures as X
+from airshed.catalog.q_dashboards import PRED_SQL, predictions
+from airshed.catalog.q_mart import _DEDUP_SQL
+from airshed.catalog.q_quality import LATEST_SQL
+from airshed.catalog.q_series import ASOF, feeds
+from airshed.catalog.q_stats import feature_table
+from airshed.operators import dedup
+from airshed.plans import features as FE
+from airshed.plans import mart
+from airshed.session import shared_path
+from airshed.sources import csv_tables as C
+from airshed.sources import driver_tables as D
+from airshed.sources import json_feed as J
+from airshed.sources import sinks as K
+
+
+@register("a1_a3_csv_measurements", X.WITH_M1 + "\nSELECT * FROM m1")
+def a1_a3_csv_measurements(spark, sf_dir):
+    """A1 + A3: measurements landed as header CSV (all text), read back and typed
+    (empty coordinates and values -> NULL in tolerant mode)."""
+    path = C.write_csv(D.measurements(spark, sf_dir), shared_path(spark, "measurements-csv"))
+    return C.read_measurements(spark, path, strict=False)
+
+
+@register("a2_csv_stations", X.WITH_M1 + """
+SELECT location_id AS id, 'station-' || CAST(location_id AS VARCHAR) AS name,
+       'zone-' || CAST(location_id % 7 AS VARCHAR) AS locality, 'Asia/Kolkata' AS timezone,
+       max(latitude) AS latitude, max(longitude) AS longitude, true AS is_monitor, 'events' AS provider,
+       list_sort(list(DISTINCT parameter)) AS parameters, '2024-12-31T00:00:00+00:00' AS ingested_at
+FROM m1 GROUP BY location_id""")
+def a2_csv_stations(spark, sf_dir):
+    """A2 + H25 + H26: station table as CSV (``True`` text, ``a|b`` lists) read back and typed."""
+    st = D.stations_from_measurements(D.measurements(spark, sf_dir))
+    path = C.write_csv(st, shared_path(spark, "stations-csv"))
+    return C.read_stations(spark, path)
+
+
+@register("a4_csv_latest", X.WITH_M1 + "," + LATEST_SQL + "\nSELECT * FROM latest")
+def a4_csv_latest(spark, sf_dir):
+    """A4: latest snapshot as CSV read back and typed."""
+    latest = dedup.latest_snapshot(D.measurements(spark, sf_dir))
+    path = C.write_csv(latest, shared_path(spark, "latest-csv"))
+    return C.read_latest(spark, path)
+
+
+@register("a5_a7_parquet_replace", X.MART_CHAIN + "\nSELECT * FROM mart")
+def a5_a7_parquet_replace(spark, sf_dir):
+    """A5 + A7 + A12: the mart materialised as a table (replace write) and scanned back."""
+    path = shared_path(spark, "mart-parquet")
+    K.write_replace(mart.mart_hourly(D.measurements(spark, sf_dir)), path)
+    K.write_replace(mart.mart_hourly(D.measurements(spark, sf_dir)), path)  # replace, not add
+    return spark.read.parquet(path)
+
+
+@register("a6_append_then_dedup", _DEDUP_SQL)
+def a6_append_then_dedup(spark, sf_dir):
+    """A6 + E10: two appended batches (delivery and re-delivery), deduplicated on read."""
+    path = shared_path(spark, "measurements-append")
+    K.write_append(D.measurements(spark, sf_dir), path)
+    again = (D.redelivered_measurements(spark, sf_dir)
+             .where(F.col("ingested_at") == D.REINGESTED_AT))
+    K.write_append(again, path)
+    return dedup.dedup_measurements(spark.read.parquet(path))
+
+
+@register("a8_partitioned_features", X.FEATURES + """
+SELECT *, CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month
+FROM features WHERE year(datetime) = 2024 AND month(datetime) = 1""")
+def a8_partitioned_features(spark, sf_dir):
+    """A8 + A7: feature table written partitioned by year/month, read with partition pruning."""
+    f = feature_table(spark, sf_dir).drop("series_id")
+    f = f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
+    path = K.write_partitioned(f, shared_path(spark, "features-partitioned"))
+    return K.read_partitioned(spark, path, 2024, 1)
+
+
+@register("a9_json_hourly_air", "WITH " + X.AIR + "\nSELECT * FROM air")
+def a9_json_hourly_air(spark, sf_dir):
+    """Hourly air feed landed as columnar JSON payloads (one per day), read back to rows."""
+    air, _ = feeds(spark, sf_dir)
+    cols = ["pm2_5", "pm10", "nitrogen_dioxide"]
+    path = shared_path(spark, "air-json")
+    J.to_hourly_payloads(air, cols, keys=["series_id"]).write.mode("overwrite").json(path)
+    return J.read_hourly_payloads(spark, path, cols)
+
+
+@register("a14_predictions_table")
+def a14_predictions_table(spark, sf_dir):
+    """Predictions conformed to the result-table schema with ``inserted_at`` = now
+    (rows-only check: the timestamp is the wall clock)."""
+    return K.with_result_defaults(predictions(spark, sf_dir))
+
+
+@register("a10_nested_locations", X.WITH_M1 + """
+SELECT location_id AS id, 'station-' || CAST(location_id AS VARCHAR) AS name,
+       'zone-' || CAST(location_id % 7 AS VARCHAR) AS locality, 'Asia/Kolkata' AS timezone,
+       max(latitude) AS latitude, max(longitude) AS longitude, true AS is_monitor, 'events' AS provider,
+       list_sort(list(DISTINCT parameter)) AS parameters, CAST(NULL AS VARCHAR) AS ingested_at
+FROM m1 GROUP BY location_id""")
+def a10_nested_locations(spark, sf_dir):
+    """A10: nested location/sensor JSON documents flattened to station rows."""
+    st = D.stations_from_measurements(D.measurements(spark, sf_dir))
+    path = shared_path(spark, "locations-json")
+    J.to_nested_locations(st).write.mode("overwrite").json(path)
+    return J.flatten_locations(spark, path)
