@@ -1 +1,141 @@
-"""Queries (placeholder)."""
+"""Queries of the model-facing layer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from airshed.catalog import register
+from airshed.catalog import sql_fixtures as X
+from airshed.catalog.q_series import feeds
+from airshed.catalog.q_stats import feature_table
+from airshed.operators import series as ser
+from airshed.plans import features as FE
+from airshed.plans import mart
+from airshed.plans import ml as ML
+from airshed.sources import driver_tables as D
+
+LSTM_COLS = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine", "mois", "est_weekend"]
+XGB_COLS = ["pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine", "mois", "est_weekend",
+            "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h"]
+_MODELS: dict = {}
+
+
+def _scaled_sql(c: str) -> str:
+    rng = f"(max({c}) OVER () - min({c}) OVER ())"
+    scale = f"(1.0 / CASE WHEN {rng} = 0 THEN 1.0 ELSE {rng} END)"
+    return f"CAST({c} AS DOUBLE) * {scale} + (0.0 - min({c}) OVER () * {scale})"
+
+
+@register("k1_minmax_scale_lstm", X.FEATURES + "\nSELECT datetime, " + ", ".join(
+    f"{_scaled_sql(c)} AS {c}" for c in LSTM_COLS) + " FROM features")
+def k1_minmax_scale_lstm(spark, sf_dir):
+    """D20 + K1: LSTM columns min-max scaled (fitted on all rows, as the reference)."""
+    f = feature_table(spark, sf_dir).select("datetime", *LSTM_COLS)
+    params = ML.minmax_fit(f, LSTM_COLS)
+    return ML.minmax_transform(f, params, LSTM_COLS)
+
+
+@register("k2_inverse_scale", X.FEATURES + "\nSELECT datetime, round(pm2p5, 9) AS pm2p5_restored FROM features")
+def k2_inverse_scale(spark, sf_dir):
+    """K2: scaled target mapped back to the original unit."""
+    f = feature_table(spark, sf_dir).select("datetime", *LSTM_COLS)
+    params = ML.minmax_fit(f, LSTM_COLS)
+    scaled = ML.minmax_transform(f, params, LSTM_COLS)
+    return scaled.select("datetime", F.round(ML.minmax_inverse(F.col("pm2p5"), params, "pm2p5"), 9)
+                         .alias("pm2p5_restored"))
+
+
+@register("k3_xgb_matrix", X.FEATURES + "\nSELECT datetime, " + ", ".join(XGB_COLS) + ", pm2p5 AS label FROM features")
+def k3_xgb_matrix(spark, sf_dir):
+    """B6 + K3: model inputs (target, rolling means and time dropped) and label."""
+    m, cols = ML.xgb_matrix(feature_table(spark, sf_dir))
+    return m.drop("series_id")
+
+
+@register("k3_prophet_frame", X.FEATURES + "\nSELECT datetime AS ds, pm2p5 AS y, temp_c, vent_kmh, blh_m, no2 FROM features")
+def k3_prophet_frame(spark, sf_dir):
+    """B5 + H10 + K3: ds / y frame with regressors."""
+    return ML.prophet_frame(feature_table(spark, sf_dir))
+
+
+def _gbt(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        m, cols = ML.xgb_matrix(feature_table(spark, sf_dir))
+        d = ser.chrono_split(ser.with_position(m, ["series_id"], ["datetime"]), ["series_id"], 0.8, "test_ceil")
+        train = d.where(F.col("split") == "train")
+        _MODELS[key] = (ML.train_gbt(train, cols), d)
+    return _MODELS[key]
+
+
+@register("k4_gbt_train_predict")
+def k4_gbt_train_predict(spark, sf_dir):
+    """E11 + K4: gradient-boosted trees (100 x depth 6, rate 0.1, seed 42) on the first 80 %,
+    predictions on the test rows; rows-only check."""
+    model, d = _gbt(spark, sf_dir)
+    return model.transform(d.where(F.col("split") == "test")).select("datetime", "label", "prediction")
+
+
+@register("k5_seasonal_regression")
+def k5_seasonal_regression(spark, sf_dir):
+    """K5: trend + yearly/weekly/daily Fourier terms + regressors, linear fit; rows-only."""
+    frame = ML.prophet_frame(feature_table(spark, sf_dir))
+    design, cols = ML.seasonal_design(frame)
+    model = ML.train_seasonal(design, cols)
+    return model.transform(design).select("ds", "y", F.col("prediction").alias("yhat"))
+
+
+def requests(spark, sf_dir):
+    """Scoring requests: one per mart row (fields of the request schema)."""
+    m = mart.mart_hourly(D.measurements(spark, sf_dir))
+    return m.select("location_id", "hour_utc", "latitude", "longitude", "pm25", "pm10", "no2", "so2", "co", "o3",
+                    "hour_local", "day_of_week", "month", "season", "aqi_pm25")
+
+
+_RULES = [("pm25_required", "pm25 IS NULL"), ("pm25_range", "pm25 < 0 OR pm25 > 999"),
+          ("pm10_range", "pm10 < 0 OR pm10 > 999"), ("no2_min", "no2 < 0"), ("so2_min", "so2 < 0"),
+          ("co_min", "co < 0"), ("o3_min", "o3 < 0"),
+          ("hour_local_range", "hour_local IS NULL OR hour_local < 0 OR hour_local > 23"),
+          ("day_of_week_range", "day_of_week IS NULL OR day_of_week < 0 OR day_of_week > 6"),
+          ("month_range", "month IS NULL OR month < 1 OR month > 12"),
+          ("season_pattern", "season IS NULL OR NOT regexp_matches(season, '^(winter|summer|monsoon|post_monsoon)$')")]
+_VIOL = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _RULES) + "], lambda x: x IS NOT NULL)"
+
+
+@register("b14_request_validation", X.MART_CHAIN + f"""
+SELECT location_id, hour_utc, latitude, longitude, {_VIOL} AS violations, len({_VIOL}) = 0 AS valid FROM mart""")
+def b14_request_validation(spark, sf_dir):
+    """B14 + B15: request-table validation (bounds, required fields, season pattern)."""
+    v = ML.validate_requests(requests(spark, sf_dir))
+    return v.select("location_id", "hour_utc", "latitude", "longitude", "violations", "valid")
+
+
+@register("k7_batch_scoring")
+def k7_batch_scoring(spark, sf_dir):
+    """K7: validated requests scored in batch (defaults, one-hot, model, round, category,
+    confidence); rows-only check because of the fitted model."""
+    req = requests(spark, sf_dir)
+    model = ML.train_aqi_model(req)
+    req = req.withColumn("request_id", F.xxhash64("location_id", "hour_utc", "hour_local", "latitude", "longitude"))
+    return ML.score_requests(req, model)
+
+
+@register("b13_complete_vectors", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + f""",
+rt AS (SELECT *, {X.CALENDAR}, {X.lags_sql("pm2_5")} FROM merged_full)
+SELECT CASE WHEN """ + " AND ".join(f"{c} IS NOT NULL" for c in XGB_COLS) + """ THEN 'complete' ELSE 'skipped' END AS status,
+       count(*) AS n FROM rt GROUP BY 1""")
+def b13_complete_vectors(spark, sf_dir):
+    """B12 + B13: realtime feature vectors with all 12 inputs vs skipped ones."""
+    rt = FE.realtime_features(*feeds(spark, sf_dir))
+    ok, bad = ML.complete_vectors(rt.select("datetime", *XGB_COLS))
+    return (ok.select(F.lit("complete").alias("status")).unionByName(bad.select(F.lit("skipped").alias("status")))
+            .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("k8_nowcast_backfill")
+def k8_nowcast_backfill(spark, sf_dir):
+    """K8: every hour's nowcast from the realtime features with the K4 model, paired with the
+    next hour's forecast, rounded and flagged; rows-only check."""
+    model, _ = _gbt(spark, sf_dir)
+    rt = FE.realtime_features(*feeds(spark, sf_dir))
+    return ML.nowcast_backfill(rt, model).drop("series_id")

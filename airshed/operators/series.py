@@ -67,13 +67,16 @@ def with_size(df: DataFrame, series) -> DataFrame:
     return join_derived_small(df, series_sizes(df, series), series, "inner")
 
 
-def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Assign blocks and copy the last ``halo`` rows of each block into the next one."""
-    if halo > block_rows:
+def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS, ahead: int = 0) -> DataFrame:
+    """Assign blocks; copy the last ``halo`` rows of each block into the next one and the
+    first ``ahead`` rows into the previous one (look-back and look-ahead halos)."""
+    if halo > block_rows or ahead > block_rows:
         raise ValueError("halo must not exceed the block size")
     home = F.floor(F.col(POS) / F.lit(block_rows)).cast("long")
-    tail = (F.col(POS) % F.lit(block_rows)) >= F.lit(block_rows - halo)
-    copies = F.when(tail & F.lit(halo > 0), F.array(home, home + 1)).otherwise(F.array(home))
+    off = F.col(POS) % F.lit(block_rows)
+    nxt = F.when(F.lit(halo > 0) & (off >= F.lit(block_rows - halo)), home + 1)
+    prv = F.when(F.lit(ahead > 0) & (off < F.lit(ahead)) & (home > 0), home - 1)
+    copies = F.array_compact(F.array(home, nxt, prv))
     return (df.withColumn("_home", home).withColumn(BLK, F.explode(copies))
             .withColumn(HALO, F.col(BLK) != F.col("_home")).drop("_home"))
 
@@ -96,6 +99,15 @@ def add_lags(df: DataFrame, series, col: str, lags: dict[str, int],
     return unblock(d)
 
 
+def add_leads(df: DataFrame, series, col: str, leads: dict[str, int],
+              block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Positional leads ``{name: k}`` of ``col`` (the next rows' values), blocked."""
+    w = block_window(series)
+    d = blocked(df, 0, block_rows, ahead=max(leads.values()))
+    d = d.select("*", *[F.lead(col, k).over(w).alias(name) for name, k in leads.items()])
+    return unblock(d)
+
+
 def add_rolling_means(df: DataFrame, series, col: str, windows: dict[str, int],
                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Trailing mean over ``n`` rows including the current one; NULL unless the window is
