@@ -1 +1,92 @@
-"""Queries (placeholder)."""
+"""Queries of the streaming layer (I1-I5): each stream runs to completion with an
+``availableNow`` trigger into shared storage and the result table is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from airshed.catalog import register
+from airshed.catalog import sql_fixtures as X
+from airshed.catalog import ORACLE
+from airshed.catalog.q_dashboards import UPSERT_NEW_FROM, UPSERT_OLD_BEFORE, predictions
+
+_A11_SQL = ORACLE["a11_upsert_predictions"]
+from airshed.catalog.q_quality import LATEST_SQL
+from airshed.catalog.q_series import feeds
+from airshed.session import shared_path
+from airshed.sources import driver_tables as D
+from airshed.streaming import jobs as ST
+
+
+@register("i1_streaming_hourly_mart", X.MART_CHAIN + """
+SELECT * FROM mart
+WHERE hour_utc + INTERVAL 1 HOUR <= (SELECT max(datetime_utc) FROM stg WHERE is_valid AND value >= 0) - INTERVAL 1 HOUR""")
+def i1_streaming_hourly_mart(spark, sf_dir):
+    """Hourly mart as 1-hour event-time windows with a 1-hour watermark (append mode):
+    every window whose end the watermark has passed, exactly once."""
+    out = ST.run_to_parquet(spark, ST.hourly_mart_stream(ST.measurement_stream(spark, sf_dir)), "i1-mart")
+    return spark.read.parquet(out)
+
+
+@register("i2_streaming_latest", X.WITH_M1 + "," + LATEST_SQL + "\nSELECT * FROM latest")
+def i2_streaming_latest(spark, sf_dir):
+    """Latest reading per (station, parameter) as a stateful streaming aggregation."""
+    path = shared_path(spark, "i2-latest")
+    ST.run_foreach_batch(spark, ST.latest_stream(ST.measurement_stream(spark, sf_dir)), "i2",
+                         ST.overwrite_sink(path), mode="complete")
+    return spark.read.parquet(path)
+
+
+
+
+def _land_predictions(spark, sf_dir) -> str:
+    """Land the old and the corrected predictions as day-partitioned files (two deliveries)."""
+    p = predictions(spark, sf_dir).drop("series_id")
+    old = p.where(F.col("datetime") < F.lit(UPSERT_OLD_BEFORE).cast("timestamp_ntz")).withColumn("version", F.lit(0))
+    new = (p.where(F.col("datetime") >= F.lit(UPSERT_NEW_FROM).cast("timestamp_ntz"))
+           .select("datetime", *[(F.col(c) + 1.0).alias(c) for c in ("pm25_observe", "pm25_xgboost", "pm25_cams")])
+           .withColumn("depasse_oms", F.col("pm25_xgboost") > 15.0).withColumn("version", F.lit(1)))
+    path = shared_path(spark, "i3-landing")
+    for batch in (old, new):
+        (batch.withColumn("day", F.date_format("datetime", "yyyy-MM-dd"))
+         .write.mode("append").partitionBy("day").parquet(path))
+    return path
+
+
+@register("i3_streaming_upsert_sink", _A11_SQL)
+def i3_streaming_upsert_sink(spark, sf_dir):
+    """I3 + A11: landed prediction files streamed a few files per micro-batch into an
+    idempotent merge-on-read sink (foreachBatch); newest version per datetime wins."""
+    landing = _land_predictions(spark, sf_dir)
+    schema = spark.read.parquet(landing).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(landing)
+    table = shared_path(spark, "i3-table")
+    ST.run_foreach_batch(spark, stream.drop("day"), "i3", ST.upsert_sink(table), mode="append")
+    return ST.read_upserted(spark, table, ["datetime"], version="version").drop("version")
+
+
+@register("i4_streaming_lags", "WITH " + X.AIR + """
+SELECT CAST(1 AS BIGINT) AS series_id, datetime, pm2_5, lag(pm2_5, 1) OVER (ORDER BY datetime) AS pm2p5_lag_1h,
+       lag(pm2_5, 2) OVER (ORDER BY datetime) AS pm2p5_lag_2h, lag(pm2_5, 24) OVER (ORDER BY datetime) AS pm2p5_lag_24h
+FROM air""")
+def i4_streaming_lags(spark, sf_dir):
+    """I4: lags 1/2/24 of pm2_5 from per-series streaming state (last 24 readings)."""
+    air, _ = feeds(spark, sf_dir)
+    landing = shared_path(spark, "i4-landing")
+    air.select("series_id", "datetime", "pm2_5").write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    stream = spark.readStream.schema(schema).parquet(landing)
+    out = ST.run_to_parquet(spark, ST.lag_stream(stream), "i4-lags")
+    return spark.read.parquet(out)
+
+
+@register("i5_streaming_dedup", X.WITH_M1 + "\nSELECT DISTINCT location_id, parameter, datetime_utc FROM m1")
+def i5_streaming_dedup(spark, sf_dir):
+    """Re-delivered measurements dropped within the watermark; one row per declared key."""
+    m = ST.measurement_stream(spark, sf_dir)
+    ev = ST.event_stream(spark, sf_dir)
+    re = (D.measurements_from_events(ev.where(F.col("event_id") % 7 == 0))
+          .withColumn("ingested_at", F.lit(D.REINGESTED_AT))
+          .withColumn("event_time", F.col("datetime_utc").cast("timestamp")))
+    out = ST.run_to_parquet(spark, ST.dedup_stream(m.unionByName(re)), "i5-dedup")
+    return spark.read.parquet(out).select("location_id", "parameter", "datetime_utc")
