@@ -7,6 +7,7 @@ from airshed.catalog import sql_fixtures as X
 from airshed.catalog.q_series import feeds
 from airshed.plans import features as FE
 from airshed.plans import stats as ST
+from airshed.session import shared_path
 
 NUMERIC = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine", "mois",
            "est_weekend", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h", "pm2p5_rolling_3h",
@@ -16,9 +17,18 @@ REALTIME_COLS = ["datetime", "pm2_5", "pm10", "no2", "temp_c", "vent_kmh", "blh_
                  "jour_semaine", "mois", "est_weekend", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h"]
 
 
+_PROCESSED: dict = {}
+
+
 def feature_table(spark, sf_dir):
-    """The processed feature table the EDA reads (E12 output, series key kept)."""
-    return FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
+    """The processed feature table (E12 output, series key kept), as the EDA and the trainers
+    read it: the batch pipeline writes it once to shared storage (A8), readers scan the file."""
+    key = (id(spark.sparkContext._jsc), sf_dir)
+    if key not in _PROCESSED:
+        path = shared_path(spark, "processed-features")
+        FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir))).write.parquet(path)
+        _PROCESSED[key] = path
+    return spark.read.parquet(_PROCESSED[key])
 
 
 def _f(spark, sf_dir):

@@ -175,13 +175,14 @@ def interpolate_linear(df: DataFrame, series, cols: list[str], limit: int = 3,
           .alias(f"_cout_{i}") for i in range(len(cols))])
     d = join_derived_small(d, carry, series + [BLK], "inner")
 
-    w = Window.partitionBy(*series, BLK).orderBy(POS)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # running frames only: the look-ahead is a running ``last`` in descending order, so both
+    # passes are O(n log n) per block (an unbounded-following frame would be O(n^2))
+    back = Window.partitionBy(*series, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*series, BLK).orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     outs = []
     for i, c in enumerate(cols):
         prev = F.coalesce(F.last(valid(c), ignorenulls=True).over(back), F.col(f"_cin_{i}"))
-        nxt = F.coalesce(F.first(valid(c), ignorenulls=True).over(ahead), F.col(f"_cout_{i}"))
+        nxt = F.coalesce(F.last(valid(c), ignorenulls=True).over(ahead), F.col(f"_cout_{i}"))
         gap = (F.col(POS) - prev["p"]).cast("double")
         slope = (nxt["v"] - prev["v"]) / (nxt["p"] - prev["p"]).cast("double")
         filled = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from airshed.functions import calendar as cal
 from airshed.operators import series as ser
+from airshed.session import materialize
 
 Z95 = 1.959963984540054  # two-sided 95 % normal quantile
 
@@ -52,57 +53,76 @@ def mean_by(df: DataFrame, key: str, target: str = "pm2p5") -> DataFrame:
 
 # ---- exact quantiles by histogram narrowing ---------------------------------
 
-def order_statistic(df: DataFrame, col: str, k: int, buckets: int = 1024,
-                    small: int = 50_000, max_passes: int = 64) -> float | None:
-    """Exact k-th smallest (0-based) non-NULL value of ``col``.
+def order_statistics(df: DataFrame, col: str, ks: list[int], buckets: int = 1024,
+                     small: int = 50_000, max_passes: int = 64) -> dict[int, float | None]:
+    """Exact k-th smallest (0-based) non-NULL values of ``col`` for several ranks at once.
 
     Each pass counts the values inside the current range per equal-width bucket (one
-    distributed aggregation, at most ``buckets`` rows back), keeps the bucket holding rank
-    ``k`` and narrows the range to that bucket's own min/max.  It stops when the range holds
-    one distinct value or at most ``small`` rows (then those rows, bounded, are sorted).
-    A value repeated in a third of all rows is found in one pass: its bucket has min == max.
+    distributed aggregation, at most ``buckets`` rows back to the driver), keeps the bucket
+    holding each rank and narrows that rank's range to the bucket's own min/max.  A rank is
+    settled when its range holds one distinct value (a value repeated in a third of all rows
+    is settled in one pass) or at most ``small`` rows, which are then read sorted (bounded).
+    The input should be materialised: every pass scans it.
     """
     v = F.col(col)
     base = df.where(v.isNotNull()).select(v.cast("double").alias("v"))
     lo, hi = base.agg(F.min("v"), F.max("v")).first()
+    out: dict[int, float | None] = {}
     if lo is None:
-        return None
-    below = 0
+        return {k: None for k in ks}
+    todo = {k: (lo, hi, 0) for k in sorted(set(ks))}      # rank -> (range lo, range hi, rows below)
     for _ in range(max_passes):
-        if lo == hi:
-            return float(lo)
-        part = base.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        rows = (part.groupBy(b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .orderBy("b").collect())
-        acc = below
-        for r in rows:
-            if acc + r["n"] > k:
-                lo, hi, below = r["mn"], r["mx"], acc
-                if r["n"] <= small and lo != hi:
-                    vals = (part.where((F.col("v") >= lo) & (F.col("v") <= hi))
-                            .orderBy("v").limit(k - below + 1).collect())
-                    return float(vals[k - below]["v"])
-                break
-            acc += r["n"]
-        else:
-            return None
-    return float(lo)
+        for k, (a, b, _) in list(todo.items()):
+            if a == b:
+                out[k] = float(a)
+                del todo[k]
+        if not todo:
+            break
+        ranges = sorted({(a, b, below) for a, b, below in todo.values()})
+        for a, b, below in ranges:
+            part = base.where((F.col("v") >= a) & (F.col("v") <= b))
+            width = (b - a) / buckets
+            bk = F.least(F.floor((F.col("v") - F.lit(a)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+            rows = (part.groupBy(bk.alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                    .orderBy("b").collect())
+            for k, rng in list(todo.items()):
+                if rng != (a, b, below):
+                    continue
+                acc = below
+                for r in rows:
+                    if acc + r["n"] > k:
+                        if r["n"] <= small and r["mn"] != r["mx"]:
+                            vals = (part.where((F.col("v") >= r["mn"]) & (F.col("v") <= r["mx"]))
+                                    .orderBy("v").limit(k - acc + 1).collect())
+                            out[k] = float(vals[k - acc]["v"])
+                            del todo[k]
+                        else:
+                            todo[k] = (r["mn"], r["mx"], acc)
+                        break
+                    acc += r["n"]
+                else:
+                    out[k] = None
+                    del todo[k]
+    for k, (a, _, _) in todo.items():
+        out[k] = float(a)
+    return out
+
+
+def order_statistic(df: DataFrame, col: str, k: int, **kw) -> float | None:
+    """Exact k-th smallest (0-based) non-NULL value (see ``order_statistics``)."""
+    return order_statistics(df, col, [k], **kw)[k]
 
 
 def quantiles_linear(df: DataFrame, col: str, probs, n: int) -> dict[float, float | None]:
     """Exact quantiles with linear interpolation between order statistics (pandas/numpy default)."""
+    hs = {p: (n - 1) * p for p in probs}
+    ranks = sorted({i for h in hs.values() for i in (math.floor(h), math.ceil(h))})
+    stat = order_statistics(df, col, ranks)
     out = {}
-    cache: dict[int, float | None] = {}
-    for p in probs:
-        h = (n - 1) * p
+    for p, h in hs.items():
         lo_i, hi_i = math.floor(h), math.ceil(h)
-        for i in (lo_i, hi_i):
-            if i not in cache:
-                cache[i] = order_statistic(df, col, i)
-        a, b = cache[lo_i], cache[hi_i]
+        a, b = stat[lo_i], stat[hi_i]
         out[p] = None if a is None else a + (h - lo_i) * (b - a)
     return out
 
@@ -111,7 +131,8 @@ def describe(df: DataFrame, col: str = "pm2p5") -> DataFrame:
     """Count, mean, std, min, 25 %, 50 %, 75 %, max (pandas ``describe``), exact."""
     spark = df.sparkSession
     c = F.col(col)
-    base = df.where(c.isNotNull())
+    # one column, materialised once: the quantile passes each scan it
+    base = materialize(df.where(c.isNotNull()).select(c))
     row = base.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                    F.min(c).alias("min"), F.max(c).alias("max")).first()
     n = int(row["count"])
@@ -164,23 +185,28 @@ def corr_with_target(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
 
 
 def corr_matrix_top(df: DataFrame, target: str, cols: list[str], top: int = 15) -> DataFrame:
-    """All pairwise correlations in one pass, then the ``top`` columns by |corr with target|
-    (NaN last, name as tie-breaker) and their full matrix."""
+    """All pairwise correlations, then the ``top`` columns by |corr with target| (NULL
+    last, name as tie-breaker) and their full matrix.
+
+    Each row is expanded into its k(k+1)/2 column pairs (a fixed, schema-bounded fan-out)
+    and one grouped aggregation computes every pair's guarded correlation with partial
+    aggregation: k(k+1)/2 groups instead of 3 k(k+1)/2 aggregate expressions in one row.
+    """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[guarded_corr(a, b).alias(f"_{k}") for k, (a, b) in enumerate(pairs)])
-    cells = []
-    for k, (a, b) in enumerate(pairs):
-        cells.append(F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"_{k}").alias("corr")))
-        if a != b:
-            cells.append(F.struct(F.lit(b).alias("row"), F.lit(a).alias("col"), F.col(f"_{k}").alias("corr")))
-    long = agg.select(F.inline(F.array(*cells)))
-    # self-correlation of a constant column is NaN in pandas; keep it NULL like the others
-    ranked = (long.where(F.col("row") == target)
+    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                               F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                      for a, b in pairs])
+    long = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    den = F.stddev_pop("x") * F.stddev_pop("y")
+    half = long.groupBy("a", "b").agg((F.covar_pop("x", "y") / F.when(den != 0, den)).alias("corr"))
+    full = half.select(F.col("a").alias("row"), F.col("b").alias("col"), "corr").unionByName(
+        half.where(F.col("a") != F.col("b")).select(F.col("b").alias("row"), F.col("a").alias("col"), "corr"))
+    ranked = (full.where(F.col("row") == target)
               .withColumn("_rk", F.row_number().over(
                   Window.orderBy(F.abs("corr").desc_nulls_last(), F.col("col"))))
               .where(F.col("_rk") <= top).select(F.col("col").alias("_keep")))
-    keep = ranked.select(F.col("_keep").alias("row"))
-    out = long.join(keep, "row", "left_semi").join(ranked.withColumnRenamed("_keep", "col"), "col", "left_semi")
+    out = (full.join(ranked.select(F.col("_keep").alias("row")), "row", "left_semi")
+           .join(ranked.select(F.col("_keep").alias("col")), "col", "left_semi"))
     return out.select("row", "col", _r(F.col("corr")).alias("corr"))
 
 
