@@ -129,13 +129,14 @@ def diurnal_factor(hour) -> Column:
 
 
 def clamp_by_parameter(value="value", parameter="parameter", limits: dict | None = None) -> Column:
-    """Clamp to the parameter's [min, max]; unknown parameters pass through."""
+    """Clamp to the parameter's [min, max]; unknown parameters and NULL pass through
+    (``greatest``/``least`` skip NULLs, so NULL is handled first)."""
     v, p = _c(value), _c(parameter)
     limits = S.SIM_LIMITS if limits is None else limits
-    expr = None
+    expr = F.when(v.isNull(), v)
     for name, (lo, hi) in limits.items():
         clamped = F.greatest(_d(lo), F.least(_d(hi), v))
-        expr = F.when(p == name, clamped) if expr is None else expr.when(p == name, clamped)
+        expr = expr.when(p == name, clamped)
     return expr.otherwise(v)
 
 

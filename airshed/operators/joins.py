@@ -61,13 +61,20 @@ def time_spine(start: Column, end: Column, step: str) -> Column:
     return F.explode(F.sequence(start, end, F.expr(f"INTERVAL {step}")))
 
 
-def spine_product(dim: DataFrame, spine: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Every dimension row times every spine row.
-
-    The smaller of the two is a bounded dimension (stations x parameters); it is broadcast
-    behind a size check so the product is computed where the spine rows already are.
+def spine_product(dim: DataFrame, start: Column, end: Column, step: str, out: str = "slot",
+                  partitions: int | None = None) -> DataFrame:
+    """Every dimension row times every time slot ``start .. end`` (both ends included).
+
+    No join: each dimension row generates its own slots (``explode(sequence(...))``, a
+    Generate inside the stage), so nothing pairs rows and no side is broadcast.  The
+    dimension is hash-spread over ``partitions`` tasks first: it is usually the small output
+    of a distinct/aggregate that AQE coalesces into very few partitions, and the generated
+    product is what is large.  ``start``/``end`` may be scalar subqueries or columns of ``dim``.
     """
-    return spine.crossJoin(bounded_broadcast(dim, max_rows))
+    spark = dim.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = dim.repartition(n, *[F.col(c) for c in dim.columns])
+    return spread.select("*", time_spine(start, end, step).alias(out))
 
 
 def pair_next_after(left: DataFrame, forecasts: DataFrame, keys: list[str], asof: Column,

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed import schemas as S
+from airshed.functions import calendar as cal
+from airshed.operators import joins as J
 
 RESULT_COLUMNS = ["rule", "scope", "observed", "threshold", "passed"]
 
@@ -175,3 +177,30 @@ def contract_report(measurements: DataFrame, latest: DataFrame, mart_df: DataFra
     return (evaluate(measurements, raw_rules)
             .unionByName(evaluate(latest, freshness_rule("latest", asof)))
             .unionByName(evaluate(mart_df, mart_rules)))
+
+
+# ---- C3: completeness over the station x parameter x day spine ---------------------------
+
+def daily_completeness(measurements: DataFrame, parameters=None, t: str = "datetime_utc") -> DataFrame:
+    """C3 + D3: readings per (station, parameter, day) on the full spine of stations seen,
+    expected parameters and every day between the table's first and last day.
+
+    Slots without a reading are kept with zero counts (the reference's stations x parameters x
+    time grid).  The spine is generated per station row, never by a cross join; the readings
+    are pre-aggregated to one row per slot before the equi join, so a station holding a third
+    of all rows contributes at most one row per (parameter, day) to the shuffle.
+    """
+    parameters = parameters or S.POLLUTANTS
+    day = cal.floor_day(t)
+    daily = measurements.groupBy("location_id", "parameter", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.avg("value").alias("mean"))
+    first = measurements.select(F.min(day)).scalar()
+    last = measurements.select(F.max(day)).scalar()
+    dim = (measurements.select("location_id").distinct()
+           .select("location_id", F.explode(F.array(*[F.lit(p) for p in parameters])).alias("parameter")))
+    spine = J.spine_product(dim, first, last, "1 DAY", out="day")
+    out = spine.join(daily, ["location_id", "parameter", "day"], "left")
+    return out.select("location_id", "parameter", F.col("day").cast("timestamp_ntz").alias("day"),
+                      F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+                      F.coalesce("n_values", F.lit(0)).cast("long").alias("n_values"),
+                      F.round("mean", 9).alias("mean"))

@@ -292,38 +292,53 @@ def acf(df: DataFrame, series, order, col: str = "pm2p5", nlags: int = 72) -> Da
                        _r(F.col("acf") - half).alias("lo95"), _r(F.col("acf") + half).alias("hi95"))
 
 
+def _durbin_levinson(gamma: list[float], nlags: int) -> list[float]:
+    """Partial autocorrelations 0..nlags from autocovariances ``gamma`` (Durbin-Levinson)."""
+    rho = [g / gamma[0] for g in gamma]
+    pac = [1.0]
+    phi_prev: list[float] = []
+    for k in range(1, nlags + 1):
+        if k == 1:
+            phi_kk = rho[1]
+            phi = [phi_kk]
+        else:
+            num = rho[k] - sum(phi_prev[j] * rho[k - 1 - j] for j in range(k - 1))
+            den = 1.0 - sum(phi_prev[j] * rho[j + 1] for j in range(k - 1))
+            phi_kk = num / den if den != 0 else float("nan")
+            phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
+        pac.append(phi_kk)
+        phi_prev = phi
+    return pac
+
+
 def pacf_yule_walker(df: DataFrame, series, order, col: str = "pm2p5", nlags: int = 72) -> DataFrame:
     """Partial autocorrelation by Yule-Walker with the adjusted (n - k) denominator.
 
-    The autocovariance sums are distributed (E8); the Durbin-Levinson recursion then runs on
-    the driver over ``nlags + 1`` numbers per series.
+    The autocovariance sums are distributed (E8, one row per series); the Durbin-Levinson
+    recursion then runs per series inside ``applyInPandas`` over that one row of
+    ``nlags + 1`` numbers, so no series passes through the driver however many there are.
     """
+    import pandas as pd
+
     series = ser._cols(series)
-    sums = autocovariances(df, series, order, col, nlags).collect()
-    rows = []
-    for r in sums:
-        n = r["n"]
-        gamma = [r[f"s{k}"] / (n - k) if n - k > 0 else float("nan") for k in range(nlags + 1)]
-        rho = [g / gamma[0] for g in gamma]
-        pac = [1.0]
-        phi_prev: list[float] = []
-        for k in range(1, nlags + 1):
-            if k == 1:
-                phi_kk = rho[1]
-                phi = [phi_kk]
-            else:
-                num = rho[k] - sum(phi_prev[j] * rho[k - 1 - j] for j in range(k - 1))
-                den = 1.0 - sum(phi_prev[j] * rho[j + 1] for j in range(k - 1))
-                phi_kk = num / den if den != 0 else float("nan")
-                phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
-            pac.append(phi_kk)
-            phi_prev = phi
-        half = Z95 / math.sqrt(n)
-        key = tuple(r[s] for s in series)
-        rows += [key + (k, float(p), float(p - half) if k else 1.0, float(p + half) if k else 1.0)
-                 for k, p in enumerate(pac)]
-    schema = ", ".join([f"{s} long" for s in series] + ["lag int", "pacf double", "lo95 double", "hi95 double"])
-    out = df.sparkSession.createDataFrame(rows, schema)
+    sums = autocovariances(df, series, order, col, nlags)
+    types = {f.name: f.dataType.simpleString() for f in sums.schema.fields}
+    schema = ", ".join([f"{s} {types[s]}" for s in series]
+                       + ["lag int", "pacf double", "lo95 double", "hi95 double"])
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for _, r in pdf.iterrows():
+            n = int(r["n"])
+            gamma = [r[f"s{k}"] / (n - k) if n - k > 0 else float("nan") for k in range(nlags + 1)]
+            pac = _durbin_levinson(gamma, nlags)
+            half = Z95 / math.sqrt(n)
+            key = [r[s] for s in series]
+            rows += [key + [k, float(p), float(p - half) if k else 1.0, float(p + half) if k else 1.0]
+                     for k, p in enumerate(pac)]
+        return pd.DataFrame(rows, columns=series + ["lag", "pacf", "lo95", "hi95"])
+
+    out = sums.groupBy(*series).applyInPandas(per_series, schema)
     return out.select(*series, "lag", *[_r(F.col(c)).alias(c) for c in ("pacf", "lo95", "hi95")])
 
 
