@@ -347,3 +347,36 @@ def preview(df: DataFrame, order: str = "datetime", n: int = 5, digits: int = 2)
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     top = df.orderBy(order).limit(n)
     return top.select(*[F.round(c, digits).alias(c) if c in floats else F.col(c) for c in df.columns])
+
+
+# ---- K11: the whole report --------------------------------------------------------------
+
+def eda_report(features: DataFrame, target: str = "pm2p5", series=("series_id",), t: str = "datetime",
+               weather=("temp_c", "vent_kmh", "blh_m", "no2"), nlags: int = 72) -> dict[str, DataFrame]:
+    """Every table behind the reference's EDA report, one lazy DataFrame per panel.
+
+    The input is checkpointed once (every panel scans it); the panels are independent jobs,
+    each a distributed aggregation, so a caller writes or shows whichever it needs.  ``describe``
+    is the only eager panel (its exact quartiles narrow a range pass by pass).
+    """
+    base = materialize(features)
+    series = list(series)
+    numeric = [f.name for f in base.schema.fields
+               if f.dataType.typeName() in ("double", "float", "integer", "long") and f.name not in series]
+    plain = base.drop(*series)
+    return {
+        "shape": shape(plain),
+        "null_ratios": null_ratios(plain),
+        "describe": describe(plain, target),
+        "daily_mean": daily_mean(plain, t, target),
+        "histogram": histogram(plain, target, 60),
+        "recent_90_days": trailing_days(plain, 90, t).select(t, target),
+        "by_hour": mean_std_by(plain, "heure", target),
+        "by_weekday": mean_by_weekday(plain, "jour_semaine", target),
+        "by_month": mean_by(plain, "mois", target),
+        "corr_weather": corr_with_target(plain, target, list(weather)),
+        "corr_matrix": corr_matrix_top(plain, target, numeric, 15),
+        "acf": acf(base, series, [t], target, nlags),
+        "pacf": pacf_yule_walker(base, series, [t], target, nlags),
+        "preview": preview(plain, t, 5, 2),
+    }

@@ -54,3 +54,17 @@ def test_pair_next_after_takes_first_forecast_even_if_null(spark):
     asof = F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
     got = {r["sid"]: r["first_fc"] for r in joins.pair_next_after(left, fc, ["sid"], asof, "t", "v", "first_fc").collect()}
     assert got == {1: None, 2: 9.0, 3: None}
+
+
+def test_empty_payload_gives_schema_bearing_empty_frame(spark, tmp_path):
+    from airshed.plans import features as FE
+    from airshed.sources import json_feed
+    p = tmp_path / "empty.json"
+    p.write_text('{"timezone": "Asia/Kolkata"}\n{"hourly": {"time": [], "pm2_5": []}}\n')
+    got = json_feed.read_hourly_payloads(spark, str(p), ["pm2_5"])
+    assert got.columns == ["datetime", "pm2_5"] and got.count() == 0
+    empty = json_feed.empty_hourly(spark, ["pm2_5"])
+    assert empty.schema == got.schema
+    # downstream operators accept the empty feed
+    feed = empty.withColumn("series_id", F.lit(1).cast("long"))
+    assert FE.add_calendar(feed).count() == 0

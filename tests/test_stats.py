@@ -105,3 +105,18 @@ def test_null_ratios_top_and_order(spark):
                                "a double, b double, c double")
     got = [(r["column_name"], r["null_ratio"]) for r in ST.null_ratios(df, top=2).collect()]
     assert got == [("b", 0.75), ("a", 0.25)]
+
+
+def test_eda_report_has_every_panel(spark):
+    from airshed.plans import features as FE
+    x = _ar1(200)
+    df = (_frame(spark, x).withColumnRenamed("x", "pm2p5").drop("y")
+          .withColumn("temp_c", ST.F.col("pm2p5") * 0.5))
+    df = FE.add_calendar(df)
+    rep = ST.eda_report(df, weather=["temp_c"], nlags=10)
+    assert set(rep) == {"shape", "null_ratios", "describe", "daily_mean", "histogram", "recent_90_days", "by_hour",
+                        "by_weekday", "by_month", "corr_weather", "corr_matrix", "acf", "pacf", "preview"}
+    assert rep["shape"].collect()[0]["n_rows"] == 200
+    assert rep["acf"].count() == 11 and rep["pacf"].count() == 11
+    assert rep["corr_weather"].collect()[0]["corr"] == pytest.approx(1.0)
+    assert rep["preview"].count() == 5
