@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed.functions import calendar as cal
+from airshed.functions.misc import numeric_columns
 from airshed.operators import series as ser
 from airshed.session import materialize
 
@@ -361,8 +362,7 @@ def eda_report(features: DataFrame, target: str = "pm2p5", series=("series_id",)
     """
     base = materialize(features)
     series = list(series)
-    numeric = [f.name for f in base.schema.fields
-               if f.dataType.typeName() in ("double", "float", "integer", "long") and f.name not in series]
+    numeric = numeric_columns(base, exclude=series)
     plain = base.drop(*series)
     return {
         "shape": shape(plain),

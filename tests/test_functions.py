@@ -74,3 +74,14 @@ def test_diurnal_and_seasonal_factor(spark):
     got = df.select(A.diurnal_factor("h"), A.seasonal_factor("m")).collect()
     assert abs(got[1][0] - 1.4) < 1e-12 and abs(got[0][0] - 1.0) < 1e-12
     assert [r[1] for r in got] == [1.6, 1.2, 0.6, 0.9, 1.0]
+
+
+def test_rename_drop_numeric_and_alias_helpers(spark):
+    from airshed.functions import misc as M
+    df = spark.createDataFrame([(1, 2.0, "a", 3)], "pm2_5 long, temp double, name string, n int")
+    r = M.rename(df, {"pm2_5": "pm2p5", "absent": "x"})                      # B5: absent ignored
+    assert r.columns == ["pm2p5", "temp", "name", "n"]
+    assert M.drop_if_present(r, ["temp", "absent"]).columns == ["pm2p5", "name", "n"]   # B6
+    assert M.numeric_columns(r, exclude=["n"]) == ["pm2p5", "temp"]          # B16
+    shown = M.aliased(r, {"name": "Station", "pm2p5": "PM2.5"})               # H31
+    assert shown.columns == ["Station", "PM2.5"] and shown.collect()[0]["PM2.5"] == 1
