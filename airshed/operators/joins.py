@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airshed.session import materialize
+
 # Rows a dimension may have to be broadcast (a few MB for narrow rows).
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -36,8 +38,15 @@ def join_derived_small(big: DataFrame, small: DataFrame, on, how: str = "inner")
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension only behind a size check."""
+                   max_rows: int = BROADCAST_MAX_ROWS, derived: bool = True) -> DataFrame:
+    """Join a fact table to a dimension, broadcasting the dimension only behind a size check.
+
+    A ``derived`` dimension (an aggregation, e.g. stations summarised from the facts) is first
+    checkpointed into the shared folder: the size check and the join then read the same
+    written rows instead of each recomputing the aggregation from the raw files.
+    """
+    if derived:
+        dim = materialize(dim)
     return fact.join(bounded_broadcast(dim, max_rows), on, how)
 
 

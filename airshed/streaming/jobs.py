@@ -123,7 +123,8 @@ def _lag_state_fn(key, pdfs, state):
     last_t = hist["datetime"].max() if len(hist) else None
     if last_t is not None:
         new = new[new["datetime"] > last_t]          # late or replayed rows are not re-emitted
-    allrows = pd.concat([hist[["datetime", "pm2_5"]], new[["datetime", "pm2_5"]]], ignore_index=True)
+    parts = [hist[["datetime", "pm2_5"]]] if len(hist) else []
+    allrows = pd.concat(parts + [new[["datetime", "pm2_5"]]], ignore_index=True)
     for name, k in (("pm2p5_lag_1h", 1), ("pm2p5_lag_2h", 2), ("pm2p5_lag_24h", 24)):
         allrows[name] = allrows["pm2_5"].shift(k)
     out = allrows.iloc[len(hist):].copy()
