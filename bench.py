@@ -36,6 +36,8 @@ HEADLINE = [
     "a11_upsert_predictions",
     "b14_request_validation",
     "i1_streaming_hourly_mart",
+    "h_scalar_functions",
+    "c3_daily_completeness_spine",
 ]
 
 
