@@ -124,3 +124,38 @@ def e11_chrono_split(spark, sf_dir):
     f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
     d = ser.with_position(f.select("series_id", "datetime", "pm2p5"), FE.SERIES, [FE.TIME])
     return ser.chrono_split(d, FE.SERIES, 0.8).select("datetime", "pm2p5", "split")
+
+
+def _time_lags_sql() -> str:
+    lags = ", ".join(f"l{k}.pm2p5 AS pm2p5_lag_{k}h" for k in (1, 2, 24))
+    joins = "\n".join(f"LEFT JOIN clean l{k} ON l{k}.datetime = c.datetime - INTERVAL {k} HOUR" for k in (1, 2, 24))
+    return X.CLEAN + f""",
+tl AS (SELECT c.datetime, c.pm2p5, {lags} FROM clean c
+{joins})
+SELECT * FROM tl"""
+
+
+@register("e1_time_lags", _time_lags_sql())
+def e1_time_lags(spark, sf_dir):
+    """E1 in ``mode="time"`` (decision Q15): pm2p5 exactly 1, 2 and 24 hours earlier, NULL
+    where that hour was dropped or never existed; equi join on (series, hour), no window."""
+    clean = FE.clean_and_merge(*feeds(spark, sf_dir))
+    d = ser.add_time_lags(clean.select("series_id", "datetime", "pm2p5"), FE.SERIES, FE.TIME, "pm2p5", FE.LAGS)
+    return d.drop("series_id")
+
+
+@register("e12_batch_features_time_lags", X.CLEAN + f""",
+tl AS (SELECT c.*, {X.CALENDAR.replace("datetime", "c.datetime")},
+              l1.pm2p5 AS pm2p5_lag_1h, l2.pm2p5 AS pm2p5_lag_2h, l24.pm2p5 AS pm2p5_lag_24h,
+              {X.rolling_sql("c.pm2p5").replace("ORDER BY datetime", "ORDER BY c.datetime")}
+       FROM clean c
+       LEFT JOIN clean l1 ON l1.datetime = c.datetime - INTERVAL 1 HOUR
+       LEFT JOIN clean l2 ON l2.datetime = c.datetime - INTERVAL 2 HOUR
+       LEFT JOIN clean l24 ON l24.datetime = c.datetime - INTERVAL 24 HOUR)
+SELECT * FROM tl WHERE pm2p5_lag_24h IS NOT NULL AND pm2p5_lag_1h IS NOT NULL AND pm2p5_lag_2h IS NOT NULL
+  AND pm2p5_rolling_3h IS NOT NULL AND pm2p5_rolling_24h IS NOT NULL""")
+def e12_batch_features_time_lags(spark, sf_dir):
+    """E12 with ``lag_mode="time"``: calendar, exact-hour lags, positional rolling means,
+    complete rows only."""
+    f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)), lag_mode="time")
+    return _r9(f.drop("series_id"), list(FE.ROLLING))

@@ -219,3 +219,23 @@ def chrono_split(df: DataFrame, series, train_share: float = 0.8, rule: str = "f
     else:
         n_train = n - F.ceil(n * F.lit(round(1.0 - train_share, 12)))
     return d.withColumn("split", F.when(F.col(POS) < n_train, F.lit("train")).otherwise(F.lit("test"))).drop("_size")
+
+
+def add_time_lags(df: DataFrame, series, t: str, col: str, lags: dict[str, int]) -> DataFrame:
+    """E1, ``mode="time"``: the value of ``col`` exactly ``k`` hours earlier (NULL when that
+    hour has no row), for ``lags = {name: k}``; ``(series, t)`` must be unique.
+
+    No window and no position: every row is copied once per lag to the time it is a lag
+    *for*, the copies are folded to one row per target (series, time) and equi-joined back.
+    The key contains the time, so one series holding a third of all rows is still spread
+    over every task, and the fan-out is the fixed number of lags.
+    """
+    series = _cols(series)
+    shifts = F.array(*[F.struct(F.lit(name).alias("_lag"),
+                                (F.col(t) + F.make_dt_interval(F.lit(0), F.lit(k))).alias("_t"))
+                       for name, k in lags.items()])
+    copies = (df.select(*series, F.col(col).alias("_v"), F.explode(shifts).alias("_s"))
+              .select(*series, F.col("_s._t").alias(t), F.col("_s._lag").alias("_lag"), "_v"))
+    wide = copies.groupBy(*series, t).agg(
+        *[F.max(F.when(F.col("_lag") == name, F.col("_v"))).alias(name) for name in lags])
+    return df.join(wide, series + [t], "left")

@@ -68,11 +68,24 @@ def clean_and_merge(air: DataFrame, weather: DataFrame, target: str = "pm2p5",
 
 
 def batch_features(clean: DataFrame, target: str = "pm2p5",
-                   block_rows: int = ser.DEFAULT_BLOCK_ROWS, dropna: bool = True) -> DataFrame:
-    """Calendar + lags 1/2/24 + rolling means 3/24 by position, then drop incomplete rows."""
+                   block_rows: int = ser.DEFAULT_BLOCK_ROWS, dropna: bool = True,
+                   lag_mode: str = "rows") -> DataFrame:
+    """Calendar + lags 1/2/24 + rolling means 3/24 by position, then drop incomplete rows.
+
+    ``lag_mode="rows"`` reproduces the reference (positional lags, so after dropped rows a
+    "24h" lag may reach further back); ``lag_mode="time"`` takes the value exactly 1/2/24
+    hours earlier instead (rolling means stay positional).
+    """
     d = add_calendar(clean)
     d = ser.with_position(d, SERIES, [TIME])
-    d = ser.add_window_features(d, SERIES, target, LAGS, ROLLING, block_rows)
+    if lag_mode == "rows":
+        d = ser.add_window_features(d, SERIES, target, LAGS, ROLLING, block_rows)
+    elif lag_mode == "time":
+        base = d.columns
+        d = ser.add_rolling_means(d, SERIES, target, ROLLING, block_rows)
+        d = ser.add_time_lags(d, SERIES, TIME, target, LAGS).select(*base, *LAGS, *ROLLING)
+    else:
+        raise ValueError(f"lag_mode must be 'rows' or 'time', not {lag_mode!r}")
     d = d.drop(ser.POS)
     return d.dropna() if dropna else d
 

@@ -81,3 +81,14 @@ def test_tail_head_and_split(spark):
     a = {r["split"]: r["count"] for r in ser.chrono_split(df7, ["series_id"], 0.8).groupBy("split").count().collect()}
     b = {r["split"]: r["count"] for r in ser.chrono_split(df7, ["series_id"], 0.8, "test_ceil").groupBy("split").count().collect()}
     assert a == {"train": 5, "test": 2} and b == {"train": 5, "test": 2}
+
+
+def test_time_lags_follow_the_clock_not_positions(spark):
+    v = _gappy(80)
+    df = _frame(spark, v).where("x IS NOT NULL")          # dropped hours leave holes in time
+    got = ser.add_time_lags(df, ["series_id"], "datetime", "x", {"l1": 1, "l24": 24}).toPandas()
+    got = got.sort_values("datetime").reset_index(drop=True)
+    s = pd.Series(v, index=pd.date_range("2024-01-01", periods=len(v), freq="h")).dropna()
+    for name, k in (("l1", 1), ("l24", 24)):
+        exp = s.shift(k, freq="h").reindex(s.index)
+        np.testing.assert_allclose(got[name].to_numpy(dtype=float), exp.to_numpy(dtype=float), equal_nan=True)
