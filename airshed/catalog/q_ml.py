@@ -35,6 +35,26 @@ def k1_minmax_scale_lstm(spark, sf_dir):
     return ML.minmax_transform(f, params, LSTM_COLS)
 
 
+def _train_scaled_sql() -> str:
+    fit = ", ".join(f"min({c}) AS {c}__mn, max({c}) AS {c}__mx" for c in LSTM_COLS)
+    cols = []
+    for c in LSTM_COLS:
+        scale = f"(1.0 / CASE WHEN {c}__mx - {c}__mn = 0 THEN 1.0 ELSE {c}__mx - {c}__mn END)"
+        cols.append(f"CAST({c} AS DOUBLE) * {scale} + (0.0 - {c}__mn * {scale}) AS {c}")
+    return X.FEATURES + f""",
+sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY datetime) - 1 < floor(0.8 * count(*) OVER ())
+                      THEN 'train' ELSE 'test' END AS split FROM features),
+fit AS (SELECT {fit} FROM sp WHERE split = 'train')
+SELECT datetime, split, {", ".join(cols)} FROM sp, fit"""
+
+
+@register("k1_minmax_scale_fit_on_train", _train_scaled_sql())
+def k1_minmax_scale_fit_on_train(spark, sf_dir):
+    """K1 + E11 with decision Q14: scaler fitted on the first 80 % (no leak), applied to all rows."""
+    f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
+    return ML.scale_inputs(f, LSTM_COLS, fit_on="train").select("datetime", "split", *LSTM_COLS)
+
+
 @register("k2_inverse_scale", X.FEATURES + "\nSELECT datetime, round(pm2p5, 9) AS pm2p5_restored FROM features")
 def k2_inverse_scale(spark, sf_dir):
     """K2: scaled target mapped back to the original unit."""

@@ -49,6 +49,19 @@ def minmax_inverse(col: Column, params: DataFrame, name: str) -> Column:
     return (col - params.select(f"{name}__offset").scalar()) / params.select(f"{name}__scale").scalar()
 
 
+def scale_inputs(features: DataFrame, cols: list[str], fit_on: str = "all", series=("series_id",),
+                 order: str = "datetime", train_share: float = 0.8) -> DataFrame:
+    """K1 with decision Q14: ``fit_on="all"`` fits the scaler on every row (the reference,
+    which leaks the test period); ``fit_on="train"`` fits on the chronological training
+    share only and applies it to all rows.  Adds ``split`` (E11) in both modes."""
+    series = list(series)
+    d = ser.chrono_split(ser.with_position(features, series, [order]), series, train_share).drop(ser.POS)
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
+    params = minmax_fit(d if fit_on == "all" else d.where(F.col("split") == "train"), cols)
+    return minmax_transform(d, params, cols)
+
+
 # ---- K3: feature matrices ----------------------------------------------------------
 
 XGB_DROP = ["pm2p5", "pm2p5_rolling_3h", "pm2p5_rolling_24h", "datetime", "index", "series_id"]
