@@ -111,3 +111,10 @@ def test_daily_completeness_keeps_empty_slots(spark):
     assert got[(1, "pm25", 1)] == (2, 1)
     assert got[(2, "no2", 3)] == (1, 1)
     assert got[(2, "pm25", 2)] == (0, 0)
+
+
+def test_min_stations_approx_matches_exact_on_small_counts(spark):
+    m = _measurements(spark, stations=12)
+    exact = _result(Q.evaluate(m, Q.min_stations_rule("m")))["integrity:min_stations"]
+    approx = _result(Q.evaluate(m, Q.min_stations_rule("m", approx=True)))["integrity:min_stations"]
+    assert exact["observed"] == approx["observed"] == 12.0 and approx["passed"]

@@ -120,3 +120,13 @@ def test_eda_report_has_every_panel(spark):
     assert rep["acf"].count() == 11 and rep["pacf"].count() == 11
     assert rep["corr_weather"].collect()[0]["corr"] == pytest.approx(1.0)
     assert rep["preview"].count() == 5
+
+
+def test_describe_approx_is_close(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(100, 15, 5000)
+    got = {r["stat"]: r["value"] for r in ST.describe(_frame(spark, x), "x", exact=False).collect()}
+    exp = pd.Series(x).describe()
+    assert got["count"] == 5000 and got["mean"] == pytest.approx(exp["mean"], rel=1e-9)
+    for k in ["25%", "50%", "75%"]:
+        assert got[k] == pytest.approx(exp[k], abs=0.5)
