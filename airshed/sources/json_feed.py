@@ -15,18 +15,22 @@ from pyspark.sql import types as T
 from airshed import schemas as S
 
 
-def read_hourly_payloads(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_hourly_payloads(spark: SparkSession, path: str, columns: list[str], keys=()) -> DataFrame:
     """Columnar payloads -> one row per hour (``datetime`` + value columns).
 
-    An empty payload (no ``hourly`` block or empty arrays) yields no rows, with the schema
-    kept (A15).
+    ``keys`` are top-level long columns of each payload (e.g. ``series_id``) carried to every
+    row.  An empty payload (no ``hourly`` block or empty arrays) yields no rows, with the
+    schema kept (A15).
     """
+    keys = list(keys)
     schema = S.hourly_payload_schema(columns)
+    for k in keys:
+        schema = schema.add(k, T.LongType())
     raw = spark.read.schema(schema).option("multiLine", False).json(path)
     h = F.col("hourly")
     zipped = F.arrays_zip(*[h.getField(c).alias(c) for c in ["time"] + columns])
-    rows = raw.where(h.isNotNull()).select(F.inline_outer(zipped)).where(F.col("time").isNotNull())
-    return rows.select(F.to_timestamp_ntz(F.col("time")).alias("datetime"),
+    rows = raw.where(h.isNotNull()).select(*keys, F.inline_outer(zipped)).where(F.col("time").isNotNull())
+    return rows.select(*keys, F.to_timestamp_ntz(F.col("time")).alias("datetime"),
                        *[F.col(c).cast("double").alias(c) for c in columns])
 
 
