@@ -55,6 +55,29 @@ def k1_minmax_scale_fit_on_train(spark, sf_dir):
     return ML.scale_inputs(f, LSTM_COLS, fit_on="train").select("datetime", "split", *LSTM_COLS)
 
 
+def _scaled_sequences_sql(window: int = 48) -> str:
+    vec = ", ".join(LSTM_COLS)
+    return X.FEATURES + f""",
+scaled AS (SELECT datetime, {", ".join(f"{_scaled_sql(c)} AS {c}" for c in LSTM_COLS)} FROM features),
+seq AS (SELECT row_number() OVER (ORDER BY datetime) - 1 AS pos,
+               list([{vec}]) OVER (ORDER BY datetime ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING) AS sequence,
+               pm2p5 AS label
+        FROM scaled),
+full_seq AS (SELECT pos - {window} AS position, sequence, label FROM seq WHERE len(sequence) = {window})
+SELECT position, sequence, label,
+       CASE WHEN position < floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split
+FROM full_seq"""
+
+
+@register("e7_lstm_sequences_48_scaled", _scaled_sequences_sql(48))
+def e7_lstm_sequences_48_scaled(spark, sf_dir):
+    """E7 + K1 + E11 (second sequence trainer): 48-step windows of the min-max scaled LSTM
+    columns, scaled pm2p5 of the next hour as label, 80/20 split of the sequences."""
+    f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
+    s = ML.lstm_sequences(f, LSTM_COLS, "pm2p5", 48)
+    return s.select(F.col(ser.POS).alias("position"), "sequence", "label", "split")
+
+
 @register("k2_inverse_scale", X.FEATURES + "\nSELECT datetime, round(pm2p5, 9) AS pm2p5_restored FROM features")
 def k2_inverse_scale(spark, sf_dir):
     """K2: scaled target mapped back to the original unit."""

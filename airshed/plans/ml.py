@@ -62,6 +62,35 @@ def scale_inputs(features: DataFrame, cols: list[str], fit_on: str = "all", seri
     return minmax_transform(d, params, cols)
 
 
+def lstm_sequences(features: DataFrame, cols: list[str], target: str = "pm2p5", window: int = 48,
+                   series=("series_id",), order: str = "datetime", train_share: float = 0.8,
+                   fit_on: str = "all") -> DataFrame:
+    """E7 + K1 + E11 for the sequence models: min-max scaled columns, sliding windows of
+    ``window`` rows (oldest first) with the next row's scaled target as label, and a
+    chronological split of the *sequences* (the first ``floor(share * n)`` train).
+
+    ``fit_on="all"`` scales with all rows (the reference); ``"train"`` with the rows before the
+    first test label only.  Windows run per (series, block) with a halo, so a long series is
+    never one task.
+    """
+    series = list(series)
+    d = ser.with_position(features, series, [order])
+    if fit_on == "all":
+        fit = d
+    elif fit_on == "train":
+        # rows up to the last training label: positions < window + floor(share * (n - window))
+        sized = ser.with_size(d, series)
+        n_seq = F.greatest(F.col("_size") - F.lit(window), F.lit(0))
+        fit = sized.where(F.col(ser.POS) < F.lit(window) + F.floor(n_seq * F.lit(train_share))).drop("_size")
+    else:
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
+    scaled = minmax_transform(d, minmax_fit(fit, cols), cols)
+    seq = ser.add_sequences(scaled, series, cols, target, window)
+    # sequence index: the first full window ends at position ``window``
+    seq = seq.withColumn(ser.POS, F.col(ser.POS) - F.lit(window))
+    return ser.chrono_split(seq, series, train_share, rule="floor")
+
+
 # ---- K3: feature matrices ----------------------------------------------------------
 
 XGB_DROP = ["pm2p5", "pm2p5_rolling_3h", "pm2p5_rolling_24h", "datetime", "index", "series_id"]

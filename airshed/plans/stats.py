@@ -215,10 +215,10 @@ def corr_matrix_top(df: DataFrame, target: str, cols: list[str], top: int = 15)
     half = long.groupBy("a", "b").agg((F.covar_pop("x", "y") / F.when(den != 0, den)).alias("corr"))
     full = half.select(F.col("a").alias("row"), F.col("b").alias("col"), "corr").unionByName(
         half.where(F.col("a") != F.col("b")).select(F.col("b").alias("row"), F.col("a").alias("col"), "corr"))
+    # top-k of the target's k correlations: an ordered limit (TakeOrderedAndProject)
     ranked = (full.where(F.col("row") == target)
-              .withColumn("_rk", F.row_number().over(
-                  Window.orderBy(F.abs("corr").desc_nulls_last(), F.col("col"))))
-              .where(F.col("_rk") <= top).select(F.col("col").alias("_keep")))
+              .orderBy(F.abs("corr").desc_nulls_last(), F.col("col")).limit(top)
+              .select(F.col("col").alias("_keep")))
     out = (full.join(ranked.select(F.col("_keep").alias("row")), "row", "left_semi")
            .join(ranked.select(F.col("_keep").alias("col")), "col", "left_semi"))
     return out.select("row", "col", _r(F.col("corr")).alias("corr"))
