@@ -25,6 +25,32 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20,
+               max_file_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` on ``executor_cores_total`` cores.
+
+    * shuffle partitions: enough that each holds about ``target_partition_bytes`` of the
+      input (an upper bound on what a map side writes for the mart, dedup or series
+      operators), never fewer than 2 waves of tasks; AQE coalesces small ones at runtime;
+    * file splits: ``maxPartitionBytes`` so a scan also runs in at least 2 waves, capped so
+      a task's decoded batch stays well inside executor memory;
+    * skew: a partition 4x the median and over 2 x target is split by AQE's skew join.
+
+    At 100 TB on 1,000 executors x 8 cores this gives about 373k shuffle partitions (256 MB) and
+    512 MB file splits.
+    """
+    waves = 2 * max(1, executor_cores_total)
+    shuffle = max(waves, -(-input_bytes // target_partition_bytes))
+    split = min(max_file_partition_bytes, max(32 << 20, input_bytes // waves))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def get_spark(master: str | None = None, app_name: str = "airshed",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's required settings."""

@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from airshed import catalog  # noqa: E402
-from airshed.session import get_spark  # noqa: E402
+from airshed.session import get_spark, scale_conf  # noqa: E402
 
 HEADLINE = [
     "d2_mart_hourly",
@@ -45,8 +45,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:]
-    spark = get_spark(f"local[{cpus}]", app_name="airshed-bench", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": "16g"})
+    # partition sizing from the input volume (every headline query reads ``events``)
+    events = os.path.join(sf_dir, "events.parquet")
+    input_bytes = (os.path.getsize(events) if os.path.isfile(events) else
+                   sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(events) for f in fs))
+    conf = scale_conf(input_bytes, int(cpus))
+    conf["spark.driver.memory"] = "16g"
+    spark = get_spark(f"local[{cpus}]", app_name="airshed-bench", extra=conf)
     spark.sparkContext.setLogLevel("ERROR")
     catalog.load_all()
     # warm-up: JVM, codegen caches, file listing

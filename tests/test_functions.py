@@ -85,3 +85,13 @@ def test_rename_drop_numeric_and_alias_helpers(spark):
     assert M.numeric_columns(r, exclude=["n"]) == ["pm2p5", "temp"]          # B16
     shown = M.aliased(r, {"name": "Station", "pm2p5": "PM2.5"})               # H31
     assert shown.columns == ["Station", "PM2.5"] and shown.collect()[0]["PM2.5"] == 1
+
+
+def test_scale_conf_sizes_partitions():
+    from airshed.session import scale_conf
+    big = scale_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    small = scale_conf(37 * 10**6, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 32 << 20
