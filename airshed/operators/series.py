@@ -15,7 +15,9 @@ works on *blocks* instead:
    are dropped afterwards.  Lags up to ``halo`` and frames reaching ``halo`` rows
    back are then exact, with ``halo / B`` extra rows shuffled.
 3. Unbounded look-back/look-ahead (interpolation) carries one summary row per
-   block through a window over the small block table.
+   block, in two levels (blocks within super-blocks of ``fanout`` blocks, then
+   super-blocks along the series), so no carry window holds more than a bounded
+   share of a long series.
 """
 
 from __future__ import annotations
@@ -147,8 +149,43 @@ def add_sequences(df: DataFrame, series, features: list[str], target: str, windo
     return d.select(*_cols(series), POS, out, F.col(target).alias("label"))
 
 
+def _carry_in_out(summary: DataFrame, series: list[str], n: int, fanout: int) -> DataFrame:
+    """Per block: the last valid (pos, value) strictly before it (``_cin_i``) and the first
+    valid strictly after it (``_cout_i``), from one summary row per block.
+
+    Two levels, so no window sees more than ``fanout`` rows of one series per task-sized
+    partition: blocks are grouped into super-blocks of ``fanout`` blocks; the super-block
+    summaries are carried across along the series (rows / (block * fanout) rows), the
+    blocks inside each super-block, and the nearer of the two wins.
+    """
+    sb = F.floor(F.col(BLK) / F.lit(fanout)).cast("long")
+    s = summary.withColumn("_sb", sb)
+    sup = s.groupBy(*series, "_sb").agg(
+        *[F.max(f"_last_{i}").alias(f"_sl_{i}") for i in range(n)],
+        *[F.min(f"_first_{i}").alias(f"_sf_{i}") for i in range(n)])
+    ws = Window.partitionBy(*series).orderBy("_sb")
+    sup = sup.select(
+        *series, "_sb",
+        *[F.last(f"_sl_{i}", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
+          .alias(f"_sin_{i}") for i in range(n)],
+        *[F.first(f"_sf_{i}", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing))
+          .alias(f"_sout_{i}") for i in range(n)])
+    wb = Window.partitionBy(*series, "_sb").orderBy(BLK)
+    inner = s.select(
+        *series, "_sb", BLK,
+        *[F.last(f"_last_{i}", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
+          .alias(f"_bin_{i}") for i in range(n)],
+        *[F.first(f"_first_{i}", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
+          .alias(f"_bout_{i}") for i in range(n)])
+    both = join_derived_small(inner, sup, series + ["_sb"], "inner")
+    return both.select(
+        *series, BLK,
+        *[F.coalesce(f"_bin_{i}", f"_sin_{i}").alias(f"_cin_{i}") for i in range(n)],
+        *[F.coalesce(f"_bout_{i}", f"_sout_{i}").alias(f"_cout_{i}") for i in range(n)])
+
+
 def interpolate_linear(df: DataFrame, series, cols: list[str], limit: int = 3,
-                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS, fanout: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Pandas ``interpolate(method="linear", limit=limit)`` by position.
 
     A NULL at position i with previous valid (p, a) and next valid (q, b) becomes
@@ -166,13 +203,7 @@ def interpolate_linear(df: DataFrame, series, cols: list[str], limit: int = 3,
     summary = d.groupBy(*series, BLK).agg(
         *[F.max(valid(c)).alias(f"_last_{i}") for i, c in enumerate(cols)],
         *[F.min(valid(c)).alias(f"_first_{i}") for i, c in enumerate(cols)])
-    wb = Window.partitionBy(*series).orderBy(BLK)
-    carry = summary.select(
-        *series, BLK,
-        *[F.last(f"_last_{i}", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-          .alias(f"_cin_{i}") for i in range(len(cols))],
-        *[F.first(f"_first_{i}", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
-          .alias(f"_cout_{i}") for i in range(len(cols))])
+    carry = _carry_in_out(summary, series, len(cols), fanout)
     d = join_derived_small(d, carry, series + [BLK], "inner")
 
     # running frames only: the look-ahead is a running ``last`` in descending order, so both

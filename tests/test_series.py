@@ -30,11 +30,12 @@ def _gappy(n=120, seed=3):
     return v
 
 
-@pytest.mark.parametrize("block", [3, 7, 512])
-def test_interpolation_matches_pandas(spark, block):
+@pytest.mark.parametrize("block,fanout", [(3, 2), (3, 512), (7, 3), (512, 512)])
+def test_interpolation_matches_pandas(spark, block, fanout):
     v = _gappy()
     df = ser.with_position(_frame(spark, v), ["series_id"], ["datetime"], bucket=F.date_trunc("hour", "datetime"))
-    got = ser.interpolate_linear(df, ["series_id"], ["x"], limit=3, block_rows=block).orderBy(ser.POS)
+    got = ser.interpolate_linear(df, ["series_id"], ["x"], limit=3, block_rows=block,
+                                 fanout=fanout).orderBy(ser.POS)
     got = np.array([np.nan if r["x"] is None else r["x"] for r in got.collect()])
     exp = pd.Series(v).interpolate(method="linear", limit=3).to_numpy()
     np.testing.assert_allclose(got, exp, rtol=1e-12, equal_nan=True)
@@ -92,3 +93,15 @@ def test_time_lags_follow_the_clock_not_positions(spark):
     for name, k in (("l1", 1), ("l24", 24)):
         exp = s.shift(k, freq="h").reindex(s.index)
         np.testing.assert_allclose(got[name].to_numpy(dtype=float), exp.to_numpy(dtype=float), equal_nan=True)
+
+
+def test_interpolation_keeps_series_apart(spark):
+    a, b = _gappy(60, seed=1), _gappy(90, seed=2)
+    df = _frame(spark, a, 1).unionByName(_frame(spark, b, 2))
+    df = ser.with_position(df, ["series_id"], ["datetime"], bucket=F.date_trunc("hour", "datetime"))
+    out = ser.interpolate_linear(df, ["series_id"], ["x"], limit=3, block_rows=4, fanout=2)
+    for sid, v in ((1, a), (2, b)):
+        got = out.where(F.col("series_id") == sid).orderBy(ser.POS).collect()
+        got = np.array([np.nan if r["x"] is None else r["x"] for r in got])
+        exp = pd.Series(v).interpolate(method="linear", limit=3).to_numpy()
+        np.testing.assert_allclose(got, exp, rtol=1e-12, equal_nan=True)
