@@ -96,7 +96,7 @@ def test_time_lags_follow_the_clock_not_positions(spark):
 
 
 def test_interpolation_keeps_series_apart(spark):
-    a, b = _gappy(60, seed=1), _gappy(90, seed=2)
+    a, b = _gappy(100, seed=1), _gappy(130, seed=2)
     df = _frame(spark, a, 1).unionByName(_frame(spark, b, 2))
     df = ser.with_position(df, ["series_id"], ["datetime"], bucket=F.date_trunc("hour", "datetime"))
     out = ser.interpolate_linear(df, ["series_id"], ["x"], limit=3, block_rows=4, fanout=2)
