@@ -60,9 +60,35 @@ def weekend_flag(dow_monday0_col) -> Column:
     return (_c(dow_monday0_col) >= 5).cast("int")
 
 
-def local_to_utc(ts_local, zone: str = S.LOCAL_ZONE) -> Column:
-    """H8: attach a zone to a naive local wall clock, giving an instant (``timestamp``)."""
-    return F.to_utc_timestamp(_c(ts_local).cast("timestamp"), zone)
+def _offset_micros(instant: Column, zone: str) -> Column:
+    """UTC offset of ``zone`` at ``instant``, in microseconds."""
+    return F.unix_micros(F.from_utc_timestamp(instant, zone)) - F.unix_micros(instant)
+
+
+def local_to_utc(ts_local, zone: str = S.LOCAL_ZONE, invalid_null: bool = True) -> Column:
+    """H8: attach a zone to a naive local wall clock, giving an instant (``timestamp``).
+
+    With ``invalid_null`` a wall clock that does not exist (skipped by a daylight-saving jump)
+    or exists twice (repeated when clocks go back) gives NULL, as the reference's localisation
+    does; ``to_utc_timestamp`` alone would silently pick one instant.  Detection uses the
+    zone's offsets a day before and after the candidate instant, so it holds for any zone
+    whose transitions are more than a day apart.
+    """
+    t = _c(ts_local).cast("timestamp")
+    u = F.to_utc_timestamp(t, zone)
+    if not invalid_null:
+        return u
+    day = F.lit(86_400_000_000)
+    t_us = F.unix_micros(t)
+    off_before = _offset_micros(F.timestamp_micros(F.unix_micros(u) - day), zone)
+    off_after = _offset_micros(F.timestamp_micros(F.unix_micros(u) + day), zone)
+    cand_a = F.timestamp_micros(t_us - off_before)
+    cand_b = F.timestamp_micros(t_us - off_after)
+    missing = F.unix_micros(F.from_utc_timestamp(u, zone)) != t_us
+    twice = ((off_before != off_after)
+             & (F.unix_micros(F.from_utc_timestamp(cand_a, zone)) == t_us)
+             & (F.unix_micros(F.from_utc_timestamp(cand_b, zone)) == t_us))
+    return F.when(missing | twice, F.lit(None).cast("timestamp")).otherwise(u)
 
 
 def utc_to_local(ts_utc, zone: str = S.LOCAL_ZONE) -> Column:

@@ -95,3 +95,20 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(37 * 10**6, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 32 << 20
+
+
+def test_local_to_utc_nulls_skipped_and_repeated_wall_clocks(spark):
+    import datetime as dt
+    from airshed.functions import calendar as cal
+    rows = [(dt.datetime(2024, 6, 1, 12, 0),), (dt.datetime(2024, 3, 31, 2, 30),),
+            (dt.datetime(2024, 10, 27, 2, 30),), (dt.datetime(2024, 10, 27, 3, 30),),
+            (dt.datetime(2024, 3, 31, 3, 0),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    out = df.select(cal.local_to_utc("t", "Europe/Paris").cast("timestamp_ntz").alias("u"),
+                    cal.local_to_utc("t", "Asia/Kolkata").cast("timestamp_ntz").alias("k")).collect()
+    assert out[0]["u"] == dt.datetime(2024, 6, 1, 10, 0)
+    assert out[1]["u"] is None                                     # skipped: 02:00 -> 03:00
+    assert out[2]["u"] is None                                     # repeated: 03:00 -> 02:00
+    assert out[3]["u"] == dt.datetime(2024, 10, 27, 2, 30)         # after the repeat, +01:00
+    assert out[4]["u"] == dt.datetime(2024, 3, 31, 1, 0)           # first valid wall clock
+    assert [r["k"] for r in out] == [t - dt.timedelta(hours=5, minutes=30) for (t,) in rows]
