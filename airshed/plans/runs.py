@@ -27,6 +27,7 @@ from airshed.operators import joins as J
 from airshed.plans import features as FE
 from airshed.plans import mart
 from airshed.plans import ml as ML
+from airshed.plans import nowcast as NC
 from airshed.plans import quality as Q
 from airshed.session import materialize
 from airshed.sources import csv_tables as C
@@ -74,18 +75,21 @@ def run_feature_build(spark: SparkSession, air_path: str, weather_path: str, out
 
 
 def nowcast_rows(air: DataFrame, weather: DataFrame, model: PipelineModel, asof: str,
-                 features=None) -> tuple[DataFrame, DataFrame]:
+                 features=None, window_hours: int = 48) -> tuple[DataFrame, DataFrame]:
     """One nowcast cycle for every series at ``asof`` (floored to the hour).
 
-    Returns (prediction rows, skipped rows).  The newest row at or before ``asof`` per series
-    is a grouped ``max_by`` (no sort of the series); rows with a missing model input are
-    skipped (B13); the prediction is rounded to 2 decimals, stored beside the first forecast
-    value after ``asof`` (C4) and flagged against the WHO limit (H22).
+    Returns (prediction rows, skipped rows).  As in the reference, each feed is cut to its
+    last ``window_hours`` rows at or before ``asof`` (B8 + E5) before the full outer align, so
+    the positional lags see exactly that window.  The newest aligned row per series is a
+    grouped ``max_by`` (no sort of the series); rows with a missing model input are skipped
+    (B13); the prediction is rounded to 2 decimals, stored beside the first forecast value
+    after ``asof`` (B9 + C4) and flagged against the WHO limit (H22).
     """
     features = features or S.NOWCAST_FEATURES
     at = cal.floor_hour(F.lit(asof).cast("timestamp_ntz"))
-    rt = FE.realtime_features(air, weather)
-    latest = dedup.latest_per_key(rt.where(F.col(FE.TIME) <= at), FE.SERIES, [FE.TIME])
+    rt = FE.realtime_features(NC.latest_window(air, at, window_hours),
+                              NC.latest_window(weather, at, window_hours))
+    latest = dedup.latest_per_key(rt, FE.SERIES, [FE.TIME])
     ok, skipped = ML.complete_vectors(latest, features)
     scored = model.transform(ok)
     pred = F.round("prediction", 2)
