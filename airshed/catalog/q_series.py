@@ -18,10 +18,9 @@ LSTM_FEATURES = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure",
 
 
 def feeds(spark, sf_dir):
-    """Hourly air and weather feeds, checkpointed once: every positional step reads its input
-    twice (summary + rows), and the feeds are aggregations over the whole raw table."""
-    return (materialize(D.with_series(D.hourly_air(spark, sf_dir))),
-            materialize(D.with_series(D.hourly_weather(spark, sf_dir))))
+    """Hourly air and weather feeds from one aggregation over the raw table, checkpointed once:
+    every positional step reads its input twice (summary + rows)."""
+    return D.split_feeds(materialize(D.with_series(D.hourly_feeds(spark, sf_dir))), keys=["series_id"])
 
 
 def _r9(df, cols):
