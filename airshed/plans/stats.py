@@ -212,7 +212,8 @@ def corr_matrix_top(df: DataFrame, target: str, cols: list[str], top: int = 15)
                       for a, b in pairs])
     long = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
     den = F.stddev_pop("x") * F.stddev_pop("y")
-    half = long.groupBy("a", "b").agg((F.covar_pop("x", "y") / F.when(den != 0, den)).alias("corr"))
+    # k(k+1)/2 rows, read four times below: checkpointed so the input is scanned once
+    half = materialize(long.groupBy("a", "b").agg((F.covar_pop("x", "y") / F.when(den != 0, den)).alias("corr")))
     full = half.select(F.col("a").alias("row"), F.col("b").alias("col"), "corr").unionByName(
         half.where(F.col("a") != F.col("b")).select(F.col("b").alias("row"), F.col("a").alias("col"), "corr"))
     # top-k of the target's k correlations: an ordered limit (TakeOrderedAndProject)
