@@ -23,30 +23,40 @@ from airshed.operators import series as ser
 # ---- K1 / K2: min-max scaling ---------------------------------------------------
 
 
-def minmax_fit(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One-row table of per-column ``scale`` and ``offset`` (sklearn's form:
-    ``x * scale + offset`` with ``scale = 1 / (max - min)``, 1 for a constant column)."""
+def minmax_fit(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+    """Fit a min-max scaler: ``{column: (scale, offset)}`` in sklearn's form
+    (``x * scale + offset``, ``scale = 1 / (max - min)``, 1 for a constant column).
+
+    One distributed aggregation (partial min/max on every task); its one-row result, two
+    numbers per column, is the model, kept on the driver as ``pyspark.ml`` scalers keep theirs.
+    Applying it is then a projection with literals: no subquery re-runs the fit.
+    """
     aggs = []
     for c in cols:
         aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max")]
-    mm = df.agg(*aggs)
-    out = []
+    row = df.agg(*aggs).first()
+    params = {}
     for c in cols:
-        rng = F.col(f"{c}__max") - F.col(f"{c}__min")
-        scale = F.lit(1.0) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
-        out += [scale.alias(f"{c}__scale"), (F.lit(0.0) - F.col(f"{c}__min") * scale).alias(f"{c}__offset")]
-    return mm.select(*out)
+        lo, hi = row[f"{c}__min"], row[f"{c}__max"]
+        if lo is None:
+            params[c] = (None, None)
+            continue
+        scale = 1.0 / (1.0 if hi - lo == 0 else hi - lo)
+        params[c] = (scale, 0.0 - lo * scale)
+    return params
 
 
-def minmax_transform(df: DataFrame, params: DataFrame, cols: list[str]) -> DataFrame:
-    """K1: apply a fitted scaling; parameters enter as scalar subqueries (no join)."""
-    return df.withColumns({c: F.col(c).cast("double") * params.select(f"{c}__scale").scalar()
-                           + params.select(f"{c}__offset").scalar() for c in cols})
+def minmax_transform(df: DataFrame, params: dict[str, tuple[float, float]], cols: list[str]) -> DataFrame:
+    """K1: apply a fitted scaling (literals; NULL parameters for an all-NULL column)."""
+    def lit(x):
+        return F.lit(x).cast("double")
+    return df.withColumns({c: F.col(c).cast("double") * lit(params[c][0]) + lit(params[c][1]) for c in cols})
 
 
-def minmax_inverse(col: Column, params: DataFrame, name: str) -> Column:
+def minmax_inverse(col: Column, params: dict[str, tuple[float, float]], name: str) -> Column:
     """K2: inverse scaling of one column, ``(x - offset) / scale``."""
-    return (col - params.select(f"{name}__offset").scalar()) / params.select(f"{name}__scale").scalar()
+    scale, offset = params[name]
+    return (col - F.lit(offset).cast("double")) / F.lit(scale).cast("double")
 
 
 def scale_inputs(features: DataFrame, cols: list[str], fit_on: str = "all", series=("series_id",),
