@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from airshed import schemas as S
 from airshed.functions import calendar as cal
 from airshed.operators import joins as J
+from airshed.session import materialize
 
 RESULT_COLUMNS = ["rule", "scope", "observed", "threshold", "passed"]
 
@@ -194,11 +195,13 @@ def daily_completeness(measurements: DataFrame, parameters=None, t: str = "datet
     """
     parameters = parameters or S.POLLUTANTS
     day = cal.floor_day(t)
-    daily = measurements.groupBy("location_id", "parameter", day.alias("day")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.avg("value").alias("mean"))
-    first = measurements.select(F.min(day)).scalar()
-    last = measurements.select(F.max(day)).scalar()
-    dim = (measurements.select("location_id").distinct()
+    # one pass over the raw rows; the slot table (one row per station, parameter and day) is
+    # checkpointed and gives the station dimension and the day bounds as well
+    daily = materialize(measurements.groupBy("location_id", "parameter", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), F.avg("value").alias("mean")))
+    first = daily.select(F.min("day")).scalar()
+    last = daily.select(F.max("day")).scalar()
+    dim = (daily.select("location_id").distinct()
            .select("location_id", F.explode(F.array(*[F.lit(p) for p in parameters])).alias("parameter")))
     spine = J.spine_product(dim, first, last, "1 DAY", out="day")
     out = spine.join(daily, ["location_id", "parameter", "day"], "left")
