@@ -56,7 +56,9 @@ def interpolated(merged: DataFrame, target: str = "pm2p5", limit: int = 3,
     if checkpoint:
         d = materialize(d)
     values = [c for c in d.columns if c not in SERIES + [TIME]]
-    d = ser.with_position(d, SERIES, [TIME])
+    # positions are read twice by the interpolation (block summaries and rows): checkpoint
+    # them instead of recomputing the position plan for each reader
+    d = materialize(ser.with_position(d, SERIES, [TIME]))
     return ser.interpolate_linear(d, SERIES, values, limit=limit, block_rows=block_rows)
 
 
