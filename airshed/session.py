@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a window or aggregate keyed by (series, block) must not reuse a partitioning on
+    # ``series`` alone: that would put a whole series, possibly a third of the data, in one task
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -71,6 +74,7 @@ def get_spark(master: str | None = None, app_name: str = "airshed",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings the library depends on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -105,3 +105,26 @@ def test_interpolation_keeps_series_apart(spark):
         got = np.array([np.nan if r["x"] is None else r["x"] for r in got])
         exp = pd.Series(v).interpolate(method="linear", limit=3).to_numpy()
         np.testing.assert_allclose(got, exp, rtol=1e-12, equal_nan=True)
+
+
+def test_hot_series_is_spread_over_many_tasks(spark):
+    # one series holds 5,000 of 5,200 rows; its blocked windows must not run in one task
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0 + dt.timedelta(hours=i), float(i)) for i in range(5000)]
+    rows += [(s, t0 + dt.timedelta(hours=i), float(i)) for s in (2, 3) for i in range(100)]
+    df = spark.createDataFrame(rows, "series_id long, datetime timestamp_ntz, x double")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")                    # keep the shuffle's own partitioning visible
+    try:
+        d = ser.with_position(df, ["series_id"], ["datetime"])
+        out = ser.add_lags(d, ["series_id"], "x", {"lag1": 1, "lag24": 24}, block_rows=100)
+        # the lag columns must be used, or column pruning removes the window and its shuffle
+        parts = (out.where("series_id = 1").select(F.spark_partition_id().alias("p"), "lag1", "lag24")
+                 .groupBy("p").agg(F.count("lag1").alias("n1"), F.count(F.lit(1)).alias("count")).collect())
+        assert len(parts) >= 6                      # 50 blocks over 8 shuffle partitions
+        assert max(r["count"] for r in parts) < 2500
+        got = {r["_pos"]: (r["lag1"], r["lag24"]) for r in out.where("series_id = 1").collect()}
+        assert got[0] == (None, None) and got[100] == (99.0, 76.0) and got[4999] == (4998.0, 4975.0)
+    finally:
+        spark.conf.set(key, old)
