@@ -15,7 +15,8 @@ from airshed.functions.misc import split_pipe, text_to_bool
 
 
 def read_csv_text(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A1: header CSV, every column as text (empty field -> empty string, not NULL)."""
+    """A1: header CSV, every column as text.  An unquoted empty field reads as NULL, a
+    quoted empty one (``""``) as the empty string."""
     return (spark.read.option("header", True).option("nullValue", "\u0000")
             .option("emptyValue", "").schema(S.all_string(schema)).csv(path))
 
@@ -50,7 +51,12 @@ def type_measurements(raw: DataFrame, strict: bool = True) -> DataFrame:
     ``strict=True`` follows the reference: an empty or malformed ``value`` aborts the load
     (ANSI cast error).  ``strict=False`` turns it into NULL instead.
     """
-    value = _num("value", "double", True) if strict else _opt_num("value", "double", False)
+    if strict:
+        # the reference aborts on an empty value; an empty field arrives here as NULL
+        value = F.coalesce(_num("value", "double", True),
+                           F.raise_error(F.lit("measurements: empty value")).cast("double"))
+    else:
+        value = _opt_num("value", "double", False)
     return raw.select(
         _num("location_id", "bigint", strict).alias("location_id"),
         _num("sensor_id", "bigint", strict).alias("sensor_id"),
