@@ -60,8 +60,8 @@ def e1_e2_lags_rolling(spark, sf_dir):
     """E1 + E2: positional lags 1/2/24 and full-window rolling means 3/24 (no dropna)."""
     clean = FE.clean_and_merge(*feeds(spark, sf_dir))
     d = ser.with_position(clean.select("series_id", "datetime", "pm2p5"), FE.SERIES, [FE.TIME])
-    d = ser.add_lags(d, FE.SERIES, "pm2p5", FE.LAGS)
-    d = ser.add_rolling_means(d, FE.SERIES, "pm2p5", FE.ROLLING)
+    # lags and rolling means in one blocked pass (one shuffle, one sort)
+    d = ser.add_window_features(d, FE.SERIES, "pm2p5", FE.LAGS, FE.ROLLING)
     return _r9(d.drop("series_id", ser.POS), list(FE.ROLLING))
 
 
