@@ -83,7 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The folder named by ``spark.checkpoint.dir`` is used as is.  Only when the
-    session has none (local tests) a fresh scratch folder is created and set.
+    session has none and runs in local mode (tests) a fresh scratch folder is created and
+    set; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -91,6 +92,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        # executors on other machines could neither write nor read a local folder
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="airshed-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
