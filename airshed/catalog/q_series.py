@@ -158,3 +158,15 @@ def e12_batch_features_time_lags(spark, sf_dir):
     complete rows only."""
     f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)), lag_mode="time")
     return _r9(f.drop("series_id"), list(FE.ROLLING))
+
+
+@register("e11_chrono_split_test_ceil", X.FEATURES + """
+SELECT datetime, pm2p5,
+       CASE WHEN row_number() OVER (ORDER BY datetime) - 1 < count(*) OVER () - ceil(0.2 * count(*) OVER ())
+            THEN 'train' ELSE 'test' END AS split
+FROM features""")
+def e11_chrono_split_test_ceil(spark, sf_dir):
+    """E11 with the gradient-boosting script's rule: the last ``ceil(0.2 n)`` rows test."""
+    f = FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir)))
+    d = ser.with_position(f.select("series_id", "datetime", "pm2p5"), FE.SERIES, [FE.TIME])
+    return ser.chrono_split(d, FE.SERIES, 0.8, rule="test_ceil").select("datetime", "pm2p5", "split")
