@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from airshed import schemas as S
 from airshed.catalog import register
 from airshed.catalog import sql_fixtures as X

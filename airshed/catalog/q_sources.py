@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from airshed.catalog import register
 from airshed.catalog import sql_fixtures as X
-from airshed.catalog.q_dashboards import PRED_SQL, predictions
+from airshed.catalog.q_dashboards import predictions
 from airshed.catalog.q_mart import _DEDUP_SQL
 from airshed.catalog.q_quality import LATEST_SQL
-from airshed.catalog.q_series import ASOF, feeds
+from airshed.catalog.q_series import feeds
 from airshed.catalog.q_stats import feature_table
 from airshed.operators import dedup
 from airshed.plans import features as FE

@@ -8,7 +8,6 @@ plus value columns.  Every ordered step goes through the block operators of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from airshed import schemas as S
 from airshed.functions import calendar as cal
