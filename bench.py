@@ -41,7 +41,8 @@ HEADLINE = [
 ]
 
 
-WARMUP = ["d6_distinct_parameters", "d1_pivot_hourly", "e13_realtime_features", "e9_pacf_yw_72"]
+WARMUP = ["d6_distinct_parameters", "d1_pivot_hourly", "e13_realtime_features", "e9_pacf_yw_72",
+          "i2_streaming_latest"]
 
 
 def main() -> None:
