@@ -171,9 +171,36 @@ def e8_acf_72(spark, sf_dir):
     return ST.acf(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72).drop("series_id")
 
 
-@register("e9_pacf_yw_72")
+def _pacf_sql(nlags: int = 72) -> str:
+    """Durbin-Levinson as a recursive CTE over the autocovariance sums (lists are 1-based)."""
+    lags = ", ".join(f"lag(y, {k}) OVER (ORDER BY datetime) AS l{k}" for k in range(1, nlags + 1))
+    sums = ", ".join(["sum(y * y) AS s0"] + [f"sum(y * l{k}) AS s{k}" for k in range(1, nlags + 1)])
+    rho = ", ".join(f"(s{k} / (n - {k})) / (s0 / (n - 0))" for k in range(nlags + 1))
+    num = "(r[m + 2] - list_sum(list_transform(range(m), lambda j: phi[j + 1] * r[m - j + 1])))"
+    den = "(1.0 - list_sum(list_transform(range(m), lambda j: phi[j + 1] * r[j + 2])))"
+    pkk = f"({num} / {den})"
+    return "WITH RECURSIVE " + X.FEATURES[len("WITH "):] + f""",
+yv AS (SELECT datetime, pm2p5 - (SELECT avg(pm2p5) FROM features WHERE pm2p5 IS NOT NULL) AS y
+       FROM features WHERE pm2p5 IS NOT NULL),
+lagged AS (SELECT y, {lags} FROM yv),
+sums AS (SELECT count(*) AS n, {sums} FROM lagged),
+rho AS (SELECT n, [{rho}] AS r FROM sums),
+dl(m, phi, pkk, r, n) AS (
+  SELECT 1, [r[2]], r[2], r, n FROM rho
+  UNION ALL
+  SELECT m + 1, list_transform(range(m), lambda j: phi[j + 1] - {pkk} * phi[m - j]) || [{pkk}], {pkk}, r, n
+  FROM dl WHERE m < {nlags}
+)
+SELECT CAST(0 AS INTEGER) AS lag, CAST(1.0 AS DOUBLE) AS pacf, CAST(1.0 AS DOUBLE) AS lo95, CAST(1.0 AS DOUBLE) AS hi95
+UNION ALL
+SELECT CAST(m AS INTEGER) AS lag, round(pkk, 9) AS pacf, round(pkk - {ST.Z95} / sqrt(n), 9) AS lo95,
+       round(pkk + {ST.Z95} / sqrt(n), 9) AS hi95 FROM dl"""
+
+
+@register("e9_pacf_yw_72", _pacf_sql(72))
 def e9_pacf_yw_72(spark, sf_dir):
-    """Partial autocorrelation (Yule-Walker, adjusted) at lags 0..72; rows-only check."""
+    """Partial autocorrelation (Yule-Walker, adjusted) at lags 0..72; the oracle runs the
+    same recursion as a recursive CTE."""
     return ST.pacf_yule_walker(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72).drop("series_id")
 
 
