@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from airshed.catalog import register
 from airshed.catalog import sql_fixtures as X
-from airshed.catalog.q_dashboards import predictions
+from airshed.catalog.q_dashboards import PRED_SQL, predictions
 from airshed.catalog.q_mart import _DEDUP_SQL
 from airshed.catalog.q_quality import LATEST_SQL
-from airshed.catalog.q_series import feeds
+from airshed.catalog.q_series import ASOF, feeds
 from airshed.catalog.q_stats import feature_table
 from airshed.operators import dedup
 from airshed.plans import features as FE
@@ -99,6 +99,15 @@ def a14_predictions_table(spark, sf_dir):
     return K.with_result_defaults(predictions(spark, sf_dir))
 
 
+@register("a14_predictions_table_asof", PRED_SQL + f"""
+SELECT *, TIMESTAMP '{ASOF}' AS inserted_at FROM predictions""")
+def a14_predictions_table_asof(spark, sf_dir):
+    """A14 with the insertion time passed in (the fixture's ``asof``, UTC) instead of the wall
+    clock, so the conformed table is deterministic."""
+    out = K.with_result_defaults(predictions(spark, sf_dir), inserted_at=F.lit(ASOF).cast("timestamp"))
+    return out.withColumn("inserted_at", F.col("inserted_at").cast("timestamp_ntz"))
+
+
 @register("a10_nested_locations", X.WITH_M1 + """
 SELECT location_id AS id, 'station-' || CAST(location_id AS VARCHAR) AS name,
        'zone-' || CAST(location_id % 7 AS VARCHAR) AS locality, 'Asia/Kolkata' AS timezone,
