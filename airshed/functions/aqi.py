@@ -90,7 +90,7 @@ def confidence(pm10="pm10", no2="no2") -> Column:
     """``high`` when both pm10 and no2 are present and non-zero, else ``medium``."""
     a = F.coalesce(_c(pm10), _d(0.0))
     b = F.coalesce(_c(no2), _d(0.0))
-    return F.when((a != 0) & (b != 0), F.lit("high")).otherwise(F.lit("medium"))
+    return F.when((a != 0) & (b != 0), F.lit(S.CONFIDENCE_HIGH)).otherwise(F.lit(S.CONFIDENCE_MEDIUM))
 
 
 def exceeds_who(pred="pm25_xgboost", limit: float = S.WHO_PM25_LIMIT) -> Column:
@@ -100,7 +100,7 @@ def exceeds_who(pred="pm25_xgboost", limit: float = S.WHO_PM25_LIMIT) -> Column:
 
 def status_label(flag="depasse_oms") -> Column:
     """Dashboard status text; a NULL flag reads as OK."""
-    return F.when(_c(flag), F.lit("🔴 OMS!")).otherwise(F.lit("🟢 OK"))
+    return F.when(_c(flag), F.lit(S.STATUS_ALERT)).otherwise(F.lit(S.STATUS_OK))
 
 
 def pm25_band(pm25="pm25") -> Column:

@@ -177,21 +177,24 @@ def train_seasonal(design: DataFrame, cols: list[str]) -> PipelineModel:
 
 # ---- B14/B15/K7: request validation and batch scoring --------------------------------
 
-SEASON_PATTERN = "^(winter|summer|monsoon|post_monsoon)$"
-
-
 def request_violations(req: DataFrame) -> Column:
     """Array of violated rule names (empty when the request is valid)."""
     c = F.col
+    hi_pm = F.lit(S.REQUEST_PM_MAX)
+
+    def outside(col, bounds):
+        lo, hi = bounds
+        return c(col).isNull() | (c(col) < lo) | (c(col) > hi)
+
     checks = [
         ("pm25_required", c("pm25").isNull()),
-        ("pm25_range", (c("pm25") < 0) | (c("pm25") > 999)),
-        ("pm10_range", (c("pm10") < 0) | (c("pm10") > 999)),
+        ("pm25_range", (c("pm25") < 0) | (c("pm25") > hi_pm)),
+        ("pm10_range", (c("pm10") < 0) | (c("pm10") > hi_pm)),
         ("no2_min", c("no2") < 0), ("so2_min", c("so2") < 0), ("co_min", c("co") < 0), ("o3_min", c("o3") < 0),
-        ("hour_local_range", c("hour_local").isNull() | (c("hour_local") < 0) | (c("hour_local") > 23)),
-        ("day_of_week_range", c("day_of_week").isNull() | (c("day_of_week") < 0) | (c("day_of_week") > 6)),
-        ("month_range", c("month").isNull() | (c("month") < 1) | (c("month") > 12)),
-        ("season_pattern", c("season").isNull() | ~c("season").rlike(SEASON_PATTERN)),
+        ("hour_local_range", outside("hour_local", S.REQUEST_HOUR_RANGE)),
+        ("day_of_week_range", outside("day_of_week", S.REQUEST_DOW_RANGE)),
+        ("month_range", outside("month", S.REQUEST_MONTH_RANGE)),
+        ("season_pattern", c("season").isNull() | ~c("season").rlike(S.SEASON_PATTERN)),
     ]
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]))
 
@@ -224,7 +227,7 @@ def train_aqi_model(mart_rows: DataFrame) -> PipelineModel:
     return Pipeline(stages=[asm, lr]).fit(d)
 
 
-def score_requests(req: DataFrame, model: PipelineModel, version: str = "2.0.0") -> DataFrame:
+def score_requests(req: DataFrame, model: PipelineModel, version: str = S.MODEL_VERSION) -> DataFrame:
     """K7: validated requests scored in batch: AQI (rounded to 1), category from the unrounded
     value (H16), confidence (H17), model version; rejected requests keep their reasons."""
     v = validate_requests(req)

@@ -104,6 +104,20 @@ WEATHER_RENAMES = {"temperature_2m": "temp_c", "wind_speed_10m": "vent_kmh",
 REALTIME_RENAMES = {"nitrogen_dioxide": "no2", "temperature_2m": "temp_c",
                     "wind_speed_10m": "vent_kmh", "boundary_layer_height": "blh_m"}
 
+# Dashboard status labels of an exceedance flag (alert, otherwise).
+STATUS_ALERT = "🔴 OMS!"
+STATUS_OK = "🟢 OK"
+
+# Scoring request: accepted season text, value bounds (inclusive), confidence labels, version.
+SEASON_PATTERN = "^(winter|summer|monsoon|post_monsoon)$"
+REQUEST_PM_MAX = 999.0          # pm25 and pm10 upper bound
+REQUEST_HOUR_RANGE = (0, 23)
+REQUEST_DOW_RANGE = (0, 6)
+REQUEST_MONTH_RANGE = (1, 12)
+CONFIDENCE_HIGH = "high"
+CONFIDENCE_MEDIUM = "medium"
+MODEL_VERSION = "2.0.0"
+
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
