@@ -34,7 +34,11 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def configure_streaming(spark: SparkSession) -> None:
+    """RocksDB state (off-heap, spills to local disk instead of growing the JVM heap) with
+    changelog checkpointing: each micro-batch uploads only its state changes to the
+    checkpoint folder instead of state snapshots, which keeps commit time flat as state grows."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
