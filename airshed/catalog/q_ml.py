@@ -102,7 +102,7 @@ def k3_prophet_frame(spark, sf_dir):
 
 
 def _gbt(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         m, cols = ML.xgb_matrix(feature_table(spark, sf_dir))
         d = ser.chrono_split(ser.with_position(m, ["series_id"], ["datetime"]), ["series_id"], 0.8, "test_ceil")

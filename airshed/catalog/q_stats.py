@@ -23,7 +23,7 @@ _PROCESSED: dict = {}
 def feature_table(spark, sf_dir):
     """The processed feature table (E12 output, series key kept), as the EDA and the trainers
     read it: the batch pipeline writes it once to shared storage (A8), readers scan the file."""
-    key = (id(spark.sparkContext._jsc), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PROCESSED:
         path = shared_path(spark, "processed-features")
         FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir))).write.parquet(path)
