@@ -50,9 +50,11 @@ def with_position(df: DataFrame, series, order, bucket: Column | None = None) ->
     counts = d.groupBy(*series, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*series).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*series, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    d = join_derived_small(d, offsets, series + ["_bkt"], "inner")
+    # number rows inside each bucket first (the one shuffle of the rows), then add the bucket's
+    # offset: the rows are already partitioned by the join key, only the small side moves
     rn = F.row_number().over(Window.partitionBy(*series, "_bkt").orderBy(*order))
-    return d.withColumn(POS, (F.col("_off") + rn - 1).cast("long")).drop("_bkt", "_off")
+    d = join_derived_small(d.withColumn("_rn", rn), offsets, series + ["_bkt"], "inner")
+    return d.withColumn(POS, (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_bkt", "_off", "_rn")
 
 
 def series_sizes(df: DataFrame, series) -> DataFrame:
