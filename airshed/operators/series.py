@@ -206,16 +206,20 @@ def interpolate_linear(df: DataFrame, series, cols: list[str], limit: int = 3,
         *[F.max(valid(c)).alias(f"_last_{i}") for i, c in enumerate(cols)],
         *[F.min(valid(c)).alias(f"_first_{i}") for i, c in enumerate(cols)])
     carry = _carry_in_out(summary, series, len(cols), fanout)
-    d = join_derived_small(d, carry, series + [BLK], "inner")
 
-    # running frames only: the look-ahead is a running ``last`` in descending order, so both
-    # passes are O(n log n) per block (an unbounded-following frame would be O(n^2))
+    # within-block nearest valid values first (the one shuffle of the rows, on (series, block)),
+    # then the small carry table joins on the same key.  Running frames only: the look-ahead is
+    # a running ``last`` in descending order, so both passes are O(n log n) per block (an
+    # unbounded-following frame would be O(n^2))
     back = Window.partitionBy(*series, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy(*series, BLK).orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select("*", *[F.last(valid(c), ignorenulls=True).over(back).alias(f"_pv_{i}") for i, c in enumerate(cols)])
+    d = d.select("*", *[F.last(valid(c), ignorenulls=True).over(ahead).alias(f"_nv_{i}") for i, c in enumerate(cols)])
+    d = join_derived_small(d, carry, series + [BLK], "inner")
     outs = []
     for i, c in enumerate(cols):
-        prev = F.coalesce(F.last(valid(c), ignorenulls=True).over(back), F.col(f"_cin_{i}"))
-        nxt = F.coalesce(F.last(valid(c), ignorenulls=True).over(ahead), F.col(f"_cout_{i}"))
+        prev = F.coalesce(F.col(f"_pv_{i}"), F.col(f"_cin_{i}"))
+        nxt = F.coalesce(F.col(f"_nv_{i}"), F.col(f"_cout_{i}"))
         gap = (F.col(POS) - prev["p"]).cast("double")
         slope = (nxt["v"] - prev["v"]) / (nxt["p"] - prev["p"]).cast("double")
         filled = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
