@@ -112,3 +112,11 @@ def test_local_to_utc_nulls_skipped_and_repeated_wall_clocks(spark):
     assert out[3]["u"] == dt.datetime(2024, 10, 27, 2, 30)         # after the repeat, +01:00
     assert out[4]["u"] == dt.datetime(2024, 3, 31, 1, 0)           # first valid wall clock
     assert [r["k"] for r in out] == [t - dt.timedelta(hours=5, minutes=30) for (t,) in rows]
+
+
+def test_shared_paths_live_under_the_sessions_checkpoint_folder(spark):
+    from airshed.session import ensure_checkpoint_dir, shared_path
+    base = spark.sparkContext.getCheckpointDir()
+    assert base and ensure_checkpoint_dir(spark) == base          # the session's folder is kept
+    p1, p2 = shared_path(spark, "x"), shared_path(spark, "x")
+    assert p1.startswith(base.rstrip("/") + "/airshed/x-") and p1 != p2
