@@ -71,8 +71,22 @@ def get_spark(master: str | None = None, app_name: str = "airshed",
     return spark
 
 
+def ship_by_value() -> None:
+    """Pickle the library's functions by value when they run inside tasks.
+
+    The two Python steps that run on executors (the per-series partial autocorrelation in
+    ``applyInPandas`` and the streaming lag state) are module-level functions of this
+    package; by default they would be pickled by reference, and an executor whose Python
+    cannot import the package (nothing installed, another working folder) would fail.
+    """
+    import airshed
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(airshed)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings the library depends on to an existing session."""
+    ship_by_value()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     ensure_checkpoint_dir(spark)
