@@ -56,3 +56,22 @@ def e2_payloads_to_feature_table(spark, sf_dir):
     path = R.run_feature_build(spark, air, weather, shared_path(spark, "feature-build"))
     f = spark.read.parquet(path).drop("series_id")
     return f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
+
+
+EMPTY_AFTER = "2030-01-01 00:00:00"
+
+
+@register("a15_empty_payload_features", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + f"""
+SELECT *, {X.CALENDAR}, {X.lags_sql("pm2_5")} FROM merged_full WHERE datetime > TIMESTAMP '{EMPTY_AFTER}'""")
+def a15_empty_payload_features(spark, sf_dir):
+    """Feeds landed for a window after the data ends give empty payloads; reading them
+    yields schema-bearing empty frames and the realtime feature build runs on them."""
+    air, weather = feeds(spark, sf_dir)
+    after = F.col("datetime") > F.lit(EMPTY_AFTER).cast("timestamp_ntz")
+    paths = []
+    for df, cols, name in ((air, S.AIR_FEED_COLUMNS, "empty-air"), (weather, S.WEATHER_FEED_COLUMNS, "empty-weather")):
+        path = shared_path(spark, name)
+        JF.to_hourly_payloads(df.where(after), cols, keys=FE.SERIES).write.json(path)
+        paths.append(path)
+    a, w = R.read_feeds(spark, paths[0], paths[1])
+    return FE.realtime_features(a, w).drop("series_id")
