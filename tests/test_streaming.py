@@ -41,3 +41,38 @@ def test_lag_state_survives_restart_and_batches(spark, tmp_path):
     for name, k in (("pm2p5_lag_1h", 1), ("pm2p5_lag_2h", 2), ("pm2p5_lag_24h", 24)):
         want = exp.groupby("series_id")["pm2_5"].shift(k).to_numpy(dtype=float)
         np.testing.assert_allclose(got[name].to_numpy(dtype=float), want, equal_nan=True)
+
+
+def _readings(spark, times):
+    from airshed import schemas as S
+    rows = [(1, 10, "pm25", float(10 * (i + 1)), "u", t, t + dt.timedelta(minutes=330), 28.0, 77.0, "x")
+            for i, t in enumerate(times)]
+    return spark.createDataFrame(rows, S.MEASUREMENTS)
+
+
+def test_hourly_mart_stream_drops_late_rows_and_emits_each_window_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from airshed import schemas as S
+    ST.configure_streaming(spark)
+    landing, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    d0 = dt.datetime(2024, 1, 5)
+
+    def at(h, m):
+        return d0 + dt.timedelta(hours=h, minutes=m)
+
+    def run():
+        src = (spark.readStream.schema(S.MEASUREMENTS).option("maxFilesPerTrigger", 1).parquet(landing)
+               .withColumn("event_time", F.col("datetime_utc").cast("timestamp")))
+        q = (ST.hourly_mart_stream(src).writeStream.outputMode("append").format("parquet")
+             .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    _readings(spark, [at(0, 5), at(0, 20), at(1, 10), at(3, 15)]).coalesce(1).write.mode("append").parquet(landing)
+    run()                                                   # watermark 02:15: hours 00 and 01 final
+    first = {r["hour_utc"].hour: r["measurement_count"] for r in spark.read.parquet(out).collect()}
+    assert first == {0: 2, 1: 1}
+    # a late reading for hour 00 (behind the watermark) and one that moves the watermark to 04:45
+    _readings(spark, [at(0, 25), at(5, 45)]).coalesce(1).write.mode("append").parquet(landing)
+    run()
+    got = {r["hour_utc"].hour: r["measurement_count"] for r in spark.read.parquet(out).collect()}
+    assert got == {0: 2, 1: 1, 3: 1}                        # late row dropped, hour 05 still open
