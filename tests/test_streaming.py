@@ -91,3 +91,29 @@ def test_upsert_sink_is_idempotent_on_replay(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
     got = {r["datetime"].hour: r["v"] for r in ST.read_upserted(spark, path, ["datetime"], version="version").collect()}
     assert got == {0: 1.0, 1: 5.0}
+
+
+def test_latest_stream_keeps_newest_across_batches(spark, tmp_path):
+    from airshed import schemas as S
+    ST.configure_streaming(spark)
+    landing, table, ck = str(tmp_path / "in"), str(tmp_path / "latest"), str(tmp_path / "ck")
+    t0 = dt.datetime(2024, 1, 1)
+
+    def land(rows):
+        spark.createDataFrame([(1, 10, "pm25", v, "u", t0 + dt.timedelta(hours=h),
+                                t0 + dt.timedelta(hours=h, minutes=330), 28.0, 77.0, "x") for h, v in rows],
+                              S.MEASUREMENTS).coalesce(1).write.mode("append").parquet(landing)
+
+    def run():
+        src = spark.readStream.schema(S.MEASUREMENTS).option("maxFilesPerTrigger", 1).parquet(landing)
+        q = (ST.latest_stream(src).writeStream.outputMode("complete").foreachBatch(ST.overwrite_sink(table))
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    land([(10, 1.0)])
+    land([(12, 2.0)])
+    run()
+    land([(11, 3.0), (13, None)])        # an older reading arriving late, a newer NULL reading
+    run()
+    rows = spark.read.parquet(table).collect()
+    assert len(rows) == 1 and rows[0]["value"] == 2.0 and rows[0]["datetime_utc"].hour == 12
