@@ -117,3 +117,30 @@ def test_latest_stream_keeps_newest_across_batches(spark, tmp_path):
     run()
     rows = spark.read.parquet(table).collect()
     assert len(rows) == 1 and rows[0]["value"] == 2.0 and rows[0]["datetime_utc"].hour == 12
+
+
+def test_dedup_stream_drops_redelivery_in_a_later_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from airshed import schemas as S
+    ST.configure_streaming(spark)
+    landing, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    t0 = dt.datetime(2024, 1, 1, 10)
+
+    def land(rows, ingested):
+        spark.createDataFrame([(loc, 10, "pm25", v, "u", t0 + dt.timedelta(minutes=mi),
+                                t0 + dt.timedelta(minutes=mi + 330), 28.0, 77.0, ingested) for loc, mi, v in rows],
+                              S.MEASUREMENTS).coalesce(1).write.mode("append").parquet(landing)
+
+    def run():
+        src = (spark.readStream.schema(S.MEASUREMENTS).option("maxFilesPerTrigger", 1).parquet(landing)
+               .withColumn("event_time", F.col("datetime_utc").cast("timestamp")))
+        q = (ST.dedup_stream(src).writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    land([(1, 0, 1.0), (2, 5, 2.0)], "first")
+    run()
+    land([(1, 0, 9.0), (3, 20, 3.0)], "again")      # station 1 re-delivered within the watermark
+    run()
+    rows = {(r["location_id"], r["ingested_at"]) for r in spark.read.parquet(out).collect()}
+    assert rows == {(1, "first"), (2, "first"), (3, "again")}
