@@ -95,3 +95,57 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from airshed.llm import sp_chunks
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return sp_chunks.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
+@register("op3_simhash_gray")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, 2 bits."""
+    from airshed.llm import simhash_gray
+    return simhash_gray.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
+OP7_SQL = """
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+     w AS (SELECT doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS win FROM
+             (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM l WHERE len(ls) >= 3)),
+     o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS occurrence FROM w),
+     c AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM o WHERE occurrence > 1),
+     x AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM l),
+     k AS (SELECT x.doc_id, string_agg(line, chr(10) ORDER BY p) FILTER (WHERE c.p IS NULL) AS kept, count(c.p) AS gone
+           FROM x LEFT JOIN c USING (doc_id, p) GROUP BY x.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END AS text,
+       cast(coalesce(k.gone, 0) AS INTEGER) AS lines_removed
+FROM documents d LEFT JOIN k USING (doc_id)"""
+
+
+@register("op7_line_windows", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines under repeated three-line windows."""
+    from airshed.llm import line_windows
+    return line_windows.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op6_quality_bayes")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document; host: its source, path: its language within the source."""
+    from airshed.llm import quality_bayes
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_bayes.classify(docs, labels, "source", "lang", carry=["doc_id", "source", "lang"])
+
+
+@register("op9_toxicity_mil")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fold."""
+    from airshed.llm import toxicity_mil
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4
+    model = toxicity_mil.train(docs, labels.where(fold != 2))
+    return (toxicity_mil.score(docs, model, carry=["doc_id"])
+            .select("doc_id", (fold == 2).alias("held_out"), "score", "predicted", "offending"))
+
+
+@register("op1_prefix_forest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every embedding whose id is divisible by 20."""
+    from airshed.llm import ann_forest
+    return ann_forest.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
