@@ -1,8 +1,8 @@
 """Token ids of whole texts by a ``tokenizers`` file, with a bounded table of words seen.
 
 For a tokenizer that drops white space, text between two white spaces is encoded on its own, so a
-worker keeps the ids of words it has met and only encodes new ones.  New plain words (ASCII and
-Latin-1 letters) are cut into the pre-tokenizer's pieces and encoded many at a time; any other
+worker keeps the ids of words it has met and only encodes new ones.  A new plain word (ASCII and
+Latin-1 letters) is cut into the pre-tokenizer's pieces, which are words themselves; any other
 word (combining marks, other scripts, special-token text) goes to the library as it stands.
 A tokenizer of another build is applied to whole texts.
 """
@@ -12,16 +12,18 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+from array import array
 
 from airshed.llm.common import worker_cache
 
-#: Words and pieces kept per Python worker before the tables start anew (a memory bound).
-TABLE_WORDS = 500_000
+#: Words kept per Python worker before the table starts anew (a memory bound of some 200 MB).
+TABLE_WORDS = 1_000_000
 LETTERS = "a-zß-öø-ÿ"
 PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: Texts of plain words only, and a comma or full stop that shares its piece with another sign.
+PLAIN_TEXT = re.compile("[ \t\n\r!-~À-ÖØ-öø-ÿ]*")
+JOINED_SIGN = re.compile("[^A-Za-z0-9À-ÖØ-öø-ÿ \t\n\r][,.](?![^ \t\n\r])")
 #: White space for str.split() but not for the tokenizer.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: The build for which words are independent: fixed values to compare with.
@@ -29,6 +31,36 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level pre-tokenizer's letter for each byte: printable Latin-1 stands for itself, the
+    others follow from code point 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words(dict):
+    """word -> ids; a word that is missing is encoded when it is first looked up."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.tok, self.model, self.letters = tok, tok.model, byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if PLAIN.fullmatch(word) and "<|" not in word:
+            pieces = PIECE.findall(word.lower())
+            if len(pieces) > 1:
+                ids = b"".join([self[p] for p in pieces])
+            else:  # one piece: straight to the merges
+                p = pieces[0]
+                found = self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.letters))
+                ids = array("I", [t.id for t in found]).tobytes()
+        else:
+            ids = array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
@@ -44,57 +76,30 @@ class WordTokenizer:
             and parts[0].get("pattern") == {"Regex": SPLIT_PATTERN} and parts[0].get("behavior") == "Removed"
             and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1].get("use_regex")
             and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not model["dropout"])
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        for token, i in vocab.items():
-            self.ends[i] = token.endswith("</w>")
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        plain, split, lack = PLAIN.fullmatch, {}, {}
-        odd = []
-        for w in new:
-            if plain(w) and "<|" not in w:
-                split[w] = p = PIECE.findall(w.lower())
-                for x in p:
-                    if x not in self.pieces:
-                        lack[x] = None
-            else:
-                odd.append(w)
-        lack = list(lack)
-        for k in range(0, len(lack), 500):
-            block = lack[k:k + 500]
-            ids = np.asarray(self.tok.encode(" ".join(block), add_special_tokens=False).ids, "<u4")
-            stop = np.flatnonzero(self.ends[ids]) + 1  # each piece ends with its only end-of-word token
-            if len(stop) != len(block):
-                got = self._whole(block)
-            else:
-                got = [x.tobytes() for x in np.split(ids, stop[:-1])]
-            self.pieces.update(zip(block, got))
-        get = self.pieces.__getitem__
-        for w, p in split.items():
-            self.words[w] = b"".join(map(get, p))
-        if odd:
-            self.words.update(zip(odd, self._whole(odd)))
+        self.words = Words(self.tok)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def split(self, text: str) -> list[str] | None:
+        """Words of a text that are encoded independently of each other; None: only the whole text is right.
+
+        A plain text is lower-cased first, and a comma or full stop at the end of a word, which the
+        pre-tokenizer cuts off anyway, becomes a word: fewer distinct words are met.
+        """
+        if PLAIN_TEXT.fullmatch(text) and "<|" not in text and not JOINED_SIGN.search(text):
+            return text.lower().replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ").split()
+        return None if ODD_SPACE.search(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
-            return self._whole(texts)
-        for table in (self.words, self.pieces):
-            if len(table) > TABLE_WORDS:
-                table.clear()
-        split = [None if ODD_SPACE.search(t) else t.split() for t in texts]
-        words = self.words
-        new = list({w for ws in split if ws for w in ws if w not in words})
-        if new:
-            self._learn(new)
-        get = words.__getitem__
-        return [self._whole([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
+        if len(self.words) > TABLE_WORDS:
+            self.words.clear()
+        get, out = self.words.__getitem__, []
+        for t in texts:
+            words = self.split(t) if self.by_word else None
+            out.append(self._whole(t) if words is None else b"".join(map(get, words)))
+        return out
 
 
 def tokenizer(path: str) -> WordTokenizer:
