@@ -26,11 +26,11 @@ def _scaled_sql(c: str) -> str:
     return f"CAST({c} AS DOUBLE) * {scale} + (0.0 - min({c}) OVER () * {scale})"
 
 
-@register("k1_minmax_scale_lstm", X.FEATURES + "\nSELECT datetime, " + ", ".join(
+@register("k1_minmax_scale_lstm", X.FEATURES + "\nSELECT series_id, datetime, " + ", ".join(
     f"{_scaled_sql(c)} AS {c}" for c in LSTM_COLS) + " FROM features")
 def k1_minmax_scale_lstm(spark, sf_dir):
     """D20 + K1: LSTM columns min-max scaled (fitted on all rows, as the reference)."""
-    f = feature_table(spark, sf_dir).select("datetime", *LSTM_COLS)
+    f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
     params = ML.minmax_fit(f, LSTM_COLS)
     return ML.minmax_transform(f, params, LSTM_COLS)
 
@@ -42,30 +42,30 @@ def _train_scaled_sql() -> str:
         scale = f"(1.0 / CASE WHEN {c}__mx - {c}__mn = 0 THEN 1.0 ELSE {c}__mx - {c}__mn END)"
         cols.append(f"CAST({c} AS DOUBLE) * {scale} + (0.0 - {c}__mn * {scale}) AS {c}")
     return X.FEATURES + f""",
-sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY datetime) - 1 < floor(0.8 * count(*) OVER ())
+sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY series_id ORDER BY datetime) - 1 < floor(0.8 * count(*) OVER (PARTITION BY series_id))
                       THEN 'train' ELSE 'test' END AS split FROM features),
 fit AS (SELECT {fit} FROM sp WHERE split = 'train')
-SELECT datetime, split, {", ".join(cols)} FROM sp, fit"""
+SELECT series_id, datetime, split, {", ".join(cols)} FROM sp, fit"""
 
 
 @register("k1_minmax_scale_fit_on_train", _train_scaled_sql())
 def k1_minmax_scale_fit_on_train(spark, sf_dir):
     """K1 + E11 with decision Q14: scaler fitted on the first 80 % (no leak), applied to all rows."""
     f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
-    return ML.scale_inputs(f, LSTM_COLS, fit_on="train").select("datetime", "split", *LSTM_COLS)
+    return ML.scale_inputs(f, LSTM_COLS, fit_on="train").select("series_id", "datetime", "split", *LSTM_COLS)
 
 
 def _scaled_sequences_sql(window: int = 48) -> str:
     vec = ", ".join(LSTM_COLS)
     return X.FEATURES + f""",
-scaled AS (SELECT datetime, {", ".join(f"{_scaled_sql(c)} AS {c}" for c in LSTM_COLS)} FROM features),
-seq AS (SELECT row_number() OVER (ORDER BY datetime) - 1 AS pos,
-               list([{vec}]) OVER (ORDER BY datetime ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING) AS sequence,
+scaled AS (SELECT series_id, datetime, {", ".join(f"{_scaled_sql(c)} AS {c}" for c in LSTM_COLS)} FROM features),
+seq AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY datetime) - 1 AS pos,
+               list([{vec}]) OVER (PARTITION BY series_id ORDER BY datetime ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING) AS sequence,
                pm2p5 AS label
         FROM scaled),
-full_seq AS (SELECT pos - {window} AS position, sequence, label FROM seq WHERE len(sequence) = {window})
-SELECT position, sequence, label,
-       CASE WHEN position < floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split
+full_seq AS (SELECT series_id, pos - {window} AS position, sequence, label FROM seq WHERE len(sequence) = {window})
+SELECT series_id, position, sequence, label,
+       CASE WHEN position < floor(0.8 * count(*) OVER (PARTITION BY series_id)) THEN 'train' ELSE 'test' END AS split
 FROM full_seq"""
 
 
@@ -75,24 +75,24 @@ def e7_lstm_sequences_48_scaled(spark, sf_dir):
     columns, scaled pm2p5 of the next hour as label, 80/20 split of the sequences."""
     f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
     s = ML.lstm_sequences(f, LSTM_COLS, "pm2p5", 48)
-    return s.select(F.col(ser.POS).alias("position"), "sequence", "label", "split")
+    return s.select("series_id", F.col(ser.POS).alias("position"), "sequence", "label", "split")
 
 
-@register("k2_inverse_scale", X.FEATURES + "\nSELECT datetime, round(pm2p5, 9) AS pm2p5_restored FROM features")
+@register("k2_inverse_scale", X.FEATURES + "\nSELECT series_id, datetime, round(pm2p5, 9) AS pm2p5_restored FROM features")
 def k2_inverse_scale(spark, sf_dir):
     """K2: scaled target mapped back to the original unit."""
-    f = feature_table(spark, sf_dir).select("datetime", *LSTM_COLS)
+    f = feature_table(spark, sf_dir).select("series_id", "datetime", *LSTM_COLS)
     params = ML.minmax_fit(f, LSTM_COLS)
     scaled = ML.minmax_transform(f, params, LSTM_COLS)
-    return scaled.select("datetime", F.round(ML.minmax_inverse(F.col("pm2p5"), params, "pm2p5"), 9)
+    return scaled.select("series_id", "datetime", F.round(ML.minmax_inverse(F.col("pm2p5"), params, "pm2p5"), 9)
                          .alias("pm2p5_restored"))
 
 
-@register("k3_xgb_matrix", X.FEATURES + "\nSELECT datetime, " + ", ".join(XGB_COLS) + ", pm2p5 AS label FROM features")
+@register("k3_xgb_matrix", X.FEATURES + "\nSELECT series_id, datetime, " + ", ".join(XGB_COLS) + ", pm2p5 AS label FROM features")
 def k3_xgb_matrix(spark, sf_dir):
     """B6 + K3: model inputs (target, rolling means and time dropped) and label."""
     m, cols = ML.xgb_matrix(feature_table(spark, sf_dir))
-    return m.drop("series_id")
+    return m
 
 
 @register("k3_prophet_frame", X.FEATURES + "\nSELECT datetime AS ds, pm2p5 AS y, temp_c, vent_kmh, blh_m, no2 FROM features")

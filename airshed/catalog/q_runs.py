@@ -54,7 +54,7 @@ def e2_payloads_to_feature_table(spark, sf_dir):
     table partitioned by year/month, read back whole."""
     air, weather = land_payloads(spark, sf_dir)
     path = R.run_feature_build(spark, air, weather, shared_path(spark, "feature-build"))
-    f = spark.read.parquet(path).drop("series_id")
+    f = spark.read.parquet(path)
     return f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
 
 
@@ -74,4 +74,4 @@ def a15_empty_payload_features(spark, sf_dir):
         JF.to_hourly_payloads(df.where(after), cols, keys=FE.SERIES).write.json(path)
         paths.append(path)
     a, w = R.read_feeds(spark, paths[0], paths[1])
-    return FE.realtime_features(a, w).drop("series_id")
+    return FE.realtime_features(a, w)

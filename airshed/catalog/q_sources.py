@@ -76,7 +76,7 @@ SELECT *, CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEG
 FROM features WHERE year(datetime) = 2024 AND month(datetime) = 1""")
 def a8_partitioned_features(spark, sf_dir):
     """A8 + A7: feature table written partitioned by year/month, read with partition pruning."""
-    f = feature_table(spark, sf_dir).drop("series_id")
+    f = feature_table(spark, sf_dir)
     f = f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
     path = K.write_partitioned(f, shared_path(spark, "features-partitioned"))
     return K.read_partitioned(spark, path, 2024, 1)
@@ -89,7 +89,7 @@ def a9_json_hourly_air(spark, sf_dir):
     cols = ["pm2_5", "pm10", "nitrogen_dioxide"]
     path = shared_path(spark, "air-json")
     J.to_hourly_payloads(air, cols, keys=["series_id"]).write.mode("overwrite").json(path)
-    return J.read_hourly_payloads(spark, path, cols)
+    return J.read_hourly_payloads(spark, path, cols, keys=["series_id"])
 
 
 @register("a14_predictions_table")

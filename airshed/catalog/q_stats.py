@@ -141,75 +141,73 @@ def d17_daily_mean(spark, sf_dir):
 
 
 @register("b11_trailing_90_days", X.FEATURES + """
-SELECT datetime, pm2p5 FROM features WHERE datetime >= (SELECT max(datetime) FROM features) - INTERVAL 90 DAY""")
+SELECT series_id, datetime, pm2p5 FROM features WHERE datetime >= (SELECT max(datetime) FROM features) - INTERVAL 90 DAY""")
 def b11_trailing_90_days(spark, sf_dir):
     """Rows within 90 days of the latest timestamp."""
-    return ST.trailing_days(_f(spark, sf_dir), 90).select("datetime", "pm2p5")
+    return ST.trailing_days(feature_table(spark, sf_dir), 90).select("series_id", "datetime", "pm2p5")
 
 
-def _acf_sql(nlags: int = 72) -> str:
-    lags = ", ".join(f"lag(y, {k}) OVER (ORDER BY datetime) AS l{k}" for k in range(1, nlags + 1))
+def _lag_sums_sql(nlags: int) -> str:
+    """CTEs ``yv``, ``lagged`` and ``sums``: centred values and their lag products per series."""
+    lags = ", ".join(f"lag(y, {k}) OVER (PARTITION BY series_id ORDER BY datetime) AS l{k}" for k in range(1, nlags + 1))
     sums = ", ".join(["sum(y * y) AS s0"] + [f"sum(y * l{k}) AS s{k}" for k in range(1, nlags + 1)])
-    long = "\nUNION ALL\n".join(f"SELECT {k} AS lag, s{k} / s0 AS acf, n FROM sums" for k in range(nlags + 1))
-    return X.FEATURES + f""",
-yv AS (SELECT datetime, pm2p5 - (SELECT avg(pm2p5) FROM features WHERE pm2p5 IS NOT NULL) AS y
-       FROM features WHERE pm2p5 IS NOT NULL),
-lagged AS (SELECT y, {lags} FROM yv),
-sums AS (SELECT count(*) AS n, {sums} FROM lagged),
+    return f""",
+yv AS (SELECT series_id, datetime, pm2p5 - avg(pm2p5) OVER (PARTITION BY series_id) AS y FROM features WHERE pm2p5 IS NOT NULL),
+lagged AS (SELECT series_id, y, {lags} FROM yv),
+sums AS (SELECT series_id, count(*) AS n, {sums} FROM lagged GROUP BY series_id)"""
+
+
+def _acf_sql(nlags: int = 72) -> str:
+    long = "\nUNION ALL\n".join(f"SELECT series_id, {k} AS lag, s{k} / s0 AS acf, n FROM sums" for k in range(nlags + 1))
+    return X.FEATURES + _lag_sums_sql(nlags) + f""",
 acf AS ({long}),
 bounds AS (
-  SELECT lag, acf, CASE WHEN lag = 0 THEN 0.0 WHEN lag = 1 THEN 1.0 / n
-         ELSE (1.0 + 2.0 * (coalesce(sum(acf * acf) OVER (ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) - 1.0)) / n END AS var
+  SELECT series_id, lag, acf, CASE WHEN lag = 0 THEN 0.0 WHEN lag = 1 THEN 1.0 / n
+         ELSE (1.0 + 2.0 * (coalesce(sum(acf * acf) OVER (PARTITION BY series_id ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) - 1.0)) / n END AS var
   FROM acf)
-SELECT lag, round(acf, 9) AS acf, round(acf - {ST.Z95} * sqrt(var), 9) AS lo95,
+SELECT series_id, lag, round(acf, 9) AS acf, round(acf - {ST.Z95} * sqrt(var), 9) AS lo95,
        round(acf + {ST.Z95} * sqrt(var), 9) AS hi95 FROM bounds"""
 
 
 @register("e8_acf_72", _acf_sql(72))
 def e8_acf_72(spark, sf_dir):
-    """Autocorrelation of pm2p5 at lags 0..72 with Bartlett 95 % bounds (blocked lags)."""
-    return ST.acf(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72).drop("series_id")
+    """Autocorrelation of pm2p5 at lags 0..72 with Bartlett 95 % bounds (blocked lags), per series."""
+    return ST.acf(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72)
 
 
 def _pacf_sql(nlags: int = 72) -> str:
     """Durbin-Levinson as a recursive CTE over the autocovariance sums (lists are 1-based)."""
-    lags = ", ".join(f"lag(y, {k}) OVER (ORDER BY datetime) AS l{k}" for k in range(1, nlags + 1))
-    sums = ", ".join(["sum(y * y) AS s0"] + [f"sum(y * l{k}) AS s{k}" for k in range(1, nlags + 1)])
     rho = ", ".join(f"(s{k} / (n - {k})) / (s0 / (n - 0))" for k in range(nlags + 1))
     num = "(r[m + 2] - list_sum(list_transform(range(m), lambda j: phi[j + 1] * r[m - j + 1])))"
     den = "(1.0 - list_sum(list_transform(range(m), lambda j: phi[j + 1] * r[j + 2])))"
     pkk = f"({num} / {den})"
-    return "WITH RECURSIVE " + X.FEATURES[len("WITH "):] + f""",
-yv AS (SELECT datetime, pm2p5 - (SELECT avg(pm2p5) FROM features WHERE pm2p5 IS NOT NULL) AS y
-       FROM features WHERE pm2p5 IS NOT NULL),
-lagged AS (SELECT y, {lags} FROM yv),
-sums AS (SELECT count(*) AS n, {sums} FROM lagged),
-rho AS (SELECT n, [{rho}] AS r FROM sums),
-dl(m, phi, pkk, r, n) AS (
-  SELECT 1, [r[2]], r[2], r, n FROM rho
+    return "WITH RECURSIVE " + X.FEATURES[len("WITH "):] + _lag_sums_sql(nlags) + f""",
+rho AS (SELECT series_id, n, [{rho}] AS r FROM sums WHERE n > {nlags}),
+dl(series_id, m, phi, pkk, r, n) AS (
+  SELECT series_id, 1, [r[2]], r[2], r, n FROM rho
   UNION ALL
-  SELECT m + 1, list_transform(range(m), lambda j: phi[j + 1] - {pkk} * phi[m - j]) || [{pkk}], {pkk}, r, n
+  SELECT series_id, m + 1, list_transform(range(m), lambda j: phi[j + 1] - {pkk} * phi[m - j]) || [{pkk}], {pkk}, r, n
   FROM dl WHERE m < {nlags}
 )
-SELECT CAST(0 AS INTEGER) AS lag, CAST(1.0 AS DOUBLE) AS pacf, CAST(1.0 AS DOUBLE) AS lo95, CAST(1.0 AS DOUBLE) AS hi95
+SELECT series_id, CAST(0 AS INTEGER) AS lag, CAST(1.0 AS DOUBLE) AS pacf, CAST(1.0 AS DOUBLE) AS lo95, CAST(1.0 AS DOUBLE) AS hi95 FROM rho
 UNION ALL
-SELECT CAST(m AS INTEGER) AS lag, round(pkk, 9) AS pacf, round(pkk - {ST.Z95} / sqrt(n), 9) AS lo95,
+SELECT series_id, CAST(m AS INTEGER) AS lag, round(pkk, 9) AS pacf, round(pkk - {ST.Z95} / sqrt(n), 9) AS lo95,
        round(pkk + {ST.Z95} / sqrt(n), 9) AS hi95 FROM dl"""
 
 
 @register("e9_pacf_yw_72", _pacf_sql(72))
 def e9_pacf_yw_72(spark, sf_dir):
-    """Partial autocorrelation (Yule-Walker, adjusted) at lags 0..72; the oracle runs the
+    """Partial autocorrelation (Yule-Walker, adjusted) at lags 0..72 per series; the oracle runs the
     same recursion as a recursive CTE."""
-    return ST.pacf_yule_walker(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72).drop("series_id")
+    return ST.pacf_yule_walker(feature_table(spark, sf_dir), FE.SERIES, [FE.TIME], "pm2p5", 72)
 
 
 @register("f4_preview_5", X.FEATURES_RAW + """
-SELECT datetime, """ + ", ".join(
+SELECT series_id, datetime, """ + ", ".join(
     f"{X.spark_round(c, 2)} AS {c}" if c in
     ("pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h",
      "pm2p5_rolling_3h", "pm2p5_rolling_24h") else c for c in NUMERIC) + """
-FROM features ORDER BY datetime LIMIT 5""")
+FROM features ORDER BY datetime, series_id LIMIT 5""")
 def f4_preview_5(spark, sf_dir):
     """first 5 rows by time, floats rounded to 2 decimals."""
-    return ST.preview(_f(spark, sf_dir), "datetime", 5, 2)
+    return ST.preview(feature_table(spark, sf_dir), ["datetime", "series_id"], 5, 2)

@@ -18,13 +18,31 @@ from airshed.sources import driver_tables as D
 from airshed.streaming import jobs as ST
 
 
+def event_stream(spark, sf_dir, max_files: int | None = None):
+    """File stream over the ``events`` table, whether it is one file or a folder of part files
+    (fixed schema, no inference)."""
+    path = D.table_path(sf_dir, "events")
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    # as a glob (of the name itself): a file source accepts a plain path only if it is a folder
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+def measurement_stream(spark, sf_dir):
+    """Streaming measurements (FIXTURES M1) with ``event_time``: the UTC instant of
+    ``datetime_utc`` (watermarks need a zoned timestamp)."""
+    m = D.measurements_from_events(event_stream(spark, sf_dir))
+    return m.withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
+
+
 @register("i1_streaming_hourly_mart", X.MART_CHAIN + """
 SELECT * FROM mart
 WHERE hour_utc + INTERVAL 1 HOUR <= (SELECT max(datetime_utc) FROM stg WHERE is_valid AND value >= 0) - INTERVAL 1 HOUR""")
 def i1_streaming_hourly_mart(spark, sf_dir):
     """Hourly mart as 1-hour event-time windows with a 1-hour watermark (append mode):
     every window whose end the watermark has passed, exactly once."""
-    out = ST.run_to_parquet(spark, ST.hourly_mart_stream(ST.measurement_stream(spark, sf_dir)), "i1-mart")
+    out = ST.run_to_parquet(spark, ST.hourly_mart_stream(measurement_stream(spark, sf_dir)), "i1-mart")
     return spark.read.parquet(out)
 
 
@@ -32,7 +50,7 @@ def i1_streaming_hourly_mart(spark, sf_dir):
 def i2_streaming_latest(spark, sf_dir):
     """Latest reading per (station, parameter) as a stateful streaming aggregation."""
     path = shared_path(spark, "i2-latest")
-    ST.run_foreach_batch(spark, ST.latest_stream(ST.measurement_stream(spark, sf_dir)), "i2",
+    ST.run_foreach_batch(spark, ST.latest_stream(measurement_stream(spark, sf_dir)), "i2",
                          ST.overwrite_sink(path), mode="complete")
     return spark.read.parquet(path)
 
@@ -41,10 +59,10 @@ def i2_streaming_latest(spark, sf_dir):
 
 def _land_predictions(spark, sf_dir) -> str:
     """Land the old and the corrected predictions as day-partitioned files (two deliveries)."""
-    p = predictions(spark, sf_dir).drop("series_id")
+    p = predictions(spark, sf_dir)
     old = p.where(F.col("datetime") < F.lit(UPSERT_OLD_BEFORE).cast("timestamp_ntz")).withColumn("version", F.lit(0))
     new = (p.where(F.col("datetime") >= F.lit(UPSERT_NEW_FROM).cast("timestamp_ntz"))
-           .select("datetime", *[(F.col(c) + 1.0).alias(c) for c in ("pm25_observe", "pm25_xgboost", "pm25_cams")])
+           .select("series_id", "datetime", *[(F.col(c) + 1.0).alias(c) for c in ("pm25_observe", "pm25_xgboost", "pm25_cams")])
            .withColumn("depasse_oms", F.col("pm25_xgboost") > 15.0).withColumn("version", F.lit(1)))
     path = shared_path(spark, "i3-landing")
     for batch in (old, new):
@@ -62,12 +80,13 @@ def i3_streaming_upsert_sink(spark, sf_dir):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(landing)
     table = shared_path(spark, "i3-table")
     ST.run_foreach_batch(spark, stream.drop("day"), "i3", ST.upsert_sink(table), mode="append")
-    return ST.read_upserted(spark, table, ["datetime"], version="version").drop("version")
+    return ST.read_upserted(spark, table, ["series_id", "datetime"], version="version").drop("version")
 
 
 @register("i4_streaming_lags", "WITH " + X.AIR + """
-SELECT CAST(1 AS BIGINT) AS series_id, datetime, pm2_5, lag(pm2_5, 1) OVER (ORDER BY datetime) AS pm2p5_lag_1h,
-       lag(pm2_5, 2) OVER (ORDER BY datetime) AS pm2p5_lag_2h, lag(pm2_5, 24) OVER (ORDER BY datetime) AS pm2p5_lag_24h
+SELECT series_id, datetime, pm2_5, lag(pm2_5, 1) OVER (PARTITION BY series_id ORDER BY datetime) AS pm2p5_lag_1h,
+       lag(pm2_5, 2) OVER (PARTITION BY series_id ORDER BY datetime) AS pm2p5_lag_2h,
+       lag(pm2_5, 24) OVER (PARTITION BY series_id ORDER BY datetime) AS pm2p5_lag_24h, false AS late
 FROM air""")
 def i4_streaming_lags(spark, sf_dir):
     """I4: lags 1/2/24 of pm2_5 from per-series streaming state (last 24 readings)."""
@@ -83,8 +102,8 @@ def i4_streaming_lags(spark, sf_dir):
 @register("i5_streaming_dedup", X.WITH_M1 + "\nSELECT DISTINCT location_id, parameter, datetime_utc FROM m1")
 def i5_streaming_dedup(spark, sf_dir):
     """Re-delivered measurements dropped within the watermark; one row per declared key."""
-    m = ST.measurement_stream(spark, sf_dir)
-    ev = ST.event_stream(spark, sf_dir)
+    m = measurement_stream(spark, sf_dir)
+    ev = event_stream(spark, sf_dir)
     re = (D.measurements_from_events(ev.where(F.col("event_id") % 7 == 0))
           .withColumn("ingested_at", F.lit(D.REINGESTED_AT))
           .withColumn("event_time", F.col("datetime_utc").cast("timestamp")))

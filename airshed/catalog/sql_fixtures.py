@@ -97,41 +97,44 @@ WITH_M1 = "WITH " + M1
 WITH_STG = "WITH " + ",".join([M1, STAGING])
 MART_CHAIN = "WITH " + ",".join([M1, STAGING, PIVOT, MART])
 
-# Hourly feeds (M2).
-AIR = """
+# Hourly feeds (M2): every third user is series 0, the others 50 users each; a month apart.
+SERIES_EVENTS = """(SELECT *, CAST(CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id // 50 + 1 END AS BIGINT) AS series_id FROM events)"""
+FEED_HOUR = "CAST(date_trunc('hour', ts + to_days(CAST(30 * (series_id % 12) AS INTEGER))) AS TIMESTAMP)"
+
+AIR = f"""
 air AS (
-  SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime,
+  SELECT {FEED_HOUR} AS datetime, series_id,
          avg(CASE WHEN event_type = 'click' THEN value END) AS pm2_5,
          avg(CASE WHEN event_type = 'view' THEN value END) AS pm10,
          avg(CASE WHEN event_type = 'purchase' THEN value END) AS nitrogen_dioxide
-  FROM events WHERE event_type IN ('click', 'view', 'purchase')
-  GROUP BY 1
+  FROM {SERIES_EVENTS} WHERE event_type IN ('click', 'view', 'purchase')
+  GROUP BY 1, 2
 )"""
 
-WEATHER = """
+WEATHER = f"""
 weather AS (
-  SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime,
+  SELECT {FEED_HOUR} AS datetime, series_id,
          avg(CASE WHEN event_type = 'signup' THEN value END) AS temperature_2m,
          avg(CASE WHEN event_type = 'error' THEN value END) AS wind_speed_10m,
          avg(value) AS boundary_layer_height
-  FROM events WHERE event_type IN ('signup', 'error')
-  GROUP BY 1
+  FROM {SERIES_EVENTS} WHERE event_type IN ('signup', 'error')
+  GROUP BY 1, 2
 )"""
 
 # ---- hourly series (M2) in DuckDB, whole-series windows -----------------------
 
 MERGED_INNER = """
 merged AS (
-  SELECT a.datetime, a.pm2_5 AS pm2p5, a.pm10, a.nitrogen_dioxide AS no2,
+  SELECT a.series_id, a.datetime, a.pm2_5 AS pm2p5, a.pm10, a.nitrogen_dioxide AS no2,
          w.temperature_2m AS temp_c, w.wind_speed_10m AS vent_kmh, w.boundary_layer_height AS blh_m
-  FROM air a JOIN weather w ON a.datetime = w.datetime
+  FROM air a JOIN weather w ON a.datetime = w.datetime AND a.series_id = w.series_id
 )"""
 
 MERGED_FULL = """
 merged_full AS (
-  SELECT coalesce(a.datetime, w.datetime) AS datetime, a.pm2_5, a.pm10, a.nitrogen_dioxide AS no2,
+  SELECT coalesce(a.series_id, w.series_id) AS series_id, coalesce(a.datetime, w.datetime) AS datetime, a.pm2_5, a.pm10, a.nitrogen_dioxide AS no2,
          w.temperature_2m AS temp_c, w.wind_speed_10m AS vent_kmh, w.boundary_layer_height AS blh_m
-  FROM air a FULL OUTER JOIN weather w ON a.datetime = w.datetime
+  FROM air a FULL OUTER JOIN weather w ON a.datetime = w.datetime AND a.series_id = w.series_id
 )"""
 
 INTERP_COLS = ["pm10", "no2", "temp_c", "vent_kmh", "blh_m"]
@@ -140,8 +143,8 @@ INTERP_COLS = ["pm10", "no2", "temp_c", "vent_kmh", "blh_m"]
 def interp_sql(src: str, name: str, cols=None, limit: int = 3) -> str:
     """CTEs ``{name}`` = pandas-style linear interpolation (limit) by position of ``src``."""
     cols = cols or INTERP_COLS
-    back = "OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    ahead = "OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    back = "OVER (PARTITION BY series_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = "OVER (PARTITION BY series_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
     parts = []
     for c in cols:
         parts.append(f"max(CASE WHEN {c} IS NOT NULL THEN pos END) {back} AS {c}_pp, "
@@ -155,9 +158,9 @@ def interp_sql(src: str, name: str, cols=None, limit: int = 3) -> str:
                     f"ELSE ({c}_nv - {c}_pv) / CAST({c}_np - {c}_pp AS DOUBLE) * CAST(pos - {c}_pp AS DOUBLE)"
                     f" + {c}_pv END AS {c}")
     return f"""
-{name}_pos AS (SELECT *, row_number() OVER (ORDER BY datetime) - 1 AS pos FROM {src}),
+{name}_pos AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY datetime) - 1 AS pos FROM {src}),
 {name}_w AS (SELECT *, {", ".join(parts)} FROM {name}_pos),
-{name} AS (SELECT datetime, pm2p5, {", ".join(outs)} FROM {name}_w)"""
+{name} AS (SELECT series_id, datetime, pm2p5, {", ".join(outs)} FROM {name}_w)"""
 
 
 CALENDAR = """CAST(hour(datetime) AS INTEGER) AS heure, CAST(isodow(datetime) - 1 AS INTEGER) AS jour_semaine,
@@ -165,13 +168,13 @@ CALENDAR = """CAST(hour(datetime) AS INTEGER) AS heure, CAST(isodow(datetime) -
 
 
 def lags_sql(target: str) -> str:
-    return ", ".join(f"lag({target}, {k}) OVER (ORDER BY datetime) AS pm2p5_lag_{k}h" for k in (1, 2, 24))
+    return ", ".join(f"lag({target}, {k}) OVER (PARTITION BY series_id ORDER BY datetime) AS pm2p5_lag_{k}h" for k in (1, 2, 24))
 
 
 def rolling_sql(target: str, digits: int | None = 9) -> str:
     out = []
     for n in (3, 24):
-        f = f"OVER (ORDER BY datetime ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        f = f"OVER (PARTITION BY series_id ORDER BY datetime ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
         e = f"CASE WHEN count({target}) {f} = {n} THEN avg({target}) {f} END"
         out.append(f"{e if digits is None else f'round({e}, {digits})'} AS pm2p5_rolling_{n}h")
     return ", ".join(out)

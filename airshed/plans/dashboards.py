@@ -19,39 +19,43 @@ def trailing(pred: DataFrame, asof: Column, hours: int = 48, t: str = "datetime"
     return pred.where(F.col(t) >= asof - F.make_dt_interval(F.lit(0), F.lit(hours)))
 
 
-def latest_values(pred: DataFrame, t: str = "datetime") -> DataFrame:
-    """E4 global + K10 stat/gauge panels: newest observed, model and forecast values, gauge band."""
-    row = pred.agg(F.max_by(F.struct("pm25_observe", "pm25_xgboost", "pm25_cams"), F.col(t)).alias("r"),
+SERIES = ("series_id",)
+
+
+def latest_values(pred: DataFrame, t: str = "datetime", series=SERIES) -> DataFrame:
+    """E4 + K10 stat/gauge panels: each series' newest observed, model and forecast values, gauge band."""
+    row = pred.groupBy(*series).agg(F.max_by(F.struct("pm25_observe", "pm25_xgboost", "pm25_cams"), F.col(t)).alias("r"),
                    F.max(t).alias(t))
-    return row.select(t, "r.pm25_observe", "r.pm25_xgboost", "r.pm25_cams",
+    return row.select(*series, t, "r.pm25_observe", "r.pm25_xgboost", "r.pm25_cams",
                       A.pm25_band(F.col("r.pm25_observe")).alias("gauge_band"))
 
 
-def exceedances(pred: DataFrame, asof: Column, hours: int = 48) -> DataFrame:
-    """Number of exceedance flags in the trailing window."""
-    return trailing(pred, asof, hours).agg(F.count_if(F.col("depasse_oms")).alias("exceedances"))
+def exceedances(pred: DataFrame, asof: Column, hours: int = 48, series=SERIES) -> DataFrame:
+    """Each series' number of exceedance flags in the trailing window."""
+    return trailing(pred, asof, hours).groupBy(*series).agg(F.count_if(F.col("depasse_oms")).alias("exceedances"))
 
 
-def benchmark(pred: DataFrame, asof: Column, hours: int = 48) -> DataFrame:
+def benchmark(pred: DataFrame, asof: Column, hours: int = 48, series=SERIES) -> DataFrame:
     """K9/F2: observed vs model vs forecast over the trailing window, oldest first."""
     return (trailing(pred, asof, hours)
-            .select(F.col("datetime").alias("time"), "pm25_observe", "pm25_xgboost", "pm25_cams")
-            .orderBy("time"))
+            .select(*series, F.col("datetime").alias("time"), "pm25_observe", "pm25_xgboost", "pm25_cams")
+            .orderBy("time", *series))
 
 
-def abs_errors(pred: DataFrame, asof: Column, hours: int = 48) -> DataFrame:
+def abs_errors(pred: DataFrame, asof: Column, hours: int = 48, series=SERIES) -> DataFrame:
     """Absolute errors of model and forecast over the trailing window."""
     return (trailing(pred, asof, hours)
-            .select(F.col("datetime").alias("time"),
+            .select(*series, F.col("datetime").alias("time"),
                     abs_error("pm25_observe", "pm25_xgboost").alias("error_xgboost"),
                     abs_error("pm25_observe", "pm25_cams").alias("error_cams"))
-            .orderBy("time"))
+            .orderBy("time", *series))
 
 
-def history(pred: DataFrame, n: int = 20) -> DataFrame:
-    """F1 + H23: newest ``n`` predictions with gap and status label (top-k, no full sort)."""
-    return (pred.orderBy(F.col("datetime").desc()).limit(n)
-            .select("datetime", "pm25_observe", "pm25_xgboost", "pm25_cams",
+def history(pred: DataFrame, n: int = 20, series=SERIES) -> DataFrame:
+    """F1 + H23: newest ``n`` predictions with gap and status label (top-k, no full sort); ties in
+    time go by series."""
+    return (pred.orderBy(F.col("datetime").desc(), *series).limit(n)
+            .select(*series, "datetime", "pm25_observe", "pm25_xgboost", "pm25_cams",
                     abs_error("pm25_observe", "pm25_xgboost").alias("gap_xgboost"),
                     A.status_label("depasse_oms").alias("status")))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed import schemas as S
@@ -11,16 +11,24 @@ from airshed.plans import features as FE
 
 
 def latest_window(feed: DataFrame, asof: Column, hours: int = 48) -> DataFrame:
-    """B8 + E5: rows at or before ``asof`` (already floored to the hour), last ``hours`` by position."""
-    d = ser.with_position(feed.where(F.col(FE.TIME) <= asof), FE.SERIES, [FE.TIME])
-    return ser.last_n(d, FE.SERIES, hours).drop(ser.POS)
+    """B8 + E5: rows at or before ``asof`` (already floored to the hour), each series' last ``hours``.
+
+    A bounded ``row_number``: every task cuts each of its series to ``hours`` rows before the only
+    shuffle (WindowGroupLimit), so a long series never meets in one task.
+    """
+    return _first_rows(feed.where(F.col(FE.TIME) <= asof), F.col(FE.TIME).desc(), hours)
+
+
+def _first_rows(feed: DataFrame, order: Column, n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*FE.SERIES).orderBy(order))
+    return feed.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
 def forecast_head(feed: DataFrame, asof: Column, hours: int = 24, value: str = "pm2_5",
                   out: str = "pm2_5_cams") -> DataFrame:
-    """B9 + E6: rows strictly after ``asof``, first ``hours`` by position, value renamed."""
-    d = ser.with_position(feed.where(F.col(FE.TIME) > asof), FE.SERIES, [FE.TIME])
-    return ser.first_n(d, hours).select(*FE.SERIES, FE.TIME, F.col(value).alias(out))
+    """B9 + E6: rows strictly after ``asof``, each series' first ``hours``, value renamed."""
+    d = _first_rows(feed.where(F.col(FE.TIME) > asof), F.col(FE.TIME).asc(), hours)
+    return d.select(*FE.SERIES, FE.TIME, F.col(value).alias(out))
 
 
 def persistence_predictions(air: DataFrame, block_rows: int = ser.DEFAULT_BLOCK_ROWS) -> DataFrame:

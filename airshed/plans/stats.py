@@ -55,22 +55,23 @@ def mean_by(df: DataFrame, key: str, target: str = "pm2p5") -> DataFrame:
 # ---- exact quantiles by histogram narrowing ---------------------------------
 
 def order_statistics(df: DataFrame, col: str, ks: list[int], buckets: int = 1024,
-                     small: int = 50_000, max_passes: int = 64) -> dict[int, float | None]:
+                     max_passes: int = 1100) -> dict[int, float | None]:
     """Exact k-th smallest (0-based) non-NULL values of ``col`` for several ranks at once.
 
-    Each pass counts the values inside the current range per equal-width bucket (one
-    distributed aggregation, at most ``buckets`` rows back to the driver), keeps the bucket
-    holding each rank and narrows that rank's range to the bucket's own min/max.  A rank is
-    settled when its range holds one distinct value (a value repeated in a third of all rows
-    is settled in one pass) or at most ``small`` rows, which are then read sorted (bounded).
+    Each pass is ONE distributed aggregation for all ranks: the values inside each rank's current
+    range are counted per equal-width bucket (at most ``buckets`` rows per rank reach the
+    driver); the bucket that holds the rank, narrowed to its own min/max, is the next range.
+    A rank is settled when its range holds one distinct value, so a value repeated in a third
+    of all rows settles at once.  A range loses at least one distinct value per pass and shrinks
+    about ``buckets``-fold; if ``max_passes`` were ever not enough it raises, it never guesses.
     The input should be materialised: every pass scans it.
     """
-    v = F.col(col)
-    base = df.where(v.isNotNull()).select(v.cast("double").alias("v"))
+    v = F.col("v")
+    base = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
     lo, hi = base.agg(F.min("v"), F.max("v")).first()
-    out: dict[int, float | None] = {}
     if lo is None:
         return {k: None for k in ks}
+    out: dict[int, float | None] = {}
     todo = {k: (lo, hi, 0) for k in sorted(set(ks))}      # rank -> (range lo, range hi, rows below)
     for _ in range(max_passes):
         for k, (a, b, _) in list(todo.items()):
@@ -78,36 +79,33 @@ def order_statistics(df: DataFrame, col: str, ks: list[int], buckets: int = 1024
                 out[k] = float(a)
                 del todo[k]
         if not todo:
-            break
-        ranges = sorted({(a, b, below) for a, b, below in todo.values()})
-        for a, b, below in ranges:
-            part = base.where((F.col("v") >= a) & (F.col("v") <= b))
-            width = (b - a) / buckets
-            bk = F.least(F.floor((F.col("v") - F.lit(a)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-            rows = (part.groupBy(bk.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                    .orderBy("b").collect())
-            for k, rng in list(todo.items()):
-                if rng != (a, b, below):
+            return out
+        ranges = sorted(set(todo.values()))               # disjoint: each value lies in one at most
+        which, bucket = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (a, b, _) in reversed(list(enumerate(ranges))):
+            inside = (v >= a) & (v <= b)
+            width = b / buckets - a / buckets              # b - a may overflow
+            pos = (F.least(F.floor(v / F.lit(width) - F.lit(a / width)), F.lit(buckets - 1)) if width > 0 and math.isfinite(a / width)
+                   else F.when(v == a, 0).otherwise(1))
+            which = F.when(inside, F.lit(i)).otherwise(which)
+            # the ends get buckets of their own, so rounding cannot keep a range as it is
+            bucket = F.when(inside, F.when(v == a, -1).when(v == b, buckets).otherwise(pos).cast("int")).otherwise(bucket)
+        rows = (base.select(which.alias("r"), bucket.alias("b"), "v").where(F.col("r").isNotNull())
+                .groupBy("r", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                .orderBy("r", "b").collect())
+        for k, rng in list(todo.items()):
+            acc = rng[2]
+            for r in rows:
+                if ranges[r["r"]] != rng:
                     continue
-                acc = below
-                for r in rows:
-                    if acc + r["n"] > k:
-                        if r["n"] <= small and r["mn"] != r["mx"]:
-                            vals = (part.where((F.col("v") >= r["mn"]) & (F.col("v") <= r["mx"]))
-                                    .orderBy("v").limit(k - acc + 1).collect())
-                            out[k] = float(vals[k - acc]["v"])
-                            del todo[k]
-                        else:
-                            todo[k] = (r["mn"], r["mx"], acc)
-                        break
-                    acc += r["n"]
-                else:
-                    out[k] = None
-                    del todo[k]
-    for k, (a, _, _) in todo.items():
-        out[k] = float(a)
-    return out
+                if acc + r["n"] > k:
+                    todo[k] = (r["mn"], r["mx"], acc)
+                    break
+                acc += r["n"]
+            else:                                          # a rank beyond the number of values
+                out[k] = None
+                del todo[k]
+    raise RuntimeError(f"order statistics not settled after {max_passes} passes: {todo}")
 
 
 def order_statistic(df: DataFrame, col: str, k: int, **kw) -> float | None:
@@ -357,8 +355,8 @@ def pacf_yule_walker(df: DataFrame, series, order, col: str = "pm2p5", nlags: in
     return out.select(*series, "lag", *[_r(F.col(c)).alias(c) for c in ("pacf", "lo95", "hi95")])
 
 
-def preview(df: DataFrame, order: str = "datetime", n: int = 5, digits: int = 2) -> DataFrame:
-    """first ``n`` rows by time with floating columns rounded to ``digits``."""
+def preview(df: DataFrame, order="datetime", n: int = 5, digits: int = 2) -> DataFrame:
+    """first ``n`` rows by ``order`` (time, then a key that breaks ties) with floating columns rounded to ``digits``."""
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     top = df.orderBy(order).limit(n)
     return top.select(*[F.round(c, digits).alias(c) if c in floats else F.col(c) for c in df.columns])
@@ -384,7 +382,7 @@ def eda_report(features: DataFrame, target: str = "pm2p5", series=("series_id",)
         "describe": describe(plain, target),
         "daily_mean": daily_mean(plain, t, target),
         "histogram": histogram(plain, target, 60),
-        "recent_90_days": trailing_days(plain, 90, t).select(t, target),
+        "recent_90_days": trailing_days(base, 90, t).select(*series, t, target),
         "by_hour": mean_std_by(plain, "heure", target),
         "by_weekday": mean_by_weekday(plain, "jour_semaine", target),
         "by_month": mean_by(plain, "mois", target),
@@ -392,5 +390,5 @@ def eda_report(features: DataFrame, target: str = "pm2p5", series=("series_id",)
         "corr_matrix": corr_matrix_top(plain, target, numeric, 15),
         "acf": acf(base, series, [t], target, nlags),
         "pacf": pacf_yule_walker(base, series, [t], target, nlags),
-        "preview": preview(plain, t, 5, 2),
+        "preview": preview(base, [t, *series], 5, 2),
     }

@@ -15,10 +15,20 @@ from airshed.functions.misc import split_pipe, text_to_bool
 
 
 def read_csv_text(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A1: header CSV, every column as text.  An unquoted empty field reads as NULL, a
-    quoted empty one (``""``) as the empty string."""
-    return (spark.read.option("header", True).option("nullValue", "\u0000")
-            .option("emptyValue", "").schema(S.all_string(schema)).csv(path))
+    """A1: header CSV, every column as text, taken BY NAME: the order of the file's columns does
+    not matter, further columns are ignored, and a missing one raises.
+
+    ``enforceSchema=false`` makes Spark compare every file's header with the first file's, so a
+    folder of files in different column orders fails instead of mixing columns.  An unquoted
+    empty field reads as NULL, a quoted empty one (``""``) as the empty string.
+    """
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
+           .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
+    have = {c.strip().lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in have]
+    if missing:
+        raise ValueError(f"{path}: the header has no column {', '.join(missing)}")
+    return raw.select(*[F.col(f"`{have[f.name.lower()]}`").alias(f.name) for f in schema.fields])
 
 
 def _num(c: str, kind: str, strict: bool) -> Column:

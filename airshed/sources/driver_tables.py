@@ -110,41 +110,34 @@ def stations_from_measurements(m: DataFrame) -> DataFrame:
     )
 
 
-def _hour_means(ev: DataFrame, outputs: list[tuple[str, str | None]]) -> DataFrame:
-    aggs = []
-    for name, et in outputs:
-        v = F.col("value") if et is None else F.when(F.col("event_type") == et, F.col("value"))
-        aggs.append(F.avg(v).alias(name))
-    return ev.groupBy(cal.floor_hour("ts").alias("datetime")).agg(*aggs)
+#: Users of one series of the hourly feeds (fixture choice); every third user belongs to series 0.
+USERS_PER_SERIES = 50
 
 
-AIR_SOURCES = [("pm2_5", "click"), ("pm10", "view"), ("nitrogen_dioxide", "purchase")]
-WEATHER_SOURCES = [("temperature_2m", "signup"), ("wind_speed_10m", "error"),
-                   ("boundary_layer_height", None)]
+def series_of(user: Column) -> Column:
+    """FIXTURES M2: the series of an event's user.  Series 0 holds a third of all users (a hot
+    series); the others hold the rest of ``USERS_PER_SERIES`` consecutive users each."""
+    return F.when(user % 3 == 0, F.lit(0)).otherwise(F.floor(user / USERS_PER_SERIES) + 1).cast("long")
 
 
-def hourly_air(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FIXTURES M2 air feed: hours with an air-type event, mean value per type."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
-    ev = ev.where(F.col("event_type").isin([et for _, et in AIR_SOURCES]))
-    return _hour_means(ev, AIR_SOURCES)
+def feed_hour() -> Column:
+    """FIXTURES M2: the hour of ``ts``, a month later for each next series, so the feeds cover a year."""
+    return cal.floor_hour(F.col("ts") + F.make_dt_interval((F.lit(30) * (F.col("series_id") % 12)).cast("int")))
 
 
-def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FIXTURES M2 weather feed: hours with a weather-type event, mean value per type."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
-    ev = ev.where(F.col("event_type").isin(["signup", "error"]))
-    return _hour_means(ev, WEATHER_SOURCES)
+AIR_SOURCES = [("pm2_5", "click"), ("pm10", "view"), ("nitrogen_dioxide", "purchase")]
+WEATHER_SOURCES = [("temperature_2m", "signup"), ("wind_speed_10m", "error"),
+                   ("boundary_layer_height", None)]
 
 
 def hourly_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both M2 feeds from ONE aggregation over ``events``: per hour, the six feed means and
+    """Both M2 feeds from ONE aggregation over ``events``: per series and hour, the six feed means and
     the number of air-type and weather-type events (``_n_air``, ``_n_weather``).
 
     ``split_feeds`` then projects the air and weather feeds from it, so the raw table is
     scanned once instead of twice.
     """
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"]).withColumn("series_id", series_of(F.col("user_id")))
     air_types = [et for _, et in AIR_SOURCES]
     weather_types = ["signup", "error"]
     et = F.col("event_type")
@@ -154,7 +147,7 @@ def hourly_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         aggs.append(F.avg(F.when(cond, F.col("value"))).alias(name))
     aggs += [F.count_if(et.isin(air_types)).alias("_n_air"), F.count_if(et.isin(weather_types)).alias("_n_weather")]
     return (ev.where(et.isin(air_types + weather_types))
-            .groupBy(cal.floor_hour("ts").alias("datetime")).agg(*aggs))
+            .groupBy("series_id", feed_hour().alias("datetime")).agg(*aggs))
 
 
 def split_feeds(hourly: DataFrame, keys=()) -> tuple[DataFrame, DataFrame]:
@@ -164,8 +157,3 @@ def split_feeds(hourly: DataFrame, keys=()) -> tuple[DataFrame, DataFrame]:
     air = hourly.where(F.col("_n_air") > 0).select("datetime", *[n for n, _ in AIR_SOURCES], *keys)
     weather = hourly.where(F.col("_n_weather") > 0).select("datetime", *[n for n, _ in WEATHER_SOURCES], *keys)
     return air, weather
-
-
-def with_series(df: DataFrame, series_id: int = 1) -> DataFrame:
-    """Tag a single-city feed with its series key (all ordered operators partition by it)."""
-    return df.withColumn("series_id", F.lit(series_id).cast("long"))

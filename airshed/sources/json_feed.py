@@ -15,23 +15,62 @@ from pyspark.sql import types as T
 from airshed import schemas as S
 
 
-def read_hourly_payloads(spark: SparkSession, path: str, columns: list[str], keys=()) -> DataFrame:
-    """Columnar payloads -> one row per hour (``datetime`` + value columns).
+def parse_documents(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON documents of all files below ``path``, one per line or one pretty-printed per file.
+
+    Returns (documents with column ``d``, rejected with ``file``, ``text``): every line that is not
+    blank is in exactly one of the two, or part of a document that spans its file.  Only files with
+    an unreadable line are read a second time, as a whole (one document per file).
+    """
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parse = lambda c: F.from_json(c, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    lines = (spark.read.text(path).where(F.trim("value") != "")
+             .select(F.col("_metadata.file_path").alias("file"), "value", parse(F.col("value")).alias("d")))
+    bad = (F.col("d").isNull()) | F.col("d._bad").isNotNull()
+    broken = lines.where(bad).select("file").distinct()
+    whole = (spark.read.option("wholetext", True).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), "value").join(broken, "file", "left_semi")
+             .select("file", parse(F.col("value")).alias("d")).where(~bad))
+    spans = whole.select("file")
+    single = lines.join(spans, "file", "left_anti")
+    documents = single.where(~bad).select("d").unionByName(whole.select("d"))
+    return documents.select(F.col("d").dropFields("_bad").alias("d")), single.where(bad).select("file", F.col("value").alias("text"))
+
+
+def reject_or_raise(rejected: DataFrame, path: str, on_bad: str) -> None:
+    """``on_bad="fail"``: raise if any document could not be read; ``"drop"``: the caller has looked
+    at the rejected documents itself."""
+    if on_bad not in ("fail", "drop"):
+        raise ValueError("on_bad must be fail or drop")
+    if on_bad == "fail" and (n := rejected.count()):
+        raise ValueError(f"{path}: {n} unreadable JSON documents, the first: {rejected.first()['text'][:120]!r}")
+
+
+def hourly_payloads(spark: SparkSession, path: str, columns: list[str], keys=()) -> tuple[DataFrame, DataFrame]:
+    """Columnar payloads -> (one row per hour: ``datetime`` + value columns; rejected documents).
 
     ``keys`` are top-level long columns of each payload (e.g. ``series_id``) carried to every
-    row.  An empty payload (no ``hourly`` block or empty arrays) yields no rows, with the
-    schema kept (A15).
+    row.  An empty payload (no ``hourly`` block or empty arrays) is readable and yields no rows,
+    with the schema kept (A15); an unreadable one is rejected.
     """
     keys = list(keys)
     schema = S.hourly_payload_schema(columns)
     for k in keys:
         schema = schema.add(k, T.LongType())
-    raw = spark.read.schema(schema).option("multiLine", False).json(path)
+    documents, rejected = parse_documents(spark, path, schema)
+    raw = documents.select("d.*")
     h = F.col("hourly")
     zipped = F.arrays_zip(*[h.getField(c).alias(c) for c in ["time"] + columns])
     rows = raw.where(h.isNotNull()).select(*keys, F.inline_outer(zipped)).where(F.col("time").isNotNull())
     return rows.select(*keys, F.to_timestamp_ntz(F.col("time")).alias("datetime"),
-                       *[F.col(c).cast("double").alias(c) for c in columns])
+                       *[F.col(c).cast("double").alias(c) for c in columns]), rejected
+
+
+def read_hourly_payloads(spark: SparkSession, path: str, columns: list[str], keys=(), on_bad: str = "fail") -> DataFrame:
+    """A9 rows alone; unreadable documents raise unless ``on_bad="drop"``."""
+    rows, rejected = hourly_payloads(spark, path, columns, keys)
+    reject_or_raise(rejected, path, on_bad)
+    return rows
 
 
 def empty_hourly(spark: SparkSession, columns: list[str]) -> DataFrame:
@@ -93,11 +132,13 @@ NESTED_LOCATIONS = T.StructType([
 ])
 
 
-def flatten_locations(spark: SparkSession, path: str) -> DataFrame:
+def flatten_locations(spark: SparkSession, path: str, on_bad: str = "fail") -> DataFrame:
     """A10: nested location/sensor JSON (documented in the reference's plan) -> station rows
-    in the ``stations`` schema, parameters gathered with ``transform`` (no explode needed)."""
-    raw = spark.read.schema(NESTED_LOCATIONS).json(path)
-    loc = raw.select(F.explode("results").alias("l"))
+    in the ``stations`` schema, parameters gathered with ``transform`` (no explode needed).
+    Unreadable documents raise unless ``on_bad="drop"``."""
+    documents, rejected = parse_documents(spark, path, NESTED_LOCATIONS)
+    reject_or_raise(rejected, path, on_bad)
+    loc = documents.select(F.explode("d.results").alias("l"))
     return loc.select(
         F.col("l.id").alias("id"), F.col("l.name").alias("name"), F.col("l.locality").alias("locality"),
         F.col("l.timezone.name").alias("timezone"),

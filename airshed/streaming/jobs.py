@@ -28,7 +28,6 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from airshed import schemas as S
 from airshed.plans import mart
 from airshed.session import shared_path
-from airshed.sources import driver_tables as D
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -41,22 +40,6 @@ def configure_streaming(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """File stream over the ``events`` table (fixed schema, no inference)."""
-    schema = spark.read.parquet(D.table_path(sf_dir, "events")).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
-
-
-def measurement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming measurements (FIXTURES M1) with ``event_time``: the UTC instant of
-    ``datetime_utc`` (watermarks need a zoned timestamp)."""
-    m = D.measurements_from_events(event_stream(spark, sf_dir))
-    return m.withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
-
-
 def hourly_mart_stream(m: DataFrame, delay: str = "1 hour") -> DataFrame:
     """The hourly mart over 1-hour tumbling windows, emitted once the watermark passes."""
     stg = mart.intermediate(mart.staging(m.drop("event_time"))).withColumn(
@@ -112,34 +95,37 @@ def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str
 # ---- I4: per-series lag state ------------------------------------------------------
 
 LAG_OUT = "series_id long, datetime timestamp_ntz, pm2_5 double, pm2p5_lag_1h double, " \
-          "pm2p5_lag_2h double, pm2p5_lag_24h double"
+          "pm2p5_lag_2h double, pm2p5_lag_24h double, late boolean"
 LAG_STATE = "times array<timestamp_ntz>, vals array<double>"
+LAGS = (("pm2p5_lag_1h", 1), ("pm2p5_lag_2h", 2), ("pm2p5_lag_24h", 24))
 
 
 def _lag_state_fn(key, pdfs, state):
-    """Emit lags 1/2/24 for the new rows of one series, carrying the last 24 readings."""
-    if state.exists:
-        times, vals = state.get
-        hist = pd.DataFrame({"datetime": list(times), "pm2_5": list(vals)})
-    else:
-        hist = pd.DataFrame({"datetime": pd.Series([], dtype="datetime64[us]"), "pm2_5": pd.Series([], dtype=float)})
-    new = pd.concat(list(pdfs), ignore_index=True).sort_values("datetime")
-    last_t = hist["datetime"].max() if len(hist) else None
-    if last_t is not None:
-        new = new[new["datetime"] > last_t]          # late or replayed rows are not re-emitted
-    parts = [hist[["datetime", "pm2_5"]]] if len(hist) else []
-    allrows = pd.concat(parts + [new[["datetime", "pm2_5"]]], ignore_index=True)
-    for name, k in (("pm2p5_lag_1h", 1), ("pm2p5_lag_2h", 2), ("pm2p5_lag_24h", 24)):
-        allrows[name] = allrows["pm2_5"].shift(k)
-    out = allrows.iloc[len(hist):].copy()
+    """Emit lags 1/2/24 for the new rows of one series, carrying the last 24 readings.
+
+    Every row that comes in goes out once.  A reading that is not newer than what the state has
+    already seen cannot get positional lags any more: it goes out with ``late`` true and no lags.
+    """
+    times, vals = state.get if state.exists else ([], [])
+    hist = pd.DataFrame({"datetime": pd.Series(list(times), dtype="datetime64[us]"), "pm2_5": pd.Series(list(vals), dtype=float)})
+    new = pd.concat(list(pdfs), ignore_index=True).sort_values("datetime", kind="stable")
+    is_late = new["datetime"] <= hist["datetime"].max() if len(hist) else pd.Series(False, index=new.index)
+    rows = pd.concat([hist, new.loc[~is_late, ["datetime", "pm2_5"]]], ignore_index=True)
+    for name, k in LAGS:
+        rows[name] = rows["pm2_5"].shift(k)
+    keep = rows.tail(24)
+    out = pd.concat([rows.iloc[len(hist):].assign(late=False), new.loc[is_late, ["datetime", "pm2_5"]].assign(late=True)], ignore_index=True)
     out.insert(0, "series_id", key[0])
-    keep = allrows.tail(24)
     state.update((list(keep["datetime"]), [None if pd.isna(v) else float(v) for v in keep["pm2_5"]]))
-    yield out[["series_id", "datetime", "pm2_5", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h"]]
+    yield out[["series_id", "datetime", "pm2_5", *[n for n, _ in LAGS], "late"]]
 
 
 def lag_stream(feed: DataFrame) -> DataFrame:
-    """I4: lags of ``pm2_5`` per series from state (append mode, no timeout)."""
+    """I4: lags of ``pm2_5`` per series from state (append mode, no timeout).
+
+    Rows in equal rows out: late readings carry ``late = true``.  One call handles one series' rows of
+    one micro-batch, so ``maxFilesPerTrigger`` on the source bounds its memory.
+    """
     return feed.groupBy("series_id").applyInPandasWithState(
         _lag_state_fn, LAG_OUT, LAG_STATE, "append", GroupStateTimeout.NoTimeout)
 
