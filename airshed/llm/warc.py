@@ -246,7 +246,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     target = (records.where("record_type = 'response'").groupBy(F.col("record_id").alias("_target"))
               .agg(F.max("payload_bytes").alias("_bytes"), F.max("payload_digest").alias("_digest")))
     again = F.col("record_type") == "revisit"
-    return (records.join(target, again & (F.col("refers_to") == F.col("_target")), "left")
+    # a record that is no revisit meets itself: a null key would bring all of them to one task
+    records = records.withColumn("_of", F.when(again, F.col("refers_to")).otherwise(F.col("record_id")))
+    return (records.join(target, F.col("_of") == F.col("_target"), "left")
             .withColumn("payload_bytes", F.when(again, F.col("_bytes")).otherwise(F.col("payload_bytes")))
             .withColumn("payload_digest", F.when(again, F.col("_digest")).otherwise(F.col("payload_digest")))
-            .drop("_target", "_bytes", "_digest"))
+            .drop("_of", "_target", "_bytes", "_digest"))
