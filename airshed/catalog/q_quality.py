@@ -118,7 +118,7 @@ def j6_aqi_category_domain(spark, sf_dir):
 @register("j7_freshness", X.WITH_M1 + "," + LATEST_SQL + "\n" + rules_sql("latest", FRESHNESS))
 def j7_freshness(spark, sf_dir):
     """Latest snapshot no older than 3 h at ``asof`` (strict); empty passes."""
-    latest = dedup.latest_snapshot(D.measurements(spark, sf_dir))
+    latest = dedup.latest_snapshot(D.with_station_names(D.measurements(spark, sf_dir)))
     return Q.evaluate(latest, Q.freshness_rule("latest", ASOF_CONTRACT))
 
 
@@ -142,12 +142,23 @@ def j10_winter_vs_monsoon(spark, sf_dir):
 
 @register("j11_contract_report", X.MART_CHAIN + "," + LATEST_SQL + "\n"
           + rules_sql("m1", REQUIRED + ENUMS + COMPLETENESS + VALIDITY + PM25_RANGE + MIN_STATIONS + EXPECTED)
+          + "\nUNION ALL\n" + rules_sql("stg", J1_STG + J2_STG)
           + "\nUNION ALL\n" + rules_sql("latest", FRESHNESS)
-          + "\nUNION ALL\n" + rules_sql("mart", AQI_DOMAIN + COHERENCE))
+          + "\nUNION ALL\n" + rules_sql("mart", J1_MART + J2_MART + AQI_DOMAIN + COHERENCE))
 def j11_contract_report(spark, sf_dir):
-    """The whole contract in one aggregation per table (measurements, latest, mart)."""
+    """The whole contract in one aggregation per table (measurements, staging, latest, mart)."""
     m = D.measurements(spark, sf_dir)
-    return Q.contract_report(m, dedup.latest_snapshot(m), mart.mart_hourly(m), ASOF_CONTRACT)
+    return Q.contract_report(m, dedup.latest_snapshot(D.with_station_names(m)), mart.mart_hourly(m), ASOF_CONTRACT)
+
+
+@register("j11_contract_missing_field", X.WITH_M1 + "\n" + rules_sql("m1", [r for r in REQUIRED if "sensor_id" not in r[0]])
+          + "\nUNION ALL\nSELECT 'required_present:sensor_id', 'measurements', CAST(1 AS DOUBLE), CAST(0 AS DOUBLE), false")
+def j11_contract_missing_field(spark, sf_dir):
+    """J11 + J3 on measurements without ``sensor_id``: the missing field is a failed rule, the
+    others are still evaluated (the required-field rows of the report)."""
+    m = D.measurements(spark, sf_dir)
+    report = Q.contract_report(m.drop("sensor_id"), dedup.latest_snapshot(D.with_station_names(m)), mart.mart_hourly(m), ASOF_CONTRACT)
+    return report.where("rule LIKE 'required%'")
 
 
 # ---- snapshot and set operators --------------------------------------------
@@ -155,7 +166,7 @@ def j11_contract_report(spark, sf_dir):
 @register("e4_latest_snapshot", X.WITH_M1 + "," + LATEST_SQL + "\nSELECT * FROM latest")
 def e4_latest_snapshot(spark, sf_dir):
     """E4 (per series) / A4 shape: newest reading per (station, parameter) via max_by."""
-    return dedup.latest_snapshot(D.measurements(spark, sf_dir))
+    return dedup.latest_snapshot(D.with_station_names(D.measurements(spark, sf_dir)))
 
 
 @register("d6_distinct_parameters", X.WITH_M1 + "\nSELECT DISTINCT parameter FROM m1")

@@ -30,6 +30,16 @@ def a1_a3_csv_measurements(spark, sf_dir):
     return C.read_measurements(spark, path, strict=False)
 
 
+@register("a1_csv_reordered_header", X.WITH_M1 + "\nSELECT * FROM m1")
+def a1_csv_reordered_header(spark, sf_dir):
+    """A1 + A3: the same table landed with its columns in another order and one column more; columns
+    are taken by name."""
+    m = D.measurements(spark, sf_dir)
+    other = m.select(F.lit("x").alias("remark"), *reversed(m.columns))
+    path = C.write_csv(other, shared_path(spark, "measurements-reordered"))
+    return C.read_measurements(spark, path, strict=False)
+
+
 @register("a2_csv_stations", X.WITH_M1 + """
 SELECT location_id AS id, 'station-' || CAST(location_id AS VARCHAR) AS name,
        'zone-' || CAST(location_id % 7 AS VARCHAR) AS locality, 'Asia/Kolkata' AS timezone,
@@ -46,7 +56,7 @@ def a2_csv_stations(spark, sf_dir):
 @register("a4_csv_latest", X.WITH_M1 + "," + LATEST_SQL + "\nSELECT * FROM latest")
 def a4_csv_latest(spark, sf_dir):
     """A4: latest snapshot as CSV read back and typed."""
-    latest = dedup.latest_snapshot(D.measurements(spark, sf_dir))
+    latest = dedup.latest_snapshot(D.with_station_names(D.measurements(spark, sf_dir)))
     path = C.write_csv(latest, shared_path(spark, "latest-csv"))
     return C.read_latest(spark, path)
 
@@ -92,11 +102,38 @@ def a9_json_hourly_air(spark, sf_dir):
     return J.read_hourly_payloads(spark, path, cols, keys=["series_id"])
 
 
-@register("a14_predictions_table")
+@register("a9_json_mixed_payloads", "WITH " + X.AIR + """
+SELECT series_id, count(DISTINCT CASE WHEN day(datetime) % 5 = 0 THEN date_trunc('day', datetime) END) AS rejected,
+       count_if(day(datetime) % 5 <> 0) AS hours, round(sum(CASE WHEN day(datetime) % 5 <> 0 THEN pm10 END), 6) AS pm10
+FROM air GROUP BY series_id""")
+def a9_json_mixed_payloads(spark, sf_dir):
+    """A9 with damaged payloads: every fifth day's document is cut short, one series is landed pretty-printed,
+    one document per file.  Readable documents give their rows, the others are rejected and counted."""
+    air, _ = feeds(spark, sf_dir)
+    cols = ["pm2_5", "pm10", "nitrogen_dioxide"]
+    docs = J.to_hourly_payloads(air, cols, keys=["series_id"])
+    bad = F.substring(F.col("hourly.time")[0], 9, 2).cast("int") % 5 == 0
+    text = docs.select(F.to_json(F.struct("series_id", "hourly")).alias("value"), bad.alias("bad"), "series_id")
+    text = text.select("series_id", F.when(F.col("bad"), F.expr("substring(value, 1, length(value) - 9)")).otherwise(F.col("value")).alias("value"))
+    path = shared_path(spark, "air-json-mixed")
+    text.where("series_id <> 0").select("value").write.text(f"{path}/lines")
+    pretty = F.regexp_replace("value", r'([\[{,])(["\d])', "$1\n  $2")
+    text.where("series_id = 0").select(pretty.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{path}/pretty")
+    rows, rejected = J.hourly_payloads(spark, f"{path}/*", cols, keys=["series_id"])
+    sid = F.regexp_extract(F.col("text"), r'"series_id":\s*(\d+)', 1).cast("long")
+    lost = rejected.groupBy(sid.alias("series_id")).agg(F.count(F.lit(1)).alias("rejected"))
+    kept = rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("hours"), F.round(F.sum("pm10"), 6).alias("pm10"))
+    return kept.join(lost, "series_id", "full").select("series_id", F.coalesce("rejected", F.lit(0)).alias("rejected"),
+                                                       F.coalesce("hours", F.lit(0)).alias("hours"), "pm10")
+
+
+@register("a14_predictions_table", PRED_SQL + "\nSELECT *, true AS inserted_now FROM predictions")
 def a14_predictions_table(spark, sf_dir):
-    """Predictions conformed to the result-table schema with ``inserted_at`` = now
-    (rows-only check: the timestamp is the wall clock)."""
-    return K.with_result_defaults(predictions(spark, sf_dir))
+    """Predictions conformed to the result-table schema with ``inserted_at`` = now, checked to be
+    the wall clock of this run (the value itself differs from run to run)."""
+    out = K.with_result_defaults(predictions(spark, sf_dir), keys=["series_id"])
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("inserted_at")
+    return out.withColumn("inserted_now", age.between(-5, 3600)).drop("inserted_at")
 
 
 @register("a14_predictions_table_asof", PRED_SQL + f"""
@@ -104,7 +141,7 @@ SELECT *, TIMESTAMP '{ASOF}' AS inserted_at FROM predictions""")
 def a14_predictions_table_asof(spark, sf_dir):
     """A14 with the insertion time passed in (the fixture's ``asof``, UTC) instead of the wall
     clock, so the conformed table is deterministic."""
-    out = K.with_result_defaults(predictions(spark, sf_dir), inserted_at=F.lit(ASOF).cast("timestamp"))
+    out = K.with_result_defaults(predictions(spark, sf_dir), F.lit(ASOF).cast("timestamp"), keys=["series_id"])
     return out.withColumn("inserted_at", F.col("inserted_at").cast("timestamp_ntz"))
 
 

@@ -33,63 +33,41 @@ def m1(name: str = "m1", source: str = "events") -> str:
 
 M1 = m1()
 
-STAGING = """
+# The fixed tables of the models, joined by key or range.
+LIMITS = """
+limits(parameter, top) AS (VALUES ('pm25', 999e0), ('pm10', 999e0), ('no2', 2000e0), ('so2', 2000e0), ('co', 50e0), ('o3', 600e0)),
+seasons(season, months) AS (VALUES ('winter', [12, 1, 2]), ('summer', [3, 4, 5]), ('monsoon', [6, 7, 8, 9]), ('post_monsoon', [10, 11]))"""
+
+STAGING = LIMITS + """,
 stg AS (
-  SELECT location_id, sensor_id, parameter, value, unit,
-         CAST(datetime_utc AS TIMESTAMP) AS datetime_utc,
-         CAST(datetime_local AS TIMESTAMP) AS datetime_local,
-         latitude, longitude, ingested_at,
-         CASE WHEN value IS NULL THEN false
-              WHEN value < 0 THEN false
-              WHEN parameter = 'pm25' AND value > 999 THEN false
-              WHEN parameter = 'pm10' AND value > 999 THEN false
-              WHEN parameter = 'no2' AND value > 2000 THEN false
-              WHEN parameter = 'so2' AND value > 2000 THEN false
-              WHEN parameter = 'co' AND value > 50 THEN false
-              WHEN parameter = 'o3' AND value > 600 THEN false
-              ELSE true END AS is_valid,
-         CAST(extract(hour FROM datetime_local) AS INTEGER) AS hour_local,
-         CAST(extract(dow FROM datetime_local) AS INTEGER) AS day_of_week,
-         CAST(extract(month FROM datetime_local) AS INTEGER) AS month,
-         CASE WHEN extract(month FROM datetime_local) IN (12, 1, 2) THEN 'winter'
-              WHEN extract(month FROM datetime_local) IN (3, 4, 5) THEN 'summer'
-              WHEN extract(month FROM datetime_local) IN (6, 7, 8, 9) THEN 'monsoon'
-              ELSE 'post_monsoon' END AS season
-  FROM m1
-  WHERE value IS NOT NULL
+  SELECT m.location_id, m.sensor_id, m.parameter, m.value, m.unit, m.datetime_utc, m.datetime_local, m.latitude, m.longitude, m.ingested_at,
+         m.value BETWEEN 0 AND coalesce(l.top, m.value) AS is_valid, CAST(date_part('hour', m.datetime_local) AS INTEGER) AS hour_local,
+         CAST(date_part('isodow', m.datetime_local) % 7 AS INTEGER) AS day_of_week, CAST(date_part('month', m.datetime_local) AS INTEGER) AS month,
+         s.season
+  FROM m1 m LEFT JOIN limits l USING (parameter) JOIN seasons s ON list_contains(s.months, date_part('month', m.datetime_local))
+  WHERE m.value IS NOT NULL
 )"""
 
-PIVOT = """
+POLLUTANTS = ["pm25", "pm10", "no2", "so2", "co", "o3"]
+PIVOT = f"""
 pivoted AS (
-  SELECT location_id, CAST(date_trunc('hour', datetime_utc) AS TIMESTAMP) AS hour_utc,
-         hour_local, day_of_week, month, season, latitude, longitude,
-         avg(CASE WHEN parameter = 'pm25' THEN value END) AS pm25,
-         avg(CASE WHEN parameter = 'pm10' THEN value END) AS pm10,
-         avg(CASE WHEN parameter = 'no2' THEN value END) AS no2,
-         avg(CASE WHEN parameter = 'so2' THEN value END) AS so2,
-         avg(CASE WHEN parameter = 'co' THEN value END) AS co,
-         avg(CASE WHEN parameter = 'o3' THEN value END) AS o3,
-         count(*) AS measurement_count
-  FROM stg WHERE is_valid = true
-  GROUP BY 1, 2, 3, 4, 5, 6, 7, 8
+  SELECT location_id, time_bucket(INTERVAL 1 HOUR, datetime_utc) AS hour_utc, hour_local, day_of_week, month, season, latitude, longitude,
+         {", ".join(f"avg(value) FILTER (parameter = '{p}') AS {p}" for p in POLLUTANTS)}, count(value) AS measurement_count
+  FROM stg WHERE is_valid GROUP BY ALL
 )"""
 
-AQI_PM25 = """CASE WHEN {x} IS NULL THEN NULL
-     WHEN {x} <= 30 THEN round(({x} / 30.0) * 50)
-     WHEN {x} <= 60 THEN round(50 + (({x} - 30) / 30.0) * 50)
-     WHEN {x} <= 90 THEN round(100 + (({x} - 60) / 30.0) * 100)
-     WHEN {x} <= 120 THEN round(200 + (({x} - 90) / 30.0) * 100)
-     WHEN {x} <= 250 THEN round(300 + (({x} - 120) / 130.0) * 100)
-     ELSE 400 END"""
-
-CATEGORY_PM25 = """CASE WHEN {x} <= 30 THEN 'Good' WHEN {x} <= 60 THEN 'Satisfactory'
-     WHEN {x} <= 90 THEN 'Moderate' WHEN {x} <= 120 THEN 'Poor'
-     WHEN {x} <= 250 THEN 'Very Poor' ELSE 'Severe' END"""
+#: Sub-index segments: concentration above x0 up to x1, index a0 to a1, category.
+SEGMENTS = """(VALUES (0e0, 30e0, 0e0, 50e0, 'Good'), (30e0, 60e0, 50e0, 100e0, 'Satisfactory'), (60e0, 90e0, 100e0, 200e0, 'Moderate'),
+  (90e0, 120e0, 200e0, 300e0, 'Poor'), (120e0, 250e0, 300e0, 400e0, 'Very Poor')) AS seg(x0, x1, a0, a1, category)"""
+#: The segment of a concentration: up to x1 and above x0; the first also holds what is below it.
+_IN_SEGMENT = "{x} <= x1 AND ({x} > x0 OR x0 = 0)"
+AQI_PM25 = ("CASE WHEN {x} IS NOT NULL THEN coalesce((SELECT round(a0 + ({x} - x0) / (x1 - x0) * (a1 - a0)) FROM " + SEGMENTS
+            + " WHERE " + _IN_SEGMENT + "), 400e0) END")
+CATEGORY_PM25 = "coalesce((SELECT category FROM " + SEGMENTS + " WHERE " + _IN_SEGMENT + "), 'Severe')"
 
 MART = """
 mart AS (
-  SELECT *, CAST(""" + AQI_PM25.format(x="pm25") + """ AS DOUBLE) AS aqi_pm25,
-         """ + CATEGORY_PM25.format(x="pm25") + """ AS aqi_category
+  SELECT *, """ + AQI_PM25.format(x="pm25") + """ AS aqi_pm25, """ + CATEGORY_PM25.format(x="pm25") + """ AS aqi_category
   FROM pivoted
 )"""
 

@@ -25,8 +25,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 
 def dedup_measurements(df: DataFrame, keys=("location_id", "parameter", "datetime_utc")) -> DataFrame:
-    """Newest ``ingested_at`` wins on the declared key; ties broken by the larger value."""
-    return latest_per_key(df, list(keys), ["ingested_at", "value"])
+    """Newest ``ingested_at`` wins on the declared key; ties go to the larger value, then to the
+    larger remaining columns, so rows that differ anywhere have one winner."""
+    rest = sorted(c for c in df.columns if c not in keys and c not in ("ingested_at", "value"))
+    return latest_per_key(df, list(keys), ["ingested_at", "value", *rest])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,11 +46,10 @@ def latest_snapshot(measurements: DataFrame, keys=("location_id", "parameter"),
     """E4 per series / A4 shape: the newest non-NULL reading per (station, parameter).
 
     ``max_by`` over (time, value) is a partial aggregation: each task keeps one row per key,
-    so a station holding a large share of all rows is reduced before the shuffle.
+    so a station holding a large share of all rows is reduced before the shuffle.  The other
+    columns (a station's name, if the readings carry one) come from the newest reading.
     """
     m = measurements.where(F.col("value").isNotNull())
-    latest = latest_per_key(m, list(keys), [time_col, "value"])
-    return latest.select(
-        "location_id",
-        F.concat(F.lit("station-"), F.col("location_id").cast("string")).alias("location_name"),
-        "parameter", "value", "unit", time_col, "latitude", "longitude", "ingested_at")
+    latest = latest_per_key(m, list(keys), [time_col, "value", "ingested_at", "sensor_id"])
+    wanted = ["location_id", "location_name", "parameter", "value", "unit", time_col, "latitude", "longitude", "ingested_at"]
+    return latest.select(*[c for c in wanted if c in latest.columns])

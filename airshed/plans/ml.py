@@ -1,19 +1,21 @@
 """Model-facing data work with ``pyspark.ml``.
 
-Scaling statistics come from one aggregation and enter rows as scalar
-subqueries; models are ``pyspark.ml`` estimators trained on the distributed
+Scaling statistics come from one aggregation whose one-row result is the model, applied as
+literals; models are ``pyspark.ml`` estimators trained on the distributed
 feature table; scoring is ``transform`` over a request *table*.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed import schemas as S
 from airshed.functions import aqi as A
@@ -121,11 +123,20 @@ def lstm_columns(features: DataFrame) -> list[str]:
     return drop_if_present(features, LSTM_DROP).columns
 
 
-def prophet_frame(features: DataFrame, regressors=("temp_c", "vent_kmh", "blh_m", "no2"),
-                  zone: str = S.LOCAL_ZONE) -> DataFrame:
-    """K3: Prophet-style ``ds``/``y`` + regressors (``ds`` zone-free local wall clock)."""
-    return features.select(F.col("datetime").cast("timestamp_ntz").alias("ds"), F.col("pm2p5").alias("y"),
-                           *[c for c in regressors if c in features.columns])
+PROPHET_DROP = ["pm2p5_rolling_3h", "pm2p5_rolling_24h", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h", "index"]
+
+
+def prophet_frame(features: DataFrame, series=("series_id",)) -> DataFrame:
+    """K3: ``ds`` (zone-free local wall clock), ``y`` and ALL other columns but lags and rolling
+    means as regressors; series columns are kept as keys."""
+    d = drop_if_present(features, PROPHET_DROP)
+    keys = [c for c in series if c in d.columns]
+    rest = [c for c in d.columns if c not in keys + ["datetime", "pm2p5"]]
+    return d.select(*keys, F.col("datetime").cast("timestamp_ntz").alias("ds"), F.col("pm2p5").alias("y"), *rest)
+
+
+def regressors(frame: DataFrame, series=("series_id",)) -> list[str]:
+    return [c for c in frame.columns if c not in (*series, "ds", "y")]
 
 
 # ---- K4: gradient-boosted trees ---------------------------------------------------------
@@ -154,7 +165,7 @@ def fourier_terms(ds: Column, period_days: float, order: int, prefix: str) -> li
 
 def seasonal_design(frame: DataFrame, holidays: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """K5 design matrix: trend + yearly (10), weekly (3), daily (4) Fourier terms, holiday flag
-    (left join on the day), regressors."""
+    (left join on the day; ``holidays`` has a ``ds`` column), regressors."""
     ds = F.col("ds")
     t = (F.unix_micros(ds.cast("timestamp")).cast("double") / F.lit(86400e6)).alias("trend")
     terms = fourier_terms(ds, 365.25, 10, "yearly") + fourier_terms(ds, 7.0, 3, "weekly") \
@@ -164,14 +175,15 @@ def seasonal_design(frame: DataFrame, holidays: DataFrame | None = None) -> tupl
         h = holidays.select(F.to_date("ds").alias("_day")).distinct().withColumn("holiday", F.lit(1.0))
         d = d.withColumn("_day", F.to_date("ds")).join(h, "_day", "left").drop("_day")
         d = d.withColumn("holiday", F.coalesce("holiday", F.lit(0.0)))
-    cols = [c for c in d.columns if c not in ("ds", "y")]
+    cols = [c for c in d.columns if c not in ("ds", "y", "series_id", "split")]
     return d, cols
 
 
 def train_seasonal(design: DataFrame, cols: list[str]) -> PipelineModel:
-    """K5 (re-aimed): same inputs as the reference's additive model, fitted as a linear model."""
+    """K5 (re-aimed): same inputs as the reference's additive model, fitted as a ridge-regularised
+    linear model (trend and seasons of a short series are nearly collinear)."""
     asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.0)
+    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.1)
     return Pipeline(stages=[asm, lr]).fit(design.where(F.col("y").isNotNull()))
 
 
@@ -227,16 +239,48 @@ def train_aqi_model(mart_rows: DataFrame) -> PipelineModel:
     return Pipeline(stages=[asm, lr]).fit(d)
 
 
-def score_requests(req: DataFrame, model: PipelineModel, version: str = S.MODEL_VERSION) -> DataFrame:
-    """K7: validated requests scored in batch: AQI (rounded to 1), category from the unrounded
-    value (H16), confidence (H17), model version; rejected requests keep their reasons."""
+@dataclass(frozen=True)
+class FixedLinearModel:
+    """A linear model given by its coefficients; scores like a fitted ``PipelineModel``.
+
+    ``prediction = intercept + c1 * x1 + c2 * x2 + ...``, summed in the order given.
+    """
+
+    intercept: float
+    coefficients: tuple[tuple[str, float], ...]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = F.lit(float(self.intercept))
+        for name, c in self.coefficients:
+            out = out + F.lit(float(c)) * F.col(name).cast("double")
+        return df.withColumn("prediction", out)
+
+
+def score_requests(req: DataFrame, model, version: str = S.MODEL_VERSION, keys=("request_id",)) -> DataFrame:
+    """K7: every request once.  Valid ones are scored: AQI (rounded to 1), category from the
+    unrounded value (H16), confidence (H17), model version; rejected ones come back with their
+    violated rules in ``violations`` and NULL results."""
     v = validate_requests(req)
-    ok = scoring_features(v.where("valid"))
-    scored = model.transform(ok)
-    return scored.select(
-        "request_id", F.round("prediction", 1).alias("aqi_predicted"),
-        A.category_from_aqi("prediction").alias("aqi_category"),
-        A.confidence("pm10", "no2").alias("confidence"), F.lit(version).alias("model_version"))
+    results = {"aqi_predicted": F.round("prediction", 1), "aqi_category": A.category_from_aqi("prediction"),
+               "confidence": A.confidence("pm10", "no2"), "model_version": F.lit(version)}
+    scored = model.transform(scoring_features(v.where("valid")))
+    scored = scored.select(*keys, "violations", *[c.alias(n) for n, c in results.items()])
+    return scored.unionByName(v.where("NOT valid").select(*keys, "violations"), allowMissingColumns=True)
+
+
+def input_violations(df: DataFrame, inputs=None) -> Column:
+    """B15 for the 12 nowcast inputs: names of the rules that a row breaks.  A field the table lacks is
+    ``<field>:missing``; one that is no number ``<field>:type``; a NULL ``<field>:null``."""
+    checks = []
+    for c in inputs or S.NOWCAST_FEATURES:
+        if c not in df.columns:
+            checks.append(F.lit(f"{c}:missing"))
+        elif not isinstance(df.schema[c].dataType, T.NumericType):
+            number = F.expr(f"try_cast(`{c}` AS double)")
+            checks.append(F.when(F.col(c).isNull(), F.lit(f"{c}:null")).when(number.isNull(), F.lit(f"{c}:type")))
+        else:
+            checks.append(F.when(F.col(c).isNull(), F.lit(f"{c}:null")))
+    return F.array_compact(F.array(*checks))
 
 
 # ---- K8: nowcast ----------------------------------------------------------------------

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from airshed import schemas as S
 from airshed.functions import calendar as cal
 from airshed.operators import joins as J
+from airshed.plans import mart
 from airshed.session import materialize
 
 RESULT_COLUMNS = ["rule", "scope", "observed", "threshold", "passed"]
@@ -136,48 +137,62 @@ def winter_vs_monsoon_rule(scope: str) -> list[Rule]:
 
 def column_tests(stg: DataFrame, mart_df: DataFrame) -> DataFrame:
     """J1 + J2: the SQL models' declared column tests."""
-    a = evaluate(stg, not_null_rules("stg_measurements", S.NOT_NULL_STAGING)
-                 + accepted_values_rules("stg_measurements", "parameter", S.ACCEPTED_STAGING_PARAMETER))
-    b = evaluate(mart_df, not_null_rules("mart_hourly", S.NOT_NULL_MART)
-                 + accepted_values_rules("mart_hourly", "season", S.ACCEPTED_MART_SEASON))
-    return a.unionByName(b)
+    stg_rules, mart_rules = column_test_rules()
+    return evaluate(stg, stg_rules).unionByName(evaluate(mart_df, mart_rules))
+
+
+def column_test_rules() -> tuple[list[Rule], list[Rule]]:
+    """J1 + J2: (staging rules, mart rules)."""
+    return (not_null_rules("stg_measurements", S.NOT_NULL_STAGING)
+            + accepted_values_rules("stg_measurements", "parameter", S.ACCEPTED_STAGING_PARAMETER),
+            not_null_rules("mart_hourly", S.NOT_NULL_MART)
+            + accepted_values_rules("mart_hourly", "season", S.ACCEPTED_MART_SEASON))
 
 
 def contract_schema_rules(df: DataFrame, scope: str = "measurements") -> DataFrame:
     """Required fields present in the schema (metadata) and non-NULL, enums respected."""
+    return evaluate(df, schema_rules(df, scope))
+
+
+def with_missing(df: DataFrame, fields) -> DataFrame:
+    """``df`` with the fields it lacks as NULL columns, so value rules report them instead of failing to plan."""
+    return df.withColumns({c: F.lit(None).cast(S.MEASUREMENTS[c].dataType) for c in fields if c not in df.columns})
+
+
+def schema_rules(df: DataFrame, scope: str = "measurements") -> list[Rule]:
+    """The rules of the required fields; a missing one is a failed ``required_present`` rule."""
     missing = [c for c in S.CONTRACT_REQUIRED_FIELDS if c not in df.columns]
     rules = [Rule(f"required:{c}", scope, F.count_if(F.col(c).isNull()), 0.0, _zero)
              for c in S.CONTRACT_REQUIRED_FIELDS if c in df.columns]
     rules += [Rule(f"required_present:{c}", scope, F.lit(1), 0.0, _zero) for c in missing]
-    rules += accepted_values_rules(scope, "parameter", S.CONTRACT_PARAMETERS)
-    rules[-1].name = "enum:parameter"
-    rules += accepted_values_rules(scope, "unit", S.CONTRACT_UNITS)
-    rules[-1].name = "enum:unit"
-    return evaluate(df, rules)
+    for name, values in (("parameter", S.CONTRACT_PARAMETERS), ("unit", S.CONTRACT_UNITS)):
+        if name in df.columns:
+            rules += accepted_values_rules(scope, name, values)
+            rules[-1].name = f"enum:{name}"
+    return rules
 
 
 def contract_report(measurements: DataFrame, latest: DataFrame, mart_df: DataFrame,
                     asof: str) -> DataFrame:
     """The full contract and quality-test suite.
 
-    Three tables, one aggregation each: raw measurements (schema, completeness, validity,
-    integrity), the latest snapshot (freshness) and the mart (category domain, coherence).
+    One aggregation per table: raw measurements (schema, completeness, validity, integrity), the
+    staging and mart column tests (J1, J2), the latest snapshot (freshness) and the mart
+    (category domain, coherence).  A required field that the measurements lack is reported as a
+    failed rule (J3) and its value rules see NULLs.
     """
-    raw_rules = []
-    for c in S.CONTRACT_REQUIRED_FIELDS:
-        raw_rules.append(Rule(f"required:{c}", "measurements", F.count_if(F.col(c).isNull()), 0.0, _zero))
-    raw_rules += [Rule("enum:parameter", "measurements",
-                       F.count_if(~F.col("parameter").isin(S.CONTRACT_PARAMETERS)), 0.0, _zero),
-                  Rule("enum:unit", "measurements",
-                       F.count_if(~F.col("unit").isin(S.CONTRACT_UNITS)), 0.0, _zero)]
+    raw_rules = schema_rules(measurements)
+    measurements = with_missing(measurements, S.CONTRACT_REQUIRED_FIELDS)
     raw_rules += completeness_rules("measurements")
     raw_rules += expression_rules("measurements")
     raw_rules += pm25_range_rule("measurements")
     raw_rules += min_stations_rule("measurements")
     raw_rules += expected_parameters_rule("measurements")
-    mart_rules = accepted_values_rules("mart_hourly", "aqi_category", S.AQI_CATEGORIES)
+    stg_rules, mart_rules = column_test_rules()
+    mart_rules += accepted_values_rules("mart_hourly", "aqi_category", S.AQI_CATEGORIES)
     mart_rules += winter_vs_monsoon_rule("mart_hourly")
     return (evaluate(measurements, raw_rules)
+            .unionByName(evaluate(mart.staging(with_missing(measurements, S.MEASUREMENTS.names)), stg_rules))
             .unionByName(evaluate(latest, freshness_rule("latest", asof)))
             .unionByName(evaluate(mart_df, mart_rules)))
 

@@ -15,7 +15,6 @@ a table is replaced by writing a new version, never by rewriting in place.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +48,9 @@ def run_sql_models(spark: SparkSession, stations_csv: str, measurements_csv: str
                                         f"{out}/raw_measurements"),
         "latest": K.write_replace(C.read_latest(spark, latest_csv, strict), f"{out}/raw_latest"),
     }
-    m = dedup.dedup_measurements(spark.read.parquet(paths["measurements"]))
+    # written once: the mart and the report both read the deduplicated rows
+    clean = dedup.dedup_measurements(spark.read.parquet(paths["measurements"]))
+    m = spark.read.parquet(K.write_replace(clean, f"{out}/measurements_dedup"))
     paths["mart"] = K.write_replace(mart.mart_hourly(m), f"{out}/mart_hourly")
     report = Q.contract_report(m, spark.read.parquet(paths["latest"]), spark.read.parquet(paths["mart"]), asof)
     paths["contract_report"] = K.write_replace(report, f"{out}/contract_report")
@@ -74,7 +75,7 @@ def run_feature_build(spark: SparkSession, air_path: str, weather_path: str, out
     return K.write_partitioned(features, out_path)
 
 
-def nowcast_rows(air: DataFrame, weather: DataFrame, model: PipelineModel, asof: str,
+def nowcast_rows(air: DataFrame, weather: DataFrame, model, asof: str,
                  features=None, window_hours: int = 48) -> tuple[DataFrame, DataFrame]:
     """One nowcast cycle for every series at ``asof`` (floored to the hour).
 
@@ -100,7 +101,7 @@ def nowcast_rows(air: DataFrame, weather: DataFrame, model: PipelineModel, asof:
     return rows, skipped
 
 
-def run_nowcast_cycle(spark: SparkSession, air_path: str, weather_path: str, model: PipelineModel,
+def run_nowcast_cycle(spark: SparkSession, air_path: str, weather_path: str, model,
                       asof: str, predictions_path: str | None, new_path: str) -> str:
     """Score one cycle and upsert it on (series, datetime) into a new predictions version."""
     air, weather = read_feeds(spark, air_path, weather_path)

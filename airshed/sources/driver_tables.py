@@ -73,6 +73,11 @@ def measurements_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def with_station_names(df: DataFrame) -> DataFrame:
+    """FIXTURES M1: the stations of the fixture are called ``station-<id>``."""
+    return df.withColumn("location_name", F.concat(F.lit("station-"), F.col("location_id").cast("string")))
+
+
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements_from_events(
         read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"]))

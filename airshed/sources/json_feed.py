@@ -16,25 +16,28 @@ from airshed import schemas as S
 
 
 def parse_documents(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """JSON documents of all files below ``path``, one per line or one pretty-printed per file.
+    """JSON documents of all files below ``path``: (documents with column ``d``; rejected with ``file``, ``text``).
 
-    Returns (documents with column ``d``, rejected with ``file``, ``text``): every line that is not
-    blank is in exactly one of the two, or part of a document that spans its file.  Only files with
-    an unreadable line are read a second time, as a whole (one document per file).
+    A file holds one document per line, or a single document printed over several lines: a file
+    without one readable line is put together again and read as one document.  So every document
+    is in exactly one of the two results; blank lines are none.
     """
     full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     parse = lambda c: F.from_json(c, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    bad = F.col("d").isNull() | F.col("d._bad").isNotNull()
     lines = (spark.read.text(path).where(F.trim("value") != "")
-             .select(F.col("_metadata.file_path").alias("file"), "value", parse(F.col("value")).alias("d")))
-    bad = (F.col("d").isNull()) | F.col("d._bad").isNotNull()
-    broken = lines.where(bad).select("file").distinct()
-    whole = (spark.read.option("wholetext", True).text(path)
-             .select(F.col("_metadata.file_path").alias("file"), "value").join(broken, "file", "left_semi")
-             .select("file", parse(F.col("value")).alias("d")).where(~bad))
-    spans = whole.select("file")
-    single = lines.join(spans, "file", "left_anti")
-    documents = single.where(~bad).select("d").unionByName(whole.select("d"))
-    return documents.select(F.col("d").dropFields("_bad").alias("d")), single.where(bad).select("file", F.col("value").alias("text"))
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("no"), "value", parse(F.col("value")).alias("d"))
+             .withColumn("unreadable", bad))
+    files = lines.groupBy(F.col("file").alias("whole_file")).agg(F.bool_and("unreadable").alias("all_bad")).where("all_bad").drop("all_bad")
+    of_whole = F.col("file") == F.col("whole_file")
+    single = lines.join(files, of_whole, "left_anti")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "no", "value"))), lambda x: x["value"]), "\n")
+    whole = (lines.join(files, of_whole, "left_semi").groupBy("file").agg(text.alias("value"))
+             .select("file", "value", parse(F.col("value")).alias("d")))
+    documents = single.where("NOT unreadable").select("d").unionByName(whole.where(~bad).select("d"))
+    rejected = single.where("unreadable").select("file", "value").unionByName(whole.where(bad).select("file", "value"))
+    return documents.select(F.col("d").dropFields("_bad").alias("d")), rejected.withColumnRenamed("value", "text")
 
 
 def reject_or_raise(rejected: DataFrame, path: str, on_bad: str) -> None:

@@ -44,11 +44,12 @@ def read_partitioned(spark: SparkSession, path: str, year: int | None = None,
     return df
 
 
-def with_result_defaults(df: DataFrame, inserted_at: Column | None = None) -> DataFrame:
-    """Conform to the predictions table schema and add ``inserted_at`` (default: now)."""
+def with_result_defaults(df: DataFrame, inserted_at: Column | None = None, keys=()) -> DataFrame:
+    """Conform to the predictions table schema (behind the key columns of a table of several
+    series) and add ``inserted_at`` (default: now)."""
     ts = inserted_at if inserted_at is not None else F.current_timestamp()
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.PREDICTIONS.fields]
-    return df.select(*cols, ts.cast("timestamp").alias("inserted_at"))
+    return df.select(*keys, *cols, ts.cast("timestamp").alias("inserted_at"))
 
 
 def upsert_table(spark: SparkSession, current_path: str | None, new_rows: DataFrame,

@@ -57,12 +57,10 @@ def hourly_mart_stream(m: DataFrame, delay: str = "1 hour") -> DataFrame:
 def latest_stream(m: DataFrame) -> DataFrame:
     """Newest non-NULL reading per (station, parameter) (update/complete mode)."""
     v = m.where(F.col("value").isNotNull())
-    payload = ["value", "unit", "datetime_utc", "latitude", "longitude", "ingested_at"]
+    payload = [c for c in ("location_name", "value", "unit", "datetime_utc", "latitude", "longitude", "ingested_at") if c in m.columns]
     g = v.groupBy("location_id", "parameter").agg(
         F.max_by(F.struct(*payload), F.struct("datetime_utc", "value")).alias("r"))
-    return g.select("location_id",
-                    F.concat(F.lit("station-"), F.col("location_id").cast("string")).alias("location_name"),
-                    "parameter", *[F.col(f"r.{c}").alias(c) for c in payload])
+    return g.select("location_id", "parameter", *[F.col(f"r.{c}").alias(c) for c in payload])
 
 
 def dedup_stream(m: DataFrame, delay: str = "1 hour") -> DataFrame:

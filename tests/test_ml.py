@@ -73,7 +73,8 @@ def test_batch_scoring_rounds_and_categorises(spark):
         "request_id long, pm25 double, pm10 double, no2 double, so2 double, co double, o3 double, "
         "hour_local int, day_of_week int, month int, season string")
     out = {r["request_id"]: r for r in ML.score_requests(req, model).collect()}
-    assert set(out) == {1, 2}
+    assert set(out) == {1, 2, 3}
+    assert out[3]["violations"] == ["hour_local_range"] and out[3]["aqi_predicted"] is None
     assert out[1]["aqi_predicted"] == pytest.approx(50.0, abs=0.11)
     assert out[1]["aqi_category"] == "Satisfactory" and out[1]["confidence"] == "medium"
     assert out[2]["aqi_category"] in ("Poor", "Very Poor") and out[2]["confidence"] == "high"

@@ -83,3 +83,28 @@ def test_hourly_payloads_keep_series_keys(spark, tmp_path):
                  '"pm2_5": [1.5, null]}}\n')
     rows = JF.read_hourly_payloads(spark, str(p), ["pm2_5"], keys=["series_id"]).orderBy("datetime").collect()
     assert [(r["series_id"], r["datetime"].hour, r["pm2_5"]) for r in rows] == [(3, 0, 1.5), (3, 1, None)]
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    p.write_text("name,id,remark,locality,timezone,latitude,longitude,is_monitor,provider,parameters,ingested_at\n"
+                 "A,7,x,L,Z,28.6,77.2,True,p,pm25,x\n")
+    r = C.read_stations(spark, str(p)).collect()[0]
+    assert (r["id"], r["name"], r["latitude"]) == (7, "A", 28.6)
+    p.write_text("name,id\nA,7\n")
+    with pytest.raises(ValueError, match="locality"):
+        C.read_stations(spark, str(p))
+
+
+def test_unreadable_documents_raise_or_are_counted(spark, tmp_path):
+    good = '{"series_id": 1, "hourly": {"time": ["2024-01-01T00:00"], "a": [1.5]}}'
+    (tmp_path / "lines.json").write_text(good + "\n" + good[:-9] + "\n\n" + '{"series_id": 1, "hourly": {"time": ["2024-01-01T01:00"], "a": ["x"]}}\n')
+    (tmp_path / "pretty.json").write_text('{\n  "series_id": 2,\n  "hourly": {\n    "time": ["2024-01-02T00:00"],\n    "a": [\n 2.5\n]\n  }\n}\n')
+    (tmp_path / "empty.json").write_text('{"series_id": 3, "hourly": {"time": [], "a": []}}\n{"series_id": 4}\n')
+    (tmp_path / "broken.json").write_text('{\n "series_id": 5,\n "hourly"\n')
+    rows, rejected = JF.hourly_payloads(spark, str(tmp_path), ["a"], keys=["series_id"])
+    assert sorted((r["series_id"], r["a"]) for r in rows.collect()) == [(1, 1.5), (2, 2.5)]
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in rejected.collect()) == ["broken.json", "lines.json", "lines.json"]
+    with pytest.raises(ValueError, match="3 unreadable"):
+        JF.read_hourly_payloads(spark, str(tmp_path), ["a"])
+    assert JF.read_hourly_payloads(spark, str(tmp_path), ["a"], on_bad="drop").count() == 2

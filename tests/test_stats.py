@@ -41,12 +41,21 @@ def test_order_statistics_exact_with_small_buckets(spark):
     x = rng.normal(0, 1, 5000)
     df = _frame(spark, x)
     ks = [0, 1, 1234, 2500, 4999]
-    got = ST.order_statistics(df, "x", ks, buckets=8, small=16)
+    got = ST.order_statistics(df, "x", ks, buckets=8)
     srt = np.sort(x)
     for k in ks:
         assert got[k] == srt[k]
 
 
+def test_order_statistics_of_extreme_values_and_passes_that_run_out(spark):
+    x = [0.0, 5e-324, 1e-300, 1.0, np.nextafter(1.0, 2), 1e308, -1e308, 7.0, 7.0, 7.0]
+    df = _frame(spark, x)
+    got = ST.order_statistics(df, "x", list(range(10)), buckets=4)
+    assert [got[k] for k in range(10)] == sorted(x)
+    with pytest.raises(RuntimeError):
+        ST.order_statistics(df, "x", [4], buckets=4, max_passes=1)
+
+
 def test_corr_with_target_and_constant_column(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=300)

@@ -144,3 +144,25 @@ def test_dedup_stream_drops_redelivery_in_a_later_batch(spark, tmp_path):
     run()
     rows = {(r["location_id"], r["ingested_at"]) for r in spark.read.parquet(out).collect()}
     assert rows == {(1, "first"), (2, "first"), (3, "again")}
+
+
+def test_late_readings_come_out_flagged_and_none_is_lost(spark, tmp_path):
+    ST.configure_streaming(spark)
+    landing, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    t0 = dt.datetime(2024, 1, 1)
+    for hours in ([0, 1, 2, 5], [3, 6, 5]):     # hours 3 and 5 come after hour 5 was seen
+        spark.createDataFrame([(1, t0 + dt.timedelta(hours=h), float(h)) for h in hours], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    _run(spark, landing, out, ck)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 7
+    assert sorted((r["datetime"].hour, r["late"]) for r in rows) == [(0, False), (1, False), (2, False), (3, True), (5, False), (5, True), (6, False)]
+    assert {r["pm2p5_lag_1h"] for r in rows if r["late"]} == {None}
+
+
+def test_event_stream_reads_a_folder_of_files_like_a_file(spark, tmp_path):
+    from airshed.catalog import q_streaming as QS
+    from conftest import SF0001
+    spark.read.parquet(f"{SF0001}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for base in (SF0001, str(tmp_path)):
+        path = ST.run_to_parquet(spark, QS.event_stream(spark, base, 1), "t-events")
+        assert spark.read.parquet(path).count() == 1000
