@@ -80,7 +80,7 @@ def a15_empty_payload_features(spark, sf_dir):
     return FE.realtime_features(a, w)
 
 
-CYCLES = ["2024-01-20 10:30:00", "2024-03-21 06:00:00"]
+CYCLES = ["2024-01-29 14:20:00", "2024-04-28 17:40:00"]
 
 
 def _cycle_sql(n: int, asof: str) -> str:

@@ -24,11 +24,6 @@ def _case(pairs, other: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {other} END"
 
 
-_SEASONAL_SQL = _case([(f"month IN ({', '.join(map(str, ms))})", f"CAST({f} AS DOUBLE)")
-                       for ms, f in S.SEASONAL_FACTOR], f"CAST({S.SEASONAL_FACTOR_OTHER} AS DOUBLE)")
-_CLAMP_SQL = "CASE WHEN value IS NULL THEN NULL " + " ".join(
-    f"WHEN parameter = '{p}' THEN greatest(CAST({lo} AS DOUBLE), least(CAST({hi} AS DOUBLE), value))"
-    for p, (lo, hi) in S.SIM_LIMITS.items()) + " ELSE value END"
 _BAND_SQL = "CASE WHEN value IS NULL THEN NULL " + " ".join(
     f"WHEN value < {hi} THEN '{name}'" for hi, name in S.PM25_BANDS) + f" ELSE '{S.PM25_BAND_TOP}' END"
 _CAT_AQI = _case([(f"{{x}} <= {hi}", f"'{name}'") for hi, name in S.AQI_CATEGORY_BOUNDS], f"'{S.SEVERE}'")
@@ -60,9 +55,6 @@ SELECT location_id, parameter, datetime_utc, value,
        value > 15 AS exceeds_who,
        CASE WHEN value > 15 THEN '🔴 OMS!' ELSE '🟢 OK' END AS status,
        {_BAND_SQL} AS band,
-       {_SEASONAL_SQL} AS seasonal_factor,
-       round(1.0 + 0.4 * sin(pi() * (hour_local - 2) / 12.0), 9) AS diurnal_factor,
-       {_CLAMP_SQL} AS clamped,
        CASE WHEN parameter = 'co' THEN 'mg/m³' ELSE 'µg/m³' END AS unit,
        greatest(1, CAST(hour_local * 5 // 24 AS BIGINT) + 1) AS days_for_window
 FROM cal"""
@@ -70,7 +62,7 @@ FROM cal"""
 
 @register("h_scalar_functions", _SCALAR_SQL)
 def h_scalar_functions(spark, sf_dir):
-    """H1-H16, H18, H22-H24, H27-H30, H32 over every measurement row (NULL and negative
+    """H1-H16, H18, H22-H24, H30, H32 over every measurement row (NULL and negative
     values included), the value column read as a PM2.5 concentration."""
     m = D.measurements(spark, sf_dir)
     local, v = F.col("datetime_local"), F.col("value")
@@ -95,9 +87,6 @@ def h_scalar_functions(spark, sf_dir):
         exceeds.alias("exceeds_who"),
         A.status_label(exceeds).alias("status"),
         A.pm25_band(v).alias("band"),
-        A.seasonal_factor(month).alias("seasonal_factor"),
-        F.round(A.diurnal_factor(hour), 9).alias("diurnal_factor"),
-        A.clamp_by_parameter(v, "parameter").alias("clamped"),
         A.unit_of("parameter").alias("unit"),
         cal.days_for_window(hour * 5).alias("days_for_window"),
     )

@@ -7,7 +7,7 @@ from airshed.catalog import sql_fixtures as X
 from airshed.catalog.q_series import feeds
 from airshed.plans import features as FE
 from airshed.plans import stats as ST
-from airshed.session import shared_path
+from airshed.session import shared_path, table_path
 
 NUMERIC = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine", "mois",
            "est_weekend", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h", "pm2p5_rolling_3h",
@@ -20,10 +20,19 @@ REALTIME_COLS = ["datetime", "pm2_5", "pm10", "no2", "temp_c", "vent_kmh", "blh_
 _PROCESSED: dict = {}
 
 
+def _version(spark, path: str) -> tuple:
+    """Files, bytes and newest change of a table, from its file system's listing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(hadoop)
+    return total.getFileCount(), total.getLength(), fs.getFileStatus(hadoop).getModificationTime()
+
+
 def feature_table(spark, sf_dir):
     """The processed feature table (E12 output, series key kept), as the EDA and the trainers
-    read it: the batch pipeline writes it once to shared storage (A8), readers scan the file."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    read it: the batch pipeline writes it once to shared storage (A8), readers scan the file.  It is
+    built anew when the events it comes from have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, *_version(spark, table_path(sf_dir, "events")))
     if key not in _PROCESSED:
         path = shared_path(spark, "processed-features")
         FE.batch_features(FE.clean_and_merge(*feeds(spark, sf_dir))).write.parquet(path)

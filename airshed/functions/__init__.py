@@ -1,8 +1,8 @@
 """Column functions: calendar, air-quality index and small helpers."""
 
 from airshed.functions.aqi import (  # noqa: F401
-    aqi_from_pm25, category_from_aqi, category_from_pm25, clamp_by_parameter, confidence,
-    diurnal_factor, exceeds_who, is_valid, pm25_band, seasonal_factor, status_label, unit_of,
+    aqi_from_pm25, category_from_aqi, category_from_pm25, confidence,
+    exceeds_who, is_valid, pm25_band, status_label, unit_of,
     validity_prefilter,
 )
 from airshed.functions.calendar import (  # noqa: F401

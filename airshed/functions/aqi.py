@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,18 +31,9 @@ def is_valid(parameter="parameter", value="value", limits: dict | None = None) -
     return expr.otherwise(F.lit(True))
 
 
-def validity_prefilter(value="value", limits: dict | None = None, bounded_only: bool = False) -> Column:
-    """Redundant range predicate implied by ``is_valid``, written so Parquet can prune on it.
-
-    ``value >= 0`` always holds for a valid row; with ``bounded_only`` (all parameters have a
-    limit) the largest limit also bounds it from above.
-    """
-    v = _c(value)
-    cond = v >= 0
-    if bounded_only:
-        limits = S.UPPER_LIMITS if limits is None else limits
-        cond = cond & (v <= _d(max(limits.values())))
-    return cond
+def validity_prefilter(value="value") -> Column:
+    """Redundant range predicate implied by ``is_valid``, written so Parquet can prune on it."""
+    return _c(value) >= 0
 
 
 def aqi_from_pm25(pm25="pm25") -> Column:
@@ -112,34 +102,6 @@ def pm25_band(pm25="pm25") -> Column:
     return expr.otherwise(F.lit(S.PM25_BAND_TOP))
 
 
-def seasonal_factor(month) -> Column:
-    """simulator's seasonal multiplier by month."""
-    m = _c(month)
-    expr = None
-    for months, factor in S.SEASONAL_FACTOR:
-        cond = m.isin(months)
-        expr = F.when(cond, _d(factor)) if expr is None else expr.when(cond, _d(factor))
-    return expr.otherwise(_d(S.SEASONAL_FACTOR_OTHER))
-
-
-def diurnal_factor(hour) -> Column:
-    """``1 + 0.4 * sin(pi * (h - 2) / 12)``."""
-    h = _c(hour)
-    return _d(1.0) + _d(S.DIURNAL_AMPLITUDE) * F.sin(_d(math.pi) * (h - F.lit(S.DIURNAL_PEAK_SHIFT_H)) / _d(12.0))
-
-
-def clamp_by_parameter(value="value", parameter="parameter", limits: dict | None = None) -> Column:
-    """Clamp to the parameter's [min, max]; unknown parameters and NULL pass through
-    (``greatest``/``least`` skip NULLs, so NULL is handled first)."""
-    v, p = _c(value), _c(parameter)
-    limits = S.SIM_LIMITS if limits is None else limits
-    expr = F.when(v.isNull(), v)
-    for name, (lo, hi) in limits.items():
-        clamped = F.greatest(_d(lo), F.least(_d(hi), v))
-        expr = expr.when(p == name, clamped)
-    return expr.otherwise(v)
-
-
 def unit_of(parameter="parameter") -> Column:
     """Unit by parameter (CO in mg/m3, the rest in ug/m3)."""
     return F.when(_c(parameter) == "co", F.lit(S.UNIT_MG)).otherwise(F.lit(S.UNIT_UG))

@@ -1,8 +1,8 @@
-"""Join operators (C1-C6) and the size-checked broadcast used throughout.
+"""Join operators.
 
-Broadcasting is only ever applied to a side whose row count was measured and
-found under a bound; above the bound the join is left to Spark (sort-merge or
-shuffle-hash, with AQE free to convert it at runtime from real sizes).
+No join carries a broadcast hint: a hint would override Spark's own check of the side's size in
+bytes.  Spark broadcasts a side whose files (or, with AQE, whose finished shuffle stage) are
+under its threshold, and sorts or hashes both sides otherwise.
 """
 
 from __future__ import annotations
@@ -10,21 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airshed.session import materialize
-
-# Rows a dimension may have to be broadcast (a few MB for narrow rows).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(small)`` if it provably has at most ``max_rows`` rows, else ``small``.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading as soon as the bound
-    is exceeded, so it is cheap even when the side turns out to be large.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
+from airshed.session import shared_path
 
 def join_derived_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a small table derived inside the same plan (offsets, per-series summaries).
@@ -37,17 +23,18 @@ def join_derived_small(big: DataFrame, small: DataFrame, on, how: str = "inner")
     return big.join(small, on, how)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS, derived: bool = True) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension only behind a size check.
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", derived: bool = True) -> DataFrame:
+    """Join a fact table to a dimension.
 
     A ``derived`` dimension (an aggregation, e.g. stations summarised from the facts) is first
-    checkpointed into the shared folder: the size check and the join then read the same
-    written rows instead of each recomputing the aggregation from the raw files.
+    written to the shared folder, so Spark knows its size in bytes when it plans the join and
+    nothing is computed twice.
     """
     if derived:
-        dim = materialize(dim)
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+        path = shared_path(dim.sparkSession, "dimension")
+        dim.write.parquet(path)
+        dim = dim.sparkSession.read.schema(dim.schema).parquet(path)
+    return fact.join(dim, on, how)
 
 
 def align_inner(left: DataFrame, right: DataFrame, keys) -> DataFrame:

@@ -64,7 +64,8 @@ def series_sizes(df: DataFrame, series) -> DataFrame:
 
 
 def with_size(df: DataFrame, series) -> DataFrame:
-    """Attach ``_size`` (rows in the row's series) through a size-checked broadcast join."""
+    """Attach ``_size`` (rows in the row's series): an equi-join with one row per series, which Spark
+    broadcasts if its measured size is under the threshold and splits where a series is large."""
     series = _cols(series)
     if not series:
         raise ValueError("series key required")
@@ -73,9 +74,11 @@ def with_size(df: DataFrame, series) -> DataFrame:
 
 def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS, ahead: int = 0) -> DataFrame:
     """Assign blocks; copy the last ``halo`` rows of each block into the next one and the
-    first ``ahead`` rows into the previous one (look-back and look-ahead halos)."""
-    if halo > block_rows or ahead > block_rows:
-        raise ValueError("halo must not exceed the block size")
+    first ``ahead`` rows into the previous one (look-back and look-ahead halos).
+
+    A block holds ``block_rows`` rows, or four halos if a halo would not fit: any lag or window works.
+    """
+    block_rows = block_rows if max(halo, ahead) <= block_rows else 4 * max(halo, ahead)
     home = F.floor(F.col(POS) / F.lit(block_rows)).cast("long")
     off = F.col(POS) % F.lit(block_rows)
     nxt = F.when(F.lit(halo > 0) & (off >= F.lit(block_rows - halo)), home + 1)
@@ -165,20 +168,17 @@ def _carry_in_out(summary: DataFrame, series: list[str], n: int, fanout: int) ->
     sup = s.groupBy(*series, "_sb").agg(
         *[F.max(f"_last_{i}").alias(f"_sl_{i}") for i in range(n)],
         *[F.min(f"_first_{i}").alias(f"_sf_{i}") for i in range(n)])
-    ws = Window.partitionBy(*series).orderBy("_sb")
+    # running frames only: "the first after" is the last before, in descending order
+    ws, ws_down = (Window.partitionBy(*series).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("_sb"), F.desc("_sb")))
     sup = sup.select(
         *series, "_sb",
-        *[F.last(f"_sl_{i}", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1))
-          .alias(f"_sin_{i}") for i in range(n)],
-        *[F.first(f"_sf_{i}", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing))
-          .alias(f"_sout_{i}") for i in range(n)])
-    wb = Window.partitionBy(*series, "_sb").orderBy(BLK)
+        *[F.last(f"_sl_{i}", ignorenulls=True).over(ws).alias(f"_sin_{i}") for i in range(n)],
+        *[F.last(f"_sf_{i}", ignorenulls=True).over(ws_down).alias(f"_sout_{i}") for i in range(n)])
+    wb, wb_down = (Window.partitionBy(*series, "_sb").orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc(BLK), F.desc(BLK)))
     inner = s.select(
         *series, "_sb", BLK,
-        *[F.last(f"_last_{i}", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-          .alias(f"_bin_{i}") for i in range(n)],
-        *[F.first(f"_first_{i}", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
-          .alias(f"_bout_{i}") for i in range(n)])
+        *[F.last(f"_last_{i}", ignorenulls=True).over(wb).alias(f"_bin_{i}") for i in range(n)],
+        *[F.last(f"_first_{i}", ignorenulls=True).over(wb_down).alias(f"_bout_{i}") for i in range(n)])
     both = join_derived_small(inner, sup, series + ["_sb"], "inner")
     return both.select(
         *series, BLK,

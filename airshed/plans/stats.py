@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -305,53 +306,44 @@ def acf(df: DataFrame, series, order, col: str = "pm2p5", nlags: int = 72) -> Da
                        _r(F.col("acf") - half).alias("lo95"), _r(F.col("acf") + half).alias("hi95"))
 
 
-def _durbin_levinson(gamma: list[float], nlags: int) -> list[float]:
-    """Partial autocorrelations 0..nlags from autocovariances ``gamma`` (Durbin-Levinson)."""
-    rho = [g / gamma[0] for g in gamma]
-    pac = [1.0]
-    phi_prev: list[float] = []
-    for k in range(1, nlags + 1):
-        if k == 1:
-            phi_kk = rho[1]
-            phi = [phi_kk]
-        else:
-            num = rho[k] - sum(phi_prev[j] * rho[k - 1 - j] for j in range(k - 1))
-            den = 1.0 - sum(phi_prev[j] * rho[j + 1] for j in range(k - 1))
-            phi_kk = num / den if den != 0 else float("nan")
-            phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
-        pac.append(phi_kk)
-        phi_prev = phi
+def _durbin_levinson(gamma: np.ndarray) -> np.ndarray:
+    """Partial autocorrelations 0..k of every row of autocovariances (rows x k + 1) at once."""
+    rho = gamma / gamma[:, :1]
+    lags = gamma.shape[1] - 1
+    pac = np.ones_like(rho)
+    phi = np.zeros((len(rho), lags + 1))
+    for k in range(1, lags + 1):
+        back = rho[:, k - 1:0:-1]                                   # rho[k - 1] .. rho[1]
+        num = rho[:, k] - (phi[:, 1:k] * back).sum(axis=1)
+        den = 1.0 - (phi[:, 1:k] * rho[:, 1:k]).sum(axis=1)
+        new = np.divide(num, den, out=np.full(len(rho), np.nan), where=den != 0)
+        phi[:, 1:k] = phi[:, 1:k] - new[:, None] * phi[:, k - 1:0:-1]
+        phi[:, k] = pac[:, k] = new
     return pac
 
 
 def pacf_yule_walker(df: DataFrame, series, order, col: str = "pm2p5", nlags: int = 72) -> DataFrame:
     """Partial autocorrelation by Yule-Walker with the adjusted (n - k) denominator.
 
-    The autocovariance sums are distributed (E8, one row per series); the Durbin-Levinson
-    recursion then runs per series inside ``applyInPandas`` over that one row of
-    ``nlags + 1`` numbers, so no series passes through the driver however many there are.
+    The autocovariance sums are distributed (E8, one row per series).  The Durbin-Levinson recursion
+    runs over batches of these rows, all series of a batch at once and without another shuffle.
+    Series of ``nlags`` values or fewer have no such estimate and give no rows.
     """
-    import pandas as pd
-
     series = ser._cols(series)
-    sums = autocovariances(df, series, order, col, nlags)
+    sums = autocovariances(df, series, order, col, nlags).where(F.col("n") > nlags)
     types = {f.name: f.dataType.simpleString() for f in sums.schema.fields}
-    schema = ", ".join([f"{s} {types[s]}" for s in series]
-                       + ["lag int", "pacf double", "lo95 double", "hi95 double"])
-
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            n = int(r["n"])
-            gamma = [r[f"s{k}"] / (n - k) if n - k > 0 else float("nan") for k in range(nlags + 1)]
-            pac = _durbin_levinson(gamma, nlags)
-            half = Z95 / math.sqrt(n)
-            key = [r[s] for s in series]
-            rows += [key + [k, float(p), float(p - half) if k else 1.0, float(p + half) if k else 1.0]
-                     for k, p in enumerate(pac)]
-        return pd.DataFrame(rows, columns=series + ["lag", "pacf", "lo95", "hi95"])
-
-    out = sums.groupBy(*series).applyInPandas(per_series, schema)
+    schema = ", ".join([f"{s} {types[s]}" for s in series] + ["lag int", "pacf double", "lo95 double", "hi95 double"])
+
+    def rows_of(batches):
+        for pdf in batches:
+            n = pdf["n"].to_numpy(float)[:, None]
+            pac = _durbin_levinson(pdf[[f"s{k}" for k in range(nlags + 1)]].to_numpy(float) / (n - np.arange(nlags + 1)))
+            half = np.where(np.arange(nlags + 1) > 0, Z95 / np.sqrt(n), 0.0)
+            out = pdf.loc[pdf.index.repeat(nlags + 1), series].reset_index(drop=True)
+            yield out.assign(lag=np.tile(np.arange(nlags + 1, dtype=np.int32), len(pdf)), pacf=pac.ravel(),
+                             lo95=(pac - half).ravel(), hi95=(pac + half).ravel())
+
+    out = sums.mapInPandas(rows_of, schema)
     return out.select(*series, "lag", *[_r(F.col(c)).alias(c) for c in ("pacf", "lo95", "hi95")])
 
 

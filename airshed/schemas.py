@@ -71,18 +71,7 @@ NOT_NULL_MART = ["hour_utc"]
 ACCEPTED_STAGING_PARAMETER = ["pm25", "pm10", "no2", "so2", "co", "o3", "bc"]
 ACCEPTED_MART_SEASON = ["winter", "summer", "monsoon", "post_monsoon"]
 
-# Seeding model of the reference's simulator: seasonal factor by month, diurnal factor.
-SEASONAL_FACTOR = [
-    ([11, 12, 1], 1.6),
-    ([2, 3], 1.2),
-    ([7, 8, 9], 0.6),
-    ([4, 5, 6], 0.9),
-]
-SEASONAL_FACTOR_OTHER = 1.0
-DIURNAL_AMPLITUDE = 0.4
-DIURNAL_PEAK_SHIFT_H = 2
-SIM_LIMITS = {"pm25": (5.0, 300.0), "pm10": (10.0, 500.0), "no2": (5.0, 200.0),
-              "so2": (2.0, 80.0), "co": (0.1, 8.0), "o3": (5.0, 120.0)}
+# Units of the parameters.
 UNIT_UG = "µg/m³"
 UNIT_MG = "mg/m³"
 
@@ -93,9 +82,6 @@ LOCAL_OFFSET_MINUTES = 330
 # Nowcast model inputs, in order.
 NOWCAST_FEATURES = ["pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine",
                     "mois", "est_weekend", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h"]
-# AQI scoring model inputs, in order.
-SCORING_FEATURES = ["pm25", "pm10", "no2", "so2", "co", "o3", "hour_local", "day_of_week",
-                    "month", "season_winter", "season_monsoon", "season_summer"]
 
 # Renames of the hourly feeds.
 AIR_RENAMES_BATCH = {"pm2_5": "pm2p5", "pm10": "pm10", "nitrogen_dioxide": "no2"}
@@ -168,21 +154,6 @@ PREDICTIONS = T.StructType([
     T.StructField("depasse_oms", T.BooleanType()),
 ])
 
-SCORING_REQUEST = T.StructType([
-    T.StructField("request_id", T.LongType()),
-    T.StructField("pm25", T.DoubleType()),
-    T.StructField("pm10", T.DoubleType()),
-    T.StructField("no2", T.DoubleType()),
-    T.StructField("so2", T.DoubleType()),
-    T.StructField("co", T.DoubleType()),
-    T.StructField("o3", T.DoubleType()),
-    T.StructField("hour_local", T.IntegerType()),
-    T.StructField("day_of_week", T.IntegerType()),
-    T.StructField("month", T.IntegerType()),
-    T.StructField("season", T.StringType()),
-    T.StructField("location_id", T.LongType()),
-])
-
 AIR_FEED_COLUMNS = ["pm2_5", "pm10", "nitrogen_dioxide"]
 WEATHER_FEED_COLUMNS = ["temperature_2m", "wind_speed_10m", "boundary_layer_height"]
 

@@ -69,13 +69,6 @@ def test_pipe_and_bool_text(spark):
     assert got[0]["a"] == ["a", "b", "c"] and got[0]["t"] is True and got[1]["t"] is False
 
 
-def test_diurnal_and_seasonal_factor(spark):
-    df = spark.createDataFrame([(2, 11), (8, 2), (14, 7), (20, 4), (0, 10)], "h int, m int")
-    got = df.select(A.diurnal_factor("h"), A.seasonal_factor("m")).collect()
-    assert abs(got[1][0] - 1.4) < 1e-12 and abs(got[0][0] - 1.0) < 1e-12
-    assert [r[1] for r in got] == [1.6, 1.2, 0.6, 0.9, 1.0]
-
-
 def test_rename_drop_numeric_and_alias_helpers(spark):
     from airshed.functions import misc as M
     df = spark.createDataFrame([(1, 2.0, "a", 3)], "pm2_5 long, temp double, name string, n int")

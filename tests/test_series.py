@@ -128,3 +128,11 @@ def test_hot_series_is_spread_over_many_tasks(spark):
         assert got[0] == (None, None) and got[100] == (99.0, 76.0) and got[4999] == (4998.0, 4975.0)
     finally:
         spark.conf.set(key, old)
+
+
+def test_lags_and_windows_longer_than_a_block(spark):
+    n = 3000
+    df = spark.createDataFrame([(1, i, float(i)) for i in range(n)], "series_id long, _pos long, x double")
+    got = ser.add_window_features(df, ["series_id"], "x", {"lag": 720}, {"roll": 600}).orderBy("_pos").collect()
+    assert [r["lag"] for r in got] == [None] * 720 + [float(i) for i in range(n - 720)]
+    assert got[598]["roll"] is None and got[2999]["roll"] == sum(range(2400, 3000)) / 600
