@@ -105,6 +105,10 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", uri: str =
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
+#: Header fields that a record states once.
+ONCE = {"warc-type", "warc-record-id", "warc-date", "content-length"}
+
+
 class Damaged(Exception):
     """A check of a member or record failed."""
 
@@ -125,7 +129,10 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
         name, colon, value = x.partition(":")
         if not colon:
             raise Damaged("header line without colon")
-        head[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in head and name in ONCE:  # two headers run into each other
+            raise Damaged(f"{name} is stated twice")
+        head[name] = value.strip()
     size = head.get("content-length", "")
     if not size.isdigit():
         raise Damaged("no content length")
@@ -157,7 +164,7 @@ def parse_member(buf: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), min(pos, len(buf)) - len(z.unused_data)
 
 
-NEXT = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
+NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
 def scan(buf: bytes):

@@ -59,17 +59,21 @@ def test_gray_rank_is_the_inverse_of_the_gray_code():
     assert (sg.gray_rank(n ^ (n >> np.uint64(1))) == n).all()
 
 
+def pairs(parts):
+    return sorted(p for q, e in parts for p in zip(q.tolist(), e.tolist()))
+
+
+@pytest.mark.parametrize("frontier", [40, 1 << 20])
 @pytest.mark.parametrize("bits", [0, 1, 2, 3])
-def test_index_finds_all_pairs_and_only_them(bits):
+def test_index_finds_all_pairs_and_only_them(bits, frontier, monkeypatch):
+    monkeypatch.setattr(sg, "FRONTIER", frontier)
     rng = np.random.default_rng(bits)
     base = rng.integers(0, 2**64, 150, dtype=np.uint64)
     codes = np.unique(np.concatenate([base] + [base ^ (np.uint64(1) << rng.integers(0, 64, 150, dtype=np.uint64)) for _ in range(5)]))
     index = sg.GrayIndex(codes)
     near = np.bitwise_count(index.codes[:, None] ^ index.codes[None, :]) <= bits
-    q, e = index.search(index.codes, bits, np.arange(len(codes)))
-    assert sorted(zip(q.tolist(), e.tolist())) == [(i, j) for i, j in zip(*np.nonzero(near)) if i < j]
-    q, e = index.search(index.codes[:40], bits)
-    assert sorted(zip(q.tolist(), e.tolist())) == [(i, j) for i, j in zip(*np.nonzero(near)) if i < 40]
+    assert pairs(index.search(index.codes, bits, np.arange(len(codes)))) == [(i, j) for i, j in zip(*np.nonzero(near)) if i < j]
+    assert pairs(index.search(index.codes[:40], bits)) == [(i, j) for i, j in zip(*np.nonzero(near)) if i < 40]
 
 
 @pytest.mark.parametrize("region", [1, 7, 60, 10000])
