@@ -78,7 +78,7 @@ WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(t
      b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-            OR 2 * n_upper > word_chars OR 10 * n_dup_lines > 3 * n_lines) AS kept
+            OR 2 * n_upper > word_chars OR 2 * n_dup_lines > n_lines) AS kept
 FROM b"""
 
 

@@ -104,7 +104,7 @@ RULES = [
     Rule("short_words", lambda s: s.word_chars < 2 * s.n_words),
     Rule("long_words", lambda s: s.word_chars > 12 * s.n_words),
     Rule("upper_case", lambda s: 2 * s.n_upper > s.word_chars),
-    Rule("repeated_lines", lambda s: 10 * s.n_dup_lines > 3 * s.n_lines),
+    Rule("repeated_lines", lambda s: 2 * s.n_dup_lines > s.n_lines),
 ]
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
