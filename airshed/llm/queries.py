@@ -66,8 +66,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-     win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
-     tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM win),
+     grams AS (SELECT doc_id, list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS gs FROM w WHERE len(ws) >= 3),
+     win AS (SELECT doc_id, unnest(gs) AS g, unnest(range(1, len(gs) + 1)) AS i FROM grams),
+     tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win),
      rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE c > 1) GROUP BY doc_id),
      ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup FROM
               (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
@@ -106,8 +107,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
-     w AS (SELECT doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS win FROM
-             (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS i FROM l WHERE len(ls) >= 3)),
+     ws AS (SELECT doc_id, list_transform(range(1, len(ls) - 1), lambda i: ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2]) AS wins FROM l WHERE len(ls) >= 3),
+     w AS (SELECT doc_id, unnest(wins) AS win, unnest(range(1, len(wins) + 1)) AS i FROM ws),
      o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS occurrence FROM w),
      c AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM o WHERE occurrence > 1),
      x AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM l),
