@@ -160,7 +160,7 @@ def calibrate(entries: DataFrame, forest: Forest, n: int, k: int, recall: float)
 
 def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, trees: int = 16, bits: int = 32,
             recall: float = 0.95, m: int | None = None, seed: int = 7, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """For each row whose id satisfies ``is_query`` (a Column expression of the column ``id``) its ``k``
+    """For each row whose id satisfies ``is_query`` (a condition on the column ``id``, as text or Column) its ``k``
     nearest other rows found: ``query_id``, ``rank``, ``vec_id``, ``score`` (inner product in double precision).
 
     Rows with a null id take no part (see ``valid_vectors`` for the vectors); rows equal in id and
@@ -223,7 +223,7 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
         for d in range(depth, bits + 1):
             low = (q >> (bits - d)) << (bits - d)
             under[:, d - depth] = np.searchsorted(h, low + (1 << (bits - d))) - np.searchsorted(h, low)
-        return pd.DataFrame({"k1": right["k1"], "k2": right["k2"], "under": list(under)})
+        return pd.DataFrame({"k1": right["k1"].to_numpy(), "k2": right["k2"].to_numpy(), "under": pd.Series(list(under), dtype=object)})
 
     at = ["tree", "block", "part"]
     counts = (points.select(*at, "h").groupBy(*at).cogroup(parted(asks, True).select(*at, "h", "k1", "k2").groupBy(*at))

@@ -1,13 +1,13 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+
 
 import __spark_entry__ as E
 from airshed.llm import ann_forest as af
 
 from conftest import SF0001
 
-QUERY = F.col("id") % 20 == 0
+QUERY = "id % 20 = 0"
 
 
 def brute(rows, k, is_query=lambda i: i % 20 == 0):
