@@ -31,8 +31,9 @@ from airshed.llm.components import components
 #: Entries a region of the index keeps on average.
 REGION_ENTRIES = 2048
 FANOUT = 8
-#: Queries that descend together (bounds the memory of one step).
+#: Queries that start together, and open (query, node) pairs of a step: the memory of a search.
 QUERY_BLOCK = 8192
+FRONTIER = 1 << 20
 SEED = 42
 
 
@@ -100,52 +101,65 @@ class GrayIndex:
         self.leaf_mask = ~np.repeat(last, FANOUT)[:len(self.codes)] if levels else np.full(len(self.codes), full)
 
     def search(self, queries: np.ndarray, max_bits: int, after: np.ndarray | None = None):
-        """(query number, entry number) of all entries within ``max_bits``; ``after``: only entries
-        behind that number (each pair of entries once)."""
-        q = np.arange(len(queries))
-        node = np.zeros(len(queries), np.int64)
-        acc = np.zeros(len(queries), np.int64)
+        """Yield (query numbers, entry numbers) of all entries within ``max_bits``, in parts; ``after``:
+        only entries behind that number (each pair of entries once).
+
+        A part of the search that has more than ``FRONTIER`` open (query, node) pairs goes on in halves,
+        so a dense group of near copies costs time but not memory.
+        """
         steps = [*self.levels, (self.leaf_mask, self.codes)]
-        span = FANOUT ** (len(steps) - 1)  # entries below a node
-        for i, (mask, pattern) in enumerate(steps):
+        todo = [(0, np.arange(len(queries)), np.zeros(len(queries), np.int64), np.zeros(len(queries), np.uint8))]
+        while todo:
+            i, q, node, acc = todo.pop()
+            if len(q) * FANOUT > FRONTIER and len(q) > 1:
+                half = len(q) // 2
+                todo += [(i, q[half:], node[half:], acc[half:]), (i, q[:half], node[:half], acc[:half])]
+                continue
+            mask, pattern = steps[i]
             if i or not self.levels:
                 width = FANOUT if i else len(pattern)
                 q, acc = np.repeat(q, width), np.repeat(acc, width)
                 node = (node[:, None] * FANOUT + np.arange(width)).ravel()
                 real = node < len(pattern)
                 q, acc, node = q[real], acc[real], node[real]
-            if after is not None:
-                ahead = (node + 1) * span - 1 > after[q]
+            if after is not None:  # the last entry below the node
+                ahead = (node + 1) * FANOUT ** (len(steps) - 1 - i) - 1 > after[q]
                 q, acc, node = q[ahead], acc[ahead], node[ahead]
             acc = acc + np.bitwise_count((queries[q] ^ pattern[node]) & mask[node])
             near = acc <= max_bits
             q, acc, node = q[near], acc[near], node[near]
-            span //= FANOUT
-        return q, node
+            if i + 1 < len(steps):
+                todo.append((i + 1, q, node, acc))
+            elif len(q):
+                yield q, node
+
+
+def join_roots(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Roots (smallest member of each component) after linking x[i] with y[i]."""
+    while True:
+        a, b = root[x], root[y]
+        open_ = a != b
+        if not open_.any():
+            return root
+        x, y, a, b = x[open_], y[open_], a[open_], b[open_]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
 
 
 def link_forest(residents: np.ndarray, visitors: np.ndarray, max_bits: int) -> np.ndarray:
     """Links (as rows of two codes) that connect what the links of one region connect: from each
-    code to the smallest code of its local component."""
+    code to one code of its local component."""
     index = GrayIndex(residents)
     codes = np.concatenate([index.codes, visitors])
-    parent = list(range(len(codes)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    n = len(residents)
+    root, n = np.arange(len(codes)), len(residents)
     for begin in range(0, len(codes), QUERY_BLOCK):
         own = np.arange(begin, min(begin + QUERY_BLOCK, len(codes)))
-        q, e = index.search(codes[own], max_bits, np.where(own < n, own, -1))
-        for x, y in zip(own[q].tolist(), e.tolist()):
-            a, b = find(x), find(y)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    root = np.array([find(x) for x in range(len(codes))])
+        for q, e in index.search(codes[own], max_bits, np.where(own < n, own, -1)):
+            root = join_roots(root, own[q], e)
     linked = root != np.arange(len(codes))
     return np.stack([codes[linked], codes[root[linked]]], axis=1)
 
