@@ -19,6 +19,7 @@ from airshed.session import shared_path
 from airshed.sources import csv_tables as C
 from airshed.sources import driver_tables as D
 from airshed.sources import json_feed as JF
+from airshed.sources import sinks as K
 
 
 def land_csv(spark, sf_dir) -> tuple[str, str, str]:
@@ -57,7 +58,7 @@ def e2_payloads_to_feature_table(spark, sf_dir):
     table partitioned by year/month, read back whole."""
     air, weather = land_payloads(spark, sf_dir)
     path = R.run_feature_build(spark, air, weather, shared_path(spark, "feature-build"))
-    f = spark.read.parquet(path)
+    f = K.read_partitioned(spark, path, schema=feature_table(spark, sf_dir).schema)
     return f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
 
 

@@ -89,7 +89,7 @@ def a8_partitioned_features(spark, sf_dir):
     f = feature_table(spark, sf_dir)
     f = f.withColumns({c: F.round(c, 9) for c in FE.ROLLING})
     path = K.write_partitioned(f, shared_path(spark, "features-partitioned"))
-    return K.read_partitioned(spark, path, 2024, 1)
+    return K.read_partitioned(spark, path, 2024, 1, f.schema)
 
 
 @register("a9_json_hourly_air", "WITH " + X.AIR + "\nSELECT * FROM air")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airshed import schemas as S
 from airshed.operators.dedup import upsert
@@ -34,9 +35,15 @@ def write_partitioned(df: DataFrame, path: str, t: str = "datetime") -> str:
 
 
 def read_partitioned(spark: SparkSession, path: str, year: int | None = None,
-                     month: int | None = None) -> DataFrame:
-    """A7 + partition pruning: only the matching ``year=/month=`` folders are listed and read."""
-    df = spark.read.parquet(path)
+                     month: int | None = None, schema=None) -> DataFrame:
+    """A7 + partition pruning: only the matching ``year=/month=`` folders are listed and read.
+
+    ``schema`` (of the written columns) lets a table without any row, which has no file, be read.
+    """
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]))
+    df = reader.parquet(path)
     if year is not None:
         df = df.where(F.col("year") == year)
     if month is not None:

@@ -18,7 +18,7 @@ spark.sparkContext.setLogLevel("ERROR")
 import __spark_entry__ as E
 qs = E.queries()
 print("entry", E.entry(spark).count())
-print("pacf", qs["e9_pacf_yw_72"](spark, "/root/testdata/sf0.001").count())
+print("pacf", qs["e9_pacf_yw_72"](spark, "/root/testdata/sf0.01").count())
 print("lags", qs["i4_streaming_lags"](spark, "/root/testdata/sf0.001").count())
 spark.stop()
 """
@@ -31,4 +31,4 @@ def test_python_steps_run_without_the_package_on_the_workers_path():
                          text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-3000:]
     lines = dict(ln.split() for ln in out.stdout.splitlines() if ln.split()[:1] in (["entry"], ["pacf"], ["lags"]))
-    assert int(lines["entry"]) > 0 and int(lines["pacf"]) == 73 and int(lines["lags"]) > 0
+    assert int(lines["entry"]) > 0 and int(lines["pacf"]) == 4 * 73 and int(lines["lags"]) > 0

@@ -29,13 +29,24 @@ def _rows(cols, data):
     return sorted((tuple(_norm(r[i]) for i in order) for r in data), key=repr)
 
 
+#: The feature table of sf0.001 is empty (its feeds are too sparse): fits and lists of its columns need rows.
+SF001 = SF0001.replace("0.001", "0.01")
+NEEDS_FEATURES = {"a8_partitioned_features", "d15_corr_matrix_top15", "d11_describe_pm25", "d14_corr_with_target", "d16_histogram_60",
+                  "e2_payloads_to_feature_table", "e3_interpolate_limit3", "e7_lstm_sequences_24", "e8_acf_72", "e9_pacf_yw_72",
+                  "e11_chrono_split", "e12_batch_features", "k1_minmax_scale_lstm", "k3_prophet_frame", "k4_gbt_train_predict",
+                  "k5_seasonal_regression", "k8_nowcast_backfill", "k8_nowcast_cycles", "k11_eda_report"}
+
+
 @pytest.fixture(scope="module")
 def duck():
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
-    yield con
-    con.close()
+    cons = {}
+    for sf in (SF0001, SF001):
+        cons[sf] = duckdb.connect()
+        for t in TABLES:
+            cons[sf].execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    yield cons
+    for con in cons.values():
+        con.close()
 
 
 def test_every_query_is_registered_with_a_callable():
@@ -46,9 +57,10 @@ def test_every_query_is_registered_with_a_callable():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_duckdb(spark, duck, name):
-    df = E.queries()[name](spark, SF0001)
+    sf = SF001 if name in NEEDS_FEATURES else SF0001
+    df = E.queries()[name](spark, sf)
     got = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck[sf].execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     exp = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
@@ -65,4 +77,4 @@ def test_query_matches_duckdb(spark, duck, name):
 def test_entry_runs_on_smoke_data(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["location_id", "hour_utc"]
-    assert df.count() >= 0
+    assert df.count() > 0
