@@ -126,15 +126,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+    """Cut lineage: write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    Used after a large aggregation whose small result feeds several branches of a plan
-    (position offsets, block summaries): without it each branch would recompute the
-    aggregation from the raw files.  Never a local checkpoint: the data must survive the
-    loss of the executor that computed it.
+    Used after an aggregation or a positional step whose result feeds several branches of a plan:
+    without it each branch would recompute it from the raw files.  The data survives the loss of
+    the executor that computed it, readers scan only the columns they need, and Spark knows the
+    table's size when it plans a join.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:
