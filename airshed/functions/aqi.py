@@ -1,8 +1,7 @@
-"""Air-quality scalar functions."""
+"""Air-quality scalar functions."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 

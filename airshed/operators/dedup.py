@@ -1,8 +1,9 @@
 """Deduplication and keyed upsert.
 
 Both are grouped aggregations (``max_by`` over a version struct) rather than a
-``row_number`` window: the aggregation combines partially on the map side, so a
-key delivered many times is reduced before the shuffle and no group is sorted.
+``row_number`` window: the aggregation combines partially on the map side, so a key delivered many
+times is reduced before the shuffle.  The winner is a struct, so Spark aggregates by sorting (before
+and after the shuffle, spilling if need be); a bounded ``row_number`` would sort as often.
 """
 
 from __future__ import annotations
