@@ -12,7 +12,9 @@ query's final prefix length; a second pass brings the vectors, and a query is se
 its final prefix covers (several, if it is shorter than ``p``).  Each block returns its best few.
 
 Equal vectors are one entry: an entry keeps its ``k + 1`` smallest ids, all that a list of ``k``
-can show.  Largest inner product is reduced to the smallest angle by one more component
+can show.  Both cuts of a list (in a block, then per query) go by the score summed in order of the
+components and, among equal scores, by the entry's smallest id, so a list of ``k + 1`` entries holds
+every id that the result can show, however many entries tie.  Largest inner product is reduced to the smallest angle by one more component
 (sqrt(R^2 - |x|^2), zero for queries).
 
 ``m`` is tuned on a bounded set of queries (``CALIBRATION_QUERIES``), compared with every entry: the
@@ -35,8 +37,6 @@ from airshed.llm.common import prepare, written
 SAMPLE_VECTORS = 4096
 CALIBRATION_QUERIES = 64
 BLOCK_ENTRIES = 4096
-#: Candidates a block returns beyond ``k + 1``, against rounding at the edge of its list.
-SLACK = 4
 
 
 @dataclass
@@ -249,39 +249,51 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
                   f"shiftleft(shiftright(block, {depth} - stop) + 1, {depth} - stop) - 1))")
     go = parted(go.select("k1", "k2", "tree", "h", "stop", F.explode(wide).alias("block")), True)
 
-    def with_vec(frame: DataFrame, name: str) -> DataFrame:
-        vectors = light.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("vec").alias(name))
+    def with_vec(frame: DataFrame, name: str, *more) -> DataFrame:
+        vectors = entries.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("vec").alias(name), *more)
         return frame.join(vectors, (F.col("k1") == F.col("v1")) & (F.col("k2") == F.col("v2"))).drop("v1", "v2")
 
-    keep = k + 1 + SLACK
+    keep = k + 1
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        rows, place, scores = [], [], []
         if len(left) and len(right):
             left = left.sort_values("h", kind="stable")
-            h, p1, p2 = (left[c].to_numpy(np.int64) for c in ("h", "k1", "k2"))
+            h, p1, p2, least = (left[c].to_numpy(np.int64) for c in ("h", "k1", "k2", "least"))
             x = np.stack(left["pv"].to_numpy()).astype(np.float64)
+            # four times the rounding of a sum of products: what two ways of summing can differ by, at the edge and at a candidate
+            rounding = 4 * x.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(x, axis=1).max()
             s = right["stop"].to_numpy(np.int64)
             low = np.where(s > depth, (right["h"].to_numpy(np.int64) >> (bits - s)) << (bits - s), 0)
             begin = np.where(s > depth, np.searchsorted(h, low), 0)
             end = np.where(s > depth, np.searchsorted(h, low + (1 << (bits - s))), len(h))
             for i, (a, b, v) in enumerate(zip(begin.tolist(), end.tolist(), right["qv"])):
                 if b > a:
-                    score = x[a:b] @ np.asarray(v, np.float64)
-                    top = np.argpartition(-score, keep - 1)[:keep] if b - a > keep else np.arange(b - a)
-                    out.append(pd.DataFrame({"q1": right["k1"].iloc[i], "q2": right["k2"].iloc[i], "p1": p1[a:b][top], "p2": p2[a:b][top], "score": score[top]}))
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("q1", "q2", "p1", "p2", "score")})
-
-    found = (with_vec(points.select(*at, "h", "k1", "k2"), "pv").groupBy(*at).cogroup(with_vec(go.select(*at, "h", "stop", "k1", "k2"), "qv").groupBy(*at))
-             .applyInPandas(search, "q1 long, q2 long, p1 long, p2 long, score double"))
-    best = found.groupBy("q1", "q2", "p1", "p2").agg(F.max("score").alias("score"))
+                    v = np.asarray(v, np.float64)
+                    near = np.arange(a, b)
+                    if b - a > keep:
+                        score = x[a:b] @ v
+                        near = near[score >= np.partition(score, b - a - keep)[b - a - keep] - rounding * np.linalg.norm(v)]
+                    score = np.cumsum(x[near] * v, axis=1)[:, -1] + 0.0  # in order of the components; no negative zero
+                    top = np.lexsort((least[near], -score))[:keep]
+                    rows.append(np.full(len(top), i))
+                    place.append(near[top])
+                    scores.append(score[top])
+        rows, place = (np.concatenate([np.empty(0, np.int64), *c]) for c in (rows, place))
+        if not len(rows):
+            return pd.DataFrame({c: [] for c in ("q1", "q2", "p1", "p2", "least", "score")})
+        return pd.DataFrame({"q1": right["k1"].to_numpy()[rows], "q2": right["k2"].to_numpy()[rows], "p1": p1[place], "p2": p2[place], "least": least[place],
+                             "score": np.concatenate(scores)})
+
+    found = (with_vec(points.select(*at, "h", "k1", "k2"), "pv", F.col("ids")[0].alias("least")).groupBy(*at)
+             .cogroup(with_vec(go.select(*at, "h", "stop", "k1", "k2"), "qv").groupBy(*at))
+             .applyInPandas(search, "q1 long, q2 long, p1 long, p2 long, least long, score double"))
+    best = found.groupBy("q1", "q2", "p1", "p2").agg(F.max("score").alias("score"), F.min("least").alias("least"))
     per_query = Window.partitionBy("q1", "q2")
-    best = best.withColumn("rn", F.row_number().over(per_query.orderBy(F.desc("score"), "p1", "p2"))).where(F.col("rn") <= keep).drop("rn")
-    # exact scores of the few left, summed in order of the components; then ids for entries
-    side = lambda a, b, v, *more: entries.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("vec").alias(v), *more)
-    best = best.drop("score").join(side("q1", "q2", "qv"), ["q1", "q2"]).join(side("p1", "p2", "pv", "ids"), ["p1", "p2"])
-    dot = F.aggregate(F.zip_with("qv", "pv", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    hits = best.select("q1", "q2", dot.alias("score"), F.explode("ids").alias("vec_id"))
+    best = best.withColumn("rn", F.row_number().over(per_query.orderBy(F.desc("score"), "least"))).where(F.col("rn") <= keep).drop("rn")
+    # ids for entries
+    ids = entries.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), "ids")
+    hits = best.drop("least").join(ids, ["p1", "p2"]).select("q1", "q2", "score", F.explode("ids").alias("vec_id"))
     order = [F.desc("score"), F.col("vec_id")]
     hits = hits.withColumn("rn", F.row_number().over(per_query.orderBy(*order))).where(F.col("rn") <= k + 1).drop("rn")
     hits = hits.join(queries.select(F.col("id").alias("query_id"), F.col("k1").alias("q1"), F.col("k2").alias("q2")), ["q1", "q2"]).where("vec_id <> query_id")

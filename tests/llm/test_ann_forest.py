@@ -53,6 +53,29 @@ def test_odd_rows_ties_and_copies_are_exact_when_everything_is_near(spark):
     assert all(abs(a - b) < 1e-12 for q in want for (a, _), (b, _) in zip(got[q], want[q]))
 
 
+@pytest.mark.parametrize("block_entries", [4096, 32])
+def test_ties_of_many_distinct_vectors_go_to_the_smaller_ids(spark, block_entries):
+    rng = np.random.default_rng(4)
+    codes = rng.permutation(1 << 10)[:500]
+    rows = [(int(i), (2.0 * ((c >> np.arange(10)) & 1) - 1).tolist()) for i, c in zip(rng.permutation(2000), codes)]
+    rows += [(3000 + i, rows[7 * i][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got, want = lists(af.nearest(df, QUERY, k=20, m=10**6, block_entries=block_entries)), brute(rows, 20)
+    assert got == want and all(len(v) == 20 for v in got.values())
+
+
+def test_scores_that_differ_by_rounding_keep_their_order(spark):
+    # permutations of one vector against all ones: equal sums but for the rounding of each order
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(24)
+    rows = [(0, [1.0] * 24)] + [(20 * i + 1, rng.permutation(base).tolist()) for i in rng.permutation(400).tolist()]
+    want = sorted(((float(np.cumsum(v)[-1]), i) for i, v in rows[1:]), key=lambda x: (-x[0], x[1]))
+    assert len({s for s, _ in want}) > 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = lists(af.nearest(df, "id = 0", k=10, m=10**6))[0]
+    assert got == want[:10]
+
+
 def test_few_rows_empty_table_and_blocks(spark):
     schema = "vec_id long, embedding array<float>"
     assert af.nearest(spark.createDataFrame([], schema), QUERY).count() == 0
