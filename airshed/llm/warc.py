@@ -10,8 +10,12 @@ Reading.  Each file is scanned member by member (or record by record, if it isn'
 member or record counts only if its checks hold: the member inflates with a right CRC, the header parses,
 the block has its ``Content-Length`` and digest and ends in two line ends.  After a failed check
 the reader searches for the next gzip magic or version line from which the checks hold
-again, goes on from there, and logs the bytes in between as a quarantined gap.  Damage therefore
-costs the records it touches, never those behind it.
+again, goes on from there, and logs the bytes in between as a quarantined gap.  In a member of several
+records the search for the next version line goes on in the inflated bytes.  If the member itself is
+damaged, what inflated before the error (or before the next valid member) is searched too; with no right
+CRC, a record there counts only if it states a block digest that holds and is not all that inflated (a
+member that is one record stands or falls with its own checks).  Damage therefore costs the records it
+touches, never those behind it.
 """
 
 from __future__ import annotations
@@ -149,55 +153,127 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
     return head, block, end + len(END)
 
 
-def parse_member(buf: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``; raises ``Damaged``."""
+def inflate(buf: bytes, at: int, stop: int | None = None) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member at ``at``, which has to end by ``stop``; of a damaged one what inflated,
+    the place of the error and its reason."""
     z = zlib.decompressobj(31)
+    stop = len(buf) if stop is None else stop
     parts, step, pos = [], 1 << 16, at
     try:
         while not z.eof:
-            if pos >= len(buf):
-                raise Damaged("member is cut off")
-            parts.append(z.decompress(buf[pos:pos + step]))
-            pos += step
+            if pos >= stop:
+                return b"".join(parts), stop, "member is cut off"
+            parts.append(z.decompress(buf[pos:min(pos + step, stop)]))
+            pos = min(pos + step, stop)
+        return b"".join(parts), pos - len(z.unused_data), None
     except zlib.error as e:
-        raise Damaged(f"member does not inflate: {str(e)[:40]}") from None
-    return b"".join(parts), min(pos, len(buf)) - len(z.unused_data)
+        why = f"member does not inflate: {str(e)[:40]}"
+    # the failed step once more byte by byte: a failed call returns nothing of what inflated
+    z = zlib.decompressobj(31)
+    z.decompress(buf[at:pos])
+    for i in range(pos, stop):
+        try:
+            parts.append(z.decompress(buf[i:i + 1]))
+        except zlib.error:
+            return b"".join(parts), i, why
+    return b"".join(parts), stop, why
 
 
-NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+def parse_member(buf: bytes, at: int) -> tuple[bytes, int]:
+    """Content and end of the gzip member at ``at``; raises ``Damaged``."""
+    data, end, why = inflate(buf, at)
+    if why:
+        raise Damaged(why)
+    return data, end
 
 
-def scan(buf: bytes):
-    """Yield ("record", start, end, headers, block) and ("gap", start, end, reason) over one file.
+NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
-    Records and gaps cover every byte but empty members, in order.
-    """
+
+def scan_inflated(data: bytes, valid: bool):
+    """Yield ("record", start, end, headers, block) and ("gap", start, end, reason, None) over the content of a member;
+    ``valid``: its CRC holds."""
     at, gap, why = 0, -1, ""
-    while at < len(buf):
+    while at < len(data):
         try:
-            if buf.startswith(MAGIC, at):
-                data, end = parse_member(buf, at)
-                found, inner = [], 0
-                while inner < len(data):
-                    head, block, inner = parse_record(data, inner)
-                    found.append((head, block))
-            else:
-                head, block, end = parse_record(buf, at)
-                found = [(head, block)]
+            head, block, end = parse_record(data, at)
+            if not valid and not head.get("warc-block-digest", "").startswith("sha1:"):
+                raise Damaged("nothing vouches for the record of a damaged member")
+            if not valid and end - at == len(data):
+                raise Damaged("the only record of a damaged member")
         except Damaged as e:
             if gap < 0:
                 gap, why = at, str(e)
-            ahead = NEXT.search(buf, at + 1)
-            at = ahead.start() if ahead else len(buf)
+            at = data.find(b"WARC/1.", at + 1)
+            at = at if at >= 0 else len(data)
             continue
         if gap >= 0:
             yield "gap", gap, at, why, None
             gap = -1
-        for head, block in found:
-            yield "record", at, end, head, block
+        yield "record", at, end, head, block
         at = end
     if gap >= 0:
-        yield "gap", gap, len(buf), why, None
+        yield "gap", gap, len(data), why, None
+
+
+def salvage_member(buf: bytes, at: int) -> tuple[list, int, str | None]:
+    """What ``scan_inflated`` finds in the member at ``at``, its end, and its error if it is damaged (then at least
+    one gap is among the finds); raises ``Damaged`` if a member with content has no record."""
+    data, end, why = inflate(buf, at)
+    valid = why is None
+    if not valid:  # it ends where the next valid member of records begins, if it ran into one
+        ahead = buf.find(MAGIC, at + 1, end + len(MAGIC))
+        while ahead >= 0:
+            inner, _, bad = inflate(buf, ahead)
+            if bad is None and any(x[0] == "record" for x in scan_inflated(inner, True)):
+                data, end, _ = inflate(buf, at, ahead)
+                break
+            ahead = buf.find(MAGIC, ahead + 1, end + len(MAGIC))
+    found = list(scan_inflated(data, valid))
+    if not any(x[0] == "record" for x in found):
+        if found or not valid:
+            raise Damaged(why or found[0][3])
+    elif not valid and not any(x[0] == "gap" for x in found):
+        found.append(("gap", len(data), len(data), why, None))
+    return found, end, why
+
+
+def scan(buf: bytes):
+    """Yield ("record", start, end, headers, block) and ("gap", start, end, reason, None) over one file.
+
+    Records and gaps cover every byte but empty members, in order.  Records of one member, and the gaps between
+    them, all have the member's place in the file; the reason of such a gap names its place in the inflated bytes.
+    """
+    at, done, why = 0, 0, ""  # done: the end of what has been yielded
+    # records of a damaged member, which the file's bytes up to ``until`` may hold once more (in stored blocks)
+    twice, until = set(), 0
+    while at < len(buf):
+        error = None
+        try:
+            if buf.startswith(MAGIC, at):
+                found, end, error = salvage_member(buf, at)
+            else:
+                head, block, end = parse_record(buf, at)
+                if at < until and (str(head), block) in twice:
+                    at = end
+                    continue
+                found = [("record", at, end, head, block)]
+        except Damaged as e:
+            why = why or str(e)
+        else:
+            if at > done:
+                yield "gap", done, at, why, None
+            for kind, a, b, x, block in found:
+                yield kind, at, end, x if kind == "record" else f"{x} (inflated bytes {a} to {b})", block
+            done, why = max(done, end), error or ""
+            if not error:
+                at = end
+                continue
+            twice, until = {(str(x), block) for kind, _, _, x, block in found if kind == "record"}, end
+        ahead = NEXT.search(buf, at + 1)
+        at = ahead.start() if ahead else len(buf)
+    if done < len(buf):
+        yield "gap", done, len(buf), why, None
 
 
 ROW = ("kind string, file string, start long, end long, reason string, record_type string, record_id string, "

@@ -66,6 +66,56 @@ def test_damage_costs_only_what_it_touches(packed, damage):
     covers(found, len(data))
 
 
+TEXTS = [record(i, (f"page {i} says {random.Random(i).random()} " * 300).encode()) for i in range(40)]
+NAMES = [f"<urn:key:{i}>" for i in range(40)]
+
+
+@pytest.mark.parametrize("records", [RECORDS, TEXTS])
+@pytest.mark.parametrize("damage", ["block", "length", "version"])
+def test_a_bad_record_costs_no_other_record_of_its_member(records, damage):
+    n = len(records)
+    hit = {"block": records[5][:-20] + b"#" + records[5][-19:], "length": records[5].replace(b"Content-Length: ", b"Content-Length: 9"),
+           "version": b"XXXX" + records[5][4:]}[damage]
+    data = warc.member(b"".join(records[:5] + [hit] + records[6:])) + warc.member(record(99, b"next"))
+    found = list(warc.scan(data))
+    assert ids(found) == NAMES[:5] + NAMES[6:n] + ["<urn:key:99>"]
+    gaps = [x for x in found if x[0] == "gap"]
+    assert len(gaps) == 1 and found.index(gaps[0]) == 5
+    at = sum(map(len, records[:5]))
+    assert f"(inflated bytes {at} to {at + len(hit)})" in gaps[0][3]
+
+
+@pytest.mark.parametrize("records", [RECORDS, TEXTS])
+@pytest.mark.parametrize("behind", [[], [record(99, b"next")]])
+def test_a_damaged_member_gives_the_records_that_inflated(records, behind):
+    n, whole = len(records), warc.member(b"".join(records))
+    after = b"".join(warc.member(r) for r in behind)
+    tail = ["<urn:key:99>"] * len(behind)
+    bad_crc = bytearray(whole)
+    bad_crc[-6] ^= 0xFF
+    found = list(warc.scan(bytes(bad_crc) + after))
+    assert ids(found) == NAMES[:n] + tail and "gap" in [x[0] for x in found]
+    cut = whole[:len(whole) * 2 // 3]
+    found = list(warc.scan(cut + after))
+    inside = ids(found)[:len(ids(found)) - len(behind)]
+    assert ids(found) == NAMES[:len(inside)] + tail and n // 3 < len(inside) < n and "gap" in [x[0] for x in found]
+    for at in range(len(whole) // 2, len(whole) // 2 + 40):
+        flip = bytearray(whole)
+        flip[at] ^= 0xFF
+        found = list(warc.scan(bytes(flip) + after))
+        assert len(set(ids(found))) == len(ids(found)) and set(ids(found)) <= set(NAMES + tail)
+        assert ids(found)[:n // 4] == NAMES[:n // 4] and ids(found)[len(ids(found)) - len(behind):] == tail
+        assert "gap" in [x[0] for x in found]
+
+
+def test_records_in_a_damaged_member_need_a_digest_that_holds():
+    bare = [r.replace(b"WARC-Block-Digest", b"X-Block-Digest") for r in TEXTS]
+    good = warc.member(b"".join(bare))
+    bad = bytearray(good)
+    bad[-6] ^= 0xFF
+    assert len(ids(warc.scan(good))) == 40 and ids(warc.scan(bytes(bad))) == []
+
+
 def test_random_bytes_never_break_the_reader():
     rng = random.Random(5)
     _, data = build(True)
