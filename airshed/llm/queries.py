@@ -36,11 +36,12 @@ FROM g"""
 
 @register("op2_warc_salvage", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as WARC records and read back by the salvage reader."""
+    """Pages written as WARC records and read back by the salvage reader; a gap in these fresh archives is an error."""
     from airshed.llm import warc
     path = shared_path(spark, "warc")
     warc.write_archives(read_table(spark, sf_dir, "pages"), path)
-    records = warc.salvage(spark, path).where("kind = 'record'")
+    gap = F.raise_error(F.format_string("gap in a fresh archive: %s, bytes %d to %d: %s", "file", "start", "end", "reason")).cast("boolean")
+    records = warc.salvage(spark, path).where(F.when(F.col("kind") == "record", F.lit(True)).otherwise(gap))
     page = lambda c: F.expr(f"cast(nullif(substring({c}, 9), '') as long)")  # noqa: E731  behind "urn:key:"
     return warc.resolve_revisits(records).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))

@@ -117,13 +117,18 @@ class Damaged(Exception):
     """A check of a member or record failed."""
 
 
+#: What a header ends with, at any length, or the next version line if it has no end.
+HEAD_END = re.compile(rb"\r\n\r\n|\nWARC/1\.")
+
+
 def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
     """Headers (lower-case names), block and end of the record at ``at``; raises ``Damaged``."""
     if not buf.startswith(b"WARC/1.", at):
         raise Damaged("no version line")
-    stop = buf.find(END, at, at + 65536)
-    if stop < 0:
+    found = HEAD_END.search(buf, at)
+    if not found or found.group() != END:
         raise Damaged("header without end")
+    stop = found.start()
     try:
         lines = buf[at:stop].decode("utf-8").split("\r\n")
     except UnicodeDecodeError:

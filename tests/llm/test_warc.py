@@ -156,6 +156,31 @@ def test_round_trip_with_odd_rows(spark, tmp_path):
     assert op2(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_header_may_have_any_length(spark, tmp_path):
+    from airshed.llm.queries import op2
+    rows = [(1, "data:text/html," + "x" * 100_000, "x" * 200), (2, "http://b WARC/1.1 b", "x" * 200), (3, "data:," + "é" * 300_000, "z" * 300)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted([tuple(r) for r in op2(spark, str(tmp_path)).collect()], key=str) == expected(rows)
+    endless = b"WARC/1.1\r\nX: " + b"y" * 100_000 + b"\r\n"
+    found = list(warc.scan(endless + RECORDS[0]))
+    assert [x[0] for x in found] == ["gap", "record"] and found[0][2] == len(endless)
+
+
+def test_a_gap_in_fresh_archives_is_an_error(spark, tmp_path, monkeypatch):
+    from airshed.llm.queries import op2
+    write = warc.write_archives
+
+    def damaged(pages, path, **more):
+        write(pages, path, **more)
+        spark.createDataFrame([("noise",)], "value string").coalesce(1).write.mode("append").text(path)
+
+    spark.createDataFrame([PAGES[0]], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert op2(spark, str(tmp_path)).count() == 1
+    monkeypatch.setattr(warc, "write_archives", damaged)
+    with pytest.raises(Exception, match="gap in a fresh archive"):
+        op2(spark, str(tmp_path)).collect()
+
+
 def test_archives_are_plain_gzip_and_damage_is_logged(spark, tmp_path):
     path = str(tmp_path / "arch")
     df = spark.createDataFrame([(i, f"http://{i}", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string")
