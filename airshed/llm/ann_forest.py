@@ -6,7 +6,8 @@ matching prefix and then ascends in all trees at once, one bit at a time, until
 current length have ``m`` entries together; these entries are scored exactly.
 
 On the cluster a tree's sorted array is cut into blocks by the leading ``p`` bits (about
-``BLOCK_ENTRIES`` each; a block that is much larger is split into salted parts, each asked in turn).
+``BLOCK_ENTRIES`` each; a block that is much larger is split into salted parts, each asked in turn,
+and the queries of a block that very many visit into salted slices, so both sides of a task are bounded).
 One pass over the strings counts the entries under each prefix of each query, which fixes the
 query's final prefix length; a second pass brings the vectors, and a query is sent to the blocks
 its final prefix covers (several, if it is shorter than ``p``).  Each block returns its best few.
@@ -201,20 +202,23 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
     points = written(light.mapInArrow(strings(False), kind).select("*", block), "ann-points")
     asks = written(entries.where("is_query").select("k1", "k2", "vec").mapInArrow(strings(True), kind).select("*", block), "ann-asks")
 
-    # blocks far over the usual size are split into salted parts
+    # blocks far over the usual size are split into salted parts; their queries, if there are many, into salted slices
     sizes = written(points.groupBy("tree", "block").count(), "ann-blocks")
-    large = sizes.where(F.col("count") > 4 * block_entries).select(
-        F.col("tree").alias("t"), F.col("block").alias("b"), F.ceil(F.col("count") / block_entries).cast("int").alias("parts"))
-    any_large = not large.isEmpty()
 
-    def parted(frame: DataFrame, copies: bool) -> DataFrame:
-        if not any_large:
-            return frame.withColumn("part", F.lit(0))
-        frame = frame.join(large, (F.col("tree") == F.col("t")) & (F.col("block") == F.col("b")), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if copies else F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int")
-        return frame.withColumn("part", part).drop("t", "b", "parts")
+    def large(counts: DataFrame) -> DataFrame | None:
+        found = counts.where(F.col("count") > 4 * block_entries).select(
+            F.col("tree").alias("t"), F.col("block").alias("b"), F.ceil(F.col("count") / block_entries).cast("int").alias("splits"))
+        return None if found.isEmpty() else found
 
-    points = parted(points, False)
+    def salted(frame: DataFrame, split: DataFrame | None, name: str, copies: bool) -> DataFrame:
+        if split is None:
+            return frame.withColumn(name, F.lit(0))
+        frame = frame.join(split, (F.col("tree") == F.col("t")) & (F.col("block") == F.col("b")), "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
+        salt = F.explode(F.sequence(F.lit(0), F.col("splits") - 1)) if copies else F.pmod(F.xxhash64("k1", "k2"), F.col("splits")).cast("int")
+        return frame.withColumn(name, salt).drop("t", "b", "splits")
+
+    parts = large(sizes)
+    points = salted(points, parts, "part", False)
 
     # first pass: entries under each prefix of depth..bits bits of each query, in its own block of each tree
     def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -225,8 +229,10 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
             under[:, d - depth] = np.searchsorted(h, low + (1 << (bits - d))) - np.searchsorted(h, low)
         return pd.DataFrame({"k1": right["k1"].to_numpy(), "k2": right["k2"].to_numpy(), "under": pd.Series(list(under), dtype=object)})
 
-    at = ["tree", "block", "part"]
-    counts = (points.select(*at, "h").groupBy(*at).cogroup(parted(asks, True).select(*at, "h", "k1", "k2").groupBy(*at))
+    at = ["tree", "block", "part", "slice"]
+    slices = large(written(asks.groupBy("tree", "block").count(), "ann-ask-blocks"))
+    counts = (salted(points, slices, "slice", True).select(*at, "h").groupBy(*at)
+              .cogroup(salted(salted(asks, slices, "slice", False), parts, "part", True).select(*at, "h", "k1", "k2").groupBy(*at))
               .applyInPandas(count, "k1 long, k2 long, under array<long>"))
     sums = counts.groupBy("k1", "k2").agg(F.array(*[F.sum(F.col("under")[i]) for i in range(bits - depth + 1)]).alias("under"))
     # final prefix length: the longest with m entries; -1: the blocks together have fewer
@@ -247,7 +253,9 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
     go = asks.join(stop, ["k1", "k2"])
     wide = F.expr(f"if(stop >= {depth}, array(block), sequence(shiftleft(shiftright(block, {depth} - stop), {depth} - stop), "
                   f"shiftleft(shiftright(block, {depth} - stop) + 1, {depth} - stop) - 1))")
-    go = parted(go.select("k1", "k2", "tree", "h", "stop", F.explode(wide).alias("block")), True)
+    go = go.select("k1", "k2", "tree", "h", "stop", F.explode(wide).alias("block"))
+    visits = large(written(go.groupBy("tree", "block").count(), "ann-visits"))
+    go = salted(salted(go, visits, "slice", False), parts, "part", True)
 
     def with_vec(frame: DataFrame, name: str, *more) -> DataFrame:
         vectors = entries.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("vec").alias(name), *more)
@@ -285,7 +293,7 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "emb
         return pd.DataFrame({"q1": right["k1"].to_numpy()[rows], "q2": right["k2"].to_numpy()[rows], "p1": p1[place], "p2": p2[place], "least": least[place],
                              "score": np.concatenate(scores)})
 
-    found = (with_vec(points.select(*at, "h", "k1", "k2"), "pv", F.col("ids")[0].alias("least")).groupBy(*at)
+    found = (salted(with_vec(points.select("tree", "block", "part", "h", "k1", "k2"), "pv", F.col("ids")[0].alias("least")), visits, "slice", True).groupBy(*at)
              .cogroup(with_vec(go.select(*at, "h", "stop", "k1", "k2"), "qv").groupBy(*at))
              .applyInPandas(search, "q1 long, q2 long, p1 long, p2 long, least long, score double"))
     best = found.groupBy("q1", "q2", "p1", "p2").agg(F.max("score").alias("score"), F.min("least").alias("least"))

@@ -90,6 +90,29 @@ def test_few_rows_empty_table_and_blocks(spark):
     assert np.mean([len({j for _, j in got[q]} & {j for _, j in want[q]}) / 5 for q in want]) >= 0.9
 
 
+def test_both_sides_of_a_task_are_bounded(spark, tmp_path, monkeypatch):
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+    apply, folder = PandasCogroupedOps.applyInPandas, str(tmp_path)
+
+    def noting(self, func, schema):
+        def noted(left, right):
+            import uuid
+            with open(f"{folder}/{uuid.uuid4()}", "w") as f:
+                f.write(f"{len(left)} {len(right)}")
+            return func(left, right)
+        return apply(self, noted, schema)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", noting)
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.standard_normal(8) + (i % 3 == 0) * 6).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # every vector asks, and visits every block
+    got, want = lists(af.nearest(df, "true", k=5, trees=2, m=1500, block_entries=32)), brute(rows, 5, lambda i: True)
+    assert {q: [j for _, j in v] for q, v in got.items()} == {q: [j for _, j in v] for q, v in want.items()}
+    noted = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir()]
+    assert noted and max(a for a, _ in noted) <= 4 * 32 and max(b for _, b in noted) <= 4 * 32
+
+
 def test_prefix_lengths():
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 1 << 20, 500), rng.integers(0, 1 << 20, 500)
