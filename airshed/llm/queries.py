@@ -151,3 +151,55 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest others of every embedding whose id is divisible by 20."""
     from airshed.llm import ann_forest
     return ann_forest.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+#: CRC-32 of a decimal number in DuckDB, which has no such function: bit by bit over its characters.
+SQL_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda ch: ord(ch)::BIGINT)), lambda c, ch:
+     list_reduce(list_prepend(xor(c, ch), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+SQL_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR END"
+OP12_LEAF = "sha256(" + " || ".join(SQL_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, """ + OP12_LEAF.format(text="text") + """ AS leaf, """ + OP12_LEAF.format(
+    text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """ AS lower_leaf,
+         """ + SQL_CRC32.format("doc_id::VARCHAR") + """ % 3 = 0 AS tampered FROM documents),
+lv AS (
+  SELECT lang, 0 AS k, list(leaf ORDER BY doc_id, leaf) AS h FROM d GROUP BY lang
+  UNION ALL
+  SELECT lang, k + 1, list_transform(range(0, len(h), 8), lambda i: sha256(array_to_string(h[i + 1:i + 8], ''))) FROM lv WHERE len(h) > 1),
+sub AS (SELECT lang, k AS top, h[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM lv WHERE len(h) = 1),
+up AS (
+  SELECT 0 AS k, list(subroot ORDER BY i) AS h FROM sub
+  UNION ALL
+  SELECT k + 1, list_transform(range(0, len(h), 8), lambda i: sha256(array_to_string(h[i + 1:i + 8], ''))) FROM up WHERE len(h) > 1),
+fin AS (SELECT k AS top, h[1] AS root FROM up WHERE len(h) = 1),
+p AS (SELECT d.*, sub.subroot, sub.top, sub.i AS ui, row_number() OVER (PARTITION BY d.lang ORDER BY doc_id, leaf) - 1 AS i
+      FROM d JOIN sub ON d.lang IS NOT DISTINCT FROM sub.lang),
+steps AS (
+  SELECT doc_id, p.i AS row_i, p.lang, lv.k, lv.h, CAST(floor(p.i / pow(8, lv.k)) AS BIGINT) AS pos FROM p JOIN lv ON p.lang IS NOT DISTINCT FROM lv.lang AND lv.k < p.top
+  UNION ALL
+  SELECT doc_id, p.i, p.lang, p.top + up.k, up.h, CAST(floor(p.ui / pow(8, up.k)) AS BIGINT) FROM p CROSS JOIN up CROSS JOIN fin WHERE up.k < fin.top),
+runs AS (SELECT doc_id, row_i, lang, k, array_to_string(h[pos - pos % 8 + 1:pos], '') AS before, array_to_string(h[pos + 2:pos - pos % 8 + 8], '') AS behind FROM steps),
+path AS (SELECT doc_id, row_i, lang, sha256(string_agg(before || behind, '' ORDER BY k)) AS proof,
+                list(before ORDER BY k) AS befores, list(behind ORDER BY k) AS behinds FROM runs GROUP BY doc_id, row_i, lang),
+q AS (SELECT p.*, coalesce(proof, sha256('')) AS proof, befores, behinds FROM p LEFT JOIN path
+      ON p.doc_id IS NOT DISTINCT FROM path.doc_id AND p.i = path.row_i AND p.lang IS NOT DISTINCT FROM path.lang),
+f AS (
+  SELECT doc_id, i, lang, 0 AS k, CASE WHEN tampered THEN lower_leaf ELSE leaf END AS x, befores, behinds FROM q
+  UNION ALL
+  SELECT doc_id, i, lang, k + 1, sha256(befores[k + 1] || x || behinds[k + 1]), befores, behinds FROM f WHERE k < coalesce(len(befores), 0))
+SELECT q.doc_id, q.leaf, q.subroot, fin.root, q.proof AS proof_sha256, f.x AS folded_root, f.x = fin.root AS verified
+FROM q JOIN f ON q.doc_id IS NOT DISTINCT FROM f.doc_id AND q.i = f.i AND q.lang IS NOT DISTINCT FROM f.lang AND f.k = coalesce(len(q.befores), 0)
+CROSS JOIN fin"""
+
+
+@register("op12_merkle_veb", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by language; every leaf, a third of them tampered with, proved against the root."""
+    from airshed.llm import merkle_veb
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    manifest = merkle_veb.build(read_table(spark, sf_dir, "documents").select(*columns), columns, "lang", "doc_id", {"text": lower},
+                                F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
+    return merkle_veb.verify(manifest).withColumnRenamed("key", "doc_id")
