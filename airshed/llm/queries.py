@@ -203,3 +203,27 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = merkle_veb.build(read_table(spark, sf_dir, "documents").select(*columns), columns, "lang", "doc_id", {"text": lower},
                                 F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
     return merkle_veb.verify(manifest).withColumnRenamed("key", "doc_id")
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+     d AS (SELECT doc_id, len(ts) AS n, ts FROM t WHERE len(ts) > 0),
+     s AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM d),
+     p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM d) GROUP BY ALL),
+     df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+     w AS (SELECT term, CAST(floor(1000 * ln((2 * s.N + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df CROSS JOIN s),
+     q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+     sc AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * p.n * s.N) // s.L)))) AS BIGINT) AS score
+            FROM q JOIN w USING (term) JOIN p USING (term) CROSS JOIN s GROUP BY item_id, doc_id),
+     r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM sc WHERE score > 0)
+SELECT * FROM r WHERE rank <= 20"""
+
+
+@register("op11_lexical_hybrid", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    from airshed.llm import lexical_hybrid
+    return lexical_hybrid.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 20)
