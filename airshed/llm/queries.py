@@ -227,3 +227,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item."""
     from airshed.llm import lexical_hybrid
     return lexical_hybrid.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 20)
+
+
+@register("op13_token_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written to coded files and read back, as digests."""
+    from airshed.llm import token_files
+    path = shared_path(spark, "token-ids")
+    token_files.write_ids(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_ids(spark, path)
