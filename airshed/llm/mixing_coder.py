@@ -23,8 +23,8 @@ import struct
 import numpy as np
 
 #: Ids of a block at most, lanes at most, and ids a lane at least (in a block that can fill one lane).
-BLOCK_IDS = 1 << 21
-LANES = 2048
+BLOCK_IDS = 1 << 22
+LANES = 4096
 LANE_IDS = 256
 #: Weights are in 2^-MIX; order 0 keeps LEAST of them, so every id can be coded.
 MIX = 10
@@ -40,7 +40,7 @@ HASH1, HASH2 = 0x1B873593CC9E2D51, 0x27D4EB2F165667C5
 
 
 #: Change of an entry's confidence when its id was right (index 8 and up) or wrong; a wrong one with none left is replaced.
-STEP = np.array([(c >> 1) - c for c in range(8)] + [int(c < CONFIDENT) for c in range(8)], np.int64)
+STEP = np.array([(c >> 1) - c for c in range(8)] + [int(c < CONFIDENT) for c in range(8)], np.int32)
 
 
 class Model:
@@ -50,13 +50,13 @@ class Model:
         self.distinct = distinct
         # frequencies sum to 2^scale; each id has one at least
         self.scale = max(16, (distinct - 1).bit_length() + 1)
-        self.bits = min(20, max(8, ids.bit_length()))
+        self.bits = min(18, max(8, ids.bit_length()))
         self.counts = np.zeros(distinct, np.int64)
         self.total = self.next_scaling = self.steps = 0
         self.pending: list[np.ndarray] = []
         # predicted id and confidence (3 bits) of each context; contexts 0: nothing before
-        self.first = np.zeros(distinct + 1, np.int64)
-        self.second = np.zeros(1 << self.bits, np.int64)
+        self.first = np.zeros(distinct + 1, np.int32)
+        self.second = np.zeros(1 << self.bits, np.int32)
         # by pair of confidences: neither right, order 1 alone, order 2 alone, both
         self.right = np.zeros(4 * STATES, np.int64)
         self.rescale()
@@ -88,17 +88,17 @@ class Model:
     def predict(self, p1: np.ndarray, p2: np.ndarray):
         """For the ids before each lane's next (1 + number; 0: none): the predicted ids, their masses, order 0's weight."""
         self.slot = (p2 * HASH2 + p1 * HASH1 >> 32) & (1 << self.bits) - 1
-        self.p1, self.e2, self.e1 = p1, self.second[self.slot], self.first[p1]
+        self.p1, self.e2, self.e1 = p1, self.second.take(self.slot), self.first.take(p1)
         c2, c1 = self.e2 >> 3, self.e1 >> 3
         self.sure2, self.sure1 = self.e2 & 7, self.e1 & 7
         self.state = (self.sure2 << 3) + self.sure1 + (c1 == c2) * (STATES // 2)
-        return c1, c2, self.mass1[self.state], self.mass2[self.state], self.weight0[self.state]
+        return c1, c2, self.mass1.take(self.state), self.mass2.take(self.state), self.weight0.take(self.state)
 
     def learn(self, x: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
         """Take in the ids of a step and whether (1 or 0) they are those predicted."""
         for table, at, e, sure, hit in ((self.second, self.slot, self.e2, self.sure2, hit2), (self.first, self.p1, self.e1, self.sure1, hit1)):
             kind = sure + (hit << 3)
-            e = e + STEP[kind]
+            e = e + STEP.take(kind)
             new = np.flatnonzero(kind == 0)
             e[new] = x[new] << 3 | 1
             table[at] = e
@@ -178,11 +178,11 @@ def encode(ids: np.ndarray) -> bytes:
         a = lanes if t < each else more
         if a < lanes:  # the last step of the longer lanes; the others are at their end
             p1, p2 = p1[:a], p2[:a]
-        sym = x[starts[:a] + t]
+        sym = x.take(starts[:a] + t)
         c1, c2, m1, m2, w0 = model.predict(p1, p2)
         hit1, hit2 = (c1 == sym).view(np.int8).astype(np.int64), (c2 == sym).view(np.int8).astype(np.int64)
-        below = w0 * model.below[sym] + m1 * (c1 < sym) + m2 * (c2 < sym)
-        size = w0 * model.freq[sym] + m1 * hit1 + m2 * hit2
+        below = w0 * model.below.take(sym) + m1 * (c1 < sym) + m2 * (c2 < sym)
+        size = w0 * model.freq.take(sym) + m1 * hit1 + m2 * hit2
         give, word = narrow(low, width, below, size, shift)
         out_lane.append(give)
         out_word.append(word.astype(np.uint32))
@@ -233,18 +233,18 @@ def decode(data: bytes) -> np.ndarray:
         ca, cb, ma, mb = np.minimum(c1, c2), np.maximum(c1, c2), np.where(swap, m2, m1), np.where(swap, m1, m2)
         same = ca == cb
         ma, mb = ma + mb * same, mb * ~same
-        start_a = w0 * model.below[ca]
-        past_a = goal >= start_a + w0 * model.freq[ca] + ma
+        start_a = w0 * model.below.take(ca)
+        past_a = goal >= start_a + w0 * model.freq.take(ca) + ma
         in_a = (goal >= start_a) & ~past_a
         goal = goal - ma * past_a
-        start_b = w0 * model.below[cb]
-        past_b = goal >= start_b + w0 * model.freq[cb] + mb
+        start_b = w0 * model.below.take(cb)
+        past_b = goal >= start_b + w0 * model.freq.take(cb) + mb
         in_b = past_a & (goal >= start_b) & ~past_b & ~same
-        sym = model.at[np.minimum((goal - mb * (past_a & past_b)) // w0, len(model.at) - 1)]
+        sym = model.at.take(np.minimum((goal - mb * (past_a & past_b)) // w0, len(model.at) - 1))
         sym[in_a], sym[in_b] = ca[in_a], cb[in_b]
         hit1, hit2 = (c1 == sym).view(np.int8).astype(np.int64), (c2 == sym).view(np.int8).astype(np.int64)
-        below = w0 * model.below[sym] + m1 * (c1 < sym) + m2 * (c2 < sym)
-        size = w0 * model.freq[sym] + m1 * hit1 + m2 * hit2
+        below = w0 * model.below.take(sym) + m1 * (c1 < sym) + m2 * (c2 < sym)
+        size = w0 * model.freq.take(sym) + m1 * hit1 + m2 * hit2
         give, _ = narrow(low, width, below, size, shift)
         code[give] = code[give] << HALF | source[np.minimum(at[give], len(source) - 1)]
         at[give] += 1
