@@ -3,7 +3,8 @@
 Writing.  One record per row, each its own gzip member.  Archives go through Spark's text writer, so
 they reach any file system that Spark can write to and are committed like any Spark output:
 members are raw bytes in a string column, and the line separator is an empty gzip member, so a file is
-a plain sequence of members.  Of rows with equal payloads (``min_dup_bytes`` at least) the one with
+a plain sequence of members.  A file is closed before it would pass ``FILE_BYTES`` (a larger record has a file to
+itself), so the files that are read back whole are bounded in bytes, not in rows.  Of rows with equal payloads (``min_dup_bytes`` at least) the one with
 the smallest key is a response; the others are revisit records that name it.
 
 Reading.  Each file is scanned member by member (or record by record, if it isn't compressed).  A
@@ -40,6 +41,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Payloads shorter than this are never written as revisits.
 MIN_DUP_BYTES = 100
+#: Bytes of an archive, unless one record is larger.
+FILE_BYTES = 32 << 20
 
 
 def record_bytes(kind: str, record_id: str, uri: str, date: str, payload: bytes, digest: str,
@@ -82,12 +85,14 @@ def classify(pages: DataFrame, key: str, payload: str, min_dup_bytes: int = MIN_
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", uri: str = "url", payload: str = "html",
                    date: str = "2024-01-01T00:00:00Z", min_dup_bytes: int = MIN_DUP_BYTES,
-                   records_per_file: int = 4096) -> None:
-    """Write one record per row of ``pages`` to gzip archives below ``path``.
+                   records_per_file: int = 4096, file_bytes: int = FILE_BYTES) -> None:
+    """Write one record per row of ``pages`` to gzip archives below ``path``, of at most ``records_per_file`` records and
+    ``file_bytes`` bytes (or one record).
 
-    The record id is ``urn:key:<key>`` (no key: ``urn:key:``).  Null payloads and URIs are empty.
+    The record id is ``urn:key:<key>`` (no key: ``urn:key:``).  Null payloads and URIs are empty.  Only the
+    three named columns are read, so further columns may have any name.
     """
-    spark = prepare(pages.sparkSession)
+    prepare(pages.sparkSession)
     rows = classify(pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{uri}`").cast("string").alias("uri"),
                                  F.col(f"`{payload}`").cast("string").alias("payload")), "key", "payload", min_dup_bytes)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -96,17 +101,21 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", uri: str =
                        "payload_digest", "record_type", text("refers_to").alias("refers_to"))
 
     def run(batches):
+        held, size = [], 0  # a row is a file's members
         for b in batches:
-            out = []
             for k, u, p, digest, kind, ref in zip(*(c.to_pylist() for c in b.columns)):
-                out.append(member(record_bytes(kind, f"urn:key:{k}", u, date, p.encode(), digest,
-                                               f"urn:key:{ref}" if kind == "revisit" else None)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
-
-    del spark
-    (rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
+                one = member(record_bytes(kind, f"urn:key:{k}", u, date, p.encode(), digest, f"urn:key:{ref}" if kind == "revisit" else None))
+                if len(held) == records_per_file or held and size + len(one) + len(EMPTY_MEMBER) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["members"])
+                    held, size = [], 0
+                held.append(one)
+                size += len(one)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["members"])
+
+    (rows.mapInArrow(run, "members binary").select(F.col("members").cast("string").alias("value"))
      .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 #: Header fields that a record states once.
@@ -121,6 +130,19 @@ class Damaged(Exception):
 HEAD_END = re.compile(rb"\r\n\r\n|\nWARC/1\.")
 
 
+def digest_holds(stated: str, data: bytes) -> bool | None:
+    """Whether ``data`` has the digest ``<algorithm>:<value>`` (hex or base32, any case, padded or not); None: it cannot be told,
+    as there is none or its algorithm is not known."""
+    name, colon, value = stated.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if not colon or name not in ("md5", "sha1", "sha256", "sha512"):
+        return None
+    value, want = value.strip().rstrip("="), hashlib.new(name, data)
+    if len(value) == 2 * want.digest_size:
+        return value.lower() == want.hexdigest()
+    return value.upper() == base64.b32encode(want.digest()).decode().rstrip("=")
+
+
 def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
     """Headers (lower-case names), block and end of the record at ``at``; raises ``Damaged``."""
     if not buf.startswith(b"WARC/1.", at):
@@ -133,8 +155,11 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
         lines = buf[at:stop].decode("utf-8").split("\r\n")
     except UnicodeDecodeError:
         raise Damaged("header is not UTF-8") from None
-    head = {}
+    head, name = {}, None
     for x in lines[1:]:
+        if x[:1] in (" ", "\t") and name is not None:  # a folded line goes on with the value before it
+            head[name] = f"{head[name]} {x.strip()}".strip()
+            continue
         name, colon, value = x.partition(":")
         if not colon:
             raise Damaged("header line without colon")
@@ -143,7 +168,7 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
             raise Damaged(f"{name} is stated twice")
         head[name] = value.strip()
     size = head.get("content-length", "")
-    if not size.isdigit():
+    if not re.fullmatch("[0-9]{1,18}", size):
         raise Damaged("no content length")
     begin = stop + len(END)
     end = begin + int(size)
@@ -152,8 +177,7 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int]:
     if buf[end:end + len(END)] != END:
         raise Damaged("block does not end where its length says")
     block = buf[begin:end]
-    kind, _, want = head.get("warc-block-digest", "").partition(":")
-    if kind == "sha1" and base64.b32encode(hashlib.sha1(block).digest()).decode() != want:
+    if digest_holds(head.get("warc-block-digest", ""), block) is False:
         raise Damaged("block digest differs")
     return head, block, end + len(END)
 
@@ -202,7 +226,7 @@ def scan_inflated(data: bytes, valid: bool):
     while at < len(data):
         try:
             head, block, end = parse_record(data, at)
-            if not valid and not head.get("warc-block-digest", "").startswith("sha1:"):
+            if not valid and not digest_holds(head.get("warc-block-digest", ""), block):
                 raise Damaged("nothing vouches for the record of a damaged member")
             if not valid and end - at == len(data):
                 raise Damaged("the only record of a damaged member")
@@ -334,8 +358,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     target = (records.where("record_type = 'response'").groupBy(F.col("record_id").alias("_target"))
               .agg(F.max("payload_bytes").alias("_bytes"), F.max("payload_digest").alias("_digest")))
     again = F.col("record_type") == "revisit"
-    # a record that is no revisit meets itself: a null key would bring all of them to one task
-    records = records.withColumn("_of", F.when(again, F.col("refers_to")).otherwise(F.col("record_id")))
+    # a record that is no revisit looks for its own place, which no record has as its id: a null or a shared id
+    # (that of all rows without a key) would bring all of them to one task
+    records = records.withColumn("_of", F.when(again, F.col("refers_to")).otherwise(F.concat_ws(" ", F.lit("at"), "file", "start", "end")))
     return (records.join(target, F.col("_of") == F.col("_target"), "left")
             .withColumn("payload_bytes", F.when(again, F.col("_bytes")).otherwise(F.col("payload_bytes")))
             .withColumn("payload_digest", F.when(again, F.col("_digest")).otherwise(F.col("payload_digest")))

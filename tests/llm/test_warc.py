@@ -200,3 +200,73 @@ def test_archives_are_plain_gzip_and_damage_is_logged(spark, tmp_path):
     assert gap["end"] > gap["start"] and gap["reason"]
     whole = sum(1 for r in warc.salvage(spark, str(files[0])).collect())
     assert sum(r["kind"] == "record" for r in rows) == whole - 1
+
+
+def with_header(change, i=5):
+    """The clean records with the header of one changed by ``change`` (lines -> lines), plain, and the others' ids."""
+    head, _, rest = RECORDS[i].partition(warc.END)
+    data = b"".join([*RECORDS[:i], b"\r\n".join(change(head.split(b"\r\n"))) + warc.END + rest, *RECORDS[i + 1:]])
+    return data, [f"<urn:key:{k}>" for k in range(12) if k != i]
+
+
+def replaced(name, value):
+    return lambda lines: [name + b": " + value if x.lower().startswith(name.lower() + b":") else x for x in lines]
+
+
+@pytest.mark.parametrize("size", ["²", "٣", "1" * 5000, "-1", "+5", "1e3", "0x10", "", " ", "9" * 18, "9" * 19, "1_0", "۴۲", "5.0"])
+def test_odd_content_lengths_are_gaps(size):
+    data, others = with_header(replaced(b"Content-Length", size.encode()))
+    for buf in (data, warc.member(data)):
+        found = list(warc.scan(buf))
+        assert ids(found) == others and len([x for x in found if x[0] == "gap"]) >= 1
+
+
+def test_random_header_values_never_end_the_reader():
+    rng = random.Random(8)
+    names = [b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length", b"WARC-Block-Digest", b"WARC-Payload-Digest", b"Content-Type"]
+    for _ in range(300):
+        value = rng.choice([rng.randbytes(rng.randint(0, 40)), str(rng.randint(-5, 10 ** 30)).encode(), "".join(chr(rng.randint(32, 0x2fff)) for _ in range(9)).encode(),
+                            b"sha1:", b"sha256:zz", b":", b"md5:" + b"A" * 26, b"sha512:" + b"0" * 128])
+        data, others = with_header(replaced(rng.choice(names), value))
+        found = list(warc.scan(data))
+        assert set(others) <= set(ids(found))
+        covers(found, len(data))
+
+
+@pytest.mark.parametrize("name", ["sha1", "sha256", "md5", "sha512", "SHA-256"])
+def test_block_digests_in_any_writing_are_checked(name):
+    import base64
+    block = RECORDS[5].partition(warc.END)[2][:-len(warc.END)]
+    raw = hashlib.new(name.lower().replace("-", ""), block).digest()
+    b32 = base64.b32encode(raw).decode()
+    for value in (raw.hex(), raw.hex().upper(), b32, b32.lower(), b32.rstrip("=")):
+        data, _ = with_header(replaced(b"WARC-Block-Digest", f"{name}:{value}".encode()))
+        assert len(ids(warc.scan(data))) == 12
+        wrong = ("0" if value[0] != "0" else "1") + value[1:] if len(value) == 2 * len(raw) else ("a" if value[0].lower() != "a" else "b") + value[1:]
+        data, others = with_header(replaced(b"WARC-Block-Digest", f"{name}:{wrong}".encode()))
+        assert ids(warc.scan(data)) == others
+    data, _ = with_header(replaced(b"WARC-Block-Digest", b"blake9:" + b"0" * 8))  # not known: not checked
+    assert len(ids(warc.scan(data))) == 12
+
+
+def test_folded_header_lines():
+    data, _ = with_header(lambda lines: [lines[0], lines[1], *[y for x in lines[2:] for y in (x.partition(b": ")[0] + b":", b"\t " + x.partition(b": ")[2])]])
+    found = list(warc.scan(data))
+    assert len(ids(found)) == 12 and not [x for x in found if x[0] == "gap"]
+
+
+def test_files_are_rolled_by_bytes_and_null_keys_share_no_task(spark):
+    import glob
+    import os
+
+    from airshed.session import shared_path
+    rng = random.Random(3)
+    rows = [(i if i % 4 else None, f"http://{i}", rng.randbytes(3000).hex()) for i in range(120)] + [(500, "u", rng.randbytes(40000).hex()), (501, "u", "same " * 50), (502, "u", "same " * 50)]
+    path = shared_path(spark, "test-rolled")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path, file_bytes=20000)
+    sizes = sorted(os.path.getsize(f) for f in glob.glob(path.removeprefix("file:") + "/part-*"))
+    assert len(sizes) > 15 and all(x <= 20000 for x in sizes[:-1]) and sizes[-1] > 40000
+    got = warc.resolve_revisits(warc.salvage(spark, path)).collect()
+    assert sorted((r.record_id, r.payload_digest) for r in got) == sorted(
+        (f"urn:key:{'' if k is None else k}", hashlib.sha256(p.encode()).hexdigest()) for k, _, p in rows)
+    assert [r.refers_to for r in got if r.record_type == "revisit"] == ["urn:key:501"]
