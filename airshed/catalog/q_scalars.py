@@ -116,10 +116,11 @@ def c3_daily_completeness_spine(spark, sf_dir):
 
 @register("c4_pair_first_forecast", "WITH " + X.AIR + f""",
 last48 AS (SELECT * FROM (SELECT * FROM air WHERE datetime <= TIMESTAMP '{ASOF}')
-           QUALIFY row_number() OVER (ORDER BY datetime DESC) <= 48)
-SELECT datetime, pm2_5,
-       (SELECT pm2_5 FROM air WHERE datetime > TIMESTAMP '{ASOF}' ORDER BY datetime LIMIT 1) AS pm25_cams
-FROM last48""")
+           QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY datetime DESC) <= 48),
+ahead AS (SELECT * FROM (SELECT series_id, pm2_5, datetime FROM air WHERE datetime > TIMESTAMP '{ASOF}')
+          QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY datetime) = 1)
+SELECT last48.series_id, last48.datetime, last48.pm2_5, ahead.pm2_5 AS pm25_cams
+FROM last48 LEFT JOIN ahead ON ahead.series_id = last48.series_id""")
 def c4_pair_first_forecast(spark, sf_dir):
     """C4: the last 48 observed hours at ``asof``, each stored beside the first forecast value
     strictly after ``asof`` (grouped ``min_by`` per series + equi join, no pair enumeration)."""
@@ -128,7 +129,7 @@ def c4_pair_first_forecast(spark, sf_dir):
     recent = NC.latest_window(air, asof, 48)
     paired = J.pair_next_after(recent.select("series_id", "datetime", "pm2_5"), air, ["series_id"], asof,
                                "datetime", "pm2_5", "pm25_cams")
-    return paired.select("datetime", "pm2_5", "pm25_cams")
+    return paired.select("series_id", "datetime", "pm2_5", "pm25_cams")
 
 
 @register("k7_request_features", X.MART_CHAIN + f"""
