@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import fresh_name, prepare, written
+from airshed.llm.common import fresh_name, prepare, refuse, written
 from airshed.llm.word_tokens import tokenizer
 
 #: Pieces packed together by one task.
@@ -114,9 +114,11 @@ def pack(pieces: DataFrame, max_tokens: int, max_documents: int | None = None, m
     ``max_documents`` and ``max_attention`` default to the values that ``max_tokens`` implies
     (one token per document, one document as long as the sequence).  A piece that exceeds a
     capacity by itself raises.  Rows are told apart by their place in the written table, so
-    repeated rows are packed each on its own; an empty table gives an empty result.
+    repeated rows are packed each on its own; an empty table gives an empty result.  Columns may have any name but
+    ``sequence_id`` and ``offset``, which raise ``ValueError``.
     """
-    spark = prepare(pieces.sparkSession)
+    prepare(pieces.sparkSession)
+    refuse(pieces.columns, ["sequence_id", "offset"])
     capacity = (max_tokens, max_documents or max_tokens, max_attention or max_tokens * max_tokens)
     row, group = fresh_name(pieces, "row_no"), fresh_name(pieces, "pack_group")
     rows = written(pieces, "pack-pieces").withColumn(row, F.monotonically_increasing_id())
@@ -134,6 +136,4 @@ def pack(pieces: DataFrame, max_tokens: int, max_documents: int | None = None, m
         pdf["offset"] = offsets
         return pdf.drop(columns=[group])
 
-    if alone.schema.names != out.names:
-        raise ValueError("the input already has sequence_id or offset")
     return alone.unionByName(rest.groupBy(group).applyInPandas(one, out))

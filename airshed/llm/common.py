@@ -58,5 +58,24 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called ``c0``, ``c1``, ...: no name of the caller's can meet one of an operator's own."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def number_of(df: DataFrame, name: str) -> str:
+    """What ``numbered`` calls the column ``name`` (names are case-insensitive in Spark); an unknown one is an error."""
+    have = [c.lower() for c in df.columns]
+    if name.lower() not in have:
+        raise ValueError(f"no column named {name}")
+    return f"c{have.index(name.lower())}"
+
+
+def refuse(columns, outputs) -> None:
+    """``ValueError`` if a column of the caller's has the name of an output."""
+    if taken := {c.lower() for c in columns} & {o.lower() for o in outputs}:
+        raise ValueError(f"the input already has columns named {sorted(taken)}")
+
+
 def text_or_empty(col) -> "F.Column":
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

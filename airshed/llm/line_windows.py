@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import prepare, written
+from airshed.llm.common import number_of, numbered, prepare, refuse, written
 
 
 def line_windows(data: bytes, width: int):
@@ -41,12 +41,12 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text_col: str = "text", widt
       lines have no window and stay as they are; so do null texts.
     * Rows are ordered by ``key``; a null key comes after all others.  Occurrences in rows of the same
       key (repeated rows, several null keys) are not later than each other.
-    * If every line goes, the text is empty; the row stays.  Other columns pass through.
+    * If every line goes, the text is empty; the row stays.  Other columns pass through; they may have any name but
+      ``lines_removed``, which raises ``ValueError``.
     """
-    spark = prepare(df.sparkSession)
-    del spark
-    if "lines_removed" in {c.lower() for c in df.columns}:
-        raise ValueError("the input already has a column named lines_removed")
+    prepare(df.sparkSession)
+    refuse(df.columns, ["lines_removed"])
+    names, key, text_col, df = df.columns, number_of(df, key), number_of(df, text_col), numbered(df)
     k, text = F.col(f"`{key}`"), F.col(f"`{text_col}`").cast("string")
     ident = F.xxhash64(text)  # with the key, names a row; rows equal in both are treated alike
     src = df.where(text.contains("\n")).select(k.alias("k"), ident.alias("t"), text.alias("text"))
@@ -99,4 +99,4 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text_col: str = "text", widt
             cols = {c: b.column(at[c]) for c in keep} | {text_col: pa.array(texts, pa.string()), "lines_removed": pa.array(gone, pa.int32())}
             yield pa.RecordBatch.from_arrays([cols[c] for c in out.names], names=out.names)
 
-    return rows.select(*[F.col(f"`{c}`") for c in keep], "_text", "_from").mapInArrow(cut, out)
+    return rows.select(*[F.col(f"`{c}`") for c in keep], "_text", "_from").mapInArrow(cut, out).toDF(*names, "lines_removed")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.llm.common import prepare, written
+from airshed.llm.common import number_of, numbered, prepare, refuse, written
 
 
 def contiguous_shards(df: DataFrame, shards: int, key: str, size: str) -> DataFrame:
@@ -23,9 +23,12 @@ def contiguous_shards(df: DataFrame, shards: int, key: str, size: str) -> DataFr
     rows equal in all columns.  ``shard`` is ``floor(shards * middle / total)`` of the row's middle
     byte; shards are balanced to within one row's size.  ``slot`` numbers a shard's rows from 0
     without gaps.  A table with no bytes at all puts every row into shard 0; an empty table
-    gives an empty result.  Null sizes count as 0.
+    gives an empty result.  Null sizes count as 0.  Columns may have any name but ``shard`` and ``slot``, which
+    raise ``ValueError``.
     """
     prepare(df.sparkSession)
+    refuse(df.columns, ["shard", "slot"])
+    key, size, names, df = number_of(df, key), number_of(df, size), df.columns, numbered(df)
     order = [key] + [c for c in df.columns if c != key]
     # the last column spreads a run of identical rows over several range partitions
     src = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
@@ -56,7 +59,7 @@ def contiguous_shards(df: DataFrame, shards: int, key: str, size: str) -> DataFr
     return (placed.withColumn("_row", F.row_number().over(in_part))
             .join(counts, ["_part", "shard"])
             .withColumn("slot", (F.col("_before") + F.col("_row") - 1).cast("long"))
-            .select(*[F.col(f"`{c}`") for c in df.columns], "shard", "slot"))
+            .select(*df.columns, "shard", "slot").toDF(*names, "shard", "slot"))
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ Three levels of evidence are combined in log-odds:
 How strongly a level shrinks towards the one above is estimated from the data (method of moments
 on the spread of the group means), so a path with few documents takes its host's rate and a rare
 host the global one.  All counts come from grouped aggregation over all documents: one row per path,
-pre-aggregated in each task; the driver sees a few sums only.  A document does not count for its
-own path.
+pre-aggregated in each task; the driver sees a few sums only.  A document counts neither for its own path nor for its
+own host: the only document of a host takes the global rate.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import fresh_name, prepare, written
+from airshed.llm.common import fresh_name, prepare, refuse, written
 from airshed.llm.rule_cascade import TextStats
 
 #: Labelled rows the document classifier is fitted on (a documented bound; drawn by hash of the id).
@@ -101,14 +101,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit the document classifier.  ``labels``: id and 0/1 label; rows with a null in either are left
     out, several labels of one id count as their smallest.  The ids of the sample (at most
     ``train_rows`` numbers) are broadcast, so no text is shuffled."""
-    spark = prepare(docs.sparkSession)
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col(label_col)).alias("_y")))
+    prepare(docs.sparkSession)
+    labels = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_label"))
+    known = labels.where("_label is not null and _id is not null").groupBy("_id").agg(F.min("_label").alias("_y"))
     sample = written(known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows), "quality-sample")
-    del spark
-    rows = docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("_id"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(sample), F.col("_doc") == F.col("_id"))
     # an id may occur on several rows: at most train_rows of them are used
-    got = _featured(rows, text_col, ["_y"]).limit(train_rows).toPandas()
+    got = _featured(rows, "text", ["_y"]).limit(train_rows).toPandas()
     x = np.stack(got["x"].to_numpy()) if len(got) else np.empty((0, len(FEATURES)))
     return fit(x, got["_y"].to_numpy(float))
 
@@ -129,29 +128,40 @@ def with_probability(df: DataFrame, model: Model, text_col: str = "text", out: s
     return src.mapInArrow(run, schema)
 
 
-def strength(groups: float, total: float, spread: float, rate: float) -> float:
-    """Prior strength in documents: ``spread`` is the sum over groups of n * (mean - prior mean)^2.
-    What sampling alone would spread (rate * (1 - rate) per group) is taken off."""
-    noise = rate * (1 - rate)
-    between = (spread - noise * groups) / max(total, 1.0)
-    return float(np.clip(noise / between - 1 if between > 1e-12 else STRENGTH[1], *STRENGTH))
+def strength(groups: float, total: float, spread: float, within: float) -> float:
+    """Prior strength in documents, by the method of moments: the variance of a document within its group over
+    that of the groups' means.
+
+    ``spread`` is the sum over groups of n * (mean - prior mean)^2, ``within`` the sum over documents of their squared
+    distance from their group's mean.  What sampling alone would spread (the variance within, for each
+    group) is taken off.  If no group has two documents, nothing tells the two variances apart: full shrinkage.
+    """
+    if total <= groups:
+        return STRENGTH[1]
+    noise = within / (total - groups)
+    between = (spread - noise * groups) / total
+    return float(np.clip(noise / between if between > 1e-12 else STRENGTH[1], *STRENGTH))
 
 
 def site_posteriors(scored: DataFrame, host_col: str, path_col: str, p_col: str = "p_text"):
-    """One row per (host, path): ``path_n``, ``path_sum`` (of probabilities), ``host_rate``; and the
-    path level's prior strength and the global rate.  Null hosts and paths are sites of their own.
+    """One row per (host, path): ``path_n``, ``path_sum`` (of probabilities), ``host_n``, ``host_sum``; and the path
+    level's and the host level's prior strength and the global rate.  Null hosts and paths are sites of their own.
     An empty table gives no rows and a rate of one half."""
+    p = F.col(p_col)
     paths = written(scored.groupBy(F.col(f"`{host_col}`").alias("site_host"), F.col(f"`{path_col}`").alias("site_path"))
-                    .agg(F.count(F.lit(1)).alias("path_n"), F.sum(p_col).alias("path_sum")), "quality-paths")
-    hosts = paths.groupBy(F.col("site_host").alias("h")).agg(F.sum("path_n").alias("n"), F.sum("path_sum").alias("s"))
-    n, s = hosts.agg(F.sum("n"), F.sum("s")).first()
+                    .agg(F.count(F.lit(1)).alias("path_n"), F.sum(p).alias("path_sum"), F.sum(p * p).alias("path_squares")), "quality-paths")
+    hosts = paths.groupBy(F.col("site_host").alias("h")).agg(F.sum("path_n").alias("host_n"), F.sum("path_sum").alias("host_sum"), F.sum("path_squares").alias("squares"))
+    around = lambda squares, s, n: F.sum(F.greatest(F.col(squares) - F.col(s) * F.col(s) / F.col(n), F.lit(0.0)))
+    n, s = hosts.agg(F.sum("host_n"), F.sum("host_sum")).first()
     rate = float(np.clip(s / n, EPS, 1 - EPS)) if n else 0.5
-    k, spread = hosts.agg(F.count(F.lit(1)), F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - rate, 2))).first()
-    m_host = strength(k, n or 0, spread or 0.0, rate)
-    hosts = hosts.select("h", ((F.col("s") + m_host * rate) / (F.col("n") + m_host)).alias("host_rate"))
-    table = written(paths.join(hosts, F.col("site_host").eqNullSafe(F.col("h"))).drop("h"), "quality-sites")
-    k, spread = table.agg(F.count(F.lit(1)), F.sum(F.col("path_n") * F.pow(F.col("path_sum") / F.col("path_n") - F.col("host_rate"), 2))).first()
-    return table, strength(k, n or 0, spread or 0.0, rate), rate
+    k, spread, within = hosts.agg(F.count(F.lit(1)), F.sum(F.col("host_n") * F.pow(F.col("host_sum") / F.col("host_n") - rate, 2)),
+                                  around("squares", "host_sum", "host_n")).first()
+    m_host = strength(k, n or 0, spread or 0.0, within or 0.0)
+    table = written(paths.join(hosts.drop("squares"), F.col("site_host").eqNullSafe(F.col("h"))).drop("h"), "quality-sites")
+    host_rate = (F.col("host_sum") + m_host * rate) / (F.col("host_n") + m_host)
+    k, spread, within = table.agg(F.count(F.lit(1)), F.sum(F.col("path_n") * F.pow(F.col("path_sum") / F.col("path_n") - host_rate, 2)),
+                                  around("path_squares", "path_sum", "path_n")).first()
+    return table.drop("path_squares"), strength(k, n or 0, spread or 0.0, within or 0.0), m_host, rate
 
 
 def classify(docs: DataFrame, labels: DataFrame, host_col: str, path_col: str, id_col: str = "doc_id", text_col: str = "text",
@@ -160,22 +170,26 @@ def classify(docs: DataFrame, labels: DataFrame, host_col: str, path_col: str, i
 
     ``quality`` is the posterior probability: the classifier's odds with the training rate in them
     replaced by the site's.  ``kept``: it reaches ``threshold``.  Null and empty texts are scored
-    like any text (all statistics zero); repeated rows are scored each.  An output name that the
-    result already has raises ``ValueError``.
+    like any text (all statistics zero); repeated rows are scored each.  Columns may have any name; an output name that
+    the result already has raises ``ValueError``.
     """
     prepare(docs.sparkSession)
     keep = list(docs.columns if carry is None else carry)
-    if taken := {c.lower() for c in keep} & {"p_text", "site_rate", "quality", "kept", "site_host", "site_path"}:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
+    refuse(keep, ["p_text", "site_rate", "quality", "kept"])
     model = train(docs, labels, id_col, text_col, label_col, train_rows)
-    sites, m_path, _ = site_posteriors(with_probability(docs.select(
-        F.col(f"`{host_col}`").alias("h"), F.col(f"`{path_col}`").alias("p"), F.col(f"`{text_col}`").alias("text")), model, carry=["h", "p"]), "h", "p")
-    rows = docs.withColumn("site_h", F.col(f"`{host_col}`")).withColumn("site_p", F.col(f"`{path_col}`"))
-    rows = with_probability(rows, model, text_col, carry=[*keep, "site_h", "site_p"])
+    own = [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keep, own)], F.col(f"`{host_col}`").alias("host"),
+                       F.col(f"`{path_col}`").alias("path"), F.col(f"`{text_col}`").alias("text"))
+    # written with its probability: no text is read or measured twice
+    rows = written(with_probability(rows, model, carry=[*own, "host", "path"]), "quality-scored")
+    sites, m_path, m_host, overall = site_posteriors(rows, "host", "path")
     # the written table of sites is broadcast only if its files are under Spark's size threshold
-    rows = rows.join(sites, F.col("site_h").eqNullSafe(F.col("site_host")) & F.col("site_p").eqNullSafe(F.col("site_path")), "left")
-    rate = F.least(F.greatest((F.col("path_sum") - F.col("p_text") + m_path * F.col("host_rate")) / (F.col("path_n") - 1 + m_path), F.lit(EPS)), F.lit(1 - EPS))
+    rows = rows.join(sites, F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path")), "left")
+    less = lambda s: F.col(s) - F.col("p_text")  # noqa: E731  a document is no evidence for its own site
+    host_rate = (less("host_sum") + m_host * overall) / (F.col("host_n") - 1 + m_host)
+    rate = F.least(F.greatest((less("path_sum") + m_path * host_rate) / (F.col("path_n") - 1 + m_path), F.lit(EPS)), F.lit(1 - EPS))
     logit = lambda c: F.log(c / (1 - c))
     prior = float(np.log(model.rate / (1 - model.rate)))
     rows = rows.withColumn("site_rate", rate).withColumn("quality", 1 / (1 + F.exp(-(logit(F.col("p_text")) - prior + logit(F.col("site_rate"))))))
-    return rows.withColumn("kept", F.col("quality") >= threshold).select(*[F.col(f"`{c}`") for c in keep], "p_text", "site_rate", "quality", "kept")
+    rows = rows.withColumn("kept", F.col("quality") >= threshold)
+    return rows.select(*own, "p_text", "site_rate", "quality", "kept").toDF(*keep, "p_text", "site_rate", "quality", "kept")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import fresh_name, prepare, written
+from airshed.llm.common import fresh_name, prepare, refuse, written
 from airshed.llm.components import components
 
 #: Entries a region of the index keeps on average.
@@ -194,12 +194,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows link at ``max_bits`` differing bits or fewer; a component is everything reachable and is
     named by its smallest id.  Texts without words (null, empty, white space) have fingerprint 0
     and link like any other.  Null ids take part; a component of null ids only has a null name.
-    Repeated rows are one entry and come back each.  An empty table gives an empty result.
+    Repeated rows are one entry and come back each.  An empty table gives an empty result.  Carried columns
+    may have any name but those of the outputs, which raise ``ValueError``.
     """
     prepare(df.sparkSession)
-    carry = list(carry or [])
-    docs = written(fingerprints(df, text_col, "_code", shingle_words, [id_col, *carry]), "simhash-docs")
-    entries = written(docs.groupBy("_code").agg(F.min(F.col(f"`{id_col}`")).alias("_least")), "simhash-entries")
+    outputs = ["fingerprint", "component_id", *["component_root"] * with_root]
+    keep = [id_col, *(carry or [])]
+    refuse(keep, outputs)
+    own = [f"c{i}" for i in range(len(keep))]
+    plain = df.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keep, own)], F.col(f"`{text_col}`").alias("text"))
+    docs = written(fingerprints(plain, "text", "_code", shingle_words, own), "simhash-docs")
+    entries = written(docs.groupBy("_code").agg(F.min("c0").alias("_least")), "simhash-entries")
     tree = components(link_entries(entries, "_code", max_bits), "a", "b")
     rooted = (entries.join(tree, F.col("_code") == F.col("node"), "left")
               .select(F.col("_code").alias("_entry"), "_least", F.coalesce("root", "_code").alias("_root")))
@@ -207,8 +212,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = rooted.groupBy(F.col("_root").alias("_r")).agg(F.min("_least").alias("component_id"))
     named = rooted.join(names, F.col("_root") == F.col("_r")).select("_entry", "component_id", F.col("_root").alias("component_root"))
     return (docs.join(named, F.col("_code") == F.col("_entry"), "left")
-            .select(*[F.col(f"`{c}`") for c in [id_col, *carry]],
-                    F.lower(F.lpad(F.hex("_code"), 16, "0")).alias("fingerprint"), "component_id", *["component_root"] * with_root))
+            .select(*own, F.lower(F.lpad(F.hex("_code"), 16, "0")).alias("fingerprint"), "component_id", *["component_root"] * with_root)
+            .toDF(*keep, *outputs))
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
@@ -227,5 +232,5 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a partial aggregation picks one row for each component
     chosen = (found.groupBy("component_root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t", "row")).alias("w"))
               .select("w.row"))
-    keep = chosen.select(F.col("row").alias("_kept_row"))
-    return rows.join(keep, F.col(place) == F.col("_kept_row"), "left_semi").drop(place)
+    kept = fresh_name(rows, "sim_kept")
+    return rows.join(chosen.select(F.col("row").alias(kept)), F.col(place) == F.col(kept), "left_semi").drop(place)

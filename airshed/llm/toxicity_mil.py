@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import prepare, written
+from airshed.llm.common import fresh_name, prepare, refuse, written
 
 #: Labelled rows that features are chosen and weights are fitted on (a documented bound).
 TRAIN_ROWS = 10_000
@@ -133,12 +133,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     numbers, are broadcast).  Rows with a null id or label are left out; several labels of one id
     count as their largest.  Without labelled rows the model is a constant low score."""
     prepare(docs.sparkSession)
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col)).cast("int").alias("_y")))
+    labels = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_label"))
+    known = labels.where("_label is not null and _id is not null").groupBy("_id").agg(F.max("_label").cast("int").alias("_y"))
     sample = written(known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows), "toxic-sample")
-    rows = docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("_id")).select(
-        "_y", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rows = written(rows.limit(train_rows), "toxic-texts")  # an id may occur on several rows
+    docs = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    # an id may occur on several rows: of these the one with the smallest text hash is used, so the bound on ids bounds the rows
+    rows = docs.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_id", "_y", "text", F.xxhash64("text").alias("_h"))
+    rows = rows.groupBy("_id", "_y").agg(F.min_by("text", F.struct("_h", "text")).alias("text"))
+    rows = written(rows.select("_y", "text", F.xxhash64("_id").alias("_order")).repartition(max(1, min(train_rows // 128, 4 * docs.sparkSession.sparkContext.defaultParallelism))), "toxic-texts")
 
     def count(batches):
         """Document frequency of each feature by label, summed up in the task."""
@@ -200,10 +202,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 hits = [sorted({x for w in set(s.split()) for x in of(w)}) for s in sentences(text)]
                 found.append([x for x in hits if x])
                 plain.append(sum(not x for x in hits))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(plain, pa.int64()), pa.array(found, pa.list_(pa.list_(pa.int32())))],
-                                             names=["y", "plain", "bag"])
+            yield pa.RecordBatch.from_arrays([b.column(2), b.column(0), pa.array(plain, pa.int64()), pa.array(found, pa.list_(pa.list_(pa.int32())))],
+                                             names=["place", "y", "plain", "bag"])
 
-    got = rows.mapInArrow(bags, "y int, plain long, bag array<array<int>>").collect()
+    # in a fixed order: sums of floats, and so the weights, depend on it
+    got = sorted(rows.mapInArrow(bags, "place long, y int, plain long, bag array<array<int>>").collect(), key=lambda r: (r["place"], r["y"], r["plain"]))
     y, plain = np.array([r["y"] for r in got], float), np.array([r["plain"] for r in got], float)
     doc = [i for i, r in enumerate(got) for _ in r["bag"]]
     sent = [s for s, x in enumerate(x for r in got for x in r["bag"]) for _ in x]
@@ -221,9 +224,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", threshold: float
     """
     prepare(df.sparkSession)
     keep = list(df.columns if carry is None else carry)
-    if taken := {c.lower() for c in keep} & {"score", "predicted", "offending"}:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
-    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_tox_text"))
+    refuse(keep, ["score", "predicted", "offending"])
+    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(fresh_name(df, "tox_text")))
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
     schema = T.StructType([src.schema[c] for c in keep] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
                                                            T.StructField("offending", span)])

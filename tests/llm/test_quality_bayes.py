@@ -12,43 +12,72 @@ from conftest import SF0001
 from .conftest import ODD
 
 
-def brute_sites(rows):
-    """{(host, path): (n, sum, host rate)}, path strength by the module's formulas, in plain Python."""
-    paths, hosts = {}, {}
+def plain_strength(groups, means):
+    """Variance of a document within its group over that of the groups' true means; groups: lists of probabilities."""
+    n, k = sum(map(len, groups)), len(groups)
+    noise = sum(len(g) * np.var(g) for g in groups) / (n - k)
+    between = (sum(len(g) * (np.mean(g) - m) ** 2 for g, m in zip(groups, means)) - noise * k) / n
+    return min(max(noise / between, 1.0), 1e6) if between > 1e-12 else 1e6
+
+
+def brute_rates(rows):
+    """The site rate of every (host, path, probability), each left out of its own host and path, from plain lists."""
+    by = lambda key: {k: [x for r, x in zip(rows, [r[2] for r in rows]) if key(r) == k] for k in {key(r) for r in rows}}
+    hosts, paths = by(lambda r: r[0]), by(lambda r: r[:2])
+    rate = np.mean([r[2] for r in rows])
+    m_host = plain_strength(list(hosts.values()), [rate] * len(hosts))
+    whole = {h: (sum(g) + m_host * rate) / (len(g) + m_host) for h, g in hosts.items()}
+    m_path = plain_strength(list(paths.values()), [whole[h] for h, _ in paths])
+    out = []
     for h, p, x in rows:
-        a = paths.setdefault((h, p), [0, 0.0])
-        a[0] += 1
-        a[1] += x
-        b = hosts.setdefault(h, [0, 0.0])
-        b[0] += 1
-        b[1] += x
-    n, s = len(rows), sum(x for *_, x in rows)
-    rate = s / n
-    m = qb.strength(len(hosts), n, sum(c * (t / c - rate) ** 2 for c, t in hosts.values()), rate)
-    host_rate = {h: (t + m * rate) / (c + m) for h, (c, t) in hosts.items()}
-    m_path = qb.strength(len(paths), n, sum(c * (t / c - host_rate[h]) ** 2 for (h, _), (c, t) in paths.items()), rate)
-    return {k: (c, t, host_rate[k[0]]) for k, (c, t) in paths.items()}, m_path
+        others, own = list(hosts[h]), list(paths[h, p])
+        others.remove(x)
+        own.remove(x)
+        above = (sum(others) + m_host * rate) / (len(others) + m_host)
+        out.append((sum(own) + m_path * above) / (len(own) + m_path))
+    return out, m_path, m_host
 
 
-def test_posteriors_against_brute_force(spark):
-    rng = np.random.default_rng(4)
+def sites_of_rows(rng):
     rows = []
     for h in range(8):
         for p in range(rng.integers(1, 5)):
-            rows += [(None if h == 7 else f"h{h}", None if p == 3 else f"p{p}", float(rng.beta(2 + h, 2))) for _ in range(rng.integers(1, 40))]
-    df = spark.createDataFrame(rows, "h string, p string, p_text double")
-    table, m_path, rate = qb.site_posteriors(df, "h", "p")
-    want, m = brute_sites(rows)
-    got = {(r["site_host"], r["site_path"]): (r["path_n"], r["path_sum"], r["host_rate"]) for r in table.collect()}
-    assert got.keys() == want.keys() and m_path == pytest.approx(m)
+            rows += [(None if h == 7 else f"h{h}", None if p == 3 else f"p{p}", float(rng.beta(2 + h, 2 + p))) for _ in range(rng.integers(1, 40))]
+    return rows
+
+
+def test_posteriors_against_brute_force(spark):
+    rows = sites_of_rows(np.random.default_rng(4))
+    table, m_path, m_host, rate = qb.site_posteriors(spark.createDataFrame(rows, "h string, p string, p_text double"), "h", "p")
+    _, want_path, want_host = brute_rates(rows)
+    assert (m_path, m_host) == (pytest.approx(want_path), pytest.approx(want_host))
     assert rate == pytest.approx(np.mean([x for *_, x in rows]))
-    for k, v in want.items():
-        assert got[k] == pytest.approx(v)
+    got = {(r["site_host"], r["site_path"]): (r["path_n"], r["path_sum"], r["host_n"], r["host_sum"]) for r in table.collect()}
+    for (h, p), v in got.items():
+        host, path = [x for a, _, x in rows if a == h], [x for a, b, x in rows if (a, b) == (h, p)]
+        assert v == (len(path), pytest.approx(sum(path)), len(host), pytest.approx(sum(host)))
+    assert len(got) == len({r[:2] for r in rows})
 
 
 def test_sparse_sites_shrink():
-    assert qb.strength(10, 1000, 0.0, 0.5) == qb.STRENGTH[1]           # no spread: all sites alike
-    assert qb.strength(10, 1000, 200.0, 0.5) < 10                      # wide spread: sites speak for themselves
+    assert qb.strength(10, 1000, 0.0, 200.0) == qb.STRENGTH[1]         # no spread: all sites alike
+    assert qb.strength(10, 1000, 200.0, 200.0) < 10                    # wide spread: sites speak for themselves
+    assert qb.strength(50, 50, 9.0, 0.0) == qb.STRENGTH[1]             # one document a site: nothing to tell apart
+
+
+def test_the_only_document_of_a_host_takes_the_global_rate(spark):
+    """Its own evidence must not come back to it through its host or its path."""
+    rng = np.random.default_rng(2)
+    text = lambda i: "word%d and more words, of an even length. " % i * (12 + i % 5)
+    docs = [(i, text(i), f"h{i % 6}", f"p{i % 4}") for i in range(240)] + [(900, "!!! ### $$$ " * 40, "alone", "x"), (901, text(7), "lonely", "y")]
+    labels = [(i, int(rng.random() < 0.8)) for i in range(240)]
+    rows = qb.classify(spark.createDataFrame(docs, "doc_id long, text string, host string, path string"),
+                       spark.createDataFrame(labels, "doc_id long, quality int"), "host", "path").collect()
+    overall = np.mean([r["p_text"] for r in rows])
+    alone = {r["doc_id"]: r for r in rows if r["doc_id"] >= 900}
+    assert alone[900]["site_rate"] == pytest.approx(overall) and alone[901]["site_rate"] == pytest.approx(overall)
+    want, _, _ = brute_rates([(r["host"], r["path"], r["p_text"]) for r in rows])
+    assert [r["site_rate"] for r in rows] == pytest.approx(want)
 
 
 def test_query_accuracy_and_verdict(spark):
@@ -68,10 +97,8 @@ def test_combination_of_levels(spark):
     labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
     rows = qb.classify(docs, labels, "source", "lang").collect()
     model = qb.train(docs, labels)
-    sites, m = brute_sites([("h", "p", r["p_text"]) for r in rows])
-    n, s, host = sites["h", "p"]
-    for r in rows:
-        site = (s - r["p_text"] + m * host) / (n - 1 + m)
+    want, _, _ = brute_rates([("h", "p", r["p_text"]) for r in rows])
+    for r, site in zip(rows, want):
         z = math.log(r["p_text"] / (1 - r["p_text"])) - math.log(model.rate / (1 - model.rate)) + math.log(site / (1 - site))
         assert r["site_rate"] == pytest.approx(site) and r["quality"] == pytest.approx(1 / (1 + math.exp(-z)))
 
