@@ -27,5 +27,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from airshed.catalog import (  # noqa: F401
-        q_mart, q_quality, q_series, q_stats, q_dashboards, q_sources, q_ml, q_streaming, q_scalars, q_runs,
+        q_mart, q_quality, q_series, q_stats, q_dashboards, q_sources, q_ml, q_streaming, q_scalars, q_runs, q_stateful,
     )
