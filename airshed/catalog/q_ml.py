@@ -9,9 +9,12 @@ from airshed.catalog import sql_fixtures as X
 from airshed.catalog.q_series import feeds
 from airshed.catalog.q_stats import feature_table
 from airshed.operators import series as ser
+from airshed.plans import additive as AD
 from airshed.plans import features as FE
 from airshed.plans import mart
 from airshed.plans import ml as ML
+from airshed.plans.models import ModelStore
+from airshed.session import materialize, shared_path
 from airshed.sources import driver_tables as D
 
 LSTM_COLS = ["pm2p5", "pm10", "no2", "temp_c", "vent_kmh", "blh_m", "heure", "jour_semaine", "mois", "est_weekend"]
@@ -150,6 +153,35 @@ def k5_seasonal_regression(spark, sf_dir):
     return _model_card(model, train, design.where(F.col("split") == "test"), "y")
 
 
+@register("k5_additive_per_series")
+def k5_additive_per_series(spark, sf_dir):
+    """K5: an additive model for each series (25 changepoints, three seasons, holidays, all 9 regressors) fitted on its first 80 %:
+    RMSE, MAE and R2 of its last 20 %."""
+    frame = materialize(_split(ML.prophet_frame(feature_table(spark, sf_dir)), "ds", "floor"))
+    regressors = [c for c in ML.regressors(frame) if c != "split"]
+    holidays = spark.createDataFrame([(h,) for h in HOLIDAYS], "ds string").select(F.to_date("ds").alias("ds"))
+    models = AD.train_additive(frame.where(F.col("split") == "train"), regressors, holidays)
+    scored = AD.forecast(frame.where(F.col("split") == "test"), models, regressors, holidays)
+    cards = AD.accuracy(scored)
+    return cards.join(models.select("series_id", "n_train"), "series_id").select("series_id", "n_train", "n_test", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
+@register("k4_saved_model")
+def k4_saved_model(spark, sf_dir):
+    """K4 + K7: the trees saved as a version, loaded again and scored: held-out RMSE, MAE and R2, and the largest difference that
+    saving and loading made to a prediction."""
+    m, cols = ML.xgb_matrix(feature_table(spark, sf_dir))
+    d = materialize(_split(m, "datetime", "test_ceil"))
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    model, store = ML.train_gbt(train, cols), ModelStore(spark, shared_path(spark, "gbt-models"))
+    store.save(model, cols, train, test, "label")
+    card, again = store.card(), store.load()
+    both = again.transform(test).select("series_id", "datetime", F.col("prediction").alias("loaded")).join(
+        model.transform(test).select("series_id", "datetime", "prediction"), ["series_id", "datetime"])
+    return both.agg(F.lit(card["version"]).alias("version"), F.lit(card["n_train"]).alias("n_train"), F.count(F.lit(1)).alias("n_test"),
+                    *[F.lit(card[c]).cast("double").alias(c) for c in ("rmse", "mae", "r2")], F.max(F.abs(F.col("loaded") - F.col("prediction"))).alias("largest_difference"))
+
+
 def requests(spark, sf_dir):
     """Scoring requests: one per mart row (fields of the request schema)."""
     m = mart.mart_hourly(D.measurements(spark, sf_dir))
