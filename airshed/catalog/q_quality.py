@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import functions as F
+
 from airshed import schemas as S
 from airshed.catalog import register
 from airshed.catalog import sql_fixtures as X
 from airshed.operators import dedup, joins
 from airshed.plans import mart, quality as Q
+from airshed.plans import sketches as SK
+from airshed.plans import stats as ST
+from airshed.session import materialize, shared_path
 from airshed.sources import driver_tables as D
+from airshed.sources import sinks
 
 ASOF_CONTRACT = "2024-12-26 00:00:00"
 
@@ -182,3 +190,43 @@ def c5_absent_contract_parameters(spark, sf_dir):
     """C5/G: contract parameters never measured (expected minus present, anti join)."""
     expected = spark.createDataFrame([(p,) for p in S.CONTRACT_PARAMETERS], "parameter string")
     return joins.expected_minus_present(expected, D.measurements(spark, sf_dir), "parameter")
+
+
+SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@register("d5_d11_day_sketches", X.WITH_M1 + f""",
+h AS (SELECT parameter, CAST('0x' || substr(md5(CAST(location_id AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM m1),
+reg AS (SELECT parameter, h & {SK.REGISTERS - 1} AS r, max(CASE WHEN h >> {SK.BITS} = 0 THEN {SK.HASH_BITS - SK.BITS + 1}
+               ELSE {SK.HASH_BITS - SK.BITS + 1} - length(ltrim(bin(h >> {SK.BITS}), '0')) END) AS place FROM h GROUP BY ALL),
+est AS (SELECT parameter, {0.7213 / (1 + 1.079 / SK.REGISTERS) * SK.REGISTERS ** 2!r} / (sum(pow(2e0, -place)) + {SK.REGISTERS} - count(*)) AS raw, {SK.REGISTERS} - count(*) AS e
+        FROM reg GROUP BY parameter),
+cnt AS (SELECT parameter, CASE WHEN raw <= {2.5 * SK.REGISTERS} AND e > 0 THEN {float(SK.REGISTERS)!r} * ln({float(SK.REGISTERS)!r} / e) ELSE raw END AS estimate FROM est),
+v AS (SELECT parameter, value, row_number() OVER (PARTITION BY parameter ORDER BY value) - 1 AS rank, count(*) OVER (PARTITION BY parameter) AS n
+      FROM m1 WHERE value IS NOT NULL),
+s AS (SELECT CAST(unnest({SHARES}) AS DOUBLE) AS share),
+ex AS (SELECT parameter, share, value AS exact FROM v CROSS JOIN s WHERE rank = floor(share * (n - 1))),
+b AS (SELECT *, CASE WHEN exact = 0 THEN 0e0 ELSE sign(exact) * 2e0 * pow({SK.GAMMA!r}, ceil(ln(abs(exact)) / {math.log(SK.GAMMA)!r})) / {SK.GAMMA + 1!r} END AS sketched FROM ex),
+st AS (SELECT parameter, count(DISTINCT location_id) AS n_stations FROM m1 GROUP BY parameter)
+SELECT b.parameter, share, n_stations, round(estimate, 6) AS stations_estimate, exact, round(sketched, 6) AS sketched,
+       abs(sketched - exact) <= {SK.ALPHA + 1e-9!r} * abs(exact) AND abs(estimate - n_stations) <= {4 * SK.ERROR!r} * n_stations AS within_bounds
+FROM b JOIN cnt USING (parameter) JOIN st USING (parameter)""")
+def d5_d11_day_sketches(spark, sf_dir):
+    """D5 + D11: distinct stations and quantiles of each parameter from sketches stored by day and merged, beside the exact
+    figures and whether they are within the stated bounds (four standard errors; ``ALPHA``)."""
+    m = materialize(D.measurements(spark, sf_dir).select("parameter", "location_id", "value", F.to_date("datetime_utc").alias("day")))
+    by_day = ["parameter", "day"]
+    stored = {name: sinks.write_replace(df, shared_path(spark, f"sketch-{name}")) for name, df in (
+        ("distinct", SK.distinct_sketch(m, by_day, "location_id")), ("quantile", SK.quantile_sketch(m, by_day, "value")))}
+    count = SK.distinct_estimate(SK.merge_distinct(spark.read.parquet(stored["distinct"]), ["parameter"]), ["parameter"])
+    read = SK.quantiles(SK.merge_quantiles(spark.read.parquet(stored["quantile"]), ["parameter"]), ["parameter"], SHARES)
+    stations = m.groupBy("parameter").agg(F.count_distinct("location_id").alias("n_stations"))
+    exact = []  # of the few parameters, ranks settled by narrowing
+    for r in m.groupBy("parameter").agg(F.count("value").alias("n")).where("n > 0").collect():
+        ranks = {s: math.floor(s * (r["n"] - 1)) for s in SHARES}
+        found = ST.order_statistics(m.where(F.col("parameter") == r["parameter"]), "value", list(ranks.values()))
+        exact += [(r["parameter"], s, found[k]) for s, k in ranks.items()]
+    exact = spark.createDataFrame(exact, "parameter string, share double, exact double")
+    d = read.join(exact, ["parameter", "share"]).join(count, "parameter").join(stations, "parameter")
+    close = (F.abs(F.col("value") - F.col("exact")) <= (SK.ALPHA + 1e-9) * F.abs("exact")) & (F.abs(F.col("estimate") - F.col("n_stations")) <= 4 * SK.ERROR * F.col("n_stations"))
+    return d.select("parameter", "share", "n_stations", F.round("estimate", 6).alias("stations_estimate"), "exact", F.round("value", 6).alias("sketched"), close.alias("within_bounds"))

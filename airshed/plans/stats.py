@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from airshed.functions import calendar as cal
 from airshed.functions.misc import numeric_columns
 from airshed.operators import series as ser
+from airshed.operators.comoments import correlations
 from airshed.session import materialize
 
 Z95 = 1.959963984540054  # two-sided 95 % normal quantile
@@ -201,20 +202,10 @@ def corr_matrix_top(df: DataFrame, target: str, cols: list[str], top: int = 15)
     """All pairwise correlations, then the ``top`` columns by |corr with target| (NULL
     last, name as tie-breaker) and their full matrix.
 
-    Each row is expanded into its k(k+1)/2 column pairs (a fixed, schema-bounded fan-out)
-    and one grouped aggregation computes every pair's guarded correlation with partial
-    aggregation: k(k+1)/2 groups instead of 3 k(k+1)/2 aggregate expressions in one row.
+    All pairs' co-moments come from one pass over the rows (``operators.comoments``): no row is multiplied.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                      for a, b in pairs])
-    long = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    den = F.stddev_pop("x") * F.stddev_pop("y")
-    # k(k+1)/2 rows, read four times below: checkpointed so the input is scanned once
-    half = materialize(long.groupBy("a", "b").agg((F.covar_pop("x", "y") / F.when(den != 0, den)).alias("corr")))
-    full = half.select(F.col("a").alias("row"), F.col("b").alias("col"), "corr").unionByName(
-        half.where(F.col("a") != F.col("b")).select(F.col("b").alias("row"), F.col("a").alias("col"), "corr"))
+    # k * k rows, read three times below
+    full = materialize(correlations(df, cols))
     # top-k of the target's k correlations: an ordered limit (TakeOrderedAndProject)
     ranked = (full.where(F.col("row") == target)
               .orderBy(F.abs("corr").desc_nulls_last(), F.col("col")).limit(top)
