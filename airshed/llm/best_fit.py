@@ -29,8 +29,8 @@ from airshed.llm.word_tokens import tokenizer
 
 #: Pieces packed together by one task.
 GROUP_PIECES = 8192
-#: Weights of tokens, documents and attention cost: tokens decide, the others break ties.
-WEIGHTS = (1.0, 1e-6, 1e-6)
+#: Weights of the residual shares of tokens, documents and attention cost in the choice of a bin.
+WEIGHTS = (1.0, 1.0, 1.0)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, id_col: str = "doc_id",

@@ -3,13 +3,16 @@
 A SentencePiece BPE model whose pieces never have a white-space marker behind another
 character cannot merge across the start of a marked word.  So a text falls into chunks, each a
 run of markers and the characters up to the next marker, that are segmented independently of
-each other.  Every distinct chunk is segmented once per Python worker; a text's ids are the chunk
-table's entries joined in order of position.
+each other.
 
-The chunk table is local to a worker and bounded (``TABLE_CHUNKS`` entries, then it starts
-anew), so memory does not grow with the corpus and nothing is shuffled: the operator is one
-narrow pass over the texts.  A global chunk table would need a shuffle of every word
-occurrence with its position, several times the size of the corpus.
+1. Chunks are counted, partially in each task, and every distinct chunk is segmented once into a written table
+   (chunk, count, ids).
+2. The table's most frequent ``HEAD_CHUNKS`` short chunks, a bounded number, are sent to the workers.
+3. Texts are put together in groups of about ``GROUP_BYTES``, written compressed and bucketed by group, with the list of the
+   group's chunks that the head lacks.
+4. These meet the table in an equi-join on the chunk, and their ids go back to their group in another; the groups are bucketed, so
+   no text is shuffled.
+5. In its group each text's ids are the entries of head and tail joined in order of position.
 
 The fast path is only taken when the loaded model proves it right (``crosses_markers`` looks at
 all pieces and the normaliser); other models are applied to whole texts.
@@ -19,18 +22,28 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
+from array import array
+from collections import Counter
+from itertools import islice
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import fresh_name, prepare, worker_cache
+from airshed.llm.common import fresh_name, prepare, refuse, worker_cache, written
+from airshed.session import shared_path
 
 MARK = "▁"
-#: Chunks kept per Python worker before the table starts anew (memory bound, not a cut: later
-#: chunks are segmented again).
+#: Chunks that a ``ChunkEncoder`` used on its own keeps before its table starts anew (a memory bound, not a cut).
 TABLE_CHUNKS = 400_000
+#: Chunks sent to the workers (some 200 MB in each), of at most this many characters; all others are joined.
+HEAD_CHUNKS, HEAD_CHARS = 1_000_000, 64
+#: Bytes of text put together in a group, unless one text is longer; distinct chunks counted in a task before they are handed on.
+GROUP_BYTES = 32 << 20
+COUNTED = 1_000_000
 
 
 def crosses_markers(sp) -> bool:
@@ -57,8 +70,9 @@ class ChunkEncoder:
         self.whole = crosses_markers(self.sp)
         self.table: dict[str, bytes] = {}
         self.chunk = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        pack = lambda ids: b"".join(i.to_bytes(4, "little") for i in ids)
-        self.pack, self.bos, self.eos = pack, pack([self.sp.bos_id()]), pack([self.sp.eos_id()])
+        pack = lambda ids: array("I", ids).tobytes()
+        # a model without begin or end id has none in front or behind
+        self.pack, self.bos, self.eos = pack, *(pack([i]) if i >= 0 else b"" for i in (self.sp.bos_id(), self.sp.eos_id()))
 
     def chunks(self, text: str) -> list[str]:
         """The chunks of a non-empty text, without the first marker of each."""
@@ -69,9 +83,14 @@ class ChunkEncoder:
     def learn(self, new: list[str]) -> None:
         """Segment chunks that the table lacks.  The library puts a marker in front of its input
         itself, so a chunk is passed without its first one; a lone marker is its own piece."""
-        ids = self.sp.encode([c.replace(MARK, " ") for c in new], num_threads=1)
-        for c, x in zip(new, ids):
-            self.table[c] = self.pack(x) if c else self.pack(self.sp.encode_as_ids("x ")[-1:])
+        self.table.update(zip(new, self.segmented(new)))
+
+    def segmented(self, chunks: list[str]) -> list[bytes]:
+        ids = self.sp.encode([c.replace(MARK, " ") for c in chunks], num_threads=1)
+        return [self.pack(x) if c else self.pack(self.sp.encode_as_ids("x ")[-1:]) for c, x in zip(chunks, ids)]
+
+    def split(self, texts: list[str]) -> list[list[str]]:
+        return [self.chunks(t) if t else [] for t in texts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with begin and end ids."""
@@ -79,7 +98,7 @@ class ChunkEncoder:
             return [self.bos + self.pack(x) + self.eos for x in self.sp.encode(texts, num_threads=1)]
         if len(self.table) > TABLE_CHUNKS:
             self.table.clear()
-        split = [self.chunks(t) if t else [] for t in texts]
+        split = self.split(texts)
         new = list({c for cs in split for c in cs if c not in self.table})
         if new:
             self.learn(new)
@@ -98,7 +117,7 @@ def encoder(model: str) -> ChunkEncoder:
 
 
 def encode_decode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids",
-                  decoded_col: str = "decoded", digests: bool = False) -> DataFrame:
+                  decoded_col: str = "decoded", digests: bool = False, head_chunks: int = HEAD_CHUNKS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``df`` with the ids (array<int>, begin and end ids included) and the decoded text of each row.
 
     * null and empty texts have the begin and end ids only and decode to the empty text;
@@ -107,12 +126,10 @@ def encode_decode(df: DataFrame, model: str, text_col: str = "text", ids_col: st
     * other columns pass through, whatever their names; an output name that ``df`` already has
       raises ``ValueError``.
     """
-    prepare(df.sparkSession)
+    spark = prepare(df.sparkSession)
     extra = ([("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
              if digests else [(ids_col, T.ArrayType(T.IntegerType())), (decoded_col, T.StringType())])
-    taken = {c.lower() for c in df.columns} & {n.lower() for n, _ in extra}
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
+    refuse(df.columns, [n for n, _ in extra])
     work = fresh_name(df, "sp_text")
     src = df.withColumn(work, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     if digests:  # the text itself is not carried through
@@ -120,19 +137,121 @@ def encode_decode(df: DataFrame, model: str, text_col: str = "text", ids_col: st
     keep = [c for c in src.columns if c != work]
     schema = T.StructType([src.schema[c] for c in keep] + [T.StructField(n, t) for n, t in extra])
 
-    def run(batches):
+    def results(b, ids, enc):
+        """Output batch of the rows of ``b`` (kept columns and text) with their ids."""
+        text = [enc.decode(x) for x in ids]
+        cols = [b.column(b.schema.get_field_index(c)) for c in keep]
+        if digests:
+            cols += [pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in text], pa.string())]
+        else:
+            cols += [pa.array([memoryview(x).cast("I").tolist() for x in ids], pa.list_(pa.int32())), pa.array(text, pa.string())]
+        return pa.RecordBatch.from_arrays(cols, names=keep + [n for n, _ in extra])
+
+    if ChunkEncoder(model).whole:
+        def whole(batches):
+            enc = encoder(model)
+            for b in batches:
+                yield results(b, enc.encode(b.column(b.schema.get_field_index(work)).to_pylist()), enc)
+        return src.mapInArrow(whole, schema)
+
+    table = chunk_table(src.select(F.col(f"`{work}`").alias("text")), model)
+    head, name = head_of(table, head_chunks), uuid.uuid4().hex
+
+    def known() -> dict[str, bytes]:
+        """The head as a dict, built once in a worker; that of another call makes room."""
+        kept = worker_cache("sp_heads")
+        if name not in kept:
+            kept.clear()
+            got = pa.ipc.open_stream(head).read_all()
+            kept[name] = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+        return kept[name]
+
+    def groups(batches):
+        import zstandard
+        enc, have, part = encoder(model), known(), TaskContext.get().partitionId() << 32
+        held, size, tail = [], 0, set()
+
+        def close():
+            nonlocal held, size, tail, part
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as w:
+                for x in held:
+                    w.write_batch(x)
+            packed = zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())
+            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed], pa.binary()), pa.array([sorted(tail)], pa.list_(pa.string()))],
+                                             names=["grp", "packed", "tail"])
+            part, held, size, tail = part + 1, [], 0, set()
+            return out
+
+        for b in batches:
+            if held and size + b.nbytes > group_bytes:
+                yield close()
+            for cs in enc.split(b.column(b.schema.get_field_index(work)).to_pylist()):
+                tail.update(c for c in cs if c not in have)
+            held.append(b)
+            size += b.nbytes
+        if held:
+            yield close()
+
+    def joined(batches):
+        import zstandard
+        enc, have = encoder(model), known()
+        for b in batches:
+            for packed, tail in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = {x["chunk"]: x["ids"] for x in tail or []}
+
+                def ids_of(c):
+                    found = have.get(c)
+                    return own[c] if found is None else found
+
+                for rows in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)):
+                    texts = rows.column(rows.schema.get_field_index(work)).to_pylist()
+                    yield results(rows, [enc.bos + b"".join(map(ids_of, cs)) + enc.eos for cs in enc.split(texts)], enc)
+
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = f"sp_groups_{name}"
+    (src.mapInArrow(groups, "grp long, packed binary, tail array<string>")
+     .write.bucketBy(buckets, "grp").option("path", shared_path(spark, "sp-groups")).saveAsTable(stored))
+    tails = (spark.table(stored).select("grp", F.explode("tail").alias("chunk")).join(table.select("chunk", "ids"), "chunk")
+             .groupBy("grp").agg(F.collect_list(F.struct("chunk", "ids")).alias("found")))  # the distinct chunks of one group
+    return spark.table(stored).join(tails, "grp", "left").select("packed", "found").mapInArrow(joined, schema)
+
+
+def chunk_table(texts: DataFrame, model: str) -> DataFrame:
+    """``chunk``, ``n`` (occurrences), ``ids`` of every distinct chunk of the column ``text``, each segmented once; written."""
+    def count(batches):
+        enc, seen = encoder(model), Counter()
+
+        def out():
+            for at in range(0, len(seen), 1 << 16):
+                part = dict(islice(items, 1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.string()), pa.array(list(part.values()), pa.int64())], names=["chunk", "n"])
+
+        for b in batches:
+            for cs in enc.split(b.column(0).to_pylist()):
+                seen.update(cs)
+            if len(seen) > COUNTED:
+                items = iter(seen.items())
+                yield from out()
+                seen = Counter()
+        items = iter(seen.items())
+        yield from out()
+
+    def segment(batches):
         enc = encoder(model)
         for b in batches:
-            ids = enc.encode(b.column(b.schema.get_field_index(work)).to_pylist())
-            text = [enc.decode(x) for x in ids]
-            cols = [b.column(b.schema.get_field_index(c)) for c in keep]
-            if digests:
-                cols += [pa.array([len(x) // 4 for x in ids], pa.int64()),
-                         pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in text], pa.string())]
-            else:
-                cols += [pa.array([memoryview(x).cast("I").tolist() for x in ids], pa.list_(pa.int32())),
-                         pa.array(text, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=keep + [n for n, _ in extra])
-
-    return src.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(enc.segmented(b.column(0).to_pylist()), pa.binary())], names=["chunk", "n", "ids"])
+
+    counted = texts.mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    return written(counted.mapInArrow(segment, "chunk string, n long, ids binary"), "sp-chunks")
+
+
+def head_of(table: DataFrame, most: int) -> bytes:
+    """The ``most`` most frequent chunks of at most ``HEAD_CHARS`` characters and their ids, as an Arrow stream."""
+    head = table.where(F.char_length("chunk") <= HEAD_CHARS).orderBy(F.desc("n"), "chunk").limit(most).select("chunk", "ids").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, head.schema) as w:
+        w.write_table(head)
+    return sink.getvalue().to_pybytes()

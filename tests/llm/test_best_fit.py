@@ -86,3 +86,17 @@ def test_decreasing_best_fit_by_hand():
     assert bins[0] == bins[2] and bins[1] == bins[3] and offsets[2] == 60 and offsets[3] == 50 and bins[4] == 2
     with pytest.raises(ValueError):
         best_fit.pack_group(np.array([101]), (100, 10, 100000))
+
+
+def test_every_capacity_takes_part_in_the_choice():
+    """Weights of real size: never more sequences than by tokens alone, fewer where documents or attention bind."""
+    rng = np.random.default_rng(11)
+    lengths = np.minimum(rng.geometric(1 / 320, 4000), 2047)
+    count = lambda cap, weights, rule="norm": best_fit.pack_group(lengths[lengths.astype(float) ** 2 <= cap[2]], cap, weights, rule)[0].max() + 1
+    for cap in ((2048, 2048, 2048 ** 2), (2048, 8, 2048 ** 2), (2048, 7, 2048 * 1800)):
+        for rule in ("norm", "dot"):
+            assert count(cap, best_fit.WEIGHTS, rule) <= count(cap, (1.0, 1e-6, 1e-6), rule)
+    assert count((2048, 8, 2048 ** 2), best_fit.WEIGHTS, "dot") < count((2048, 8, 2048 ** 2), (1.0, 1e-6, 1e-6), "dot")
+    # two bins with as many tokens left: the piece goes where its documents and attention leave the rounder rest
+    a, b = (best_fit.pack_group(np.array([60, 30, 30, 40]), (100, 3, 100 ** 2), w)[0].tolist() for w in ((1.0, 1.0, 1.0), (1.0, 0.0, 0.0)))
+    assert a[0] == a[3] and b[0] == b[3]

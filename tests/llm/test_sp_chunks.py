@@ -63,3 +63,23 @@ def test_odd_rows_and_extra_columns(spark, sp, odd, empty):
     small = sp_chunks.ChunkEncoder(MODEL)
     small.encode(["a b c"])
     assert set(small.table) == {"a", "b", "c"}
+
+
+def test_head_and_joined_tail_give_the_same(spark, sp, documents):
+    """With a head of any size, in groups of any size; every distinct chunk is segmented once."""
+    rows = documents[:40]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted((i, *whole(sp, t)) for i, t in rows)
+    for head, size in ((0, 1 << 25), (50, 20_000), (10 ** 6, 1)):
+        got = sp_chunks.encode_decode(df, MODEL, head_chunks=head, group_bytes=size).collect()
+        assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in got) == want
+    table = sp_chunks.chunk_table(df.select("text"), MODEL).collect()
+    enc = sp_chunks.ChunkEncoder(MODEL)
+    words = [c for cs in enc.split([t for _, t in rows]) for c in cs]
+    assert {r["chunk"]: r["n"] for r in table} == {c: words.count(c) for c in set(words)} and len(table) == len(set(words))
+
+
+def test_no_text_is_shuffled(spark, documents):
+    df = spark.createDataFrame(documents[:40], "doc_id long, text string")
+    plan = sp_chunks.encode_decode(df, MODEL, digests=True, head_chunks=10)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "packed" in x] and "Bucketed: true" in plan
