@@ -47,6 +47,24 @@ def e3_interpolate_limit3(spark, sf_dir):
     return FE.interpolated(FE.merge_inner(*feeds(spark, sf_dir))).drop(ser.POS)
 
 
+@register("c3_hourly_spine", "WITH " + X.AIR + """,
+spine AS (SELECT series_id, unnest(generate_series(min(datetime), max(datetime), INTERVAL 1 HOUR)) AS datetime FROM air GROUP BY series_id)
+SELECT CAST(spine.datetime AS TIMESTAMP) AS datetime, pm2_5, pm10, nitrogen_dioxide, spine.series_id, air.datetime IS NULL AS filled
+FROM spine LEFT JOIN air ON air.series_id = spine.series_id AND air.datetime = spine.datetime""")
+def c3_hourly_spine(spark, sf_dir):
+    """The air feed on a regular index: a row for every hour between each series' bounds."""
+    return ser.hourly_spine(feeds(spark, sf_dir)[0], ["series_id"])
+
+
+@register("c3_hourly_gaps", "WITH " + X.AIR + """,
+n AS (SELECT series_id, datetime, lead(datetime) OVER (PARTITION BY series_id ORDER BY datetime) AS nxt FROM air)
+SELECT series_id, datetime + INTERVAL 1 HOUR AS gap_start, nxt - INTERVAL 1 HOUR AS gap_end, date_diff('hour', datetime, nxt) - 1 AS hours
+FROM n WHERE nxt > datetime + INTERVAL 1 HOUR""")
+def c3_hourly_gaps(spark, sf_dir):
+    """The missing hours of each series as gaps with their lengths."""
+    return ser.hourly_gaps(feeds(spark, sf_dir)[0], ["series_id"])
+
+
 @register("e14_clean_and_merge", X.CLEAN + "\nSELECT * FROM clean")
 def e14_clean_and_merge(spark, sf_dir):
     """Rename, inner join, dropna(pm2p5), interpolate(limit 3), dropna()."""

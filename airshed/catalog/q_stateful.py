@@ -13,11 +13,13 @@ from airshed.catalog import sql_fixtures as X
 from airshed.catalog.q_dashboards import PRED_SQL, UPSERT_NEW_FROM, UPSERT_OLD_BEFORE, predictions
 from airshed.catalog.q_ml import NOWCAST_MODEL, XGB_COLS, linear_sql
 from airshed.catalog.q_series import feeds
+from airshed.catalog.q_streaming import FILES, event_stream, land_event_folder
 from airshed.plans.tables import MartTables
 from airshed.session import materialize, shared_path
 from airshed.sources import driver_tables as D
 from airshed.sources.versioned import VersionedTable
 from airshed.streaming import jobs as ST
+from airshed.streaming import landing as LD
 from airshed.streaming import stateful as SF
 
 # ---- I4: lags in order of time ---------------------------------------------------------
@@ -179,3 +181,44 @@ def a12_mart_table_incremental(spark, sf_dir):
     again = D.measurements_from_events(ev.where(early & (F.col("event_id") % 7 == 0))).withColumn("ingested_at", F.lit(D.REINGESTED_AT))
     tables.deliver(D.measurements_from_events(ev.where(~early)).unionByName(again))
     return spark.table(tables.mart)
+
+
+# ---- I1, I5: landed rows instead of long state -----------------------------------------
+
+@register("i5_first_deliveries", X.WITH_M1 + "\nSELECT * FROM m1")
+def i5_first_deliveries(spark, sf_dir):
+    """I5 over any distance: a second folder delivers every seventh event again with another value; each key's first delivery is
+    kept, found by an anti join with what has landed on its day."""
+    base = land_event_folder(spark, sf_dir, 2)
+    again = D.events(spark, sf_dir).where(F.col("event_id") % 7 == 0).withColumn("value", F.col("value") + 1000.0)
+    again.repartition(FILES).write.mode("append").parquet(f"{base}/events.parquet")
+    m = D.measurements_from_events(event_stream(spark, base, FILES))
+    first = LD.FirstDeliveries(spark, shared_path(spark, "first-deliveries"), m.schema, ["location_id", "parameter", "datetime_utc"], "datetime_utc", "ingested_at")
+    LD.run_sink(spark, m, first.sink, shared_path(spark, "first-checkpoint"))
+    return first.read()
+
+
+def land_with_late_rows(spark, sf_dir, slices: int = 4) -> str:
+    """``events`` in time slices, but every thirteenth event comes a slice late; the folder above them."""
+    base = shared_path(spark, "late-events")
+    ev = D.events(spark, sf_dir)
+    at = F.unix_micros((F.col("ts") + F.make_dt_interval((F.lit(30) * (F.col("event_id") % 12)).cast("int"))).cast("timestamp"))
+    ev = materialize(ev.withColumn("at", at))
+    cuts = ev.select(F.percentile_approx("at", [i / slices for i in range(1, slices)], 1000).alias("q")).first()["q"] or []
+    own = sum([(F.col("at") > c).cast("int") for c in cuts], F.lit(0))
+    ev = materialize(ev.withColumn("slice", F.least(F.lit(slices - 1), own + (F.col("event_id") % 13 == 5).cast("int"))).drop("at"))
+    for i in range(slices):
+        ev.where(F.col("slice") == i).drop("slice").repartition(FILES).write.mode("append").parquet(f"{base}/events.parquet")
+    return base
+
+
+@register("i1_mart_with_late_rows", X.MART_CHAIN + "\nSELECT * FROM mart")
+def i1_mart_with_late_rows(spark, sf_dir):
+    """I1 without loss: hours enter the mart when the watermark has passed them, rows for closed hours are kept as late, and a
+    restatement corrects their hours: the batch mart, row by row."""
+    m = D.measurements_from_events(event_stream(spark, land_with_late_rows(spark, sf_dir), FILES))
+    ingest = LD.MartWithLateRows(spark, shared_path(spark, "late-mart"), m.schema)
+    LD.run_sink(spark, m, ingest.sink, shared_path(spark, "late-checkpoint"))
+    ingest.close_all()
+    ingest.restate()
+    return ingest.mart.read()

@@ -36,8 +36,12 @@ def measurement_stream(spark, sf_dir):
     return m.withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
 
 
+#: Files of one time slice of a landed folder; a micro-batch reads one slice.
+FILES = 2
+
+
 def land_event_folder(spark, sf_dir, files: int = 4) -> str:
-    """``events`` landed as a folder of part files, one after the other in event time; returns the folder
+    """``events`` landed as a folder of part files, one time slice after the other; returns the folder
     above it, to be read like ``sf_dir``."""
     base = shared_path(spark, "event-folder")
     ev = D.events(spark, sf_dir).withColumn("at", (F.col("ts").cast("timestamp") + F.make_dt_interval((F.lit(30) * (F.col("event_id") % 12)).cast("int"))))
@@ -46,7 +50,7 @@ def land_event_folder(spark, sf_dir, files: int = 4) -> str:
     for lo, hi in zip([None, *cuts], [*cuts, None]):
         part = ev if lo is None else ev.where(at > lo)
         part = part if hi is None else part.where(at <= hi)
-        part.drop("at").coalesce(1).write.mode("append").parquet(f"{base}/events.parquet")
+        part.drop("at").repartition(FILES).write.mode("append").parquet(f"{base}/events.parquet")
     return base
 
 
@@ -57,8 +61,8 @@ WHERE hour_utc + INTERVAL 1 HOUR <= (SELECT max(datetime_utc) FROM stg WHERE is_
 
 @register("i1_streaming_mart_batches", _I1_SQL)
 def i1_streaming_mart_batches(spark, sf_dir):
-    """I1 over a folder of files, one file per micro-batch: windows close as the watermark moves on."""
-    m = D.measurements_from_events(event_stream(spark, land_event_folder(spark, sf_dir), 1))
+    """I1 over a folder of files, one time slice per micro-batch: windows close as the watermark moves on."""
+    m = D.measurements_from_events(event_stream(spark, land_event_folder(spark, sf_dir), FILES))
     m = m.withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
     return spark.read.parquet(ST.run_to_parquet(spark, ST.hourly_mart_stream(m), "i1-batches"))
 
@@ -84,7 +88,7 @@ def i2_streaming_latest(spark, sf_dir):
 def i2_streaming_latest_batches(spark, sf_dir):
     """I2 over a folder of files in several micro-batches, in update mode into the keyed sink: each batch
     adds only the keys it changed; readers take the newest version of a key."""
-    m = D.measurements_from_events(event_stream(spark, land_event_folder(spark, sf_dir), 1))
+    m = D.measurements_from_events(event_stream(spark, land_event_folder(spark, sf_dir), FILES))
     path = shared_path(spark, "i2-batches")
     ST.run_foreach_batch(spark, ST.latest_stream(D.with_station_names(m)), "i2-batches", ST.upsert_sink(path), mode="update")
     return ST.read_upserted(spark, path, ["location_id", "parameter"])
@@ -96,8 +100,8 @@ def i5_streaming_dedup_batches(spark, sf_dir):
     another value: the first delivery of each key is kept, whole rows compared."""
     base = land_event_folder(spark, sf_dir, 2)
     again = D.events(spark, sf_dir).where(F.col("event_id") % 7 == 0).withColumn("value", F.col("value") + 1000.0)
-    again.coalesce(1).write.mode("append").parquet(f"{base}/events.parquet")
-    m = D.measurements_from_events(event_stream(spark, base, 1)).withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
+    again.repartition(FILES).write.mode("append").parquet(f"{base}/events.parquet")
+    m = D.measurements_from_events(event_stream(spark, base, FILES)).withColumn("event_time", F.col("datetime_utc").cast("timestamp"))
     out = ST.run_to_parquet(spark, ST.dedup_stream(m, "400 days"), "i5-batches")
     return spark.read.parquet(out).drop("event_time")
 

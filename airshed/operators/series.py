@@ -115,6 +115,37 @@ def add_leads(df: DataFrame, series, col: str, leads: dict[str, int],
     return unblock(d)
 
 
+def _with_next(df: DataFrame, series, t: str, block_rows: int) -> DataFrame:
+    """``_next``: the time of the series' next row (by position, so no task holds a whole series)."""
+    d = with_position(df, series, [t])
+    return add_leads(d, series, t, {"_next": 1}, block_rows).drop(POS)
+
+
+def hourly_gaps(df: DataFrame, series, t: str = "datetime", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """The gaps of each hourly series: ``gap_start`` and ``gap_end`` (first and last missing hour) and ``hours``."""
+    series, hour = _cols(series), F.expr("INTERVAL 1 HOUR")
+    d = _with_next(df.select(*series, t), series, t, block_rows)
+    hours = F.floor((F.unix_seconds(F.col("_next").cast("timestamp")) - F.unix_seconds(F.col(t).cast("timestamp"))) / 3600) - 1
+    return (d.withColumn("hours", hours.cast("long")).where(F.col("hours") > 0)
+            .select(*series, (F.col(t) + hour).alias("gap_start"), (F.col("_next") - hour).alias("gap_end"), "hours"))
+
+
+def hourly_spine(df: DataFrame, series, t: str = "datetime", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``df`` with a row for every hour between each series' first and last; ``filled`` marks the new rows, whose other
+    columns are null.
+
+    Each row brings forth the hours up to the next one, so only gaps are made, and nothing is joined.
+    On such a series lags and windows by position are lags and windows by the clock.
+    """
+    series, hour = _cols(series), F.expr("INTERVAL 1 HOUR")
+    rest = [c for c in df.columns if c not in [*series, t]]
+    d = _with_next(df, series, t, block_rows)
+    missing = F.when(F.col("_next") > F.col(t) + hour, F.sequence(F.col(t) + hour, F.col("_next") - hour, hour))
+    own = F.col(t).cast("timestamp_ntz")
+    d = d.select(*series, *rest, F.posexplode(F.concat(F.array(own), F.coalesce(missing, F.array().cast("array<timestamp_ntz>")))).alias("_n", t))
+    return d.select(*[F.when(F.col("_n") == 0, F.col(c)).alias(c) if c in rest else F.col(c) for c in df.columns], (F.col("_n") > 0).alias("filled"))
+
+
 def add_rolling_means(df: DataFrame, series, col: str, windows: dict[str, int],
                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Trailing mean over ``n`` rows including the current one; NULL unless the window is

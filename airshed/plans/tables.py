@@ -12,7 +12,6 @@ more, as later copies of a reading replace earlier ones) brings the mart up to d
 from __future__ import annotations
 
 import datetime as dt
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,20 +21,7 @@ from airshed import schemas as S
 from airshed.operators import dedup
 from airshed.plans import mart
 from airshed.session import materialize
-
-OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Overwrite the partitions that are written and no others; the caller's setting comes back."""
-    before = spark.conf.get(OVERWRITE, None)
-    spark.conf.set(OVERWRITE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE, before) if before is not None else spark.conf.unset(OVERWRITE)
-
+from airshed.sources.sinks import dynamic_overwrite
 
 @dataclass(frozen=True)
 class MartTables:
@@ -93,7 +79,7 @@ class MartTables:
             days = [r["day"] for r in self.spark.table(self.measurements).select("day").distinct().collect()]
         rows = materialize(mart.mart_hourly(self.clean(days)).withColumn("day", F.to_date("hour_utc")))
         now = {r["day"] for r in rows.select("day").distinct().collect()}
-        with _dynamic_overwrite(self.spark):
+        with dynamic_overwrite(self.spark):
             self._insert(self.mart, rows, overwrite=True)
         # a day whose readings are all invalid now has written nothing, so nothing has overwritten its folder
         for day in sorted((set(days) - now) & self.mart_days()):

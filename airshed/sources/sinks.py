@@ -1,12 +1,14 @@
 """Sinks (A5, A6, A8, A11, A14): Parquet writes into shared storage.
 
-Writes never update files in place.  A keyed upsert computes the new table
-version, writes it to a fresh folder and only then points the table at it, so a
-failed or retried job leaves the previous version intact.
+``write_replace`` and ``write_partitioned`` overwrite their folder, so they are for folders that no one reads meanwhile (a fresh
+one for each run).  ``upsert_table`` writes the new version of a table to a fresh folder of its own; ``sources.versioned`` adds the
+pointer to the live version, committed atomically, for tables that are read while they are written.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,18 @@ from airshed import schemas as S
 from airshed.operators.dedup import upsert
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """Within it, an overwrite replaces the partitions that are written and no others; the caller's setting comes back."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def write_replace(df: DataFrame, path: str) -> str:
     """A5: replace the table."""
     df.write.mode("overwrite").parquet(path)
@@ -28,8 +42,12 @@ def write_append(df: DataFrame, path: str) -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, t: str = "datetime") -> str:
-    """Keep the time index as a column and partition by year/month so time filters prune."""
-    (df.withColumn("year", F.year(t)).withColumn("month", F.month(t))
+    """Keep the time index as a column and partition by year/month so time filters prune.
+
+    Rows of a month are brought together before the write, in parts of an even size however uneven the months are: not one
+    file for each task and month.
+    """
+    (df.withColumn("year", F.year(t)).withColumn("month", F.month(t)).hint("rebalance", F.col("year"), F.col("month"))
        .write.mode("overwrite").partitionBy("year", "month").parquet(path))
     return path
 

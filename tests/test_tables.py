@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from airshed import schemas as S
 from airshed.plans import mart
-from airshed.plans.tables import OVERWRITE, MartTables
+from airshed.plans.tables import MartTables
 from airshed.session import shared_path
 
 
@@ -30,7 +30,7 @@ def test_incremental_equals_full_and_rewrites_only_its_days(spark):
     one = readings(spark, [(s, p, 10.0 * s + h, t(d, h), "a") for s in (1, 2) for p in ("pm25", "pm10") for d in (1, 2, 3, 4) for h in (0, 5, 23)])
     two = readings(spark, [(1, "pm25", 99.0, t(2, 5), "b"), (3, "pm25", 5.0, t(6, 1), "b"), (2, "pm25", None, t(2, 7), "b")])
     place, prefix = shared_path(spark, "test-tables").removeprefix("file:"), f"t_{uuid.uuid4().hex[:8]}"
-    spark.conf.unset(OVERWRITE)
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     tables = MartTables(spark, prefix).create(place)
     assert spark.table(tables.mart).count() == 0
     assert tables.deliver(one) == [dt.date(2024, 3, d) for d in (1, 2, 3, 4)]
@@ -38,7 +38,7 @@ def test_incremental_equals_full_and_rewrites_only_its_days(spark):
     assert tables.deliver(two) == [dt.date(2024, 3, 2), dt.date(2024, 3, 6)]
     after = day_files(f"{place}/{tables.mart}")
     assert {d for d in after if after[d] != before.get(d)} == {"day=2024-03-02", "day=2024-03-06"}
-    assert spark.conf.get(OVERWRITE) == "STATIC"                      # the caller's setting is back
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"                      # the caller's setting is back
     full = mart.mart_hourly(tables.clean()).withColumn("day", F.to_date("hour_utc"))
     assert rows_of(spark.table(tables.mart)) == rows_of(full)
     corrected = spark.table(tables.mart).where("location_id = 1 and hour_utc = timestamp_ntz'2024-03-02 05:00:00'").first()
