@@ -269,6 +269,17 @@ def b13_complete_vectors(spark, sf_dir):
             .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("b13_vectors_and_skipped", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + f""",
+rt AS (SELECT *, {X.CALENDAR}, {X.lags_sql("pm2_5")} FROM merged_full)
+SELECT series_id, datetime, {", ".join(XGB_COLS)}, list_filter([{", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in XGB_COLS)}], lambda x: x IS NOT NULL) AS missing FROM rt""")
+def b13_vectors_and_skipped(spark, sf_dir):
+    """B12 + B13: every hour's input vector; those that are skipped come with the inputs they lack."""
+    rt = FE.realtime_features(*feeds(spark, sf_dir))
+    ok, bad = ML.complete_vectors(rt.select("series_id", "datetime", *XGB_COLS))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in XGB_COLS]))
+    return ok.withColumn("missing", F.array().cast("array<string>")).unionByName(bad.withColumn("missing", missing))
+
+
 @register("k8_nowcast_backfill", "WITH " + ",".join([X.AIR, X.WEATHER, X.MERGED_FULL]) + f""",
 rt AS (SELECT *, {X.CALENDAR}, {X.lags_sql("pm2_5")},
               lead(pm2_5, 1) OVER (PARTITION BY series_id ORDER BY datetime) AS nxt FROM merged_full),

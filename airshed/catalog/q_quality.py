@@ -148,17 +148,27 @@ def j10_winter_vs_monsoon(spark, sf_dir):
     return Q.evaluate(mart.mart_hourly(D.measurements(spark, sf_dir)), Q.winter_vs_monsoon_rule("mart_hourly"))
 
 
-@register("j11_contract_report", X.MART_CHAIN + "," + LATEST_SQL + "\n"
+_J11_SQL = (X.MART_CHAIN + "," + LATEST_SQL + "\n"
           + rules_sql("m1", REQUIRED + ENUMS + COMPLETENESS + VALIDITY + PM25_RANGE + MIN_STATIONS + EXPECTED)
           + "\nUNION ALL\n" + rules_sql("stg", J1_STG + J2_STG)
           + "\nUNION ALL\n" + rules_sql("latest", FRESHNESS)
           + "\nUNION ALL\n" + rules_sql("mart", J1_MART + J2_MART + AQI_DOMAIN + COHERENCE))
+
+
+@register("j11_contract_report", _J11_SQL)
 def j11_contract_report(spark, sf_dir):
     """The whole contract in one aggregation per table (measurements, staging, latest, mart)."""
     m = D.measurements(spark, sf_dir)
     return Q.contract_report(m, dedup.latest_snapshot(D.with_station_names(m)), mart.mart_hourly(m), ASOF_CONTRACT)
 
 
+@register("j11_contract_while_writing", _J11_SQL)
+def j11_contract_while_writing(spark, sf_dir):
+    """J11 without scans of its own: the metrics are observed while staging, mart and snapshot are written."""
+    _, report = Q.build_with_report(D.with_station_names(D.measurements(spark, sf_dir)), shared_path(spark, "observed-models"), ASOF_CONTRACT)
+    return report
+
+
 @register("j11_contract_missing_field", X.WITH_M1 + "\n" + rules_sql("m1", [r for r in REQUIRED if "sensor_id" not in r[0]])
           + "\nUNION ALL\nSELECT 'required_present:sensor_id', 'measurements', CAST(1 AS DOUBLE), CAST(0 AS DOUBLE), false")
 def j11_contract_missing_field(spark, sf_dir):

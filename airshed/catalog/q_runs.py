@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airshed import schemas as S
-from airshed.catalog import register
+from airshed.catalog import ORACLE, register
 from airshed.catalog import sql_fixtures as X
 from airshed.catalog.q_quality import ASOF_CONTRACT
 from airshed.catalog.q_ml import NOWCAST_MODEL, XGB_COLS, linear_sql
 from airshed.catalog.q_series import feeds
-from airshed.catalog.q_stats import WEATHER, _corr_sql, feature_table
+from airshed.catalog.q_stats import WEATHER, _corr_sql, feature_table  # its SQL gives the report's panels
 from airshed.operators import dedup
 from airshed.plans import features as FE
 from airshed.plans import runs as R
@@ -114,6 +114,41 @@ def k8_nowcast_cycles(spark, sf_dir):
     return spark.read.parquet(path).drop("inserted_at")
 
 
+@register("k8_nowcast_skipped", "WITH " + ",".join([X.AIR, X.WEATHER] + [_cycle_sql(i, a).replace("AND ".join(f"{c} IS NOT NULL " for c in XGB_COLS), "") for i, a in enumerate(CYCLES)])
+          + ",\ngone AS (" + " UNION ALL ".join(f"SELECT *, {i} AS cycle FROM rt{i} QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY datetime DESC) = 1" for i in range(len(CYCLES)))
+          + f""")
+SELECT cycle, series_id, datetime, array_to_string(list_filter([{", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in XGB_COLS)}], lambda x: x IS NOT NULL), '|') AS missing
+FROM gone WHERE NOT ({" AND ".join(f"{c} IS NOT NULL" for c in XGB_COLS)})""")
+def k8_nowcast_skipped(spark, sf_dir):
+    """K8 + B13: the series that a cycle skips, with the model inputs that its newest hour lacks."""
+    air, weather = feeds(spark, sf_dir)
+    out = None
+    for i, asof in enumerate(CYCLES):
+        _, skipped = R.nowcast_rows(air, weather, NOWCAST_MODEL, asof)
+        missing = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in S.NOWCAST_FEATURES])), "|")
+        rows = skipped.select(F.lit(i).alias("cycle"), "series_id", "datetime", missing.alias("missing"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+#: The panels that ``k11_eda_report`` leaves out, each with the query whose SQL gives it: panel, query, key columns, value column.
+MORE_PANELS = [("histogram", "d16_histogram_60", ["bin"], "count"), ("daily_mean", "d17_daily_mean", ["day"], "mean"), ("acf", "e8_acf_72", ["series_id", "lag"], "acf"),
+               ("pacf", "e9_pacf_yw_72", ["series_id", "lag"], "pacf"), ("corr_matrix", "d15_corr_matrix_top15", ["row", "col"], "corr"),
+               ("preview", "f4_preview_5", ["series_id", "datetime"], "pm2p5")]
+
+
+@register("k11_more_panels", "\nUNION ALL ".join(f"""SELECT '{p}' AS panel, {" || '/' || ".join(f'CAST("{k}" AS VARCHAR)' for k in keys)} AS key, CAST("{v}" AS DOUBLE) AS value
+FROM ({ORACLE[q]}) AS panel_{p}""" for p, q, keys, v in MORE_PANELS))
+def k11_more_panels(spark, sf_dir):
+    """The report's other panels in long form: histogram, daily means, autocorrelations, matrix, NULL ratios (none in
+    the features) and preview."""
+    panels = ST.eda_report(feature_table(spark, sf_dir))
+    out = panels["null_ratios"].select(F.lit("null_ratios").alias("panel"), F.col("column_name").alias("key"), F.col("null_ratio").alias("value"))
+    for name, _, keys, value in MORE_PANELS:
+        out = out.unionByName(panels[name].select(F.lit(name).alias("panel"), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]).alias("key"), F.col(value).cast("double").alias("value")))
+    return out
+
+
 @register("k11_eda_report", X.FEATURES + """,
 stat AS (SELECT count(pm2p5) AS n, avg(pm2p5) AS m, stddev_samp(pm2p5) AS s, min(pm2p5) AS lo, max(pm2p5) AS hi,
                 quantile_cont(pm2p5, [0.25, 0.5, 0.75]) AS q FROM features)

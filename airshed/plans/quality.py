@@ -11,12 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airshed import schemas as S
 from airshed.functions import calendar as cal
 from airshed.operators import joins as J
+from airshed.operators.dedup import latest_snapshot
 from airshed.plans import mart
 from airshed.session import materialize
 
@@ -43,7 +44,11 @@ def _at_least(obs: Column, thr: Column) -> Column:
 
 def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Evaluate all ``rules`` over ``df`` in one aggregation; one output row per rule."""
-    row = df.agg(*[r.metric.cast("double").alias(f"_m{i}") for i, r in enumerate(rules)])
+    return results(df.agg(*[r.metric.cast("double").alias(f"_m{i}") for i, r in enumerate(rules)]), rules)
+
+
+def results(row: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One output row per rule from a row with the metrics ``_m0``, ``_m1``, ..."""
     structs = []
     for i, r in enumerate(rules):
         obs, thr = F.col(f"_m{i}"), F.lit(float(r.threshold))
@@ -55,6 +60,19 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
+def observed(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` with the rules' metrics computed on its rows as they pass by (no scan of their own), once it is written."""
+    seen = Observation()
+    return df.observe(seen, *[r.metric.cast("double").alias(f"_m{i}") for i, r in enumerate(rules)]), seen
+
+
+def observed_results(spark: SparkSession, seen: Observation, rules: list[Rule]) -> DataFrame:
+    """The rules' rows from an observation whose write has ended."""
+    got = seen.get
+    schema = ", ".join(f"_m{i} double" for i in range(len(rules)))
+    return results(spark.createDataFrame([tuple(got[f"_m{i}"] for i in range(len(rules)))], schema), rules)
+
+
 # ---- rule builders ---------------------------------------------------------
 
 def not_null_rules(scope: str, cols) -> list[Rule]:
@@ -197,6 +215,37 @@ def contract_report(measurements: DataFrame, latest: DataFrame, mart_df: DataFra
             .unionByName(evaluate(mart_df, mart_rules)))
 
 
+def build_with_report(measurements: DataFrame, out_dir: str, asof: str) -> tuple[dict[str, str], DataFrame]:
+    """J11 while building: staging, mart and latest snapshot are written below ``out_dir``, and the contract's metrics are taken
+    from the rows as they are written.  Returns the tables' paths and the report.
+
+    The measurements are scanned twice: once for staging (raw and staging rules ride on its write), once, one column only, for
+    the number of stations, as a distinct count cannot ride.  Mart and snapshot are made from the written staging table.
+    """
+    spark, out = measurements.sparkSession, out_dir.rstrip("/")
+    paths = {name: f"{out}/{name}" for name in ("stg_measurements", "mart_hourly", "latest")}
+    raw_rules = schema_rules(measurements)
+    m = with_missing(measurements, S.CONTRACT_REQUIRED_FIELDS)
+    raw_rules += completeness_rules("measurements") + expression_rules("measurements") + pm25_range_rule("measurements") + expected_parameters_rule("measurements")
+    stations = min_stations_rule("measurements")
+    stg_rules, mart_rules = column_test_rules()
+    mart_rules += accepted_values_rules("mart_hourly", "aqi_category", S.AQI_CATEGORIES) + winter_vs_monsoon_rule("mart_hourly")
+
+    raw, raw_seen = observed(with_missing(m, S.MEASUREMENTS.names), raw_rules)
+    stg, stg_seen = observed(mart.staging(raw), stg_rules)
+    stg.write.parquet(paths["stg_measurements"])
+    stg = spark.read.parquet(paths["stg_measurements"])
+    made, mart_seen = observed(mart.with_aqi(mart.pivot_hourly(mart.intermediate(stg))), mart_rules)
+    made.write.parquet(paths["mart_hourly"])
+    fresh = freshness_rule("latest", asof)
+    snapshot, latest_seen = observed(latest_snapshot(stg), fresh)
+    snapshot.write.parquet(paths["latest"])
+    report = observed_results(spark, raw_seen, raw_rules).unionByName(evaluate(m, stations))
+    for seen, rules in ((stg_seen, stg_rules), (latest_seen, fresh), (mart_seen, mart_rules)):
+        report = report.unionByName(observed_results(spark, seen, rules))
+    return paths, report
+
+
 # ---- C3: completeness over the station x parameter x day spine ---------------------------
 
 def daily_completeness(measurements: DataFrame, parameters=None, t: str = "datetime_utc") -> DataFrame:

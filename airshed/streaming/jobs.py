@@ -59,7 +59,7 @@ def latest_stream(m: DataFrame) -> DataFrame:
     v = m.where(F.col("value").isNotNull())
     payload = [c for c in ("location_name", "value", "unit", "datetime_utc", "latitude", "longitude", "ingested_at") if c in m.columns]
     g = v.groupBy("location_id", "parameter").agg(
-        F.max_by(F.struct(*payload), F.struct("datetime_utc", "value")).alias("r"))
+        F.max_by(F.struct(*payload), F.struct("datetime_utc", "value", "ingested_at", "sensor_id")).alias("r"))
     return g.select("location_id", "parameter", *[F.col(f"r.{c}").alias(c) for c in payload])
 
 

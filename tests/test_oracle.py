@@ -34,7 +34,7 @@ SF001 = SF0001.replace("0.001", "0.01")
 NEEDS_FEATURES = {"a8_partitioned_features", "d15_corr_matrix_top15", "d11_describe_pm25", "d14_corr_with_target", "d16_histogram_60",
                   "e2_payloads_to_feature_table", "e3_interpolate_limit3", "e7_lstm_sequences_24", "e8_acf_72", "e9_pacf_yw_72",
                   "e11_chrono_split", "e12_batch_features", "k1_minmax_scale_lstm", "k3_prophet_frame", "k4_gbt_train_predict",
-                  "k5_seasonal_regression", "k8_nowcast_backfill", "k8_nowcast_cycles", "k11_eda_report"}
+                  "k5_seasonal_regression", "k8_nowcast_backfill", "k8_nowcast_cycles", "k11_eda_report", "k11_more_panels"}
 
 
 @pytest.fixture(scope="module")
