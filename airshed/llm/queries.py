@@ -56,7 +56,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(pieces, 2048)
 
 
-@register("op5_prefix_shards")
+#: CRC-32 of a text in DuckDB, which has no such function: byte by byte through the table of the 256 bytes' remainders (``tab``).
+OP5_SQL = """
+WITH tb AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda x, z: xor(x >> 1, 3988292384 * (x & 1))) AS c FROM (SELECT unnest(range(256)) AS i))),
+     d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+                  xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+                      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS text_crc32 FROM documents, tb),
+     e AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM d),
+     s AS (SELECT *, CAST(least(7, ((2 * upto - size) * 8) // (2 * total)) AS INTEGER) AS shard FROM e)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM s"""
+
+
+@register("op5_prefix_shards", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 contiguous shards of nearly equal bytes."""
     from airshed.llm import prefix_shards as ps
