@@ -37,16 +37,6 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", deriv
     return fact.join(dim, on, how)
 
 
-def align_inner(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner equi join on the time key (and series key)."""
-    return left.join(right, keys, "inner")
-
-
-def align_full(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Full outer align; ``USING`` semantics coalesce the keys."""
-    return left.join(right, keys, "full_outer")
-
-
 def expected_minus_present(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """C5 / G: expected values that never occur (anti join; NULLs never match)."""
     return expected.join(present.select(key).distinct(), key, "left_anti")

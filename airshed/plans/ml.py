@@ -106,8 +106,6 @@ def lstm_sequences(features: DataFrame, cols: list[str], target: str = "pm2p5",
 # ---- K3: feature matrices ----------------------------------------------------------
 
 XGB_DROP = ["pm2p5", "pm2p5_rolling_3h", "pm2p5_rolling_24h", "datetime", "index", "series_id"]
-LSTM_DROP = ["pm2p5_rolling_3h", "pm2p5_rolling_24h", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h",
-             "datetime", "index", "series_id"]
 
 
 def xgb_matrix(features: DataFrame, target: str = "pm2p5") -> tuple[DataFrame, list[str]]:
@@ -118,11 +116,6 @@ def xgb_matrix(features: DataFrame, target: str = "pm2p5") -> tuple[DataFrame, l
                            *cols, F.col(target).alias("label")), cols
 
 
-def lstm_columns(features: DataFrame) -> list[str]:
-    """K3: LSTM input columns (lags, rolling means and time dropped)."""
-    return drop_if_present(features, LSTM_DROP).columns
-
-
 PROPHET_DROP = ["pm2p5_rolling_3h", "pm2p5_rolling_24h", "pm2p5_lag_1h", "pm2p5_lag_2h", "pm2p5_lag_24h", "index"]
 
 

@@ -110,11 +110,6 @@ def order_statistics(df: DataFrame, col: str, ks: list[int], buckets: int = 1024
     raise RuntimeError(f"order statistics not settled after {max_passes} passes: {todo}")
 
 
-def order_statistic(df: DataFrame, col: str, k: int, **kw) -> float | None:
-    """Exact k-th smallest (0-based) non-NULL value (see ``order_statistics``)."""
-    return order_statistics(df, col, [k], **kw)[k]
-
-
 def quantiles_linear(df: DataFrame, col: str, probs, n: int) -> dict[float, float | None]:
     """Exact quantiles with linear interpolation between order statistics (pandas/numpy default)."""
     hs = {p: (n - 1) * p for p in probs}

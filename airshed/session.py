@@ -74,9 +74,8 @@ def get_spark(master: str | None = None, app_name: str = "airshed",
 def ship_by_value() -> None:
     """Pickle the library's functions by value when they run inside tasks.
 
-    The two Python steps that run on executors (the per-series partial autocorrelation in
-    ``applyInPandas`` and the streaming lag state) are module-level functions of this
-    package; by default they would be pickled by reference, and an executor whose Python
+    What runs on executors in Python (the recursion of the partial autocorrelation, streaming state, sums of products, the
+    operators of ``airshed.llm``) are functions and classes of this package; by default they would be pickled by reference, and an executor whose Python
     cannot import the package (nothing installed, another working folder) would fail.
     """
     import airshed
@@ -138,10 +137,5 @@ def materialize(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code paths that must touch the local FS (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
