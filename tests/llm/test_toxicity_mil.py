@@ -82,3 +82,43 @@ def test_odd_rows(spark, odd, empty):
     assert tm.train(empty, labels).weights == {} and tm.train(odd, labels.limit(0)).weights == {}
     with pytest.raises(ValueError):
         tm.score(odd.withColumn("Score", F.lit(1)), model)
+
+
+def plain_loss(rows, model, weights, bias, leak, ridge=2e-4):
+    """Mean negative log-likelihood of the labels and the ridge, sentence by sentence."""
+    total = 0.0
+    for _, text, y in rows:
+        log_not = np.log1p(-leak)
+        for s in tm.sentences(text):
+            found = {tm.feature_hash(f) for w in set(s.split()) for f in tm.word_features(w)}
+            log_not -= np.logaddexp(0, bias + sum(weights[h] for h in found if h in weights))
+        total -= np.log(max(-np.expm1(log_not), 1e-12)) if y else log_not
+    return total / len(rows) + ridge / 2 * sum(w * w for w in weights.values())
+
+
+def test_features_and_fit_against_brute_force(spark):
+    """The features chosen are those of a plain count, and no small change of the weights fits the labels better."""
+    rows, _ = corpus(240, 9)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    model = tm.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    seen = {0: {}, 1: {}}
+    for _, text, y in rows:
+        for h in {tm.feature_hash(f) for w in text.split() for f in tm.word_features(w)}:
+            seen[y][h] = seen[y].get(h, 0) + 1
+    d1 = sum(y for *_, y in rows)
+    d0 = len(rows) - d1
+    chosen = set()
+    for h in seen[0].keys() | seen[1].keys():
+        n1, n0 = seen[1].get(h, 0), seen[0].get(h, 0)
+        p = (n1 + n0) / (d1 + d0)
+        if n1 + n0 >= tm.MIN_DOCS and abs((n1 / d1 - n0 / d0) / np.sqrt(p * (1 - p) * (1 / d1 + 1 / d0) + 1e-12)) >= tm.MIN_Z:
+            chosen.add(h)
+    assert set(model.weights) == chosen and chosen
+    best = plain_loss(rows, model, model.weights, model.bias, model.leak)
+    rng = np.random.default_rng(3)
+    for _ in range(25):
+        moved = {h: w + 0.3 * rng.normal() for h, w in model.weights.items()}
+        assert plain_loss(rows, model, moved, min(model.bias + 0.3 * rng.normal(), -1.0), model.leak) > best - 1e-3
+    assert best < 0.6 * plain_loss(rows, model, dict.fromkeys(model.weights, 0.5), -5.0, 0.018)
+    again = tm.train(df.select("doc_id", "text").repartition(2), df.select("doc_id", "toxic"))
+    assert again.weights == model.weights and again.bias == model.bias            # however the rows are spread
