@@ -5,13 +5,13 @@ character cannot merge across the start of a marked word.  So a text falls into
 run of markers and the characters up to the next marker, that are segmented independently of
 each other.
 
-1. Chunks are counted, partially in each task, and every distinct chunk is segmented once into a written table
-   (chunk, count, ids).
-2. The table's most frequent ``HEAD_CHUNKS`` short chunks, a bounded number, are sent to the workers.
-3. Texts are put together in groups of about ``GROUP_BYTES``, written compressed and bucketed by group, with the list of the
-   group's chunks that the head lacks.
-4. These meet the table in an equi-join on the chunk, and their ids go back to their group in another; the groups are bucketed, so
-   no text is shuffled.
+1. Each task counts its chunks and hands on a packed, compressed list for each of as many buckets (of the chunk's hash) as there are
+   shuffle partitions.  A bucket's lists are added up, and every distinct chunk is segmented once: the written chunk table.
+2. The table's most frequent short chunks, ``HEAD_CHUNKS`` at most, are sent to the workers.
+3. Texts are put together in groups of about ``GROUP_BYTES``, written compressed and bucketed by group, with the lists (by bucket)
+   of the group's chunks that the head lacks.
+4. These meet the table in a join on the bucket, which gives their ids, and the ids go back to their group in another; the groups
+   are bucketed, so no text is shuffled.
 5. In its group each text's ids are the entries of head and tail joined in order of position.
 
 The fast path is only taken when the loaded model proves it right (``crosses_markers`` looks at
@@ -21,8 +21,10 @@ all pieces and the normaliser); other models are applied to whole texts.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import uuid
+import zlib
 from array import array
 from collections import Counter
 from itertools import islice
@@ -39,8 +41,8 @@ from airshed.session import shared_path
 MARK = "▁"
 #: Chunks that a ``ChunkEncoder`` used on its own keeps before its table starts anew (a memory bound, not a cut).
 TABLE_CHUNKS = 400_000
-#: Chunks sent to the workers (some 200 MB in each), of at most this many characters; all others are joined.
-HEAD_CHUNKS, HEAD_CHARS = 1_000_000, 64
+#: Chunks sent to the workers at most (some 100 MB in each), of at most this many characters; all others are joined.
+HEAD_CHUNKS, HEAD_CHARS = 500_000, 64
 #: Bytes of text put together in a group, unless one text is longer; distinct chunks counted in a task before they are handed on.
 GROUP_BYTES = 32 << 20
 COUNTED = 1_000_000
@@ -156,32 +158,27 @@ def encode_decode(df: DataFrame, model: str, text_col: str = "text", ids_col: st
                 yield results(b, enc.encode(b.column(b.schema.get_field_index(work)).to_pylist()), enc)
         return src.mapInArrow(whole, schema)
 
-    table = chunk_table(src.select(F.col(f"`{work}`").alias("text")), model)
-    head, name = head_of(table, head_chunks), uuid.uuid4().hex
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = chunk_table(src.select(F.col(f"`{work}`").alias("text")), model, buckets)
+    head, name = spark.sparkContext.broadcast(head_of(table, head_chunks)), uuid.uuid4().hex
 
     def known() -> dict[str, bytes]:
         """The head as a dict, built once in a worker; that of another call makes room."""
         kept = worker_cache("sp_heads")
         if name not in kept:
             kept.clear()
-            got = pa.ipc.open_stream(head).read_all()
-            kept[name] = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+            kept[name] = dict(zip(*unpacked(head.value)))
         return kept[name]
 
     def groups(batches):
-        import zstandard
         enc, have, part = encoder(model), known(), TaskContext.get().partitionId() << 32
         held, size, tail = [], 0, set()
 
         def close():
             nonlocal held, size, tail, part
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema) as w:
-                for x in held:
-                    w.write_batch(x)
-            packed = zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed], pa.binary()), pa.array([sorted(tail)], pa.list_(pa.string()))],
-                                             names=["grp", "packed", "tail"])
+            wanted = [{"bucket": k, "packed": packed(cs)} for k, cs in by_bucket(tail, buckets).items()]
+            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed_batches(held)], pa.binary()), pa.array([wanted], WANTED)],
+                                             names=["grp", "packed", "wanted"])
             part, held, size, tail = part + 1, [], 0, set()
             return out
 
@@ -195,63 +192,136 @@ def encode_decode(df: DataFrame, model: str, text_col: str = "text", ids_col: st
         if held:
             yield close()
 
+    def looked_up(asked: pa.Table, chunks: pa.Table) -> pa.Table:
+        """The ids of the chunks that groups ask for in one bucket, in the order of their lists."""
+        ids = {c: x for part in chunks.column("packed").to_pylist() for c, _, x in zip(*unpacked(part))}
+        found = [packed([ids[c] for c in unpacked(x)[0]]) for x in asked.column("packed").to_pylist()]
+        return pa.table({"grp": asked.column("grp"), "bucket": asked.column("bucket"), "found": pa.array(found, pa.binary())})
+
     def joined(batches):
-        import zstandard
         enc, have = encoder(model), known()
         for b in batches:
-            for packed, tail in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = {x["chunk"]: x["ids"] for x in tail or []}
+            for rows_of, wanted, found in zip(*(c.to_pylist() for c in b.columns)):
+                own, ids_by = {}, {x["bucket"]: x["found"] for x in found or []}
+                for w in wanted:
+                    own.update(zip(unpacked(w["packed"])[0], unpacked(ids_by[w["bucket"]])[0]))
 
                 def ids_of(c):
-                    found = have.get(c)
-                    return own[c] if found is None else found
+                    ids = have.get(c)
+                    return own[c] if ids is None else ids
 
-                for rows in pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)):
+                for rows in batches_of(rows_of):
                     texts = rows.column(rows.schema.get_field_index(work)).to_pylist()
                     yield results(rows, [enc.bos + b"".join(map(ids_of, cs)) + enc.eos for cs in enc.split(texts)], enc)
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored = f"sp_groups_{name}"
-    (src.mapInArrow(groups, "grp long, packed binary, tail array<string>")
+    (src.mapInArrow(groups, "grp long, packed binary, wanted array<struct<bucket: int, packed: binary>>")
      .write.bucketBy(buckets, "grp").option("path", shared_path(spark, "sp-groups")).saveAsTable(stored))
-    tails = (spark.table(stored).select("grp", F.explode("tail").alias("chunk")).join(table.select("chunk", "ids"), "chunk")
-             .groupBy("grp").agg(F.collect_list(F.struct("chunk", "ids")).alias("found")))  # the distinct chunks of one group
-    return spark.table(stored).join(tails, "grp", "left").select("packed", "found").mapInArrow(joined, schema)
+    asked = spark.table(stored).select("grp", F.inline("wanted"))
+    found = (asked.groupBy("bucket").cogroup(table.select("bucket", "packed").groupBy("bucket")).applyInArrow(looked_up, "grp long, bucket int, found binary")
+             .groupBy("grp").agg(F.collect_list(F.struct("bucket", "found")).alias("found")))  # a row for each bucket at most
+    return spark.table(stored).join(found, "grp", "left").select("packed", "wanted", "found").mapInArrow(joined, schema)
+
+
+WANTED = pa.list_(pa.struct([("bucket", pa.int32()), ("packed", pa.binary())]))
+#: Steps of an octave in which counts are told apart when the head is chosen.
+STEPS = 8
+
+
+def packed_batches(batches: list) -> bytes:
+    """Arrow batches of one schema, compressed."""
+    import zstandard
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema) as w:
+        for x in batches:
+            w.write_batch(x)
+    return zstandard.ZstdCompressor(6).compress(sink.getvalue().to_pybytes())
+
+
+def batches_of(data: bytes):
+    import zstandard
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data))
+
 
+def packed(*columns: list) -> bytes:
+    """Lists of equal length as one compressed Arrow batch."""
+    return packed_batches([pa.RecordBatch.from_arrays([pa.array(c) if c else pa.array(c, pa.binary()) for c in columns], names=[str(i) for i in range(len(columns))])])
 
-def chunk_table(texts: DataFrame, model: str) -> DataFrame:
-    """``chunk``, ``n`` (occurrences), ``ids`` of every distinct chunk of the column ``text``, each segmented once; written."""
+
+def unpacked(data: bytes) -> list[list]:
+    return [c.to_pylist() for c in batches_of(data).read_all().columns]
+
+
+def by_bucket(chunks, buckets: int) -> dict[int, list[str]]:
+    """Chunks in order, by the bucket of their hash."""
+    out: dict[int, list[str]] = {}
+    for c in sorted(chunks):
+        out.setdefault(zlib.crc32(c.encode()) % buckets, []).append(c)
+    return out
+
+
+def chunk_table(texts: DataFrame, model: str, buckets: int) -> DataFrame:
+    """Every distinct chunk of the column ``text``, segmented once: a row for each ``bucket`` with its chunks, their numbers of
+    occurrences and ids (``packed``), and how many short chunks occur how often (``often``); written."""
     def count(batches):
         enc, seen = encoder(model), Counter()
 
         def out():
-            for at in range(0, len(seen), 1 << 16):
-                part = dict(islice(items, 1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.string()), pa.array(list(part.values()), pa.int64())], names=["chunk", "n"])
+            rest = iter(by_bucket(seen, buckets).items())
+            while part := dict(islice(rest, 256)):
+                yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int32()), pa.array([packed(cs, [seen[c] for c in cs]) for cs in part.values()], pa.binary())],
+                                                 names=["bucket", "packed"])
 
         for b in batches:
             for cs in enc.split(b.column(0).to_pylist()):
                 seen.update(cs)
             if len(seen) > COUNTED:
-                items = iter(seen.items())
                 yield from out()
                 seen = Counter()
-        items = iter(seen.items())
         yield from out()
 
-    def segment(batches):
-        enc = encoder(model)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(enc.segmented(b.column(0).to_pylist()), pa.binary())], names=["chunk", "n", "ids"])
+    def segment(rows: pa.Table) -> pa.Table:
+        enc, seen = encoder(model), Counter()
+        for part in rows.column("packed").to_pylist():
+            for c, n in zip(*unpacked(part)):
+                seen[c] += n
+        chunks = sorted(seen)
+        ids = []
+        for at in range(0, len(chunks), 1 << 14):
+            ids += enc.segmented(chunks[at:at + (1 << 14)])
+        often = [0] * (64 * STEPS)
+        for c, n in seen.items():
+            if len(c) <= HEAD_CHARS:
+                often[level_of(n)] += 1
+        return pa.table({"bucket": rows.column("bucket").slice(0, 1), "often": pa.array([often], pa.list_(pa.int64())),
+                         "packed": pa.array([packed(chunks, [seen[c] for c in chunks], ids)], pa.binary())})
+
+    counted = texts.mapInArrow(count, "bucket int, packed binary")
+    return written(counted.groupBy("bucket").applyInArrow(segment, "bucket int, often array<long>, packed binary"), "sp-chunks")
+
 
-    counted = texts.mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    return written(counted.mapInArrow(segment, "chunk string, n long, ids binary"), "sp-chunks")
+def level_of(n: int) -> int:
+    return int(STEPS * math.log2(n))
 
 
 def head_of(table: DataFrame, most: int) -> bytes:
-    """The ``most`` most frequent chunks of at most ``HEAD_CHARS`` characters and their ids, as an Arrow stream."""
-    head = table.where(F.char_length("chunk") <= HEAD_CHARS).orderBy(F.desc("n"), "chunk").limit(most).select("chunk", "ids").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, head.schema) as w:
-        w.write_table(head)
-    return sink.getvalue().to_pybytes()
+    """The most frequent chunks of at most ``HEAD_CHARS`` characters and their ids, packed: all that occur more often than
+    a number chosen so that they are ``most`` at most."""
+    often = {r["pos"]: r["k"] for r in table.select(F.posexplode("often").alias("pos", "k")).groupBy("pos").agg(F.sum("k").alias("k")).collect()}
+    least, total = 64 * STEPS, 0
+    while least > 0 and total + often.get(least - 1, 0) <= most:
+        least -= 1
+        total += often.get(least, 0)
+
+    def chosen(batches):
+        for b in batches:
+            for part in b.column(0).to_pylist():
+                rows = [(c, x) for c, n, x in zip(*unpacked(part)) if len(c) <= HEAD_CHARS and level_of(n) >= least]
+                yield pa.RecordBatch.from_arrays([pa.array([packed([c for c, _ in rows], [x for _, x in rows])] if rows else [], pa.binary())], names=["packed"])
+
+    chunks, ids = [], []
+    for r in table.select("packed").mapInArrow(chosen, "packed binary").collect():  # bounded by ``most``
+        c, x = unpacked(r["packed"])
+        chunks += c
+        ids += x
+    return packed(chunks, ids)

@@ -73,10 +73,24 @@ def test_head_and_joined_tail_give_the_same(spark, sp, documents):
     for head, size in ((0, 1 << 25), (50, 20_000), (10 ** 6, 1)):
         got = sp_chunks.encode_decode(df, MODEL, head_chunks=head, group_bytes=size).collect()
         assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in got) == want
-    table = sp_chunks.chunk_table(df.select("text"), MODEL).collect()
+    table = sp_chunks.chunk_table(df.select("text"), MODEL, 7).collect()
     enc = sp_chunks.ChunkEncoder(MODEL)
     words = [c for cs in enc.split([t for _, t in rows]) for c in cs]
-    assert {r["chunk"]: r["n"] for r in table} == {c: words.count(c) for c in set(words)} and len(table) == len(set(words))
+    entries = [e for r in table for e in zip(*sp_chunks.unpacked(r["packed"]))]
+    assert {c: n for c, n, _ in entries} == {c: words.count(c) for c in set(words)} and len(entries) == len(set(words))
+    assert [list(memoryview(x).cast("I")) for c, _, x in entries if c == "of"] in ([], [sp.encode("of")])
+
+
+def test_the_head_is_the_most_frequent_and_bounded(spark, documents):
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    table = sp_chunks.chunk_table(df.select("text"), MODEL, 5)
+    n = {c: k for r in table.collect() for c, k, _ in zip(*sp_chunks.unpacked(r["packed"]))}
+    for most in (0, 1, 100, 3000, 10 ** 6):
+        head = sp_chunks.unpacked(sp_chunks.head_of(table, most))[0]
+        assert len(head) <= most and len(set(head)) == len(head)
+        if head and len(head) < len(n):
+            assert min(n[c] for c in head) > max(n[c] for c in n if c not in set(head) and len(c) <= sp_chunks.HEAD_CHARS)
+    assert len(head) == sum(len(c) <= sp_chunks.HEAD_CHARS for c in n)
 
 
 def test_no_text_is_shuffled(spark, documents):
