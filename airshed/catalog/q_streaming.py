@@ -107,7 +107,10 @@ def i5_streaming_dedup_batches(spark, sf_dir):
 
 
 def _land_predictions(spark, sf_dir) -> str:
-    """Land the old and the corrected predictions as day-partitioned files (two deliveries)."""
+    """Land the old and the corrected predictions as day-partitioned files (two deliveries).
+
+    A delivery's rows are gathered by day first: otherwise each task leaves a file in each day it has rows of, and the
+    stream's micro-batches grow with tasks times days instead of with the data."""
     p = predictions(spark, sf_dir)
     old = p.where(F.col("datetime") < F.lit(UPSERT_OLD_BEFORE).cast("timestamp_ntz")).withColumn("version", F.lit(0))
     new = (p.where(F.col("datetime") >= F.lit(UPSERT_NEW_FROM).cast("timestamp_ntz"))
@@ -115,7 +118,7 @@ def _land_predictions(spark, sf_dir) -> str:
            .withColumn("depasse_oms", F.col("pm25_xgboost") > 15.0).withColumn("version", F.lit(1)))
     path = shared_path(spark, "i3-landing")
     for batch in (old, new):
-        (batch.withColumn("day", F.date_format("datetime", "yyyy-MM-dd"))
+        (batch.withColumn("day", F.date_format("datetime", "yyyy-MM-dd")).hint("rebalance", F.col("day"))
          .write.mode("append").partitionBy("day").parquet(path))
     return path
 

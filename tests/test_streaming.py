@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from airshed.streaming import jobs as ST
 
@@ -93,6 +94,22 @@ def test_upsert_sink_is_idempotent_on_replay(spark, tmp_path):
     assert got == {0: 1.0, 1: 5.0}
 
 
+def test_landed_predictions_have_files_by_day_not_by_task(spark, tmp_path, monkeypatch):
+    from airshed.catalog import q_streaming as Q
+    t0 = dt.datetime(2024, 1, 10)
+    rows = [(s, t0 + dt.timedelta(hours=6 * h), 10.0, float(s), 1.0, False) for s in range(40) for h in range(60)]  # 10 to 24 January
+    df = spark.createDataFrame(rows, "series_id long, datetime timestamp_ntz, pm25_observe double, pm25_xgboost double, "
+                                     "pm25_cams double, depasse_oms boolean").repartition(12)
+    monkeypatch.setattr(Q, "predictions", lambda *_: df)
+    landing = Q._land_predictions(spark, "")
+    files = spark.read.parquet(landing).select(F.input_file_name().alias("f"), "version").distinct()
+    assert {r["version"]: r["n"] for r in files.groupBy("version").agg(F.count("*").alias("n")).collect()} == {0: 11, 1: 10}
+    got = Q.i3_streaming_upsert_sink(spark, "").collect()
+    exp = {(s, t): (11.0, s > 14) if t >= dt.datetime(2024, 1, 15) else (10.0, False) for s, t, *_ in rows}
+    assert len(got) == len(exp)
+    assert {(r["series_id"], r["datetime"]): (r["pm25_observe"], r["depasse_oms"]) for r in got} == exp
+
+
 def test_latest_stream_keeps_newest_across_batches(spark, tmp_path):
     from airshed import schemas as S
     ST.configure_streaming(spark)
