@@ -48,18 +48,18 @@ def time_spine(start: Column, end: Column, step: str) -> Column:
 
 
 def spine_product(dim: DataFrame, start: Column, end: Column, step: str, out: str = "slot",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Every dimension row times every time slot ``start .. end`` (both ends included).
 
     No join: each dimension row generates its own slots (``explode(sequence(...))``, a
     Generate inside the stage), so nothing pairs rows and no side is broadcast.  The
-    dimension is hash-spread over ``partitions`` tasks first: it is usually the small output
+    dimension is hash-spread over ``partitions`` tasks first (by all its columns, or by those named): it is usually the small output
     of a distinct/aggregate that AQE coalesces into very few partitions, and the generated
     product is what is large.  ``start``/``end`` may be scalar subqueries or columns of ``dim``.
     """
     spark = dim.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = dim.repartition(n, *[F.col(c) for c in dim.columns])
+    spread = dim.repartition(n, *[F.col(c) for c in by or dim.columns])
     return spread.select("*", time_spine(start, end, step).alias(out))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airshed import schemas as S
@@ -253,9 +253,10 @@ def daily_completeness(measurements: DataFrame, parameters=None, t: str = "datet
     expected parameters and every day between the table's first and last day.
 
     Slots without a reading are kept with zero counts (the reference's stations x parameters x
-    time grid).  The spine is generated per station row, never by a cross join; the readings
-    are pre-aggregated to one row per slot before the equi join, so a station holding a third
-    of all rows contributes at most one row per (parameter, day) to the shuffle.
+    time grid).  No join: each slot with readings brings forth the empty days up to the next one of its
+    station and parameter, and a start row per station and parameter those before the first.  So only the
+    readings, pre-aggregated to one row per slot, are shuffled and sorted, never the spine; a station holding
+    a third of all rows contributes at most one row per (parameter, day) to the shuffle.
     """
     parameters = parameters or S.POLLUTANTS
     day = cal.floor_day(t)
@@ -267,9 +268,17 @@ def daily_completeness(measurements: DataFrame, parameters=None, t: str = "datet
     last = daily.select(F.max("day")).scalar()
     dim = (daily.select("location_id").distinct()
            .select("location_id", F.explode(F.array(*[F.lit(p) for p in parameters])).alias("parameter")))
-    spine = J.spine_product(dim, first, last, "1 DAY", out="day")
-    out = spine.join(daily, ["location_id", "parameter", "day"], "left")
-    return out.select("location_id", "parameter", F.col("day").cast("timestamp_ntz").alias("day"),
-                      F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
-                      F.coalesce("n_values", F.lit(0)).cast("long").alias("n_values"),
-                      F.round("mean", 9).alias("mean"))
+    # a start row stands a day before the first and is no slot itself
+    one = F.expr("INTERVAL 1 DAY")
+    known = daily.where(F.col("location_id").isNotNull() & F.col("day").isNotNull() & F.col("parameter").isin(list(parameters)))
+    rows = known.withColumn("from", F.col("day")).unionByName(
+        dim.withColumns({"day": first - one, "from": first}), allowMissingColumns=True)
+    series = Window.partitionBy("location_id", "parameter").orderBy("day")
+    rows = (rows.withColumn("to", F.coalesce(F.lead("day").over(series) - one, last))
+            .where(F.col("from") <= F.col("to")))
+    spine = J.spine_product(rows, F.col("from"), F.col("to"), "1 DAY", out="slot", by=["location_id", "parameter", "from"])
+    read = F.col("slot") == F.col("day")
+    return spine.select("location_id", "parameter", F.col("slot").cast("timestamp_ntz").alias("day"),
+                        F.when(read, F.col("n_rows")).otherwise(F.lit(0)).cast("long").alias("n_rows"),
+                        F.when(read, F.col("n_values")).otherwise(F.lit(0)).cast("long").alias("n_values"),
+                        F.when(read, F.round("mean", 9)).alias("mean"))

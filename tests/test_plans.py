@@ -42,6 +42,32 @@ def test_spine_and_completeness_have_no_pair_joins(spark, tmp_path):
     assert "Generate explode(sequence" in plan
 
 
+def test_completeness_spine_is_not_shuffled(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1, 3)
+    rows = [(s, "pm25", 1.0 + s, t0 + dt.timedelta(days=d)) for s in range(20) for d in (0, 5 * s, 99)]
+    rows += [(None, "pm25", 1.0, t0), (7, None, 1.0, t0), (8, "other", 1.0, t0), (50, "co", 1.0, None), (51, "no2", None, t0 + dt.timedelta(days=50))]
+    path = str(tmp_path / "slots")
+    spark.createDataFrame(rows, "location_id long, parameter string, value double, datetime_utc timestamp_ntz").write.parquet(path)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a slot table that is too large to broadcast
+    try:
+        out = Q.daily_completeness(spark.read.parquet(path), ["pm25", "no2", "co"])
+        plan, got = _plan(out), out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Join" not in plan
+    top = plan.index("Generate explode(sequence")
+    assert "Exchange" not in plan[:top] and "Sort" not in plan[:top]  # nothing moves the days brought forth
+    exp = {(s, p, t0.replace(hour=0) + dt.timedelta(days=d)): (0, 0, None)
+           for s in [None, *range(20), 50, 51] for p in ("pm25", "no2", "co") for d in range(100)}
+    for s, p, v, t in rows[:60]:
+        k = (s, p, t.replace(hour=0))
+        exp[k] = (exp[k][0] + 1, exp[k][1] + 1, v)
+    exp[(51, "no2", dt.datetime(2024, 2, 20))] = (1, 0, None)
+    assert len(got) == len(exp)
+    assert {(r["location_id"], r["parameter"], r["day"]): (r["n_rows"], r["n_values"], r["mean"]) for r in got} == exp
+
+
 def test_time_lags_are_an_equi_join_without_windows(spark, tmp_path):
     m = _measurements(spark, tmp_path).select(F.col("location_id").alias("s"), "datetime_utc", "value")
     plan = _plan(ser.add_time_lags(m, ["s"], "datetime_utc", "value", {"l1": 1, "l24": 24}))
