@@ -31,6 +31,8 @@ MIX = 10
 LEAST = 16
 CONFIDENT = 7
 STATES = 2 * (CONFIDENT + 1) ** 2
+#: Steps whose ids are gathered from the lanes, or put into them, at once.
+AT_ONCE = 32
 #: Counts of a pair of confidences are halved beyond this sum.
 MEMORY = 1 << 14
 HALF = np.uint64(32)
@@ -40,7 +42,7 @@ HASH1, HASH2 = 0x1B873593CC9E2D51, 0x27D4EB2F165667C5
 
 
 #: Change of an entry's confidence when its id was right (index 8 and up) or wrong; a wrong one with none left is replaced.
-STEP = np.array([(c >> 1) - c for c in range(8)] + [int(c < CONFIDENT) for c in range(8)], np.int32)
+STEP = np.array([(c >> 1) - c for c in range(8)] + [int(c < CONFIDENT) for c in range(8)], np.int64)
 
 
 class Model:
@@ -88,10 +90,12 @@ class Model:
     def predict(self, p1: np.ndarray, p2: np.ndarray):
         """For the ids before each lane's next (1 + number; 0: none): the predicted ids, their masses, order 0's weight."""
         self.slot = (p2 * HASH2 + p1 * HASH1 >> 32) & (1 << self.bits) - 1
-        self.p1, self.e2, self.e1 = p1, self.second.take(self.slot), self.first.take(p1)
+        # widened once: numpy would do so again in each step that mixes widths
+        self.p1, self.e2, self.e1 = p1, self.second.take(self.slot).astype(np.int64), self.first.take(p1).astype(np.int64)
         c2, c1 = self.e2 >> 3, self.e1 >> 3
         self.sure2, self.sure1 = self.e2 & 7, self.e1 & 7
-        self.state = (self.sure2 << 3) + self.sure1 + (c1 == c2) * (STATES // 2)
+        self.same = c1 == c2
+        self.state = (self.sure2 << 3) + self.sure1 + self.same * (STATES // 2)
         return c1, c2, self.mass1.take(self.state), self.mass2.take(self.state), self.weight0.take(self.state)
 
     def learn(self, x: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
@@ -101,7 +105,7 @@ class Model:
             e = e + STEP.take(kind)
             new = np.flatnonzero(kind == 0)
             e[new] = x[new] << 3 | 1
-            table[at] = e
+            table[at] = e.astype(np.int32)
         self.right += np.bincount((self.state << 2) + hit1 + (hit2 << 1), minlength=4 * STATES)
         self.steps += 1
         if self.steps < 16 or self.steps % 8 == 0:
@@ -135,9 +139,10 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids in order, and each id's number among them."""
     if int(ids.max()) >= 1 << 24:
         return np.unique(ids, return_inverse=True)
-    there = np.zeros(int(ids.max()) + 1, bool)
-    there[ids] = True
-    return np.flatnonzero(there).astype(np.uint32), (np.cumsum(there) - 1)[ids]
+    at = ids.astype(np.int64)
+    there = np.zeros(int(at.max()) + 1, bool)
+    there[at] = True
+    return np.flatnonzero(there).astype(np.uint32), (np.cumsum(there) - 1).take(at)
 
 
 def _varints(values: np.ndarray) -> bytes:
@@ -178,7 +183,9 @@ def encode(ids: np.ndarray) -> bytes:
         a = lanes if t < each else more
         if a < lanes:  # the last step of the longer lanes; the others are at their end
             p1, p2 = p1[:a], p2[:a]
-        sym = x.take(starts[:a] + t)
+        if t % AT_ONCE == 0:
+            ahead = np.ascontiguousarray(x.take(starts[:, None] + np.arange(t, t + AT_ONCE), mode="clip").T)
+        sym = ahead[t % AT_ONCE, :a]
         c1, c2, m1, m2, w0 = model.predict(p1, p2)
         hit1, hit2 = (c1 == sym).view(np.int8).astype(np.int64), (c2 == sym).view(np.int8).astype(np.int64)
         below = w0 * model.below.take(sym) + m1 * (c1 < sym) + m2 * (c2 < sym)
@@ -191,7 +198,7 @@ def encode(ids: np.ndarray) -> bytes:
     out_lane.append(np.arange(lanes))
     out_word.append(((low + LOW) >> HALF).astype(np.uint32))
     lane, word = np.concatenate(out_lane), np.concatenate(out_word)
-    order = np.argsort(lane, kind="stable")
+    order = np.argsort(lane.astype(np.min_scalar_type(lanes)), kind="stable")  # by digits, as the numbers are short
     steps = np.diff(np.concatenate([[0], alphabet.astype(np.int64)]))
     head = _varints(steps) + _varints(np.bincount(lane, minlength=lanes))
     return struct.pack("<II", n, len(alphabet)) + head + word[order].astype("<u4").tobytes()
@@ -220,7 +227,9 @@ def decode(data: bytes) -> np.ndarray:
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2 ** 64 - 1, np.uint64)
     p1 = p2 = np.zeros(lanes, np.int64)
     shift, top = np.uint64(model.scale + MIX), (1 << model.scale + MIX) - 1
-    out = np.empty(n, np.int64)
+    # a short division where all goals fit
+    narrowest = np.uint32 if model.scale + MIX <= 32 else np.int64
+    out, gathered = np.empty(n, np.int64), np.empty((AT_ONCE, lanes), np.int64)
     for t in range(each + (more > 0)):
         a = lanes if t < each else more
         if a < lanes:
@@ -228,27 +237,28 @@ def decode(data: bytes) -> np.ndarray:
         c1, c2, m1, m2, w0 = model.predict(p1, p2)
         unit = width[:a] >> shift
         goal = np.minimum(((code[:a] - low[:a]) // unit).astype(np.int64), top)
-        # take away the masses of the named ids that lie below; where the goal lies in one's share, it is that id
-        swap = c1 > c2
-        ca, cb, ma, mb = np.minimum(c1, c2), np.maximum(c1, c2), np.where(swap, m2, m1), np.where(swap, m1, m2)
-        same = ca == cb
-        ma, mb = ma + mb * same, mb * ~same
-        start_a = w0 * model.below.take(ca)
-        past_a = goal >= start_a + w0 * model.freq.take(ca) + ma
-        in_a = (goal >= start_a) & ~past_a
-        goal = goal - ma * past_a
-        start_b = w0 * model.below.take(cb)
-        past_b = goal >= start_b + w0 * model.freq.take(cb) + mb
-        in_b = past_a & (goal >= start_b) & ~past_b & ~same
-        sym = model.at.take(np.minimum((goal - mb * (past_a & past_b)) // w0, len(model.at) - 1))
-        sym[in_a], sym[in_b] = ca[in_a], cb[in_b]
-        hit1, hit2 = (c1 == sym).view(np.int8).astype(np.int64), (c2 == sym).view(np.int8).astype(np.int64)
+        # how far the goal lies behind the start of each named id's share, and that share; within one, it is that id
+        size1, size2 = w0 * model.freq.take(c1) + m1, w0 * model.freq.take(c2) + m2
+        behind1, behind2 = goal - w0 * model.below.take(c1) - m2 * (c2 < c1), goal - w0 * model.below.take(c2) - m1 * (c1 < c2)
+        size1, size2 = size1 + m2 * model.same, size2 + m1 * model.same
+        past1, past2 = behind1 >= size1, behind2 >= size2
+        in1, in2 = (behind1 >= 0) & ~past1, (behind2 >= 0) & ~past2
+        # elsewhere the masses of the named ids that lie below are taken away
+        rest = goal - m1 * past1 - m2 * past2
+        sym = model.at.take(rest.astype(narrowest) // w0.astype(narrowest), mode="clip")
+        np.copyto(sym, c1, where=in1)
+        np.copyto(sym, c2, where=in2)
+        hit1, hit2 = in1.astype(np.int64), in2.astype(np.int64)
         below = w0 * model.below.take(sym) + m1 * (c1 < sym) + m2 * (c2 < sym)
         size = w0 * model.freq.take(sym) + m1 * hit1 + m2 * hit2
         give, _ = narrow(low, width, below, size, shift)
         code[give] = code[give] << HALF | source[np.minimum(at[give], len(source) - 1)]
         at[give] += 1
-        out[starts[:a] + t] = sym
+        gathered[t % AT_ONCE, :a] = sym
+        if a < lanes:
+            out[starts[:a] + t] = sym
+        elif (done := t % AT_ONCE + 1) == AT_ONCE or t == each - 1:
+            out[starts[:, None] + np.arange(t + 1 - done, t + 1)] = gathered[:done].T
         model.learn(sym, hit1, hit2)
         p1, p2 = sym + 1, p1
     return alphabet[out]

@@ -48,7 +48,7 @@ class Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         if PLAIN.fullmatch(word) and "<|" not in word:
-            pieces = PIECE.findall(word.lower())
+            pieces = [word.lower()] if word.isalpha() else PIECE.findall(word.lower())
             if len(pieces) > 1:
                 ids = b"".join([self[p] for p in pieces])
             else:  # one piece: straight to the merges

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from airshed.llm import mixing_coder as C
 from airshed.llm import token_files as T
+from airshed.llm import word_tokens
 from airshed.session import shared_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +36,30 @@ def test_lanes_of_uneven_length_come_back(n):
     assert same(np.zeros(n, int)) and same(np.arange(n) * 61000 % 2 ** 32)
 
 
+@pytest.mark.parametrize("n, distinct, size, crc", [
+    (1, 9, 14, 2652297791), (300, 50, 539, 3205261227), (100_003, 5000, 121176, 2799958606), (1_100_005, 40_000, 1528978, 215670434),
+    (70_000, 1 << 23, 166450, 3548141521)])
+def test_coded_bytes_stay_as_they_were(n, distinct, size, crc):
+    """Blocks written earlier must be read: the bytes of the coder as first written, of lanes of even and uneven length."""
+    i = np.arange(n, dtype=np.int64)
+    ids = (((i * 2654435761 >> 7) ^ (i >> 3)) % distinct * (i % 5 > 1) + i % 3).astype(np.uint32)
+    coded = C.encode(ids)
+    assert (len(coded), zlib.crc32(coded)) == (size, crc)
+    assert np.array_equal(C.decode(coded), ids)
+
+
+def test_words_of_letters_alone_are_not_cut(monkeypatch):
+    """A word of letters is one piece: the search for pieces, a large part of the cost of a new word, is left out."""
+    words = ["river", "Éßøÿ", "straße", "ÀÞ", "x"]
+    tok = word_tokens.WordTokenizer(TOKENIZER)
+    monkeypatch.setattr(word_tokens, "PIECE", None)
+    for w in words:
+        assert np.frombuffer(tok.words[w], np.uint32).tolist() == tok.tok.encode(w, add_special_tokens=False).ids
+    monkeypatch.undo()
+    for w in ("it's", "a1b", "ªº", "a×b", "don't!!"):
+        assert np.frombuffer(tok.words[w], np.uint32).tolist() == tok.tok.encode(w, add_special_tokens=False).ids
+
+
 def test_every_order_helps():
     """Bits an id: frequencies alone, a successor given by one id before, by two before."""
     rng = np.random.default_rng(3)
